@@ -1,0 +1,91 @@
+"""Side-by-side check of a registered Spark query against its DuckDB SQL,
+the way the driver does it: row count, column names, and an
+order-insensitive hash of the values with columns sorted by name."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import os
+import sys
+
+import duckdb
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return "∅"
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return repr(round(v, 6) + 0.0)
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    return repr(v)
+
+
+def digest(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    lines = sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    h = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    return [cols[i] for i in order], h, lines
+
+
+def compare(spark, name, sf_dir, queries, oracle, verbose=True):
+    sdf = queries[name](spark, sf_dir)
+    scols = sdf.columns
+    srows = [tuple(r) for r in sdf.collect()]
+    res = {"query": name, "spark_rows": len(srows)}
+    if name not in oracle:
+        res["oracle"] = False
+        return res
+    con = duck(sf_dir)
+    cur = con.execute(oracle[name])
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
+    sc, sh, sl = digest(scols, srows)
+    dc, dh, dl = digest(dcols, drows)
+    res.update(oracle_rows=len(drows), cols_match=sc == dc, hash_match=sh == dh)
+    if verbose and not (sc == dc and sh == dh):
+        if sc != dc:
+            print("  spark cols:", sc, "\n  duck cols: ", dc)
+        else:
+            a, b = set(sl), set(dl)
+            for x in sorted(a - b)[:3]:
+                print("  spark only:", x)
+            for x in sorted(b - a)[:3]:
+                print("  duck only: ", x)
+    return res
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from cauce.session import get_session
+    import __spark_entry__ as E
+
+    sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
+    names = sys.argv[1:] or list(E.queries())
+    spark = get_session("local[8]", shuffle_partitions=8)
+    Q, S = E.queries(), E.oracle_sql()
+    bad = 0
+    for n in names:
+        try:
+            r = compare(spark, n, sf, Q, S)
+        except Exception as e:  # report and continue
+            r = {"query": n, "error": repr(e)[:400]}
+        ok = r.get("hash_match", "error" not in r) and r.get("cols_match", True)
+        bad += 0 if ok else 1
+        print(("OK  " if ok else "FAIL"), r, flush=True)
+    print("failures:", bad)
