@@ -213,3 +213,188 @@ ft AS (
   LEFT JOIN (SELECT cliente_id, canal_pedido_cd FROM pos WHERE n >= 2 AND rn = n) l ON l.cliente_id = h.cliente_id
   LEFT JOIN (SELECT cliente_id, MAX(fecha_pedido_dt) AS fecha_pedido_dt FROM tx GROUP BY cliente_id) d
          ON d.cliente_id = h.cliente_id)"""
+
+
+# ------------------------------------------------------------------ batch 2
+FEATURE_TYPES = (
+    [("cliente_id", "bigint")]
+    + [(c, "bigint" if c in ("total_pedidos", "pedidos_digitales_total") else "double") for c in HISTORY_COLS]
+    + [("pct_digital_90d", "double"), ("pct_digital_30d", "double"), ("tendencia_digital", "double"),
+       ("pedidos_ultimos_90d", "bigint"), ("pedidos_ultimos_30d", "bigint"), ("dias_desde_ultimo_digital", "bigint")]
+    + [("ultimo_canal", "string"), ("penultimo_canal", "string"), ("transicion_canal", "string"),
+       ("racha_canal_actual", "bigint")]
+    + [("pais_cd", "string"), ("madurez_digital_cd", "string"), ("frecuencia_visitas_cd", "string"),
+       ("madurez_digital_encoded", "double")]
+    + [("target", "int"), ("fecha_pedido_dt", "date")]
+)
+NUMERIC_FEATURES = [c for c, t in FEATURE_TYPES if t in ("bigint", "double", "int")]
+
+
+def with_ft(body: str, extra: str = "") -> str:
+    return f"WITH {feature_table_ctes('A')},\nsc AS (SELECT cliente_id, target, pct_digital_historico AS " \
+           f"propension_digital FROM ft){extra}\n{body}"
+
+
+def linspace(n: int) -> list:
+    return [i * (1.0 / n) for i in range(n)] + [1.0]
+
+
+def dlist(vals) -> str:
+    return "[" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in vals) + "]"
+
+
+def schema_profile_sql() -> str:
+    parts = [f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS data_type, COUNT({c}) AS non_null FROM ft"
+             for i, (c, t) in enumerate(FEATURE_TYPES)]
+    return with_ft(" UNION ALL ".join(parts))
+
+
+def describe_sql() -> str:
+    parts = []
+    for c in NUMERIC_FEATURES:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS feature, COUNT({c}) AS count, AVG({x}) AS mean, STDDEV_SAMP({x}) AS std, "
+            f"MIN({x}) AS min, quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, "
+            f"quantile_cont({x}, 0.75) AS q75, MAX({x}) AS max FROM ft")
+    return rounded(with_ft(" UNION ALL ".join(parts)), ["mean", "std", "min", "q25", "q50", "q75", "max"])
+
+
+def null_profile_sql() -> str:
+    parts = [f"SELECT '{c}' AS columna, COUNT(*) FILTER (WHERE {c} IS NULL) AS n_nulos FROM ft"
+             for c, _ in FEATURE_TYPES]
+    return with_ft(f"SELECT * FROM ({' UNION ALL '.join(parts)}) ORDER BY n_nulos DESC, columna ASC LIMIT 10")
+
+
+def correlation_sql() -> str:
+    parts = []
+    for c in NUMERIC_FEATURES:
+        x = f"CAST({c} AS DOUBLE)"
+        parts.append(f"SELECT '{c}' AS feature, covar_pop({x}, CAST(target AS DOUBLE)) / "
+                     f"NULLIF(stddev_pop({x}) * stddev_pop(CAST(target AS DOUBLE)), 0) AS correlation FROM ft")
+    body = f"SELECT * FROM ({' UNION ALL '.join(parts)}) ORDER BY correlation DESC NULLS LAST, feature ASC LIMIT 15"
+    return rounded(with_ft(body), ["correlation"])
+
+
+def histogram_sql(by: str | None = None, bins: int = 50) -> str:
+    g = f"{by}, " if by else ""
+    join = f"JOIN rg USING ({by})" if by else "CROSS JOIN rg"
+    body = f"""
+SELECT {g}bin, lo + bin * (hi - lo) / {bins} AS bin_lo, lo + (bin + 1) * (hi - lo) / {bins} AS bin_hi, COUNT(*) AS n
+FROM (SELECT {g}lo, hi, CAST(LEAST(FLOOR((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin
+      FROM (SELECT {g}CAST(propension_digital AS DOUBLE) AS x FROM sc WHERE propension_digital IS NOT NULL) s
+      {join})
+GROUP BY {g}bin, lo, hi"""
+    extra = f""",
+rg AS (SELECT {g}CASE WHEN MIN(propension_digital) = MAX(propension_digital) THEN MIN(propension_digital) - 0.5
+                    ELSE MIN(propension_digital) END AS lo,
+              CASE WHEN MIN(propension_digital) = MAX(propension_digital) THEN MAX(propension_digital) + 0.5
+                    ELSE MAX(propension_digital) END AS hi
+       FROM sc WHERE propension_digital IS NOT NULL {"GROUP BY " + by if by else ""})"""
+    return rounded(with_ft(body, extra), ["bin_lo", "bin_hi"])
+
+
+SPLIT_CTE = """,
+sp AS (SELECT cliente_id, fecha_pedido_dt, target, pais_cd,
+              CASE WHEN fecha_pedido_dt < (SELECT MAX(fecha_pedido_dt) FROM ft) - INTERVAL 1 MONTH THEN 'train'
+                   WHEN fecha_pedido_dt >= (SELECT MAX(fecha_pedido_dt) FROM ft) - INTERVAL 1 MONTH THEN 'test'
+              END AS split
+       FROM ft WHERE fecha_pedido_dt IS NOT NULL)"""
+
+
+def encoding_sql(smoothed: bool, m: int = 50) -> str:
+    if smoothed:
+        enc = (f"SELECT pais_cd, w * mean + (1 - w) * (SELECT gm FROM g) AS e FROM (SELECT *, "
+               f"1 / (1 + exp(-(CAST(cnt AS DOUBLE) - {m}) / CAST({m} AS DOUBLE))) AS w FROM st)")
+        cols, src, alias = "sp.cliente_id, sp.split, sp.pais_cd", "sp", "sp"
+    else:
+        enc = "SELECT pais_cd, mean AS e FROM st"
+        cols, src, alias = "f.cliente_id, f.pais_cd", "ft f", "f"
+    extra = SPLIT_CTE + f""",
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+g AS (SELECT AVG(CAST(target AS DOUBLE)) AS gm FROM tr),
+st AS (SELECT pais_cd, AVG(CAST(target AS DOUBLE)) AS mean, COUNT(target) AS cnt FROM tr
+       WHERE pais_cd IS NOT NULL GROUP BY pais_cd),
+enc AS ({enc})"""
+    body = (f"SELECT {cols}, COALESCE(enc.e, (SELECT gm FROM g)) AS pais_cd_target_encoded "
+            f"FROM {src} LEFT JOIN enc ON enc.pais_cd = {alias}.pais_cd")
+    return rounded(with_ft(body, extra), ["pais_cd_target_encoded"])
+
+
+MATRIX_CATS = ("penultimo_canal", "transicion_canal", "madurez_digital_cd", "frecuencia_visitas_cd")
+MATRIX_NUMERIC = [c for c in NUMERIC_FEATURES if c not in ("cliente_id", "target")]
+
+
+def model_matrix_sql() -> str:
+    nums = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in MATRIX_NUMERIC)
+    unp = ", ".join(MATRIX_NUMERIC)
+    parts = [f"SELECT cliente_id, feature, value FROM (SELECT cliente_id, {nums} FROM ft) "
+             f"UNPIVOT (value FOR feature IN ({unp}))"]
+    for c in MATRIX_CATS:
+        parts.append(
+            f"SELECT f.cliente_id, '{c}_' || v.lvl AS feature, "
+            f"CAST(CASE WHEN f.{c} = v.lvl THEN 1 ELSE 0 END AS DOUBLE) AS value "
+            f"FROM ft f JOIN (SELECT DISTINCT {c} AS lvl FROM ft JOIN sp USING (cliente_id) "
+            f"WHERE sp.split = 'train' AND {c} IS NOT NULL) v ON true "
+            f"WHERE v.lvl > (SELECT MIN({c}) FROM ft JOIN sp USING (cliente_id) WHERE sp.split = 'train')")
+    return rounded(with_ft(" UNION ALL ".join(parts), SPLIT_CTE), ["value"])
+
+
+def cum_cte(score: str = "propension_digital", src: str = "sc") -> str:
+    return f""",
+st AS (SELECT CAST({score} AS DOUBLE) AS score, SUM(target) AS pos, SUM(1 - target) AS neg, COUNT(*) AS cnt
+       FROM {src} WHERE {score} IS NOT NULL GROUP BY 1),
+cu AS (SELECT *, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+                 SUM(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg FROM st),
+tt AS (SELECT CAST(SUM(pos) AS DOUBLE) AS p, CAST(SUM(neg) AS DOUBLE) AS q FROM st)"""
+
+
+AUC = "(SELECT SUM(neg * (cum_pos - pos / 2.0)) / ((SELECT p FROM tt) * (SELECT q FROM tt)) FROM cu)"
+AP = "(SELECT SUM(pos * (CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg))) / (SELECT p FROM tt) FROM cu)"
+
+
+def confusion_select(score: str = "propension_digital", src: str = "sc", t: float = 0.5) -> str:
+    return f"""(SELECT tp AS true_positives, fp AS false_positives, tn AS true_negatives, fn AS false_negatives,
+   COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0), 0) AS precision,
+   COALESCE(CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0), 0) AS recall,
+   COALESCE(CAST(tn AS DOUBLE) / NULLIF(tn + fp, 0), 0) AS specificity
+ FROM (SELECT COUNT(*) FILTER (WHERE {score} >= {t} AND target = 1) AS tp,
+              COUNT(*) FILTER (WHERE {score} >= {t} AND target <> 1) AS fp,
+              COUNT(*) FILTER (WHERE {score} < {t} AND target <> 1) AS tn,
+              COUNT(*) FILTER (WHERE {score} < {t} AND target = 1) AS fn
+       FROM {src} WHERE {score} IS NOT NULL))"""
+
+
+def confusion_sql() -> str:
+    body = f"""SELECT *, COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1_score
+FROM {confusion_select()}"""
+    return rounded(with_ft(body), ["precision", "recall", "specificity", "f1_score"])
+
+
+def metrics_all_body(score: str = "propension_digital", src: str = "sc") -> str:
+    return f"""SELECT {AUC} AS roc_auc, {AP} AS avg_precision, precision, recall,
+  COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1_score, specificity,
+  true_positives, false_positives, true_negatives, false_negatives
+FROM {confusion_select(score, src)}"""
+
+
+METRIC_DOUBLES = ["roc_auc", "avg_precision", "precision", "recall", "f1_score", "specificity"]
+
+
+def lift_body(score: str = "propension_digital", src: str = "sc", k: float = 0.2) -> str:
+    return f"""SELECT n, n_top, precision_top_k, baseline,
+  CASE WHEN precision_top_k IS NULL THEN NULL WHEN baseline > 0 THEN precision_top_k / baseline ELSE 0 END AS lift_score
+FROM (SELECT COUNT(*) AS n, CAST(FLOOR(COUNT(*) * {k}) AS BIGINT) AS n_top,
+             CAST(SUM(target) FILTER (WHERE rk <= FLOOR(n_all * {k})) AS DOUBLE) / NULLIF(FLOOR(COUNT(*) * {k}), 0)
+               AS precision_top_k,
+             AVG(CAST(target AS DOUBLE)) AS baseline
+      FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {score} DESC, cliente_id ASC) AS rk, COUNT(*) OVER () AS n_all
+            FROM {src} WHERE {score} IS NOT NULL))"""
+
+
+def segments_select(n: int, score: str = "propension_digital", src: str = "sc") -> str:
+    labels = ["D10", "D9", "D8", "D7", "D6", "D5", "D4", "D3", "D2", "D1"] if n == 10 else [
+        f"S{i + 1}" for i in range(n)]
+    whens = " ".join(f"WHEN {score} <= e[{i + 1}] THEN '{labels[i - 1]}'" for i in range(1, n))
+    return (f"SELECT cliente_id, {score}, CASE {whens} ELSE '{labels[n - 1]}' END AS segmento_propension "
+            f"FROM {src}, (SELECT quantile_cont({score}, {dlist(linspace(n))}) AS e FROM {src})")

@@ -139,3 +139,280 @@ def q_cat(spark, sf_dir):
 def q_feature_table(spark, sf_dir):
     """The full feature table (flagship)."""
     return features_a(spark, sf_dir)
+
+
+# --------------------------------------------------------------- batch 2 helpers
+from cauce.operators import encode as enc_ops  # noqa: E402
+from cauce.operators import metrics as met  # noqa: E402
+from cauce.operators import profile as prof  # noqa: E402
+from cauce.operators import segment as seg  # noqa: E402
+from cauce.operators import split as spl  # noqa: E402
+from cauce.sources.fixtures import scored_rows  # noqa: E402
+from cauce.sources.tables import scan_features  # noqa: E402
+
+FD = O.FEATURE_DOUBLES
+
+
+def scored_a(spark, sf_dir, score_col="pct_digital_historico"):
+    return scored_rows(features_a(spark, sf_dir), score_col)
+
+
+def split_a(spark, sf_dir):
+    return spl.temporal_split(features_a(spark, sf_dir), "fecha_pedido_dt", 1)
+
+
+@register("feat_except", O.rounded(O.with_ft("SELECT * EXCLUDE (ultimo_canal) FROM ft"),
+                                   [c for c in FD]))
+def q_except(spark, sf_dir):
+    """The feature table without ``ultimo_canal``."""
+    return scan_features(features_a(spark, sf_dir))
+
+
+@register("feat_preview", O.rounded(O.with_ft("SELECT * FROM ft ORDER BY cliente_id LIMIT 10"), FD))
+def q_preview(spark, sf_dir):
+    """10-row preview in key order."""
+    return prof.preview(features_a(spark, sf_dir), 10)
+
+
+@register("feat_count", O.with_ft("SELECT COUNT(1) AS n_rows FROM ft"))
+def q_count(spark, sf_dir):
+    """S8."""
+    return prof.row_count(features_a(spark, sf_dir))
+
+
+@register("schema_profile", O.schema_profile_sql())
+def q_schema(spark, sf_dir):
+    """Columns, types, non-null counts."""
+    return prof.schema_profile(features_a(spark, sf_dir))
+
+
+@register("describe_features", O.describe_sql())
+def q_describe(spark, sf_dir):
+    """A10: exact describe of every numeric column."""
+    return prof.describe(features_a(spark, sf_dir))
+
+
+@register("channel_counts", O.with_ft(
+    "SELECT ultimo_canal, COUNT(*) AS n FROM ft WHERE ultimo_canal IS NOT NULL GROUP BY ultimo_canal"))
+def q_channel_counts(spark, sf_dir):
+    """Value counts of the last channel."""
+    return prof.value_counts(features_a(spark, sf_dir), "ultimo_canal")
+
+
+@register("top_transitions", O.with_ft(
+    "SELECT transicion_canal, COUNT(*) AS n FROM ft WHERE transicion_canal IS NOT NULL "
+    "GROUP BY transicion_canal ORDER BY n DESC, transicion_canal ASC LIMIT 15"))
+def q_top_transitions(spark, sf_dir):
+    """15 most frequent transitions."""
+    return prof.top_values(features_a(spark, sf_dir), "transicion_canal", 15)
+
+
+@register("trend_counts", f"""WITH {O.tx_ctes('A')}
+SELECT COUNT(*) FILTER (WHERE tendencia_digital > 0.1) AS clientes_acelerando,
+       COUNT(*) FILTER (WHERE tendencia_digital < -0.1) AS clientes_desacelerando
+FROM ({O.temporal_sql('pos')})""")
+def q_trend_counts(spark, sf_dir):
+    """A12 over the temporal features of all orders."""
+    return prof.trend_counts(feat.temporal_features(tx_a(spark, sf_dir)))
+
+
+@register("target_distribution", O.rounded(O.with_ft(
+    "SELECT target, COUNT(*) AS clientes, ROUND(COUNT(*) * 100.0 / (SELECT COUNT(*) FROM ft), 2) AS porcentaje "
+    "FROM ft GROUP BY target"), ["porcentaje"]))
+def q_target_dist(spark, sf_dir):
+    """A13."""
+    return prof.target_distribution(features_a(spark, sf_dir))
+
+
+@register("null_profile", O.null_profile_sql())
+def q_nulls(spark, sf_dir):
+    """Top-10 null counts."""
+    return prof.null_profile(features_a(spark, sf_dir), 10)
+
+
+@register("target_correlation", O.correlation_sql())
+def q_corr(spark, sf_dir):
+    """A15 + T3: top-15 correlations with the target."""
+    return prof.target_correlation(features_a(spark, sf_dir), "target", 15)
+
+
+@register("country_nunique", O.with_ft("SELECT COUNT(DISTINCT pais_cd) AS n_paises FROM ft"))
+def q_countries(spark, sf_dir):
+    """A26."""
+    return prof.distinct_count(features_a(spark, sf_dir), "pais_cd", "n_paises")
+
+
+@register("score_histogram", O.histogram_sql())
+def q_hist50(spark, sf_dir):
+    """50-bin histogram of the score."""
+    return prof.histogram(scored_a(spark, sf_dir), "propension_digital", 50)
+
+
+@register("score_histogram_by_class", O.histogram_sql("target"))
+def q_hist_class(spark, sf_dir):
+    """50-bin histograms per true class, each on its own range."""
+    return prof.histogram(scored_a(spark, sf_dir), "propension_digital", 50, by="target")
+
+
+@register("temporal_split", O.with_ft("SELECT cliente_id, fecha_pedido_dt, target, split FROM sp", O.SPLIT_CTE))
+def q_temporal_split(spark, sf_dir):
+    """M1: last month of last-order dates is the test set."""
+    return split_a(spark, sf_dir).select("cliente_id", "fecha_pedido_dt", "target", "split")
+
+
+@register("split_summary", O.rounded(O.with_ft(
+    "SELECT split, COUNT(*) AS n_clientes, AVG(CAST(target AS DOUBLE)) AS target_mean, "
+    "MIN(fecha_pedido_dt) AS fecha_min, MAX(fecha_pedido_dt) AS fecha_max FROM sp GROUP BY split",
+    O.SPLIT_CTE), ["target_mean"]))
+def q_split_summary(spark, sf_dir):
+    """A27."""
+    return spl.split_summary(split_a(spark, sf_dir))
+
+
+def _train(spark, sf_dir):
+    return split_a(spark, sf_dir).filter(F.col("split") == "train")
+
+
+@register("target_encoding", O.encoding_sql(True, 50))
+def q_target_encoding(spark, sf_dir):
+    """A8 + J5 + P22: smoothed country encoding fitted on train (m=50)."""
+    sp = split_a(spark, sf_dir)
+    enc = enc_ops.TargetEncoder("pais_cd", "target", 50).fit(sp.filter(F.col("split") == "train"))
+    return enc.transform(sp).select("cliente_id", "split", "pais_cd", "pais_cd_target_encoded")
+
+
+@register("mean_encoding", O.encoding_sql(False))
+def q_mean_encoding(spark, sf_dir):
+    """Unsmoothed encoding fitted on train, applied to every customer."""
+    enc = enc_ops.TargetEncoder("pais_cd", "target", smoothing="none").fit(_train(spark, sf_dir))
+    return enc.transform(features_a(spark, sf_dir)).select("cliente_id", "pais_cd", "pais_cd_target_encoded")
+
+
+@register("model_matrix", O.model_matrix_sql())
+def q_model_matrix(spark, sf_dir):
+    """M3 + P7 + P20: numeric + one-hot (vocabulary from train), long form."""
+    ft = scan_features(features_a(spark, sf_dir))
+    vocab = enc_ops.OneHotVocabulary().fit(scan_features(_train(spark, sf_dir)), tuple(
+        ["ultimo_canal", *O.MATRIX_CATS]))
+    mat, names, _ = enc_ops.model_matrix(ft, vocab.columns, vocab)
+    wide = mat.select("cliente_id", *[F.col(c).cast("double").alias(c) for c in names])
+    return wide.unpivot("cliente_id", names, "feature", "value")
+
+
+@register("confusion_metrics", O.confusion_sql())
+def q_confusion(spark, sf_dir):
+    """A16, A17, P25 at threshold 0.5."""
+    return met.confusion_metrics(scored_a(spark, sf_dir), 0.5)
+
+
+@register("roc_auc", O.rounded(O.with_ft(f"SELECT {O.AUC} AS roc_auc", O.cum_cte()), ["roc_auc"]))
+def q_auc(spark, sf_dir):
+    """A18."""
+    return met.roc_auc(scored_a(spark, sf_dir))
+
+
+@register("average_precision", O.rounded(O.with_ft(f"SELECT {O.AP} AS avg_precision", O.cum_cte()),
+                                         ["avg_precision"]))
+def q_ap(spark, sf_dir):
+    """A19."""
+    return met.average_precision(scored_a(spark, sf_dir))
+
+
+@register("metrics_all", O.rounded(O.with_ft(O.metrics_all_body(), O.cum_cte()), O.METRIC_DOUBLES))
+def q_metrics_all(spark, sf_dir):
+    """Ten metrics in one row."""
+    return met.metrics_all(scored_a(spark, sf_dir), 0.5)
+
+
+@register("roc_curve", O.rounded(O.with_ft(
+    "SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr "
+    "UNION ALL SELECT score, cum_neg / (SELECT q FROM tt), cum_pos / (SELECT p FROM tt) FROM cu",
+    O.cum_cte()), ["threshold", "fpr", "tpr"]))
+def q_roc_curve(spark, sf_dir):
+    """A30."""
+    return met.roc_curve(scored_a(spark, sf_dir))
+
+
+@register("pr_curve", O.rounded(O.with_ft(
+    "SELECT score AS threshold, CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg) AS precision, "
+    "cum_pos / (SELECT p FROM tt) AS recall FROM cu "
+    "UNION ALL SELECT NULL, CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)", O.cum_cte()), ["threshold", "precision", "recall"]))
+def q_pr_curve(spark, sf_dir):
+    """A31."""
+    return met.pr_curve(scored_a(spark, sf_dir))
+
+
+@register("lift_top20", O.rounded(O.with_ft(O.lift_body()), ["precision_top_k", "baseline", "lift_score"]))
+def q_lift(spark, sf_dir):
+    """Lift in the top 20 % by score (ties by customer id)."""
+    return met.lift_score(scored_a(spark, sf_dir), 0.20)
+
+
+@register("segments_decile", O.rounded(O.with_ft(O.segments_select(10)), ["propension_digital"]))
+def q_deciles(spark, sf_dir):
+    """Deciles D10..D1."""
+    return seg.segment_customers(scored_a(spark, sf_dir), "propension_digital", 10).select(
+        "cliente_id", "propension_digital", "segmento_propension")
+
+
+@register("segments_quartile", O.rounded(O.with_ft(O.segments_select(4)), ["propension_digital"]))
+def q_quartiles(spark, sf_dir):
+    """M7: quartiles S1..S4."""
+    return seg.segment_customers(scored_a(spark, sf_dir), "propension_digital", 4).select(
+        "cliente_id", "propension_digital", "segmento_propension")
+
+
+SEG_CTE = f""",
+sg AS (SELECT s.*, d.segmento_propension FROM sc s JOIN ({O.segments_select(10)}) d USING (cliente_id, propension_digital))"""
+
+
+@register("segment_analysis", O.rounded(O.with_ft(
+    "SELECT segmento_propension, COUNT(target) AS target_count, CAST(SUM(target) AS BIGINT) AS target_sum, "
+    "ROUND(AVG(CAST(target AS DOUBLE)), 4) AS target_mean, ROUND(MIN(propension_digital), 4) AS propension_digital_min, "
+    "ROUND(MAX(propension_digital), 4) AS propension_digital_max, ROUND(AVG(propension_digital), 4) AS "
+    "propension_digital_mean FROM sg GROUP BY segmento_propension", SEG_CTE),
+    ["target_mean", "propension_digital_min", "propension_digital_max", "propension_digital_mean"]))
+def q_segment_analysis(spark, sf_dir):
+    """A22 + P6."""
+    s = seg.segment_customers(scored_a(spark, sf_dir), "propension_digital", 10)
+    return seg.segment_analysis(s)
+
+
+@register("segment_lift", O.rounded(O.with_ft(
+    "SELECT segmento_propension, AVG(CAST(target AS DOUBLE)) * 100 AS tasa_conversion, "
+    "AVG(CAST(target AS DOUBLE)) / (SELECT AVG(CAST(target AS DOUBLE)) FROM sg) AS lift "
+    "FROM sg GROUP BY segmento_propension", SEG_CTE), ["tasa_conversion", "lift"]))
+def q_segment_lift(spark, sf_dir):
+    """A23 + A24."""
+    s = seg.segment_customers(scored_a(spark, sf_dir), "propension_digital", 10)
+    return seg.segment_lift(s)
+
+
+def score_base_a(spark, sf_dir):
+    ft = features_a(spark, sf_dir)
+    base = ft.select("cliente_id", F.col("pct_digital_historico").alias("propension_digital"),
+                     F.col("madurez_digital_cd").alias("madurez_digital"), "pct_digital_historico")
+    return seg.segment_customers(base, "propension_digital", 10)
+
+
+SCORE_BASE_SQL = """
+SELECT b.cliente_id, b.propension_digital, b.madurez_digital, b.pct_digital_historico, d.segmento_propension
+FROM (SELECT cliente_id, pct_digital_historico AS propension_digital, madurez_digital_cd AS madurez_digital,
+             pct_digital_historico FROM ft) b
+JOIN ({seg}) d USING (cliente_id)"""
+
+
+@register("score_base", O.rounded(O.with_ft(SCORE_BASE_SQL.format(seg=O.segments_select(10))),
+                                  ["propension_digital", "pct_digital_historico"]))
+def q_score_base(spark, sf_dir):
+    """M10 (oracle variant: the score is the historical digital share)."""
+    return score_base_a(spark, sf_dir)
+
+
+@register("scoring_summary", O.rounded(O.with_ft(
+    "SELECT segmento_propension, madurez_digital, COUNT(cliente_id) AS q_clientes, AVG(propension_digital) AS prop_avg, "
+    "MIN(propension_digital) AS prop_min, MAX(propension_digital) AS prop_max FROM sbase GROUP BY ALL ORDER BY ALL",
+    ",\nsbase AS (" + SCORE_BASE_SQL.format(seg=O.segments_select(10)) + ")"), ["prop_avg", "prop_min", "prop_max"]))
+def q_scoring_summary(spark, sf_dir):
+    """A25 + T7: the report SQL over the scored base."""
+    return seg.scoring_summary(score_base_a(spark, sf_dir))
