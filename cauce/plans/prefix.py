@@ -26,6 +26,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cauce.session import materialize
+
 
 def default_buckets(df: DataFrame) -> int:
     try:
@@ -81,7 +83,8 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
         F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols]))
     long = df.select(stack.alias("_kv")).select("_kv.feature", "_kv.value").filter(
         F.col("value").isNotNull() & ~F.isnan(F.col("value")))
-    vc = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c"))
+    # reused by three jobs below: computed once (it is at most one row per distinct value)
+    vc = materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
     edges = _edges_by_group(vc, "feature", "value", nb)
     vb = _with_buckets(vc, "feature", "value", edges, "string")
     totals = vb.groupBy("feature", "_bucket").agg(F.sum("c").alias("c")).collect()
@@ -171,11 +174,13 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
 # --------------------------------------------------------------------------
 def prefix_sums(df: DataFrame, key: str, sums: list[str], descending: bool = False,
-                n_buckets: int | None = None) -> tuple[DataFrame, dict]:
+                n_buckets: int | None = None, checkpoint: bool = True) -> tuple[DataFrame, dict]:
     """Inclusive running sums of ``sums`` in ``key`` order over a frame whose
     ``key`` is unique (e.g. the output of ``groupBy(key)``). Returns the
     frame with ``cum_<col>`` columns and the grand totals (dict)."""
     nb = n_buckets or default_buckets(df)
+    if checkpoint:  # the frame feeds three passes; compute it once
+        df = materialize(df)
     probs = [i / nb for i in range(1, nb)]
     e = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).collect()[0]["e"] or []
     edges = sorted({float(x) for x in e if x is not None and not math.isnan(x)})

@@ -416,3 +416,195 @@ def q_score_base(spark, sf_dir):
 def q_scoring_summary(spark, sf_dir):
     """A25 + T7: the report SQL over the scored base."""
     return seg.scoring_summary(score_base_a(spark, sf_dir))
+
+
+# ----------------------------------------------------------- batch 3: trials, model
+from cauce.operators import model as mdl  # noqa: E402
+from cauce.operators import tuning as tun  # noqa: E402
+from cauce.session import checkpoint_dir, materialize  # noqa: E402
+from cauce.sources.sinks import RunLog, write_table  # noqa: E402
+
+
+def _suffixed(sql: str, suf: str) -> str:
+    for name in ("st", "cu", "tt"):
+        sql = sql.replace(f" {name} ", f" {name}{suf} ").replace(f"\n{name} ", f"\n{name}{suf} ").replace(
+            f"FROM {name})", f"FROM {name}{suf})").replace(f"FROM {name}\n", f"FROM {name}{suf}\n")
+    return sql
+
+
+def _metric_cmp_sql() -> str:
+    parts, ctes = [], ""
+    for suf, score, name in (("_b", "madurez_digital_encoded", "Baseline"), ("_o", "pct_digital_historico",
+                                                                              "Optimizado")):
+        ctes += _suffixed(O.cum_cte(score, "ft"), suf)
+        body = _suffixed(O.metrics_all_body(score, "ft").replace(O.AUC, _suffixed(O.AUC, suf)).replace(
+            O.AP, _suffixed(O.AP, suf)), suf)
+        lift = O.lift_body(score, "ft")
+        ctes += f",\nm{suf} AS (SELECT '{name}' AS modelo, m.*, l.lift_score FROM ({body}) m, ({lift}) l)"
+    cols = list(tun.COMPARE_METRICS)
+    rows = " UNION ALL ".join(
+        f"SELECT modelo, {', '.join(f'ROUND({c}, 4) AS {c}' for c in cols)} FROM m{s}" for s in ("_b", "_o"))
+    diff = "SELECT 'Mejora' AS modelo, " + ", ".join(
+        f"ROUND(o.{c} - b.{c}, 4) AS {c}" for c in cols) + " FROM m_o o, m_b b"
+    return O.rounded(O.with_ft(f"{rows} UNION ALL {diff}", ctes), cols)
+
+
+@register("metric_comparison", _metric_cmp_sql())
+def q_metric_comparison(spark, sf_dir):
+    """The maturity score (baseline) against the historical digital
+    share (tuned) on the same customers."""
+    ft = features_a(spark, sf_dir)
+    base = tun.metric_row(scored_rows(ft, "madurez_digital_encoded"), "Baseline")
+    tuned = tun.metric_row(scored_rows(ft, "pct_digital_historico"), "Optimizado")
+    return tun.metric_comparison(base, tuned)
+
+
+def _threshold_trials_sql() -> str:
+    parts = []
+    for i in range(1, 10):
+        t = i / 10
+        c = O.confusion_select("propension_digital", "sc", f"CAST({t!r} AS DOUBLE)")
+        parts.append(f"SELECT 'thresholds' AS study, {i} AS trial, CAST({t!r} AS DOUBLE) AS threshold, "
+                     f"COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1_score FROM {c}")
+    return ",\ntr AS (" + " UNION ALL ".join(parts) + ")"
+
+
+@register("best_so_far", O.rounded(O.with_ft(
+    "SELECT study, trial, threshold, f1_score, MAX(f1_score) OVER (PARTITION BY study ORDER BY trial "
+    "ROWS UNBOUNDED PRECEDING) AS best_f1_score_so_far FROM tr", _threshold_trials_sql()),
+    ["threshold", "f1_score", "best_f1_score_so_far"]))
+def q_best_so_far(spark, sf_dir):
+    """W8 over a trials table of decision thresholds scored by F1."""
+    return tun.best_so_far(tun.threshold_trials(scored_a(spark, sf_dir)), "f1_score")
+
+
+@register("top_trials", O.rounded(O.with_ft(
+    "SELECT trial, ROUND(threshold, 4) AS threshold, ROUND(f1_score, 4) AS f1_score FROM tr "
+    "ORDER BY f1_score DESC NULLS LAST, trial ASC LIMIT 10", _threshold_trials_sql()), ["threshold", "f1_score"]))
+def q_top_trials(spark, sf_dir):
+    """T5 + T8: the 10 best trials."""
+    return tun.top_trials(tun.threshold_trials(scored_a(spark, sf_dir)), "f1_score", 10, ("threshold",))
+
+
+# ---------------------------------------------------------------- rows-only queries
+TEST_ITERS = 20  # boosting rounds in the registered model queries (library default: MODEL.max_iter)
+
+
+def _train_test_a(spark, sf_dir):
+    # the feature table is the hand-off between feature build and modelling
+    # (the reference persists it too): compute it once per query
+    ft = materialize(scan_features(features_a(spark, sf_dir)))
+    return spl.train_test(ft)
+
+
+def _fitted(spark, sf_dir):
+    tr, te = _train_test_a(spark, sf_dir)
+    return mdl.train_pipeline(tr, te, maxIter=TEST_ITERS)
+
+
+@register("stratified_split")
+def q_stratified(spark, sf_dir):
+    """M2: exact stratified 80/20 hold-out of the training customers."""
+    tr, _ = _train_test_a(spark, sf_dir)
+    return spl.stratified_split(tr, "target", 0.2, 42).select("cliente_id", "target", "is_validation")
+
+
+@register("gbt_train_score")
+def q_gbt(spark, sf_dir):
+    """M4 + M5: boosted trees with early stopping, test-set probabilities."""
+    pm, res = _fitted(spark, sf_dir)
+    return res["scored_test"].select("cliente_id", "target", "propension_digital")
+
+
+@register("feature_importance")
+def q_importance(spark, sf_dir):
+    """M6 + T4: top-20 importances."""
+    pm, res = _fitted(spark, sf_dir)
+    return res["feature_importance"]
+
+
+@register("permutation_importance")
+def q_perm(spark, sf_dir):
+    """AUC drop per permuted feature (the five most important)."""
+    tr, te = _train_test_a(spark, sf_dir)
+    pm, res = mdl.train_pipeline(tr, te, maxIter=TEST_ITERS)
+    top = [r[0] for r in res["feature_importance"].limit(5).collect()]
+    return mdl.permutation_importance(pm, te, top)
+
+
+def _search_inputs(spark, sf_dir):
+    tr, te = _train_test_a(spark, sf_dir)
+    enc = enc_ops.TargetEncoder("pais_cd", "target", 50).fit(tr)
+    mat, names, vocab = enc_ops.model_matrix(enc.transform(tr), mdl.MODEL.categoricals)
+    mat = materialize(spl.stratified_split(mat, "target", 0.2, 42))
+    test_mat = materialize(vocab.transform(enc.transform(te)))
+    return mat, test_mat, names
+
+
+@register("tuning_trials")
+def q_tuning(spark, sf_dir):
+    """M11 + M12 + W8: seeded random search (8 draws in the registered
+    query; the library default is the reference's 50)."""
+    mat, _, names = _search_inputs(spark, sf_dir)
+    trials = tun.random_search(mat, names, n_trials=8, parallelism=4, max_iter_cap=TEST_ITERS)
+    return tun.best_so_far(trials, "auc")
+
+
+@register("baseline_vs_tuned")
+def q_baseline_vs_tuned(spark, sf_dir):
+    """M13 + M14 + A32: refit best and default configurations, compare."""
+    mat, test_mat, names = _search_inputs(spark, sf_dir)
+    trials = tun.random_search(mat, names, n_trials=4, parallelism=4, max_iter_cap=TEST_ITERS)
+    cmp, _, _ = tun.refit_and_compare(mat, test_mat, names, tun.best_trial(trials), max_iter_cap=TEST_ITERS)
+    return cmp
+
+
+@register("pipeline_full")
+def q_pipeline(spark, sf_dir):
+    """M8: full training pipeline with the run log; returns the metrics row."""
+    tr, te = _train_test_a(spark, sf_dir)
+    log = RunLog(spark, f"{checkpoint_dir(spark)}/cauce_runs", "propension_digital")
+    pm, res = mdl.train_pipeline(tr, te, run_log=log, maxIter=TEST_ITERS)
+    m = res["metricas"]
+    return spark.createDataFrame([tuple(float(m[k]) if m[k] is not None else None for k in sorted(m))],
+                                 ", ".join(f"{k} double" for k in sorted(m)))
+
+
+@register("score_new_customers")
+def q_score_new(spark, sf_dir):
+    """M9 + M10 + S5 + S10: persist the fitted model, reload it, score every
+    customer and decile them."""
+    import uuid
+    pm, _ = _fitted(spark, sf_dir)
+    path = f"{checkpoint_dir(spark)}/cauce_model_{uuid.uuid4().hex}"
+    pm.save(path)
+    loaded = mdl.PropensityModel.load(spark, path)
+    return mdl.score_customers(loaded, scan_features(features_a(spark, sf_dir)))
+
+
+@register("run_log")
+def q_run_log(spark, sf_dir):
+    """Params, metrics and text rows of a training run, read back."""
+    import uuid
+    tr, te = _train_test_a(spark, sf_dir)
+    log = RunLog(spark, f"{checkpoint_dir(spark)}/cauce_runs_{uuid.uuid4().hex}", "propension_digital",
+                 {"project": "cauce"})
+    mdl.train_pipeline(tr, te, run_log=log, maxIter=TEST_ITERS)
+    return log.read()
+
+
+@register("write_features")
+def q_write(spark, sf_dir):
+    """Write the feature table (overwrite) and read it back."""
+    import uuid
+    path = f"{checkpoint_dir(spark)}/cauce_features_{uuid.uuid4().hex}"
+    write_table(features_a(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
+@register("schema_parity")
+def q_parity(spark, sf_dir):
+    """Expected model columns vs the columns built for scoring."""
+    pm, res = _fitted(spark, sf_dir)
+    produced = pm.prepare(scan_features(features_a(spark, sf_dir))).columns
+    return mdl.schema_parity(res["feature_names"], produced, spark)

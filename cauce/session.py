@@ -51,3 +51,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df, eager: bool = True):
+    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` (shared
+    storage on a cluster), so frames reused by several jobs are computed
+    once and survive executor loss. Never a local checkpoint."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
