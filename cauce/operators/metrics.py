@@ -48,16 +48,16 @@ def _ap_expr(P: int) -> Column:
     return F.sum(F.col("pos") * prec) / F.lit(float(P))
 
 
-def roc_auc(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
+def roc_auc(scored: DataFrame, label: str = LABEL, score: str = SCORE, ranking=None) -> DataFrame:
     """Area under the ROC curve (ties count one half); null with one class."""
-    cum, tot = cumulative(scored, label, score)
+    cum, tot = ranking or cumulative(scored, label, score)
     return cum.agg(_auc_expr(tot["pos"], tot["neg"]).cast("double").alias("roc_auc"))
 
 
-def average_precision(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
+def average_precision(scored: DataFrame, label: str = LABEL, score: str = SCORE, ranking=None) -> DataFrame:
     """Step-wise average precision, sum over thresholds of
     (recall gain) x precision; not the trapezoidal PR area."""
-    cum, tot = cumulative(scored, label, score)
+    cum, tot = ranking or cumulative(scored, label, score)
     return cum.agg(_ap_expr(tot["pos"]).cast("double").alias("avg_precision"))
 
 
@@ -89,9 +89,11 @@ def confusion_metrics(scored: DataFrame, threshold: float = 0.5, label: str = LA
     return c.select("true_positives", "false_positives", "true_negatives", "false_negatives", *_derived())
 
 
-def metrics_all(scored: DataFrame, threshold: float = 0.5, label: str = LABEL, score: str = SCORE) -> DataFrame:
-    """The ten metrics in one row."""
-    cum, tot = cumulative(scored, label, score)
+def metrics_all(scored: DataFrame, threshold: float = 0.5, label: str = LABEL, score: str = SCORE,
+                ranking=None) -> DataFrame:
+    """The ten metrics in one row. ``ranking`` (the result of
+    ``cumulative``) can be shared with the lift and curve operators."""
+    cum, tot = ranking or cumulative(scored, label, score)
     ranking = cum.agg(_auc_expr(tot["pos"], tot["neg"]).cast("double").alias("roc_auc"),
                       _ap_expr(tot["pos"]).cast("double").alias("avg_precision"))
     conf = confusion_metrics(scored, threshold, label, score)
@@ -128,25 +130,27 @@ def pr_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
 
 
 def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score: str = SCORE,
-               key: str = KEY) -> DataFrame:
+               key: str = KEY, ranking=None) -> DataFrame:
     """Share of positives among the top ``int(n*k)`` rows by score
     (ties broken by ascending key), divided by the overall positive rate.
 
     No global sort and no ``limit``: whole score groups above the cut come
     from the prefix table; only the one group straddling the cut is ranked
     by key, again with the distributed rank selection."""
-    cum, tot = cumulative(scored, label, score)
+    cum, tot = ranking or cumulative(scored, label, score)
     n, P = int(tot["cnt"]), int(tot["pos"])
     n_top = int(n * top_k)
     baseline = P / n if n else float("nan")
     pos_top = 0
     if n_top > 0:
-        head = cum.filter(F.col("cum_cnt") <= n_top).agg(F.sum("pos").alias("p")).collect()[0]["p"] or 0
-        cut = cum.filter((F.col("cum_cnt") > n_top) & (F.col("cum_cnt") - F.col("cnt") < n_top)).select(
-            "score", "cnt", "cum_cnt").collect()
-        pos_top = int(head)
-        if cut:
-            s, cnt, cc = cut[0]["score"], int(cut[0]["cnt"]), int(cut[0]["cum_cnt"])
+        straddles = (F.col("cum_cnt") > n_top) & (F.col("cum_cnt") - F.col("cnt") < n_top)
+        row = cum.agg(  # one pass: whole groups above the cut, and the group straddling it
+            F.sum(F.when(F.col("cum_cnt") <= n_top, F.col("pos"))).alias("p"),
+            F.max_by(F.struct("score", "cnt", "cum_cnt"), F.when(straddles, F.col("cum_cnt"))).alias("cut"),
+        ).collect()[0]
+        pos_top = int(row["p"] or 0)
+        if row["cut"] is not None:
+            s, cnt, cc = row["cut"]["score"], int(row["cut"]["cnt"]), int(row["cut"]["cum_cnt"])
             m = n_top - (cc - cnt)
             grp = scored.filter(F.col(score).cast("double") == F.lit(s))
             kth = exact_rank_values(grp, [key], {key: [m - 1]})[key][m - 1]

@@ -109,29 +109,23 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
                     break
     if not need:
         return {c: {} for c in cols}
-    cond = None
-    for (f, b) in need:
-        c = (F.col("feature") == f) & (F.col("_bucket") == b)
-        cond = c if cond is None else (cond | c)
-    sub = vb.filter(cond)
-    off_map = _lit_map({f"{f}\u0001{b}": o for (f, b), o in offsets.items() if (f, b) in need},
-                       "string", "bigint")
+    spark = df.sparkSession
+    # the buckets to open, with their offsets, and the ranks sought in each:
+    # at most (columns x ranks) rows, so broadcasting them is bounded
+    wanted = spark.createDataFrame([(f, b, offsets[(f, b)]) for (f, b) in need],
+                                   "feature string, _bucket int, _off bigint")
+    ranks_df = spark.createDataFrame([(f, b, r) for (f, b), rs in need.items() for r in sorted(set(rs))],
+                                     "feature string, _bucket int, _rank bigint")
+    sub = vb.join(F.broadcast(wanted), ["feature", "_bucket"])
     w = Window.partitionBy("feature", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    cum = sub.withColumn(
-        "cum", F.sum("c").over(w) + F.element_at(off_map, F.concat_ws("\u0001", "feature",
-                                                                         F.col("_bucket").cast("string"))))
+    cum = sub.withColumn("cum", F.sum("c").over(w) + F.col("_off"))
     # value at rank r = smallest value whose inclusive cumulative count exceeds r
-    aggs = []
-    keys = []
-    for (f, b), rs in need.items():
-        for r in sorted(set(rs)):
-            keys.append((f, r))
-            aggs.append(F.min(F.when((F.col("feature") == f) & (F.col("cum") > r), F.col("value")))
-                        .alias(f"r{len(keys) - 1}"))
-    row = cum.agg(*aggs).collect()[0]
+    hit = (cum.join(F.broadcast(ranks_df), ["feature", "_bucket"])
+              .filter(F.col("cum") > F.col("_rank"))
+              .groupBy("feature", "_rank").agg(F.min("value").alias("v")))
     out: dict = {c: {} for c in cols}
-    for i, (f, r) in enumerate(keys):
-        out[f][r] = row[f"r{i}"]
+    for r in hit.collect():
+        out[r["feature"]][int(r["_rank"])] = r["v"]
     return out
 
 

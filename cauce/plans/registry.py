@@ -153,12 +153,19 @@ from cauce.sources.tables import scan_features  # noqa: E402
 FD = O.FEATURE_DOUBLES
 
 
+def feature_stage(spark, sf_dir):
+    """The persisted feature table that modelling reads (the reference's
+    hand-off table): queries running several jobs over it read it once."""
+    from cauce.session import materialize
+    return materialize(features_a(spark, sf_dir))
+
+
 def scored_a(spark, sf_dir, score_col="pct_digital_historico"):
-    return scored_rows(features_a(spark, sf_dir), score_col)
+    return scored_rows(feature_stage(spark, sf_dir), score_col)
 
 
 def split_a(spark, sf_dir):
-    return spl.temporal_split(features_a(spark, sf_dir), "fecha_pedido_dt", 1)
+    return spl.temporal_split(feature_stage(spark, sf_dir), "fecha_pedido_dt", 1)
 
 
 @register("feat_except", O.rounded(O.with_ft("SELECT * EXCLUDE (ultimo_canal) FROM ft"),
@@ -189,7 +196,7 @@ def q_schema(spark, sf_dir):
 @register("describe_features", O.describe_sql())
 def q_describe(spark, sf_dir):
     """A10: exact describe of every numeric column."""
-    return prof.describe(features_a(spark, sf_dir))
+    return prof.describe(feature_stage(spark, sf_dir))
 
 
 @register("channel_counts", O.with_ft(
@@ -284,15 +291,19 @@ def q_target_encoding(spark, sf_dir):
 @register("mean_encoding", O.encoding_sql(False))
 def q_mean_encoding(spark, sf_dir):
     """Unsmoothed encoding fitted on train, applied to every customer."""
-    enc = enc_ops.TargetEncoder("pais_cd", "target", smoothing="none").fit(_train(spark, sf_dir))
-    return enc.transform(features_a(spark, sf_dir)).select("cliente_id", "pais_cd", "pais_cd_target_encoded")
+    ft = feature_stage(spark, sf_dir)
+    train = spl.temporal_split(ft).filter(F.col("split") == "train")
+    enc = enc_ops.TargetEncoder("pais_cd", "target", smoothing="none").fit(train)
+    return enc.transform(ft).select("cliente_id", "pais_cd", "pais_cd_target_encoded")
 
 
 @register("model_matrix", O.model_matrix_sql())
 def q_model_matrix(spark, sf_dir):
     """M3 + P7 + P20: numeric + one-hot (vocabulary from train), long form."""
-    ft = scan_features(features_a(spark, sf_dir))
-    vocab = enc_ops.OneHotVocabulary().fit(scan_features(_train(spark, sf_dir)), tuple(
+    full = feature_stage(spark, sf_dir)
+    ft = scan_features(full)
+    train = spl.temporal_split(full).filter(F.col("split") == "train")
+    vocab = enc_ops.OneHotVocabulary().fit(scan_features(train), tuple(
         ["ultimo_canal", *O.MATRIX_CATS]))
     mat, names, _ = enc_ops.model_matrix(ft, vocab.columns, vocab)
     wide = mat.select("cliente_id", *[F.col(c).cast("double").alias(c) for c in names])
@@ -389,7 +400,7 @@ def q_segment_lift(spark, sf_dir):
 
 
 def score_base_a(spark, sf_dir):
-    ft = features_a(spark, sf_dir)
+    ft = feature_stage(spark, sf_dir)
     base = ft.select("cliente_id", F.col("pct_digital_historico").alias("propension_digital"),
                      F.col("madurez_digital_cd").alias("madurez_digital"), "pct_digital_historico")
     return seg.segment_customers(base, "propension_digital", 10)
@@ -453,7 +464,7 @@ def _metric_cmp_sql() -> str:
 def q_metric_comparison(spark, sf_dir):
     """The maturity score (baseline) against the historical digital
     share (tuned) on the same customers."""
-    ft = features_a(spark, sf_dir)
+    ft = feature_stage(spark, sf_dir)
     base = tun.metric_row(scored_rows(ft, "madurez_digital_encoded"), "Baseline")
     tuned = tun.metric_row(scored_rows(ft, "pct_digital_historico"), "Optimizado")
     return tun.metric_comparison(base, tuned)
@@ -493,7 +504,7 @@ TEST_ITERS = 20  # boosting rounds in the registered model queries (library defa
 def _train_test_a(spark, sf_dir):
     # the feature table is the hand-off between feature build and modelling
     # (the reference persists it too): compute it once per query
-    ft = materialize(scan_features(features_a(spark, sf_dir)))
+    ft = scan_features(feature_stage(spark, sf_dir))
     return spl.train_test(ft)
 
 

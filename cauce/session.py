@@ -54,8 +54,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df, eager: bool = True):
-    """Cut lineage: reliable checkpoint into ``spark.checkpoint.dir`` (shared
-    storage on a cluster), so frames reused by several jobs are computed
-    once and survive executor loss. Never a local checkpoint."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    """Cut lineage: write the frame as a Parquet table under the shared
+    ``spark.checkpoint.dir`` and read it back. Frames reused by several jobs
+    are then computed once, survive executor loss, and later reads get
+    column pruning and filter pushdown. Never a local checkpoint."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

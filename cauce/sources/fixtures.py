@@ -47,7 +47,10 @@ def orders_transactions(spark: SparkSession, sf_dir: str, cols: Columns = COLUMN
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    materials = lines.groupBy("l_orderkey").agg(F.countDistinct("l_partkey").alias("_mat"))
+    # hash-partition once by order: the distinct count then needs no second
+    # exchange, and the join with orders reuses this partitioning
+    materials = (lines.repartition("l_orderkey").groupBy("l_orderkey")
+                      .agg(F.countDistinct("l_partkey").alias("_mat")))
     cust = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
 
     prio = F.col("o_orderpriority")
