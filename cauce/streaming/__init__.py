@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The specification has no stream source, watermark, event-time window or
+stateful operator (its only forward-looking note is periodic retraining,
+a batch job). Every operator here is a batch DataFrame operator; nothing
+streaming is built so as not to invent behaviour the reference lacks.
+"""
