@@ -68,7 +68,7 @@ def history_features(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns
     customer costs one row per input partition, not one task of all its rows."""
     df = tx.filter(F.col(cols.cliente).isNotNull())
     if cols.dias_ultimo not in df.columns:
-        df = with_positions(df, cols)
+        df = with_positions(df, cols, spec.hot_rows)
     agg = df.groupBy(cols.cliente).agg(*_history_aggs(cols, spec, None))
     return agg.select(F.col(cols.cliente), *_history_select(spec))
 
@@ -145,10 +145,10 @@ def _sequence_values() -> dict[str, Column]:
     }
 
 
-def sequence_features(tx: DataFrame, cols: Columns = COLUMNS) -> DataFrame:
+def sequence_features(tx: DataFrame, cols: Columns = COLUMNS, spec: FeatureSpec = FEATURES) -> DataFrame:
     """Last and previous channel (each the last non-null
     value), their transition and the length of the current run."""
-    x = with_positions(tx, cols)
+    x = with_positions(tx, cols, spec.hot_rows)
     agg = x.groupBy(cols.cliente).agg(*_sequence_aggs(cols, None))
     vals = _sequence_values()
     return agg.select(F.col(cols.cliente), *[vals[c].alias(c) for c in SEQUENCE_COLS])
@@ -170,7 +170,7 @@ def _categorical_aggs(cols: Columns, cond: Column | None) -> list[Column]:
 def categorical_features(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS) -> DataFrame:
     """A7 + P16: last non-null country, maturity and visit frequency (each
     column independently) and the fixed maturity score (null if unmapped)."""
-    x = with_positions(tx, cols)
+    x = with_positions(tx, cols, spec.hot_rows)
     agg = x.groupBy(cols.cliente).agg(*_categorical_aggs(cols, None))
     return agg.select(F.col(cols.cliente), F.col(cols.pais).alias("pais_cd"),
                       F.col(cols.madurez).alias("madurez_digital_cd"),
@@ -206,7 +206,7 @@ def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = C
     customer's latest order date. The reference date (N6) is the maximum
     date of the historical rows, evaluated once as a scalar subquery unless
     ``ref_date`` is given."""
-    x = with_positions(tx, cols).filter(F.col(N) >= spec.min_orders)
+    x = with_positions(tx, cols, spec.hot_rows).filter(F.col(N) >= spec.min_orders)
     hist = F.col(RN) < F.col(N)
     last = F.col(RN) == F.col(N)
     fecha_type = x.schema[cols.fecha].dataType
@@ -248,14 +248,14 @@ def feature_table_joined(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Colu
     for the equality test."""
     from cauce.operators.prepare import eligible_orders, label_last_order
 
-    x = with_positions(tx, cols)
-    hist = eligible_orders(x.drop(RN, N, LAG1, BRK), spec, cols)
+    x = with_positions(tx, cols, spec.hot_rows)
+    hist = eligible_orders(x.drop(RN, N, LAG1, BRK), spec, cols, hot_rows=spec.hot_rows)
     k = cols.cliente
     df = (history_features(hist, spec, cols)
           .join(temporal_features(hist, spec, cols), k, "left")
-          .join(sequence_features(hist, cols), k, "left")
+          .join(sequence_features(hist, cols, spec), k, "left")
           .join(categorical_features(hist, spec, cols), k, "left")
-          .join(label_last_order(tx, spec, cols).select(k, "target"), k, "left")
+          .join(label_last_order(tx, spec, cols, spec.hot_rows).select(k, "target"), k, "left")
           .join(tx.groupBy(k).agg(F.max(F.col(cols.fecha)).alias("fecha_pedido_dt")), k, "left"))
     df = df.withColumn("target", F.coalesce(F.col("target"), F.lit(0)).cast("int"))
     return _final_fill(df.select(k, *[F.col(c) for c in HISTORY_COLS + TEMPORAL_COLS + SEQUENCE_COLS

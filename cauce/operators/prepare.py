@@ -11,11 +11,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cauce.functions import elapsed_days
 from cauce.spec import COLUMNS, FEATURES, FIRST_ORDER_GAP_DAYS, Columns, FeatureSpec, check_transactions
 
 RN, N, LAG1, BRK = "_rn", "_n", "_lag1", "_brk"
+LAGDATE = "_lagdate"
+# A customer with more rows than this is split into ordered pieces so that
+# no single task runs the window over all of its orders.
+HOT_ROWS = 2_000_000
 
 
 def order_window(cols: Columns = COLUMNS):
@@ -27,48 +32,118 @@ def customer_window(cols: Columns = COLUMNS):
     return Window.partitionBy(cols.cliente)
 
 
-def _gap_expr(df: DataFrame, cols: Columns) -> Column:
+def _gap_from(prev: Column, df: DataFrame, cols: Columns) -> Column:
     dtype = df.schema[cols.fecha].dataType
-    prev = F.lag(F.col(cols.fecha), 1).over(order_window(cols))
     return F.coalesce(elapsed_days(prev, F.col(cols.fecha), dtype), F.lit(FIRST_ORDER_GAP_DAYS).cast("bigint"))
 
 
-def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS) -> DataFrame:
+def _order_key(df: DataFrame, cols: Columns) -> Column:
+    """Numeric image of the date order (nulls last) for cutting pieces."""
+    c = F.col(cols.fecha)
+    if isinstance(df.schema[cols.fecha].dataType, T.DateType):
+        k = F.unix_date(c).cast("double")
+    elif isinstance(df.schema[cols.fecha].dataType, T.TimestampNTZType):
+        k = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
+    else:
+        k = F.unix_micros(c).cast("double")
+    return F.coalesce(k, F.lit(float("inf")))
+
+
+def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int) -> Column | None:
+    """Piece id per row: 0 for ordinary customers; for a customer above
+    ``hot_rows`` rows, the index of its date range among edges taken at
+    quantiles of its own order dates (literals, so re-execution is
+    deterministic). Returns None when no customer is hot."""
+    counts = df.groupBy(cols.cliente).agg(F.count(F.lit(1)).alias("c"))  # partial aggregation
+    hot = counts.filter(F.col("c") > hot_rows).collect()                 # <= total / hot_rows rows
+    if not hot:
+        return None
+    k = max(2, max(-(-int(r["c"]) // hot_rows) for r in hot))
+    probs = [i / k for i in range(1, k)]
+    ids = [r[cols.cliente] for r in hot]
+    key = _order_key(df, cols)
+    edges = (df.filter(F.col(cols.cliente).isin(ids)).groupBy(cols.cliente)
+               .agg(F.percentile_approx(key, probs, 10000).alias("e")).collect())
+    emap = {r[cols.cliente]: sorted({float(x) for x in r["e"]}) for r in edges}
+    ktype = df.schema[cols.cliente].dataType.simpleString()
+    m = F.create_map(*[x for cid, e in emap.items() for x in (F.lit(cid), F.array(*[F.lit(v) for v in e]))]).cast(
+        f"map<{ktype},array<double>>")
+    arr = F.coalesce(F.element_at(m, F.col(cols.cliente)), F.array().cast("array<double>"))
+    return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(e < key, 1).otherwise(0))
+
+
+def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None) -> DataFrame:
+    """Adds ``_rn``, ``_n``, ``_lag1`` (previous channel) and ``_lagdate``
+    (previous date) in the (date nulls last, order id) order per customer."""
+    piece = _hot_pieces(df, cols, hot_rows) if hot_rows else None
+    if piece is None:
+        w = order_window(cols)
+        return (df.withColumn(RN, F.row_number().over(w))
+                  .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
+                  .withColumn(LAG1, F.lag(F.col(cols.canal), 1).over(w))
+                  .withColumn(LAGDATE, F.lag(F.col(cols.fecha), 1).over(w)))
+    k = cols.cliente
+    w = (Window.partitionBy(k, "_piece")
+         .orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last()))
+    x = (df.withColumn("_piece", piece)
+           .withColumn("_lrn", F.row_number().over(w))
+           .withColumn("_llag", F.lag(F.col(cols.canal), 1).over(w))
+           .withColumn("_llagdate", F.lag(F.col(cols.fecha), 1).over(w)))
+    # one row per piece: its size and last row; stitched in piece order
+    pw = Window.partitionBy(k).orderBy("_piece")
+    pieces = (x.groupBy(k, "_piece")
+               .agg(F.count(F.lit(1)).alias("_pc"),
+                    F.max_by(F.struct(F.col(cols.canal).alias("c"), F.col(cols.fecha).alias("f")),
+                             F.col("_lrn")).alias("_plast"))
+               .select(k, "_piece",
+                       F.coalesce(F.sum("_pc").over(pw.rowsBetween(Window.unboundedPreceding, -1)),
+                                  F.lit(0)).alias("_off"),
+                       F.lag("_plast").over(pw).alias("_prev"),
+                       F.sum("_pc").over(Window.partitionBy(k)).alias(N)))
+    first = F.col("_lrn") == 1
+    return (x.join(pieces, [k, "_piece"])
+             .withColumn(RN, (F.col("_lrn") + F.col("_off")).cast("int"))
+             .withColumn(LAG1, F.when(first, F.col("_prev.c")).otherwise(F.col("_llag")))
+             .withColumn(LAGDATE, F.when(first, F.col("_prev.f")).otherwise(F.col("_llagdate")))
+             .drop("_piece", "_lrn", "_llag", "_llagdate", "_off", "_prev"))
+
+
+def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Days since the customer's previous order, 600 for the first."""
     check_transactions(tx, cols)
-    return tx.withColumn(cols.dias_ultimo, _gap_expr(tx, cols))
+    x = _sequenced(tx, cols, hot_rows)
+    return x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols)).drop(RN, N, LAG1, LAGDATE)
 
 
-def with_positions(tx: DataFrame, cols: Columns = COLUMNS) -> DataFrame:
+def with_positions(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Adds row number ``_rn``, customer row count ``_n``, previous channel
     ``_lag1`` and the run-break flag ``_brk``; fills the gap column when the
-    input lacks it. Rows with a null customer are dropped (they form no group)."""
+    input lacks it. Rows with a null customer are dropped (they form no
+    group). Customers above ``hot_rows`` rows are windowed in pieces."""
     check_transactions(tx, cols)
-    w = order_window(cols)
     df = tx.filter(F.col(cols.cliente).isNotNull())
+    x = _sequenced(df, cols, hot_rows)
     if cols.dias_ultimo not in df.columns:
-        df = df.withColumn(cols.dias_ultimo, _gap_expr(df, cols))
-    lag1 = F.lag(F.col(cols.canal), 1).over(w)
-    return (df.withColumn(RN, F.row_number().over(w))
-              .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
-              .withColumn(LAG1, lag1)
-              # a null on either side is always a break (null <=> null would not be)
-              .withColumn(BRK, ~F.coalesce(lag1 == F.col(cols.canal), F.lit(False))))
+        x = x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols))
+    # a null on either side is always a break (null <=> null would not be)
+    return (x.withColumn(BRK, ~F.coalesce(F.col(LAG1) == F.col(cols.canal), F.lit(False)))
+             .drop(LAGDATE))
 
 
 def eligible_orders(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS,
-                    keep_positions: bool = False) -> DataFrame:
+                    keep_positions: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """J4 + P4: historical orders of customers with at least ``min_orders``
     orders, with each customer's last order removed."""
-    x = with_positions(tx, cols)
+    x = with_positions(tx, cols, hot_rows)
     out = x.filter((F.col(N) >= spec.min_orders) & (F.col(RN) < F.col(N)))
     return out if keep_positions else out.drop(RN, N, LAG1, BRK)
 
 
-def label_last_order(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS) -> DataFrame:
+def label_last_order(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS,
+                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """W7 + P17: the last order of each eligible customer and its binary
     target (1 when that order is digital; a null channel gives 0)."""
-    x = with_positions(tx, cols)
+    x = with_positions(tx, cols, hot_rows)
     return (x.filter((F.col(N) >= spec.min_orders) & (F.col(RN) == F.col(N)))
              .select(F.col(cols.cliente), F.col(cols.pedido), F.col(cols.fecha),
                      F.col(cols.canal).alias("canal_ultimo_pedido"),

@@ -51,6 +51,9 @@ class FeatureSpec:
     channels: tuple = CHANNELS
     digital: str = CHANNEL_DIGITAL
     maturity_scores: dict = field(default_factory=lambda: dict(MATURITY_SCORES))
+    # customers above this many orders are windowed in ordered pieces
+    # (skew guard); None disables the check
+    hot_rows: int | None = 2_000_000
 
 
 @dataclass(frozen=True)
