@@ -72,16 +72,18 @@ def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int) -> Column | None:
     return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(e < key, 1).otherwise(0))
 
 
-def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None) -> DataFrame:
+def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: bool = False):
     """Adds ``_rn``, ``_n``, ``_lag1`` (previous channel) and ``_lagdate``
-    (previous date) in the (date nulls last, order id) order per customer."""
+    (previous date) in the (date nulls last, order id) order per customer.
+    With ``keep_piece`` returns (frame with ``_piece``, split?)."""
     piece = _hot_pieces(df, cols, hot_rows) if hot_rows else None
     if piece is None:
         w = order_window(cols)
-        return (df.withColumn(RN, F.row_number().over(w))
-                  .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
-                  .withColumn(LAG1, F.lag(F.col(cols.canal), 1).over(w))
-                  .withColumn(LAGDATE, F.lag(F.col(cols.fecha), 1).over(w)))
+        out = (df.withColumn(RN, F.row_number().over(w))
+                 .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
+                 .withColumn(LAG1, F.lag(F.col(cols.canal), 1).over(w))
+                 .withColumn(LAGDATE, F.lag(F.col(cols.fecha), 1).over(w)))
+        return (out.withColumn("_piece", F.lit(0)), False) if keep_piece else out
     k = cols.cliente
     w = (Window.partitionBy(k, "_piece")
          .orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last()))
@@ -101,11 +103,29 @@ def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None) -> DataFrame:
                        F.lag("_plast").over(pw).alias("_prev"),
                        F.sum("_pc").over(Window.partitionBy(k)).alias(N)))
     first = F.col("_lrn") == 1
-    return (x.join(pieces, [k, "_piece"])
+    out = (x.join(pieces, [k, "_piece"])
              .withColumn(RN, (F.col("_lrn") + F.col("_off")).cast("int"))
              .withColumn(LAG1, F.when(first, F.col("_prev.c")).otherwise(F.col("_llag")))
              .withColumn(LAGDATE, F.when(first, F.col("_prev.f")).otherwise(F.col("_llagdate")))
-             .drop("_piece", "_lrn", "_llag", "_llagdate", "_off", "_prev"))
+             .drop("_lrn", "_llag", "_llagdate", "_off", "_prev"))
+    return (out, True) if keep_piece else out.drop("_piece")
+
+
+def _running_sum(x: DataFrame, value: Column, out: str, cols: Columns, split: bool) -> DataFrame:
+    """Running sum of ``value`` in order per customer over a frame that
+    carries ``_piece``: local sums per piece plus the totals of earlier
+    pieces (a per-piece table, bounded window) when customers were split."""
+    k = cols.cliente
+    w = (Window.partitionBy(k, "_piece")
+         .orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    y = x.withColumn("_v", value).withColumn(out, F.sum("_v").over(w))
+    if not split:
+        return y.drop("_v")
+    pw = Window.partitionBy(k).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (y.groupBy(k, "_piece").agg(F.sum("_v").alias("_t"))
+             .select(k, "_piece", F.coalesce(F.sum("_t").over(pw), F.lit(0)).alias("_o")))
+    return y.join(offs, [k, "_piece"]).withColumn(out, F.col(out) + F.col("_o")).drop("_v", "_o")
 
 
 def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -150,23 +170,43 @@ def label_last_order(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns
                      F.coalesce(F.col(cols.canal) == spec.digital, F.lit(False)).cast("int").alias("target")))
 
 
-def channel_lags(tx: DataFrame, n_lags: int = FEATURES.n_lags, cols: Columns = COLUMNS) -> DataFrame:
-    """Channel of the 1..n previous orders of the same customer."""
-    w = order_window(cols)
+def channel_lags(tx: DataFrame, n_lags: int = FEATURES.n_lags, cols: Columns = COLUMNS,
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Channel of the 1..n previous orders of the same customer. Lag 1
+    comes from the (skew-guarded) ordered frame; when customers were split,
+    lags 2..n come from one equi-join on the unique (customer, row number)
+    key, which no customer can skew."""
     df = tx.filter(F.col(cols.cliente).isNotNull())
-    lags = [F.lag(F.col(cols.canal), i).over(w).alias(f"canal_lag_{i}") for i in range(1, n_lags + 1)]
-    return df.select(F.col(cols.cliente), F.col(cols.pedido), F.col(cols.fecha), F.col(cols.canal), *lags)
-
-
-def channel_runs(tx: DataFrame, cols: Columns = COLUMNS) -> DataFrame:
+    x, split = _sequenced(df, cols, hot_rows, keep_piece=True)
+    base = [F.col(cols.cliente), F.col(cols.pedido), F.col(cols.fecha), F.col(cols.canal)]
+    if not split:
+        w = order_window(cols)
+        lags = [F.lag(F.col(cols.canal), i).over(w).alias(f"canal_lag_{i}") for i in range(1, n_lags + 1)]
+        return x.select(*base, *lags)
+    k = cols.cliente
+    rows = x.select(*base, RN, F.col(LAG1).alias("canal_lag_1"))
+    if n_lags < 2:
+        return rows.drop(RN)
+    # each row offers its channel to the rows 2..n positions later
+    offers = x.select(k, F.explode(F.array(*[F.struct(F.lit(i).alias("i"), (F.col(RN) + i).alias("_to"))
+                                             for i in range(2, n_lags + 1)])).alias("o"),
+                      F.col(cols.canal).alias("_c")).select(k, "o.i", F.col("o._to").alias(RN), "_c")
+    got = (offers.groupBy(k, RN)
+                 .agg(*[F.max(F.when(F.col("i") == i, F.col("_c"))).alias(f"canal_lag_{i}")
+                        for i in range(2, n_lags + 1)]))
+    return rows.join(got, [k, RN], "left").select(*base, *[F.col(f"canal_lag_{i}") for i in range(1, n_lags + 1)])
+
+
+def channel_runs(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Maximal runs of consecutive orders in one channel. One row per
     (customer, run) with the run's channel, first order and length; run ids
-    are the running sum of break flags. The aggregate reuses the window's
-    customer partitioning (no second shuffle)."""
-    x = with_positions(tx, cols)
-    runs = x.withColumn(
-        "grupo_racha",
-        F.sum(F.col(BRK).cast("bigint")).over(order_window(cols).rowsBetween(Window.unboundedPreceding, 0)))
+    are the running sum of break flags (stitched across pieces for split
+    customers), and the aggregate is keyed by (customer, run), so a hot
+    customer's runs spread over many tasks."""
+    df = tx.filter(F.col(cols.cliente).isNotNull())
+    x, split = _sequenced(df, cols, hot_rows, keep_piece=True)
+    brk = ~F.coalesce(F.col(LAG1) == F.col(cols.canal), F.lit(False))
+    runs = _running_sum(x, brk.cast("bigint"), "grupo_racha", cols, split)
     return (runs.groupBy(cols.cliente, "grupo_racha")
                 .agg(F.min_by(F.col(cols.canal), F.col(RN)).alias(cols.canal),
                      F.min_by(F.col(cols.pedido), F.col(RN)).alias("primer_pedido_id"),

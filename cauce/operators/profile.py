@@ -125,7 +125,8 @@ def distinct_count(df: DataFrame, col: str, name: str = "n_distintos", approx: b
     return df.agg(f.alias(name))
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None,
+              max_broadcast_groups: int = 100_000) -> DataFrame:
     """Equal-width histogram between the min and max of the column
     (per group when ``by`` is given); the last bin is closed; a constant
     column uses the range [v - 0.5, v + 0.5]. Only non-empty bins are
@@ -139,7 +140,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None) ->
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
     if by:
-        j = src.join(F.broadcast(rng), by)  # one row per group: bounded by the number of groups
+        # one row per group; broadcast only after checking the group count
+        small = rng.limit(max_broadcast_groups + 1).count() <= max_broadcast_groups
+        j = src.join(F.broadcast(rng) if small else rng, by)
     else:
         j = src.select("*", rng.select("_lo").scalar().alias("_lo"), rng.select("_hi").scalar().alias("_hi"))
     b = F.least(F.floor((x - F.col("_lo")) * bins / (F.col("_hi") - F.col("_lo"))).cast("int"), F.lit(bins - 1))

@@ -33,3 +33,10 @@ def test_pieces_really_split(spark):
     piece = prepare._hot_pieces(tx.filter(F.col("cliente_id").isNotNull()), prepare.COLUMNS, 3)
     n = tx.select(piece.alias("p")).agg(F.max("p")).first()[0]
     assert n >= 1
+
+
+@pytest.mark.parametrize("adapter", [orders_transactions, events_transactions])
+def test_lags_and_runs_pieces_match(spark, adapter):
+    tx = adapter(spark, SF001)
+    assert _rows(prepare.channel_lags(tx, 3, hot_rows=None)) == _rows(prepare.channel_lags(tx, 3, hot_rows=3))
+    assert _rows(prepare.channel_runs(tx, hot_rows=None)) == _rows(prepare.channel_runs(tx, hot_rows=3))
