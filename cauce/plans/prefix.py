@@ -6,9 +6,10 @@ partition would move every row into one task, so instead:
 
 1. collapse equal keys first (``groupBy(key).count()``: partial
    aggregation, so a hot value costs one row per input partition);
-2. cut the key range into buckets at approximate quantiles of the
-   *distinct* keys (bucket sizes balance even if one key holds a third
-   of the rows, because that key is one row after step 1);
+2. cut the key range into buckets at approximate quantiles (literal
+   edges; binary search by ``Bucketizer``). A bucket holds at most about
+   n/buckets rows, hence at most that many distinct keys; a key holding a
+   third of the rows collapses adjacent edges but is one row after step 1;
 3. bucket totals are tiny (<= n_buckets rows): they are collected and the
    exclusive running totals computed on the driver (bounded state);
 4. positions inside a bucket come from a window partitioned by bucket,
@@ -44,30 +45,23 @@ def _lit_map(d: dict, key_type: str, value_type: str) -> Column:
         f"map<{key_type},{value_type}>")
 
 
-def _edges_by_group(vc: DataFrame, group: str, key: str, n_buckets: int) -> dict:
-    """Approximate quantile edges of the distinct keys, per group (small)."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:
-        return {}
-    rows = vc.groupBy(group).agg(
-        F.percentile_approx(F.col(key), probs, 10000).alias("e")).collect()
-    out = {}
-    for r in rows:
-        e = sorted({float(x) for x in (r["e"] or []) if x is not None and not math.isnan(x)})
-        out[r[group]] = e
-    return out
-
+def _clean_edges(vals) -> list[float]:
+    return sorted({float(x) for x in (vals or []) if x is not None and math.isfinite(x)})
 
-def _bucket_expr(edges_col: Column, key: Column) -> Column:
-    """Number of edges strictly below the key: monotone in the key, so each
-    bucket is a contiguous key range."""
-    return F.aggregate(edges_col, F.lit(0), lambda acc, e: acc + F.when(e < key, 1).otherwise(0))
 
-
-def _with_buckets(vc: DataFrame, group: str, key: str, edges: dict, group_type: str) -> DataFrame:
-    emap = _lit_map({g: e for g, e in edges.items()}, group_type, "array<double>")
-    arr = F.coalesce(F.element_at(emap, F.col(group)), F.array().cast("array<double>"))
-    return vc.withColumn("_bucket", _bucket_expr(arr, F.col(key).cast("double")))
+def _bucketize(df: DataFrame, cols: list[str], edges: dict, prefix: str = "_b_") -> DataFrame:
+    """Bucket index per column by binary search over literal edges (Spark
+    ML ``Bucketizer``: compiled JVM code, no per-row lambdas). Buckets are
+    contiguous value ranges; null/NaN inputs get their own bucket."""
+    from pyspark.ml.feature import Bucketizer
+    inf = float("inf")
+    tmp = [f"_bz_in_{i}" for i in range(len(cols))]
+    x = df
+    for t, c in zip(tmp, cols):
+        x = x.withColumn(t, F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))))
+    b = Bucketizer(splitsArray=[[-inf] + edges[c] + [inf] for c in cols], inputCols=tmp,
+                   outputCols=[f"{prefix}{i}" for i in range(len(cols))], handleInvalid="keep")
+    return b.transform(x).drop(*tmp)
 
 
 # --------------------------------------------------------------------------
@@ -75,18 +69,24 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
     """Exact value at given 0-based ascending ranks of each column.
 
     ``ranks`` maps column -> list of ranks (ints). Nulls and NaN are
-    skipped. Returns {column: {rank: value}}. Runs a fixed number of jobs
-    regardless of the number of columns (unpivot + one value-count shuffle).
+    skipped. Returns {column: {rank: value}}. A fixed number of jobs
+    regardless of the number of columns: one pass for approximate edges,
+    one value-count shuffle of the unpivoted, bucketed values, one pass
+    over the (few) buckets holding the requested ranks.
     """
     nb = n_buckets or default_buckets(df)
+    probs = [i / nb for i in range(1, nb)]
+    erow = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), probs, 10000).alias(f"e{i}")
+                    for i, c in enumerate(cols)]).collect()[0]
+    edges = {c: _clean_edges(erow[f"e{i}"]) for i, c in enumerate(cols)}
+    bz = _bucketize(df.select(*[F.col(f"`{c}`") for c in cols]), cols, edges)
     stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value")) for c in cols]))
-    long = df.select(stack.alias("_kv")).select("_kv.feature", "_kv.value").filter(
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value"),
+                 F.col(f"_b_{i}").cast("int").alias("_bucket")) for i, c in enumerate(cols)]))
+    long = bz.select(stack.alias("_kv")).select("_kv.*").filter(
         F.col("value").isNotNull() & ~F.isnan(F.col("value")))
-    # reused by three jobs below: computed once (it is at most one row per distinct value)
-    vc = materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
-    edges = _edges_by_group(vc, "feature", "value", nb)
-    vb = _with_buckets(vc, "feature", "value", edges, "string")
+    # reused by two jobs below: computed once (at most one row per distinct value)
+    vb = materialize(long.groupBy("feature", "_bucket", "value").agg(F.count(F.lit(1)).alias("c")))
     totals = vb.groupBy("feature", "_bucket").agg(F.sum("c").alias("c")).collect()
     by_feat: dict = {}
     for r in totals:
@@ -176,10 +176,8 @@ def prefix_sums(df: DataFrame, key: str, sums: list[str], descending: bool = Fal
     if checkpoint:  # the frame feeds three passes; compute it once
         df = materialize(df)
     probs = [i / nb for i in range(1, nb)]
-    e = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).collect()[0]["e"] or []
-    edges = sorted({float(x) for x in e if x is not None and not math.isnan(x)})
-    arr = F.array(*[F.lit(x) for x in edges]).cast("array<double>") if edges else F.array().cast("array<double>")
-    b = df.withColumn("_bucket", _bucket_expr(arr, F.col(key).cast("double")))
+    e = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).collect()[0]["e"]
+    b = _bucketize(df, [key], {key: _clean_edges(e)}).withColumn("_bucket", F.col("_b_0").cast("int")).drop("_b_0")
     tot_rows = b.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in sums]).collect()
     tot_rows = sorted(tot_rows, key=lambda r: r["_bucket"], reverse=descending)
     totals = {c: 0 for c in sums}
