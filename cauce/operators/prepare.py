@@ -128,6 +128,23 @@ def _running_sum(x: DataFrame, value: Column, out: str, cols: Columns, split: bo
     return y.join(offs, [k, "_piece"]).withColumn(out, F.col(out) + F.col("_o")).drop("_v", "_o")
 
 
+def conform_transactions(tx: DataFrame, cols: Columns = COLUMNS, date_format: str | None = None) -> DataFrame:
+    """Parse a string order date (``to_timestamp``; under ANSI mode a
+    malformed value raises, as the specification's parser does) and bring
+    decimal billing/material columns to DOUBLE/BIGINT."""
+    fields = {f.name: f.dataType for f in tx.schema.fields}
+    out = tx
+    if isinstance(fields.get(cols.fecha), T.StringType):
+        f = F.col(cols.fecha)
+        out = out.withColumn(cols.fecha, (F.to_timestamp(f, date_format) if date_format else F.to_timestamp(f))
+                             .cast("timestamp_ntz"))
+    if isinstance(fields.get(cols.facturacion), (T.DecimalType, T.FloatType, T.IntegralType)):
+        out = out.withColumn(cols.facturacion, F.col(cols.facturacion).cast("double"))
+    if isinstance(fields.get(cols.materiales), (T.DecimalType, T.FloatType, T.DoubleType)):
+        out = out.withColumn(cols.materiales, F.col(cols.materiales).cast("double"))
+    return out
+
+
 def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Days since the customer's previous order, 600 for the first."""
     check_transactions(tx, cols)

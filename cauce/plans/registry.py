@@ -585,13 +585,16 @@ def q_pipeline(spark, sf_dir):
 @register("score_new_customers")
 def q_score_new(spark, sf_dir):
     """M9 + M10 + S5 + S10: persist the fitted model, reload it, score every
-    customer and decile them."""
+    customer, decile them, write the scored table and read it back."""
     import uuid
     pm, _ = _fitted(spark, sf_dir)
     path = f"{checkpoint_dir(spark)}/cauce_model_{uuid.uuid4().hex}"
     pm.save(path)
     loaded = mdl.PropensityModel.load(spark, path)
-    return mdl.score_customers(loaded, scan_features(features_a(spark, sf_dir)))
+    scores = mdl.score_customers(loaded, scan_features(feature_stage(spark, sf_dir)))
+    out = f"{checkpoint_dir(spark)}/cauce_scores_{uuid.uuid4().hex}"
+    write_table(scores, out)
+    return spark.read.parquet(out)
 
 
 @register("run_log")

@@ -195,3 +195,14 @@ def test_timestamp_elapsed_days(spark):
     assert t["dias_desde_ultimo_digital"] == 2  # 2 days 1.5 h -> 2 (floor), N11
     gaps = [r[0] for r in prepare.with_order_gap(df).orderBy("pedido_id").select("dias_desde_ultimo_pedido").collect()]
     assert gaps == [600, 0, 1]
+
+
+def test_string_dates_are_parsed_and_bad_ones_raise(spark):
+    df = spark.createDataFrame([(1, 1, "2024-01-02 10:00:00", "DIGITAL", 1.0)],
+                               "cliente_id bigint, pedido_id bigint, fecha_pedido_dt string, "
+                               "canal_pedido_cd string, facturacion_usd_val double")
+    c = prepare.conform_transactions(df)
+    assert dict(c.dtypes)["fecha_pedido_dt"] == "timestamp_ntz"
+    bad = spark.createDataFrame([(1, 1, "not a date", "DIGITAL", 1.0)], df.schema)
+    with pytest.raises(Exception):
+        prepare.conform_transactions(bad).collect()
