@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.functions import ratio
@@ -129,8 +129,11 @@ def pr_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
     return pts.unionByName(end)
 
 
+WINDOW_GROUP_ROWS = 1_000_000  # a tied group this small is ranked by one window task
+
+
 def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score: str = SCORE,
-               key: str = KEY, ranking=None) -> DataFrame:
+               key: str = KEY, ranking=None, window_group_rows: int = WINDOW_GROUP_ROWS) -> DataFrame:
     """Share of positives among the top ``int(n*k)`` rows by score
     (ties broken by ascending key), divided by the overall positive rate.
 
@@ -153,9 +156,15 @@ def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score
             s, cnt, cc = row["cut"]["score"], int(row["cut"]["cnt"]), int(row["cut"]["cum_cnt"])
             m = n_top - (cc - cnt)
             grp = scored.filter(F.col(score).cast("double") == F.lit(s))
-            kth = exact_rank_values(grp, [key], {key: [m - 1]})[key][m - 1]
-            part = grp.filter(F.col(key).cast("double") <= F.lit(kth)).agg(
-                F.sum(F.col(label).cast("bigint")).alias("p")).collect()[0]["p"] or 0
+            if cnt <= window_group_rows:
+                # size checked above (the prefix table's count): one bounded window task
+                w = Window.partitionBy(F.col(score)).orderBy(F.col(key).asc())
+                part = (grp.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
+                           .agg(F.sum(F.col(label).cast("bigint")).alias("p")).collect()[0]["p"] or 0)
+            else:
+                kth = exact_rank_values(grp, [key], {key: [m - 1]})[key][m - 1]
+                part = grp.filter(F.col(key).cast("double") <= F.lit(kth)).agg(
+                    F.sum(F.col(label).cast("bigint")).alias("p")).collect()[0]["p"] or 0
             pos_top += int(part)
     prec = pos_top / n_top if n_top > 0 else None
     lift = (prec / baseline if baseline > 0 else 0.0) if prec is not None else None

@@ -162,7 +162,9 @@ def feature_stage(spark, sf_dir):
 
 
 def scored_a(spark, sf_dir, score_col="pct_digital_historico"):
-    return scored_rows(feature_stage(spark, sf_dir), score_col)
+    """Fixture C, staged: only (customer, label, score) is written."""
+    from cauce.session import materialize
+    return materialize(scored_rows(features_a(spark, sf_dir), score_col))
 
 
 def split_a(spark, sf_dir):

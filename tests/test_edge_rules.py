@@ -147,9 +147,10 @@ def test_lift_rules(spark):
     tiny = scored(spark, [0.1, 0.9, 0.5], [0, 1, 0])
     assert met.lift_score(tiny, 0.2).first()["lift_score"] is None  # N23: n_top = 0
     df = scored(spark, [0.9, 0.9, 0.9, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7], [0, 1, 1, 0, 0, 0, 0, 1, 0, 0])
-    r = met.lift_score(df, 0.2).first()  # top 2 rows: ids 0, 1 (ties by id)
-    assert r["n_top"] == 2 and r["precision_top_k"] == pytest.approx(0.5)
-    assert r["lift_score"] == pytest.approx(0.5 / 0.3)
+    for bound in (10**6, 0):  # window fast path and distributed rank selection
+        r = met.lift_score(df, 0.2, window_group_rows=bound).first()  # top 2 rows: ids 0, 1 (ties by id)
+        assert r["n_top"] == 2 and r["precision_top_k"] == pytest.approx(0.5)
+        assert r["lift_score"] == pytest.approx(0.5 / 0.3)
 
 
 def test_segments(spark):
