@@ -11,8 +11,11 @@ Window stage, one HashAggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as _dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cauce.functions import elapsed_days, last_non_null, minus_days, ratio
 from cauce.operators.prepare import BRK, LAG1, N, RN, with_positions
@@ -105,6 +108,43 @@ def _temporal_values(ref: Column, fecha_type) -> dict[str, Column]:
     }
 
 
+def _as_literal(value, dtype) -> Column:
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.lit(value)
+    return F.lit(value.isoformat(sep=" ")).cast(dtype)
+
+
+def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span_days: int = 31):
+    """N6 for the feature table: the latest date among historical orders
+    (every order but each customer's last, customers with >= 2 orders),
+    without windowing all orders. With G the overall latest date, only
+    orders dated >= G - span (and undated ones, which sort last) can
+    decide it: a historical order in that slice has its customer's last
+    order in the slice too, and positions inside the slice equal the
+    positions overall. So the slice's own historical maximum is exact; if
+    the slice holds none, the span grows. The slice is a pushed-down date
+    filter, so only recent row groups are read."""
+    df = tx.filter(F.col(cols.cliente).isNotNull()).select(cols.cliente, cols.fecha, cols.pedido)
+    g, lo = df.agg(F.max(cols.fecha), F.min(cols.fecha)).collect()[0]
+    if g is None:
+        return None
+    span = first_span_days
+    while True:
+        d0 = g - _dt.timedelta(days=span)
+        dtype = df.schema[cols.fecha].dataType
+        recent = df.filter(F.col(cols.fecha).isNull() | (F.col(cols.fecha) >= _as_literal(d0, dtype)))
+        w = Window.partitionBy(cols.cliente).orderBy(F.col(cols.fecha).asc_nulls_last(),
+                                                     F.col(cols.pedido).asc_nulls_last())
+        r = (recent.withColumn("_rn", F.row_number().over(w))
+                   .withColumn("_nr", F.count(F.lit(1)).over(Window.partitionBy(cols.cliente))))
+        cand = r.filter(F.col("_rn") < F.col("_nr")).agg(F.max(cols.fecha)).collect()[0][0]
+        if cand is not None or d0 <= lo:
+            return cand
+        span *= 4
+
+
 def reference_date(tx: DataFrame, cols: Columns = COLUMNS) -> Column:
     """The frame's maximum order date as a lazy scalar subquery."""
     return tx.agg(F.max(F.col(cols.fecha)).alias("_ref")).scalar()
@@ -204,16 +244,18 @@ def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = C
     """M15 fused: customers with >= ``min_orders`` orders; features over all
     but the last order; target from the last order; ``fecha_pedido_dt`` the
     customer's latest order date. The reference date (N6) is the maximum
-    date of the historical rows, evaluated once as a scalar subquery unless
-    ``ref_date`` is given."""
+    date of the historical rows, found from a recent date slice
+    (``historical_reference_date``) unless ``ref_date`` is given."""
     x = with_positions(tx, cols, spec.hot_rows).filter(F.col(N) >= spec.min_orders)
     hist = F.col(RN) < F.col(N)
     last = F.col(RN) == F.col(N)
     fecha_type = x.schema[cols.fecha].dataType
-    if ref_date is None:
+    if ref_date is not None:
+        ref = _as_literal(ref_date, fecha_type) if not isinstance(ref_date, str) else F.lit(ref_date).cast(fecha_type)
+    elif spec.min_orders <= 2:
+        ref = _as_literal(historical_reference_date(tx, cols), fecha_type)
+    else:  # eligibility needs full counts: scalar subquery over the windowed orders
         ref = x.filter(hist).agg(F.max(F.col(cols.fecha))).scalar()
-    else:
-        ref = F.lit(ref_date).cast(fecha_type)
 
     agg = x.groupBy(cols.cliente).agg(
         *_history_aggs(cols, spec, hist),

@@ -83,3 +83,18 @@ def test_prefix_sums_match_cumsum(spark):
     cs = np.cumsum(vals[order])
     assert tot["v"] == int(vals.sum())
     assert all(got[keys[i]] == c for i, c in zip(order, cs))
+
+
+def test_reference_date_from_recent_slice(spark):
+    from cauce.operators import prepare
+    from cauce.sources.fixtures import events_transactions
+    for tx in (tx_a(spark, SF001), events_transactions(spark, SF001)):
+        full = prepare.eligible_orders(tx).agg(F.max("fecha_pedido_dt")).first()[0]
+        assert feat.historical_reference_date(tx) == full
+    import datetime as dt
+    # the latest month holds only last orders: the slice must widen
+    rows = [(1, 1, dt.date(2023, 1, 1), "DIGITAL"), (1, 2, dt.date(2024, 6, 1), "DIGITAL"),
+            (2, 3, dt.date(2023, 5, 1), "DIGITAL"), (2, 4, dt.date(2023, 6, 1), "TELEFONO"),
+            (2, 5, dt.date(2024, 6, 20), "DIGITAL"), (3, 6, None, "DIGITAL"), (3, 7, dt.date(2022, 1, 1), "DIGITAL")]
+    df = spark.createDataFrame(rows, "cliente_id bigint, pedido_id bigint, fecha_pedido_dt date, canal_pedido_cd string")
+    assert feat.historical_reference_date(df) == dt.date(2023, 6, 1)
