@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cauce.functions import elapsed_days, last_non_null, minus_days, ratio
-from cauce.operators.prepare import BRK, LAG1, N, RN, with_positions
+from cauce.operators.prepare import BRK, LAG1, N, RN, customer_profile, with_positions
 from cauce.spec import (
     CATEGORICAL_COLS, COLUMNS, FEATURES, HISTORY_COLS, NEVER_DIGITAL_DAYS, SEQUENCE_COLS,
     TEMPORAL_COLS, TRANSITION_SEP, UNKNOWN, Columns, FeatureSpec,
@@ -116,7 +116,8 @@ def _as_literal(value, dtype) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast(dtype)
 
 
-def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span_days: int = 31):
+def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span_days: int = 31,
+                              profile: dict | None = None):
     """N6 for the feature table: the latest date among historical orders
     (every order but each customer's last, customers with >= 2 orders),
     without windowing all orders. With G the overall latest date, only
@@ -127,7 +128,10 @@ def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span
     the slice holds none, the span grows. The slice is a pushed-down date
     filter, so only recent row groups are read."""
     df = tx.filter(F.col(cols.cliente).isNotNull()).select(cols.cliente, cols.fecha, cols.pedido)
-    g, lo = df.agg(F.max(cols.fecha), F.min(cols.fecha)).collect()[0]
+    if profile is not None:
+        g, lo = profile["gmax"], profile["gmin"]
+    else:
+        g, lo = df.agg(F.max(cols.fecha), F.min(cols.fecha)).collect()[0]
     if g is None:
         return None
     span = first_span_days
@@ -246,14 +250,15 @@ def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = C
     customer's latest order date. The reference date (N6) is the maximum
     date of the historical rows, found from a recent date slice
     (``historical_reference_date``) unless ``ref_date`` is given."""
-    x = with_positions(tx, cols, spec.hot_rows).filter(F.col(N) >= spec.min_orders)
+    profile = customer_profile(tx, cols, spec.hot_rows)  # one pass: hot customers + date bounds
+    x = with_positions(tx, cols, spec.hot_rows, profile).filter(F.col(N) >= spec.min_orders)
     hist = F.col(RN) < F.col(N)
     last = F.col(RN) == F.col(N)
     fecha_type = x.schema[cols.fecha].dataType
     if ref_date is not None:
         ref = _as_literal(ref_date, fecha_type) if not isinstance(ref_date, str) else F.lit(ref_date).cast(fecha_type)
     elif spec.min_orders <= 2:
-        ref = _as_literal(historical_reference_date(tx, cols), fecha_type)
+        ref = _as_literal(historical_reference_date(tx, cols, profile=profile), fecha_type)
     else:  # eligibility needs full counts: scalar subquery over the windowed orders
         ref = x.filter(hist).agg(F.max(F.col(cols.fecha))).scalar()
 

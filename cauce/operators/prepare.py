@@ -49,13 +49,28 @@ def _order_key(df: DataFrame, cols: Columns) -> Column:
     return F.coalesce(k, F.lit(float("inf")))
 
 
-def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int) -> Column | None:
+def customer_profile(df: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> dict:
+    """One pass over (customer, date): the hot customers (more than
+    ``hot_rows`` orders; at most total / hot_rows of them) and the global
+    date bounds. Partial aggregation per customer, then a one-row
+    aggregate; the hot list is bounded, so gathering it is safe."""
+    per = (df.filter(F.col(cols.cliente).isNotNull()).groupBy(cols.cliente)
+             .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn")))
+    limit = hot_rows if hot_rows else (1 << 62)
+    row = per.agg(F.max("mx").alias("gmax"), F.min("mn").alias("gmin"),
+                  F.collect_list(F.when(F.col("c") > limit, F.struct(F.col(cols.cliente).alias("k"),
+                                                                    F.col("c").alias("c")))).alias("hot")
+                  ).collect()[0]
+    return {"gmax": row["gmax"], "gmin": row["gmin"], "hot": [(h["k"], int(h["c"])) for h in row["hot"]]}
+
+
+def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | None = None) -> Column | None:
     """Piece id per row: 0 for ordinary customers; for a customer above
     ``hot_rows`` rows, the index of its date range among edges taken at
     quantiles of its own order dates (literals, so re-execution is
     deterministic). Returns None when no customer is hot."""
-    counts = df.groupBy(cols.cliente).agg(F.count(F.lit(1)).alias("c"))  # partial aggregation
-    hot = counts.filter(F.col("c") > hot_rows).collect()                 # <= total / hot_rows rows
+    prof = profile if profile is not None else customer_profile(df, cols, hot_rows)
+    hot = [{cols.cliente: k, "c": c} for k, c in prof["hot"] if c > hot_rows]
     if not hot:
         return None
     k = max(2, max(-(-int(r["c"]) // hot_rows) for r in hot))
@@ -72,11 +87,12 @@ def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int) -> Column | None:
     return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(e < key, 1).otherwise(0))
 
 
-def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: bool = False):
+def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: bool = False,
+               profile: dict | None = None):
     """Adds ``_rn``, ``_n``, ``_lag1`` (previous channel) and ``_lagdate``
     (previous date) in the (date nulls last, order id) order per customer.
     With ``keep_piece`` returns (frame with ``_piece``, split?)."""
-    piece = _hot_pieces(df, cols, hot_rows) if hot_rows else None
+    piece = _hot_pieces(df, cols, hot_rows, profile) if hot_rows else None
     if piece is None:
         w = order_window(cols)
         out = (df.withColumn(RN, F.row_number().over(w))
@@ -152,14 +168,15 @@ def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None
     return x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols)).drop(RN, N, LAG1, LAGDATE)
 
 
-def with_positions(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def with_positions(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS,
+                   profile: dict | None = None) -> DataFrame:
     """Adds row number ``_rn``, customer row count ``_n``, previous channel
     ``_lag1`` and the run-break flag ``_brk``; fills the gap column when the
     input lacks it. Rows with a null customer are dropped (they form no
     group). Customers above ``hot_rows`` rows are windowed in pieces."""
     check_transactions(tx, cols)
     df = tx.filter(F.col(cols.cliente).isNotNull())
-    x = _sequenced(df, cols, hot_rows)
+    x = _sequenced(df, cols, hot_rows, profile=profile)
     if cols.dias_ultimo not in df.columns:
         x = x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols))
     # a null on either side is always a break (null <=> null would not be)
