@@ -37,11 +37,19 @@ def _gap_from(prev: Column, df: DataFrame, cols: Columns) -> Column:
     return F.coalesce(elapsed_days(prev, F.col(cols.fecha), dtype), F.lit(FIRST_ORDER_GAP_DAYS).cast("bigint"))
 
 
-def _order_key(df: DataFrame, cols: Columns) -> Column:
-    """Numeric image of the date order (nulls last) for cutting pieces."""
+def _order_key(df: DataFrame, cols: Columns, profile: dict | None = None) -> Column:
+    """Numeric image of the (date nulls last, order id) order for cutting
+    pieces. For dates the order id adds a fraction in [0, 1], so one busy
+    day can be cut too; rounding keeps the key non-decreasing in the order,
+    so pieces stay contiguous (only their balance depends on precision)."""
     c = F.col(cols.fecha)
     if isinstance(df.schema[cols.fecha].dataType, T.DateType):
         k = F.unix_date(c).cast("double")
+        pmin, pmax = (profile or {}).get("pmin"), (profile or {}).get("pmax")
+        if pmin is not None and pmax is not None:
+            span = float(pmax) - float(pmin) + 1.0
+            frac = F.coalesce((F.col(cols.pedido).cast("double") - F.lit(float(pmin))) / F.lit(span), F.lit(1.0))
+            k = k + frac
     elif isinstance(df.schema[cols.fecha].dataType, T.TimestampNTZType):
         k = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
     else:
@@ -54,14 +62,19 @@ def customer_profile(df: DataFrame, cols: Columns = COLUMNS, hot_rows: int | Non
     ``hot_rows`` orders; at most total / hot_rows of them) and the global
     date bounds. Partial aggregation per customer, then a one-row
     aggregate; the hot list is bounded, so gathering it is safe."""
+    numeric_id = isinstance(df.schema[cols.pedido].dataType, T.NumericType)
+    pid = F.col(cols.pedido) if numeric_id else F.lit(None).cast("bigint")
     per = (df.filter(F.col(cols.cliente).isNotNull()).groupBy(cols.cliente)
-             .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn")))
+             .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn"),
+                  F.max(pid).alias("pmx"), F.min(pid).alias("pmn")))
     limit = hot_rows if hot_rows else (1 << 62)
     row = per.agg(F.max("mx").alias("gmax"), F.min("mn").alias("gmin"),
+                  F.max("pmx").alias("pmax"), F.min("pmn").alias("pmin"),
                   F.collect_list(F.when(F.col("c") > limit, F.struct(F.col(cols.cliente).alias("k"),
                                                                     F.col("c").alias("c")))).alias("hot")
                   ).collect()[0]
-    return {"gmax": row["gmax"], "gmin": row["gmin"], "hot": [(h["k"], int(h["c"])) for h in row["hot"]]}
+    return {"gmax": row["gmax"], "gmin": row["gmin"], "pmax": row["pmax"], "pmin": row["pmin"],
+            "hot": [(h["k"], int(h["c"])) for h in row["hot"]]}
 
 
 def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | None = None) -> Column | None:
@@ -76,7 +89,7 @@ def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | Non
     k = max(2, max(-(-int(r["c"]) // hot_rows) for r in hot))
     probs = [i / k for i in range(1, k)]
     ids = [r[cols.cliente] for r in hot]
-    key = _order_key(df, cols)
+    key = _order_key(df, cols, prof)
     edges = (df.filter(F.col(cols.cliente).isin(ids)).groupBy(cols.cliente)
                .agg(F.percentile_approx(key, probs, 10000).alias("e")).collect())
     emap = {r[cols.cliente]: sorted({float(x) for x in r["e"]}) for r in edges}

@@ -40,3 +40,24 @@ def test_lags_and_runs_pieces_match(spark, adapter):
     tx = adapter(spark, SF001)
     assert _rows(prepare.channel_lags(tx, 3, hot_rows=None)) == _rows(prepare.channel_lags(tx, 3, hot_rows=3))
     assert _rows(prepare.channel_runs(tx, hot_rows=None)) == _rows(prepare.channel_runs(tx, hot_rows=3))
+
+
+def test_busy_day_is_cut(spark):
+    import datetime as dt
+    rows = [(7, i, dt.date(2024, 1, 1 + (i >= 40)), ["DIGITAL", "TELEFONO", None][i % 3], float(i))
+            for i in range(60)] + [(8, 100, dt.date(2024, 1, 1), "DIGITAL", 1.0), (8, 101, None, "VENDEDOR", 2.0)]
+    tx = (spark.createDataFrame(rows, "cliente_id bigint, pedido_id bigint, fecha_pedido_dt date, "
+                                      "canal_pedido_cd string, facturacion_usd_val double")
+            .withColumn("materiales_distintos_val", (F.col("pedido_id") % 4).cast("bigint"))
+            .withColumn("pais_cd", F.lit("PE"))
+            .withColumn("madurez_digital_cd", F.when(F.col("pedido_id") % 5 == 0, F.lit("ALTA")))
+            .withColumn("frecuencia_visitas_cd", F.lit("S")))
+    piece = prepare._hot_pieces(tx, prepare.COLUMNS, 10)
+    day1 = tx.filter((F.col("cliente_id") == 7) & (F.col("fecha_pedido_dt") == dt.date(2024, 1, 1)))
+    assert day1.select(piece.alias("p")).distinct().count() > 1  # one day, several pieces
+    cols = ["pedido_id", "_rn", "_n", "_lag1", "_brk", "dias_desde_ultimo_pedido"]
+    assert _rows(prepare.with_positions(tx, hot_rows=None).select(*cols)) == \
+        _rows(prepare.with_positions(tx, hot_rows=10).select(*cols))
+    assert _rows(feat.feature_table(tx, FeatureSpec(hot_rows=None))) == \
+        _rows(feat.feature_table(tx, FeatureSpec(hot_rows=10)))
+    assert _rows(prepare.channel_runs(tx, hot_rows=None)) == _rows(prepare.channel_runs(tx, hot_rows=10))
