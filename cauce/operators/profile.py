@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cauce.plans.prefix import exact_quantiles
+from cauce.session import materialize
 
 
 def _numeric(df: DataFrame, exclude=()) -> list[str]:
@@ -45,7 +46,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     and max per numeric column, in long form (one row per column)."""
     cols = cols or _numeric(df)
     base = df.agg(*[x for c in cols for x in (
-        F.count(F.col(f"`{c}`")).alias(f"{c}__count"),
+        F.count(F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`"))).alias(f"{c}__count"),
         F.avg(F.col(f"`{c}`").cast("double")).alias(f"{c}__mean"),
         F.stddev_samp(F.col(f"`{c}`").cast("double")).alias(f"{c}__std"),
         F.min(F.col(f"`{c}`").cast("double")).alias(f"{c}__min"),
@@ -55,7 +56,9 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     if approx:
         q = {c: [F.col(f"{c}__q")[i] for i in range(3)] for c in cols}
     else:
-        exact = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        base = materialize(base)  # one row; its counts also size the rank selection
+        row = base.collect()[0]
+        exact = exact_quantiles(df, cols, [0.25, 0.5, 0.75], counts={c: row[f"{c}__count"] for c in cols})
         q = {c: [F.lit(v).cast("double") for v in exact[c]] for c in cols}
     rows = F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"{c}__count").alias("count"),

@@ -130,14 +130,15 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    n_buckets: int | None = None) -> dict:
+                    n_buckets: int | None = None, counts: dict | None = None) -> dict:
     """Exact quantiles with linear interpolation between order statistics
     (the default of pandas/numpy and of DuckDB ``quantile_cont``). The
     fractional position (n - 1) * p is taken in double precision, as those
     implementations do, so edges agree bit for bit where it matters.
     Returns {column: [q(p) for p in probs]} (None for empty columns)."""
-    counts = df.agg(*[F.count(F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`"))).alias(c)
-                      for c in cols]).collect()[0]
+    if counts is None:  # non-null, non-NaN values per column
+        counts = df.agg(*[F.count(F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`"))).alias(c)
+                          for c in cols]).collect()[0].asDict()
     ranks: dict = {}
     pos: dict = {}
     for c in cols:
