@@ -23,8 +23,8 @@ def ship(spark: SparkSession) -> None:
     on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
     if app in _SHIPPED or root in on_path or not os.path.isdir(os.path.join(root, "cauce")):
         return
-    with tempfile.TemporaryDirectory() as d:
-        spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(d, "cauce"), "zip", root, "cauce"))
+    d = tempfile.mkdtemp(prefix="cauce-code-")  # read by the driver's file server until the session ends
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(d, "cauce"), "zip", root, "cauce"))
     _SHIPPED.add(app)
 
 

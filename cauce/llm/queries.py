@@ -28,3 +28,13 @@ def op2(spark, sf_dir):
     """Harmonic packing of all documents into sequences of 4096 tokens."""
     from cauce.llm.packing import pack
     return pack(documents(spark, sf_dir))
+
+
+@register("op8_simhash")
+def op8(spark, sf_dir):
+    """SimHash fingerprints of all documents, linked at 4 or fewer bits."""
+    from pyspark.sql import functions as F
+
+    from cauce.llm.simhash import near_duplicates
+    found = near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
