@@ -38,3 +38,10 @@ def op8(spark, sf_dir):
     from cauce.llm.simhash import near_duplicates
     found = near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op3_mixing")
+def op3(spark, sf_dir):
+    """All documents mixed to weights 3, 1, 2 of their sources in code point order."""
+    from cauce.llm.mixing import mix
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
