@@ -45,3 +45,10 @@ def op3(spark, sf_dir):
     """All documents mixed to weights 3, 1, 2 of their sources in code point order."""
     from cauce.llm.mixing import mix
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@register("op4_secrets")
+def op4(spark, sf_dir):
+    """Secrets in all documents: base patterns and the randomness battery."""
+    from cauce.llm.secrets import find_secrets
+    return find_secrets(documents(spark, sf_dir))
