@@ -10,9 +10,10 @@ base64url) and three statistics against that alphabet:
 
 Each is tested one-sidedly against ordinary text, whose symbol, switch and
 neighbour frequencies are counted over the whole corpus: the p-value is the
-chance that ordinary text of that length looks so random. The three are joined
-by the Cauchy combination, which allows for their dependence. Over all
-candidates of the corpus, false discoveries are held to ``level`` separately in
+chance that ordinary text of that length looks so random. A secret has to pass
+them all, so the candidate's p-value is the largest (an intersection-union
+test, valid whatever their dependence); the serial test counts only at lengths
+at which it can tell ordinary text from random symbols. Over all candidates of the corpus, false discoveries are held to ``level`` separately in
 each class of lengths (Benjamini-Hochberg on a histogram of p-values of fixed
 size), so that many short candidates do not pay for few long ones or the other
 way round. Spans within a base span are not reported again.
@@ -55,6 +56,8 @@ _CLASS = np.array([0] * 10 + [1] * 26 + [2] * 26 + [3] * 4)
 _ORDER = [np.array([SYMBOLS.index(c) for c in letters]) for _, letters in ENCODINGS]
 N = len(SYMBOLS)
 
+#: The serial test joins in from this many standard errors on.
+POWER = 2.0
 #: Lower ends of the classes of lengths.
 LENGTHS = np.array([16, 20, 24, 32, 48, 64])
 #: Bins of -log10 p, each this wide.
@@ -169,9 +172,10 @@ class Ordinary:
         runs = _binomial_tail(switches, n - 1, self.switch[encoding])
         rho = self.rho[encoding]
         serial = _phi(math.copysign(1, rho) * (r - rho) * math.sqrt(n))  # small if moved from rho towards none
-        total = sum(1 / (p * math.pi) if p < 1e-15 else math.tan((0.5 - min(p, 1 - 1e-9)) * math.pi)
-                    for p in (max(uniform, 1e-300), max(runs, 1e-300), max(serial, 1e-300))) / 3
-        return 1 / (total * math.pi) if total > 1e15 else max(0.5 - math.atan(total) / math.pi, 1e-300)
+        tests = [uniform, runs]
+        if abs(rho) * math.sqrt(n) >= POWER:
+            tests.append(serial)
+        return max(*tests, 1e-300)
 
 
 def length_class(n: int) -> int:
