@@ -52,3 +52,10 @@ def op4(spark, sf_dir):
     """Secrets in all documents: base patterns and the randomness battery."""
     from cauce.llm.secrets import find_secrets
     return find_secrets(documents(spark, sf_dir))
+
+
+@register("op1_quality")
+def op1(spark, sf_dir):
+    """Quality of all documents, learned from positives and unlabelled text."""
+    from cauce.llm.quality import score
+    return score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
