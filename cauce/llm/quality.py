@@ -29,6 +29,7 @@ import math
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -247,7 +248,6 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 5) -> DataFrame:
     """The documents whose score reaches the threshold."""
-    import pandas as pd
     model = fit(feature_table(docs, labels, folds))
 
     @F.pandas_udf("double")

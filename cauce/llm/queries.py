@@ -50,7 +50,7 @@ def op3(spark, sf_dir):
 @register("op4_secrets")
 def op4(spark, sf_dir):
     """Secrets in all documents: base patterns and the randomness battery."""
-    from cauce.llm.secrets import find_secrets
+    from cauce.llm.secret_scan import find_secrets
     return find_secrets(documents(spark, sf_dir))
 
 

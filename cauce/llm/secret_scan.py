@@ -31,6 +31,7 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -297,7 +298,6 @@ def find_secrets(docs: DataFrame, level: float = 0.01) -> DataFrame:
 
 def redact(docs: DataFrame, level: float = 0.01, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span replaced by ``mark``; n_chars follows."""
-    import pandas as pd
     scanner = fit(stage(scan(docs)), level)
 
     def clean(text: str | None) -> str | None:

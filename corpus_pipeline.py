@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cauce.llm import mixing, packing, quality, secrets, simhash
+from cauce.llm import mixing, packing, quality, secret_scan, simhash
 from cauce.llm.common import stage
 
 
@@ -22,7 +22,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with every secret replaced by a mark."""
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
