@@ -6,6 +6,8 @@ import os
 import shutil
 import tempfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +49,14 @@ def id_cuts(df: DataFrame, key: str, n: int) -> list[int]:
 
 
 def bucket_of(key: Column, cuts: list[int]) -> Column:
-    """Ascending range bucket 0..len(cuts): the number of cuts <= key. Null
-    keys fall in bucket 0."""
+    """Ascending range bucket 0..len(cuts) of an integer key: the number of cuts
+    <= key, by binary search. Null keys fall in bucket 0."""
     if not cuts:
         return F.lit(0)
-    arr = F.lit(cuts).cast("array<bigint>")
-    # binary search by width: cuts are few (one per task), evaluated in the JVM
-    return F.coalesce(F.size(F.filter(arr, lambda c: c <= key)), F.lit(0))
+    edges = np.array(cuts, np.int64)
+
+    @F.pandas_udf("int")
+    def bucket(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, keys.to_numpy(np.int64), "right"))
+
+    return bucket(F.coalesce(key.cast("long"), F.lit(-(1 << 63))))

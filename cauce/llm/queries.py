@@ -59,3 +59,10 @@ def op1(spark, sf_dir):
     """Quality of all documents, learned from positives and unlabelled text."""
     from cauce.llm.quality import score
     return score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@register("op6_syncmers")
+def op6(spark, sf_dir):
+    """Closed-syncmer fingerprints of all documents and of their edited texts."""
+    from cauce.llm.syncmers import fingerprints
+    return fingerprints(documents(spark, sf_dir))
