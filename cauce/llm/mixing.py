@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cauce.llm.common import ship, stage
 
 #: Rows of one size that are ranked together at most (on average).
-PART = 1000
+PART = 200
 #: The knapsack programme closes this many times the largest size.
 FITTED = 4
 WORD = "[^\\x20\\x09-\\x0D]+"

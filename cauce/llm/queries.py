@@ -66,3 +66,10 @@ def op6(spark, sf_dir):
     """Closed-syncmer fingerprints of all documents and of their edited texts."""
     from cauce.llm.syncmers import fingerprints
     return fingerprints(documents(spark, sf_dir))
+
+
+@register("op10_suffix_dedup")
+def op10(spark, sf_dir):
+    """All documents without the bytes of repeated 400-byte strings."""
+    from cauce.llm.suffix_dedup import dedup
+    return dedup(documents(spark, sf_dir))

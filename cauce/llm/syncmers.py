@@ -108,7 +108,7 @@ def likeness(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray])
     """Share of the joint sketch's anchors that both have at a common shift."""
     if not len(x[0]) or not len(y[0]):
         return float(len(x[0]) == len(y[0]))
-    size = len(x[0]) + len(y[0]) if min(len(x[0]), len(y[0])) < SKETCH else SKETCH
+    size = SKETCH if max(len(x[0]), len(y[0])) >= SKETCH else len(x[0]) + len(y[0])
     union = np.union1d(x[0], y[0])[:size]
     both, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
     fits = both <= union[-1]
