@@ -73,3 +73,10 @@ def op10(spark, sf_dir):
     """All documents without the bytes of repeated 400-byte strings."""
     from cauce.llm.suffix_dedup import dedup
     return dedup(documents(spark, sf_dir))
+
+
+@register("op7_rangecoder")
+def op7(spark, sf_dir):
+    """All documents' token ids written as coded blocks and read back."""
+    from cauce.llm.rangecoder import round_trip
+    return round_trip(documents(spark, sf_dir))
