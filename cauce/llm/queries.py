@@ -80,3 +80,12 @@ def op7(spark, sf_dir):
     """All documents' token ids written as coded blocks and read back."""
     from cauce.llm.rangecoder import round_trip
     return round_trip(documents(spark, sf_dir))
+
+
+@register("op5_neighbours")
+def op5(spark, sf_dir):
+    """The 5 nearest embeddings of every fiftieth one, by cosine."""
+    from pyspark.sql import functions as F
+
+    from cauce.llm.neighbours import nearest
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
