@@ -89,3 +89,10 @@ def op5(spark, sf_dir):
 
     from cauce.llm.neighbours import nearest
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+
+
+@register("op9_transcripts")
+def op9(spark, sf_dir):
+    """Roles of all conversations recovered from raw transcripts, rendered."""
+    from cauce.llm.transcripts import format_chats
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
