@@ -151,7 +151,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     key = [F.col("source").eqNullSafe(F.col("p_source")), F.col("size") == F.col("p_size")]
     renamed = plan.select(F.col("source").alias("p_source"), F.col("size").alias("p_size"), "n", "source_size",
                           "target", "epochs", "extra")
-    rows = stage(rows.join(renamed, key[0] & key[1]).drop("p_source", "p_size")
+    # tables with a row per source and size are merged, never broadcast
+    rows = stage(rows.join(renamed.hint("merge"), key[0] & key[1]).drop("p_source", "p_size")
                  .withColumn("part", F.pmod(F.col("h"), parts)))
     # of which part the cut falls in: a running count over parts, not over rows
     counted = rows.where("extra > 0 and extra < n").groupBy("source", "size", "extra", "part") \
@@ -165,8 +166,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
     last = stage(whole.select(F.col("source").alias("q_source"), F.col("size").alias("q_size"), "last"))
     plain = rows.where("extra = 0 or extra >= n").withColumn("more", (F.col("extra") > 0).cast("long"))
     some = rows.where("extra > 0 and extra < n") \
-        .join(last, F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")), "left") \
-        .join(cut, key[0] & key[1], "left") \
+        .join(last.hint("merge"), F.col("source").eqNullSafe(F.col("q_source")) & (F.col("size") == F.col("q_size")), "left") \
+        .join(cut.hint("merge"), key[0] & key[1], "left") \
         .withColumn("state", F.when(F.col("part") <= F.coalesce("last", F.lit(-1)), 1)
                     .when(F.col("part") == F.col("cut"), 2).otherwise(0))
     some = stage(some.drop("q_source", "q_size", "p_source", "p_size"))
@@ -187,15 +188,14 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     rows are told apart by their running number within the key."""
     taken = mix(docs, **options)
     key = F.xxhash64("doc_id", "source", "size")
-    chosen = stage(taken.select(key.alias("__key"), "copies").groupBy("__key")
-                   .agg(F.count(F.lit(1)).alias("__n"), F.sum("copies").alias("__copies")))
+    chosen = stage(taken.select(key.alias("key"), "copies").groupBy("key")
+                   .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies")).where("copies > 0"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "source", size))
-    keyed = keyed.join(chosen.where("__copies > 0"), "__key")
-    alone = keyed.where("__n = 1").withColumn("__times", F.col("__copies"))
-    order = Window.partitionBy("__key").orderBy("text")
-    several = keyed.where("__n > 1").withColumn("__at", F.row_number().over(order)).withColumn(
-        "__times", F.expr("__copies div __n + cast(__at <= __copies % __n as bigint)")).drop("__at")
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", size).alias("key"))
+    # the row's own names stay apart in a struct
+    alone = keyed.join(chosen.where("n = 1"), "key").withColumn("times", F.col("copies"))
+    order = Window.partitionBy("key").orderBy(F.xxhash64("row.text"))
+    several = keyed.join(chosen.where("n > 1"), "key").withColumn("at", F.row_number().over(order)).withColumn(
+        "times", F.expr("copies div n + cast(at <= copies % n as bigint)")).drop("at")
     both = alone.unionByName(several)
-    return (both.withColumn("__again", F.explode(F.expr("array_repeat(0, cast(__times as int))")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return both.withColumn("again", F.explode(F.expr("array_repeat(0, cast(times as int))"))).select("row.*")

@@ -8,7 +8,9 @@ base64url) and three statistics against that alphabet:
 - runs: switches between lower case, upper case, digits and signs;
 - serial correlation of neighbouring symbols' codes.
 
-Each is tested one-sidedly against ordinary text, whose symbol, switch and
+The battery is held against both sides. First, randomness itself: a candidate that
+uniform random symbols would give with a chance under ``REJECT`` in any test is
+no key. Then each statistic is tested one-sidedly against ordinary text, whose symbol, switch and
 neighbour frequencies are counted over the whole corpus: the p-value is the
 chance that ordinary text of that length looks so random. A secret has to pass
 them all, so the candidate's p-value is the largest (an intersection-union
@@ -59,6 +61,8 @@ N = len(SYMBOLS)
 
 #: The serial test joins in from this many standard errors on.
 POWER = 2.0
+#: A candidate is no key if random symbols would fail a test so rarely.
+REJECT = 0.001
 #: Lower ends of the classes of lengths.
 LENGTHS = np.array([16, 20, 24, 32, 48, 64])
 #: Bins of -log10 p, each this wide.
@@ -138,6 +142,17 @@ def _binomial_tail(s: int, n: int, p: float) -> float:
     return min(1.0, math.fsum(terms))
 
 
+def looks_random(encoding: int, n: int, coincide: int, switches: int, r: float) -> bool:
+    """The battery with uniform random symbols as the hypothesis."""
+    order = _ORDER[encoding]
+    k, two = len(order), n * (n - 1) / 2
+    sd = math.sqrt(two / k * (1 - 1 / k))
+    same = (np.bincount(_CLASS[order]) / k) ** 2
+    return (_phi((two / k - coincide + 0.5) / sd) >= REJECT
+            and 1 - _binomial_tail(switches + 1, n - 1, 1 - float(same.sum())) >= REJECT
+            and 2 * _phi(-abs(r + 1 / n) * math.sqrt(n)) >= REJECT)
+
+
 @dataclass
 class Ordinary:
     """What ordinary text looks like in each encoding: sum of squared and cubed
@@ -166,6 +181,8 @@ class Ordinary:
         return out
 
     def p_value(self, encoding: int, n: int, coincide: int, switches: int, r: float) -> float:
+        if not looks_random(encoding, n, coincide, switches, r):
+            return 1.0
         s2, s3 = self.s2[encoding], self.s3[encoding]
         two, three = n * (n - 1) / 2, n * (n - 1) * (n - 2) / 6
         sd = math.sqrt(max(two * s2 * (1 - s2) + 6 * three * (s3 - s2 * s2), 1e-9))

@@ -223,8 +223,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
     found = near_duplicates(docs, shingle, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     first = (found.groupBy("root", "row_key").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("root").agg(F.min(F.struct("row_key", "n")).alias("first")))
-    first = stage(first.select(F.col("first.row_key").alias("__key"), F.col("first.n").alias("__n")))
-    keyed = docs.withColumn("__key", row_key())
-    once = keyed.join(first.where("__n = 1").select("__key"), "__key").drop("__key")
-    many = keyed.join(first.where("__n > 1").select("__key"), "__key").dropDuplicates(["__key"]).drop("__key")
-    return once.unionByName(many)
+    first = stage(first.select(F.col("first.row_key").alias("key"), F.col("first.n").alias("n")))
+    keyed = docs.select(F.struct("*").alias("row"), row_key().alias("key"))  # the row's own names stay apart
+    once = keyed.join(first.where("n = 1").select("key"), "key")
+    many = keyed.join(first.where("n > 1").select("key"), "key").dropDuplicates(["key"])
+    return once.unionByName(many).select("row.*")

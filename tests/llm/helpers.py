@@ -1,0 +1,39 @@
+"""Small tables with every awkward case: nulls, empty and very long texts,
+ties, repeated rows, and columns whose names clash with the operators' own."""
+
+import random
+
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
+          "size long, key string, fingerprint string, row string, score double, spans string, `range` int")
+
+
+def words(n, seed, kinds=400):
+    r = random.Random(seed)
+    syllables = ["an", "ther", "ing", "o", "re", "st", "ou", "le", "ment", "tion"]
+    vocabulary = ["".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(kinds)]
+    return " ".join(r.choice(vocabulary) for _ in range(n))
+
+
+def awkward_rows():
+    long = words(30_000, 1)
+    same = words(120, 2)
+    texts = [None, "", " \t\n", "one", "two words", same, same, same + " more", long, "A é ß 漢字 😀 end.",
+             words(300, 3), words(300, 4), "x" * 5000, words(80, 5) + "\n\n" + words(80, 6)]
+    rows = [(i, t, "en" if i % 3 else None, f"s{i % 4}" if i % 5 else None) for i, t in enumerate(texts)]
+    rows.append(rows[5])  # a repeated row
+    rows.append((None, "a text without id", None, None))
+    rows.append((None, None, None, None))
+    return [r + (len(r[1]) if r[1] is not None else None, 7, "k", "f", "r", 0.5, "s", 1) for r in rows]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def awkward(spark):
+    return frame(spark, awkward_rows())
+
+
+def plain(spark, texts, sources=None):
+    return frame(spark, [(i, t, "en", (sources or ["s"] * len(texts))[i], len(t) if t is not None else None,
+                          0, "k", "f", "r", 0.0, "s", 1) for i, t in enumerate(texts)])

@@ -1,0 +1,104 @@
+import re
+
+import numpy as np
+import xxhash
+
+from cauce.llm.components import components
+from cauce.llm.simhash import fingerprint, flip_masks, keep_one, near_duplicates, near_links
+from llm.helpers import awkward, awkward_rows, frame, plain, words
+
+
+def brute_fingerprint(text, k):
+    t = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(w[i:i + k]).encode(), 42) for i in range(max(1, len(w) - k + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def closure(n, links):
+    root = list(range(n))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for a, b in links:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return [find(i) for i in range(n)]
+
+
+def test_fingerprint_is_brute_force():
+    for t in [None, "", " ", "One", "a b c", "a b c d", "A b\tc\x0bd e", words(500, 1), "É Ü x y z w v"]:
+        assert fingerprint(t, 4) == brute_fingerprint(t, 4)
+
+
+def test_masks_are_the_ball():
+    m = flip_masks(2)
+    assert len(m) == len(set(m.tolist())) == 1 + 64 + 2016 and np.bitwise_count(m).max() == 2
+
+
+def test_links_close_to_all_near_pairs(spark):
+    r = np.random.default_rng(5)
+    fps = [int(x) for x in r.integers(0, 1 << 63, 150)]
+    for f in list(fps):  # neighbours at 1 to 6 bits, chains among them
+        for d in (1, 3, 4, 5, 6):
+            for b in r.choice(64, d, replace=False):
+                f ^= 1 << int(b)
+            fps.append(f)
+    fps = sorted({f - (1 << 64) if f >= 1 << 63 else f for f in fps})
+    a = np.array(fps, np.int64).view(np.uint64)
+    links = [(i, j) for i in range(len(a)) for j in range(i) if np.bitwise_count(a[i] ^ a[j]) <= 4]
+    found = near_links(spark.createDataFrame([(f,) for f in fps], "fp long"), 4)
+    place = {f: i for i, f in enumerate(fps)}
+    mine = [(place[x.a], place[x.b]) for x in found.collect()]
+    assert all(tuple(sorted(p, reverse=True)) in set(links) for p in mine)
+    assert closure(len(a), mine) == closure(len(a), links)
+
+
+def test_components_of_long_chains(spark):
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 150), (7, 300)] + [(500, 400 + i) for i in range(50)]
+    got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
+    nodes = sorted({x for e in edges for x in e})
+    expected = closure(1000, edges)
+    assert got == {n: expected[n] for n in nodes}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_awkward_documents(spark):
+    rows = awkward_rows()
+    got = near_duplicates(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    f = [brute_fingerprint(r[1], 4) for r in rows]
+    links = [(i, j) for i in range(len(f)) for j in range(i) if bin(f[i] ^ f[j]).count("1") <= 4]
+    root = closure(len(f), links)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[root[i]] = min(r[0], least.get(root[i], 10 ** 9))
+    expected = sorted(str((r[0], f[i], least.get(root[i]))) for i, r in enumerate(rows))
+    assert sorted(str((x.doc_id, x.fp % (1 << 64), x.component_id)) for x in got) == expected
+
+
+def test_one_row_of_each_component_stays(spark):
+    d = awkward(spark)
+    found = near_duplicates(d).collect()
+    kept = keep_one(d)
+    assert kept.columns == d.columns
+    assert kept.count() == len({x.root for x in found})
+    assert keep_one(frame(spark, [])).count() == 0
+
+
+def test_repeated_ids_of_different_texts(spark):
+    rows = [(1, words(50, 1)), (1, words(50, 2)), (2, words(50, 2)), (0, words(50, 1)), (None, words(50, 3))]
+    d = frame(spark, [r + ("en", "s", 1, 0, "k", "f", "r", 0.0, "s", 1) for r in rows])
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.text == words(50, 2)) for r in keep_one(d).collect()) == \
+        [(-1, False), (0, False), (1, True)]
+
+
+def test_hot_copies(spark):
+    d = plain(spark, [words(40, 1)] * 300 + [words(40, i) for i in range(2, 40)])
+    got = near_duplicates(d).collect()
+    assert {x.component_id for x in got if x.doc_id < 300} == {0} and len(got) == 338
