@@ -126,7 +126,8 @@ def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span
     order in the slice too, and positions inside the slice equal the
     positions overall. So the slice's own historical maximum is exact; if
     the slice holds none, the span grows. The slice is a pushed-down date
-    filter, so only recent row groups are read."""
+    filter, so only recent row groups are read, and it is counted per customer
+    and date instead of windowed."""
     df = tx.filter(F.col(cols.cliente).isNotNull()).select(cols.cliente, cols.fecha, cols.pedido)
     if profile is not None:
         g, lo = profile["gmax"], profile["gmin"]
@@ -139,11 +140,15 @@ def historical_reference_date(tx: DataFrame, cols: Columns = COLUMNS, first_span
         d0 = g - _dt.timedelta(days=span)
         dtype = df.schema[cols.fecha].dataType
         recent = df.filter(F.col(cols.fecha).isNull() | (F.col(cols.fecha) >= _as_literal(d0, dtype)))
-        w = Window.partitionBy(cols.cliente).orderBy(F.col(cols.fecha).asc_nulls_last(),
-                                                     F.col(cols.pedido).asc_nulls_last())
-        r = (recent.withColumn("_rn", F.row_number().over(w))
-                   .withColumn("_nr", F.count(F.lit(1)).over(Window.partitionBy(cols.cliente))))
-        cand = r.filter(F.col("_rn") < F.col("_nr")).agg(F.max(cols.fecha)).collect()[0][0]
+        # orders per customer and date (map-side combined, so no customer is
+        # hot); a dated order is historical if its customer has a later or an
+        # undated order, or another one on the same date
+        days = recent.groupBy(cols.cliente, cols.fecha).agg(F.count(F.lit(1)).alias("_c"))
+        ends = days.groupBy(F.col(cols.cliente).alias("_k")).agg(
+            F.max(cols.fecha).alias("_d1"), F.max(F.col(cols.fecha).isNull()).alias("_u"))
+        cand = (days.join(ends, F.col(cols.cliente) == F.col("_k"))
+                .filter((F.col(cols.fecha) < F.col("_d1")) | F.col("_u") | (F.col("_c") > 1))
+                .agg(F.max(cols.fecha)).collect()[0][0])
         if cand is not None or d0 <= lo:
             return cand
         span *= 4

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cauce.functions import elapsed_days
+from cauce.session import materialize
 from cauce.spec import COLUMNS, FEATURES, FIRST_ORDER_GAP_DAYS, Columns, FeatureSpec, check_transactions
 
 RN, N, LAG1, BRK = "_rn", "_n", "_lag1", "_brk"
@@ -21,6 +22,8 @@ LAGDATE = "_lagdate"
 # A customer with more rows than this is split into ordered pieces so that
 # no single task runs the window over all of its orders.
 HOT_ROWS = 2_000_000
+# The edges of hot customers are broadcast up to this many values, else joined.
+MAX_BROADCAST_EDGES = 1_000_000
 
 
 def order_window(cols: Columns = COLUMNS):
@@ -58,46 +61,54 @@ def _order_key(df: DataFrame, cols: Columns, profile: dict | None = None) -> Col
 
 
 def customer_profile(df: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> dict:
-    """One pass over (customer, date): the hot customers (more than
-    ``hot_rows`` orders; at most total / hot_rows of them) and the global
-    date bounds. Partial aggregation per customer, then a one-row
-    aggregate; the hot list is bounded, so gathering it is safe."""
+    """One pass over (customer, date): how many customers are hot (more than
+    ``hot_rows`` orders), the size of the hottest, and the global bounds.
+    Orders without a customer count as one customer here, as they share a
+    window. Partial aggregation per customer, then one row to the driver."""
     numeric_id = isinstance(df.schema[cols.pedido].dataType, T.NumericType)
     pid = F.col(cols.pedido) if numeric_id else F.lit(None).cast("bigint")
-    per = (df.filter(F.col(cols.cliente).isNotNull()).groupBy(cols.cliente)
+    per = (df.groupBy(cols.cliente)
              .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn"),
                   F.max(pid).alias("pmx"), F.min(pid).alias("pmn")))
     limit = hot_rows if hot_rows else (1 << 62)
     row = per.agg(F.max("mx").alias("gmax"), F.min("mn").alias("gmin"),
                   F.max("pmx").alias("pmax"), F.min("pmn").alias("pmin"),
-                  F.collect_list(F.when(F.col("c") > limit, F.struct(F.col(cols.cliente).alias("k"),
-                                                                    F.col("c").alias("c")))).alias("hot")
-                  ).collect()[0]
-    return {"gmax": row["gmax"], "gmin": row["gmin"], "pmax": row["pmax"], "pmin": row["pmin"],
-            "hot": [(h["k"], int(h["c"])) for h in row["hot"]]}
+                  F.count_if(F.col("c") > limit).alias("n_hot"), F.max("c").alias("largest")).collect()[0]
+    return row.asDict()
 
 
-def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | None = None) -> Column | None:
-    """Piece id per row: 0 for ordinary customers; for a customer above
+def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | None = None) -> DataFrame | None:
+    """``df`` with ``_piece``: 0 for ordinary customers; for a customer above
     ``hot_rows`` rows, the index of its date range among edges taken at
-    quantiles of its own order dates (literals, so re-execution is
-    deterministic). Returns None when no customer is hot."""
+    quantiles of its own order dates. The edges are a written table with one
+    row per hot customer (at most total / hot_rows of them), joined null-safe,
+    so re-execution is deterministic. None when no customer is hot."""
     prof = profile if profile is not None else customer_profile(df, cols, hot_rows)
-    hot = [{cols.cliente: k, "c": c} for k, c in prof["hot"] if c > hot_rows]
-    if not hot:
+    if not prof["n_hot"]:
         return None
-    k = max(2, max(-(-int(r["c"]) // hot_rows) for r in hot))
+    k = max(2, -(-int(prof["largest"]) // hot_rows))
     probs = [i / k for i in range(1, k)]
-    ids = [r[cols.cliente] for r in hot]
     key = _order_key(df, cols, prof)
-    edges = (df.filter(F.col(cols.cliente).isin(ids)).groupBy(cols.cliente)
-               .agg(F.percentile_approx(key, probs, 10000).alias("e")).collect())
-    emap = {r[cols.cliente]: sorted({float(x) for x in r["e"]}) for r in edges}
-    ktype = df.schema[cols.cliente].dataType.simpleString()
-    m = F.create_map(*[x for cid, e in emap.items() for x in (F.lit(cid), F.array(*[F.lit(v) for v in e]))]).cast(
-        f"map<{ktype},array<double>>")
-    arr = F.coalesce(F.element_at(m, F.col(cols.cliente)), F.array().cast("array<double>"))
-    return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(e < key, 1).otherwise(0))
+    counts = materialize(df.groupBy(F.col(cols.cliente).alias("_hk")).agg(F.count(F.lit(1)).alias("_c"))
+                         .filter(F.col("_c") > hot_rows).select("_hk"))
+    small = prof["n_hot"] * k <= MAX_BROADCAST_EDGES
+    hint = (lambda t: F.broadcast(t)) if small else (lambda t: t)
+    own = df.select(F.col(cols.cliente).alias("_k"), key.alias("_key"))
+    edges = materialize(own.join(hint(counts), F.col("_k").eqNullSafe(F.col("_hk")))
+                        .groupBy(F.col("_hk").alias("_ek"))
+                        .agg(F.array_sort(F.array_distinct(F.percentile_approx("_key", probs, max(10000, 8 * k))))
+                             .alias("_edges")))
+    x = df.withColumn("_key", key)
+    x = x.join(hint(edges), F.col(cols.cliente).eqNullSafe(F.col("_ek")), "left")
+    piece = F.aggregate(F.coalesce("_edges", F.array().cast("array<double>")), F.lit(0),
+                        lambda acc, e: acc + F.when(e < F.col("_key"), 1).otherwise(0))
+    return x.withColumn("_piece", piece).drop("_key", "_ek", "_edges")
+
+
+def _join_pieces(x: DataFrame, pieces: DataFrame, k: str) -> DataFrame:
+    """Rows with their piece's row, null-safe on the customer."""
+    p = pieces.withColumnRenamed(k, "_pk").withColumnRenamed("_piece", "_pp")
+    return x.join(p, F.col(k).eqNullSafe(F.col("_pk")) & (F.col("_piece") == F.col("_pp"))).drop("_pk", "_pp")
 
 
 def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: bool = False,
@@ -105,8 +116,8 @@ def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: b
     """Adds ``_rn``, ``_n``, ``_lag1`` (previous channel) and ``_lagdate``
     (previous date) in the (date nulls last, order id) order per customer.
     With ``keep_piece`` returns (frame with ``_piece``, split?)."""
-    piece = _hot_pieces(df, cols, hot_rows, profile) if hot_rows else None
-    if piece is None:
+    pieced = _hot_pieces(df, cols, hot_rows, profile) if hot_rows else None
+    if pieced is None:
         w = order_window(cols)
         out = (df.withColumn(RN, F.row_number().over(w))
                  .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
@@ -116,7 +127,7 @@ def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: b
     k = cols.cliente
     w = (Window.partitionBy(k, "_piece")
          .orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last()))
-    x = (df.withColumn("_piece", piece)
+    x = (pieced
            .withColumn("_lrn", F.row_number().over(w))
            .withColumn("_llag", F.lag(F.col(cols.canal), 1).over(w))
            .withColumn("_llagdate", F.lag(F.col(cols.fecha), 1).over(w)))
@@ -132,7 +143,7 @@ def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: b
                        F.lag("_plast").over(pw).alias("_prev"),
                        F.sum("_pc").over(Window.partitionBy(k)).alias(N)))
     first = F.col("_lrn") == 1
-    out = (x.join(pieces, [k, "_piece"])
+    out = (_join_pieces(x, pieces, k)
              .withColumn(RN, (F.col("_lrn") + F.col("_off")).cast("int"))
              .withColumn(LAG1, F.when(first, F.col("_prev.c")).otherwise(F.col("_llag")))
              .withColumn(LAGDATE, F.when(first, F.col("_prev.f")).otherwise(F.col("_llagdate")))
@@ -154,7 +165,7 @@ def _running_sum(x: DataFrame, value: Column, out: str, cols: Columns, split: bo
     pw = Window.partitionBy(k).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     offs = (y.groupBy(k, "_piece").agg(F.sum("_v").alias("_t"))
              .select(k, "_piece", F.coalesce(F.sum("_t").over(pw), F.lit(0)).alias("_o")))
-    return y.join(offs, [k, "_piece"]).withColumn(out, F.col(out) + F.col("_o")).drop("_v", "_o")
+    return _join_pieces(y, offs, k).withColumn(out, F.col(out) + F.col("_o")).drop("_v", "_o")
 
 
 def conform_transactions(tx: DataFrame, cols: Columns = COLUMNS, date_format: str | None = None) -> DataFrame:

@@ -30,8 +30,7 @@ def test_pieces_match_plain_window(spark, adapter):
 
 def test_pieces_really_split(spark):
     tx = events_transactions(spark, SF001)
-    piece = prepare._hot_pieces(tx.filter(F.col("cliente_id").isNotNull()), prepare.COLUMNS, 3)
-    n = tx.select(piece.alias("p")).agg(F.max("p")).first()[0]
+    n = prepare._hot_pieces(tx, prepare.COLUMNS, 3).agg(F.max("_piece")).first()[0]
     assert n >= 1
 
 
@@ -52,12 +51,36 @@ def test_busy_day_is_cut(spark):
             .withColumn("pais_cd", F.lit("PE"))
             .withColumn("madurez_digital_cd", F.when(F.col("pedido_id") % 5 == 0, F.lit("ALTA")))
             .withColumn("frecuencia_visitas_cd", F.lit("S")))
-    piece = prepare._hot_pieces(tx, prepare.COLUMNS, 10)
-    day1 = tx.filter((F.col("cliente_id") == 7) & (F.col("fecha_pedido_dt") == dt.date(2024, 1, 1)))
-    assert day1.select(piece.alias("p")).distinct().count() > 1  # one day, several pieces
+    day1 = prepare._hot_pieces(tx, prepare.COLUMNS, 10).filter((F.col("cliente_id") == 7) & (F.col("fecha_pedido_dt") == dt.date(2024, 1, 1)))
+    assert day1.select("_piece").distinct().count() > 1  # one day, several pieces
     cols = ["pedido_id", "_rn", "_n", "_lag1", "_brk", "dias_desde_ultimo_pedido"]
     assert _rows(prepare.with_positions(tx, hot_rows=None).select(*cols)) == \
         _rows(prepare.with_positions(tx, hot_rows=10).select(*cols))
     assert _rows(feat.feature_table(tx, FeatureSpec(hot_rows=None))) == \
         _rows(feat.feature_table(tx, FeatureSpec(hot_rows=10)))
     assert _rows(prepare.channel_runs(tx, hot_rows=None)) == _rows(prepare.channel_runs(tx, hot_rows=10))
+
+
+def test_null_customers_stay_and_are_split(spark):
+    import datetime as dt
+    rows = [(None if i % 3 else 1 + i % 2, i, dt.date(2024, 1, 1) + dt.timedelta(days=i // 2) if i % 7 else None,
+             ["DIGITAL", "TELEFONO", None][i % 3]) for i in range(60)]
+    tx = spark.createDataFrame(rows, "cliente_id bigint, pedido_id bigint, fecha_pedido_dt date, canal_pedido_cd string")
+    plain = _rows(prepare.with_order_gap(tx, hot_rows=None).select("pedido_id", "cliente_id", "dias_desde_ultimo_pedido"))
+    for hot in (3, 5, 100):
+        got = prepare.with_order_gap(tx, hot_rows=hot).select("pedido_id", "cliente_id", "dias_desde_ultimo_pedido")
+        assert sorted(map(str, _rows(got))) == sorted(map(str, plain)) and len(plain) == 60
+    pieces = prepare._hot_pieces(tx, prepare.COLUMNS, 5).filter("cliente_id is null").select("_piece").distinct()
+    assert pieces.count() > 1
+
+
+def test_reference_date_of_one_recent_customer(spark):
+    import datetime as dt
+    day = dt.date(2024, 5, 1)
+    rows = [(7, i, day + dt.timedelta(days=i % 20), "DIGITAL") for i in range(400)] + [(8, 900, dt.date(2024, 6, 1), "DIGITAL")]
+    schema = "cliente_id bigint, pedido_id bigint, fecha_pedido_dt date, canal_pedido_cd string"
+    assert feat.historical_reference_date(spark.createDataFrame(rows, schema)) == dt.date(2024, 5, 20)
+    two = [(1, 1, dt.date(2020, 1, 1), "DIGITAL"), (1, 2, None, "DIGITAL"), (2, 3, dt.date(2024, 1, 1), "DIGITAL")]
+    assert feat.historical_reference_date(spark.createDataFrame(two, schema)) == dt.date(2020, 1, 1)
+    same = [(1, 1, day, "DIGITAL"), (1, 2, day, "DIGITAL")]
+    assert feat.historical_reference_date(spark.createDataFrame(same, schema)) == day
