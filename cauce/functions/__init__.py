@@ -6,6 +6,7 @@ from cauce.functions.columns import (
     is_temporal,
     minus_days,
     minus_months,
+    number,
     ratio,
     round_doubles,
     sigmoid,
@@ -13,6 +14,6 @@ from cauce.functions.columns import (
 )
 
 __all__ = [
-    "elapsed_days", "is_temporal", "minus_days", "minus_months", "ratio",
+    "elapsed_days", "is_temporal", "minus_days", "minus_months", "number", "ratio",
     "round_doubles", "sigmoid", "last_non_null",
 ]

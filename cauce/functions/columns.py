@@ -18,11 +18,19 @@ def elapsed_days(start: Column, end: Column, dtype: T.DataType) -> Column:
     return F.timestamp_diff("DAY", start, end)
 
 
-def minus_days(col: Column, days: int) -> Column:
-    """``col - n days``; keeps DATE as DATE and TIMESTAMP_NTZ as TIMESTAMP_NTZ."""
+def minus_days(col: Column, days: int, dtype: T.DataType | None = None) -> Column:
+    """``col - n days``. With ``dtype`` DATE stays DATE (no session time zone
+    enters); a timestamp keeps its type."""
+    if isinstance(dtype, T.DateType):
+        return F.date_sub(col, days)
     return col - F.make_dt_interval(F.lit(days))
 
 
+def number(col: Column) -> Column:
+    """DOUBLE image of a numeric column in which NaN counts as missing."""
+    return F.nanvl(col.cast("double"), F.lit(None).cast("double"))
+
+
 def minus_months(col: Column, months: int) -> Column:
     """``col - n months`` with month-end clamping (Mar 31 - 1 month = Feb 29)."""
     return col - F.make_ym_interval(F.lit(0), F.lit(months))

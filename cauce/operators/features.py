@@ -17,11 +17,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cauce.functions import elapsed_days, last_non_null, minus_days, ratio
+from cauce.functions import elapsed_days, last_non_null, minus_days, number, ratio
 from cauce.operators.prepare import BRK, LAG1, N, RN, customer_profile, with_positions
 from cauce.spec import (
-    CATEGORICAL_COLS, COLUMNS, FEATURES, HISTORY_COLS, NEVER_DIGITAL_DAYS, SEQUENCE_COLS,
-    TEMPORAL_COLS, TRANSITION_SEP, UNKNOWN, Columns, FeatureSpec,
+    CATEGORICAL_COLS, COLUMNS, FEATURES, NEVER_DIGITAL_DAYS, SEQUENCE_COLS, TEMPORAL_COLS,
+    TRANSITION_SEP, UNKNOWN, Columns, FeatureSpec, check_transactions,
 )
 
 
@@ -35,8 +35,8 @@ def _and(cond: Column | None, other: Column) -> Column:
 
 # --------------------------------------------------------------------- history
 def _history_aggs(cols: Columns, spec: FeatureSpec, cond: Column | None) -> list[Column]:
-    fact = _in(cond, F.col(cols.facturacion).cast("double"))
-    mat = _in(cond, F.col(cols.materiales).cast("double"))
+    fact = _in(cond, number(F.col(cols.facturacion)))
+    mat = _in(cond, number(F.col(cols.materiales)))
     canal = F.col(cols.canal)
     out = [
         F.count(_in(cond, canal)).alias("total_pedidos"),
@@ -50,18 +50,16 @@ def _history_aggs(cols: Columns, spec: FeatureSpec, cond: Column | None) -> list
     ]
     for ch in spec.channels:
         is_ch = _and(cond, canal == ch)
-        out.append(F.coalesce(F.avg(F.when(is_ch, F.col(cols.facturacion).cast("double"))), F.lit(0.0))
+        out.append(F.coalesce(F.avg(F.when(is_ch, number(F.col(cols.facturacion)))), F.lit(0.0))
                    .alias(f"facturacion_promedio_{ch.lower()}"))
-        out.append(F.coalesce(F.avg(F.when(is_ch, F.col(cols.materiales).cast("double"))), F.lit(0.0))
+        out.append(F.coalesce(F.avg(F.when(is_ch, number(F.col(cols.materiales)))), F.lit(0.0))
                    .alias(f"materiales_promedio_{ch.lower()}"))
     return out
 
 
 def _history_select(spec: FeatureSpec) -> list[Column]:
-    cols = [F.col(c) for c in HISTORY_COLS if c != "pct_digital_historico"]
     pct = ratio(F.col("pedidos_digitales_total"), F.col("total_pedidos"), 0.0).alias("pct_digital_historico")
-    idx = HISTORY_COLS.index("pct_digital_historico")
-    return cols[:idx] + [pct] + cols[idx:]
+    return [pct if c == "pct_digital_historico" else F.col(c) for c in spec.history_columns()]
 
 
 def history_features(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS) -> DataFrame:
@@ -77,11 +75,12 @@ def history_features(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns
 
 
 # -------------------------------------------------------------------- temporal
-def _temporal_aggs(cols: Columns, spec: FeatureSpec, cond: Column | None, ref: Column) -> list[Column]:
+def _temporal_aggs(cols: Columns, spec: FeatureSpec, cond: Column | None, ref: Column,
+                   dtype: T.DataType) -> list[Column]:
     fecha, canal = F.col(cols.fecha), F.col(cols.canal)
     dig = canal == spec.digital
-    in_long = fecha >= minus_days(ref, spec.trend_days)
-    in_short = fecha >= minus_days(ref, spec.recent_days)
+    in_long = fecha >= minus_days(ref, spec.trend_days, dtype)
+    in_short = fecha >= minus_days(ref, spec.recent_days, dtype)
     return [
         F.count_if(_and(cond, in_long)).alias("_n_long"),
         F.count_if(_and(cond, in_long & dig)).alias("_d_long"),
@@ -167,7 +166,7 @@ def temporal_features(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns
     appear (N7)."""
     df = tx.filter(F.col(cols.cliente).isNotNull())
     ref = reference_date(df, cols) if ref_date is None else F.lit(ref_date).cast(df.schema[cols.fecha].dataType)
-    agg = df.groupBy(cols.cliente).agg(*_temporal_aggs(cols, spec, None, ref))
+    agg = df.groupBy(cols.cliente).agg(*_temporal_aggs(cols, spec, None, ref, df.schema[cols.fecha].dataType))
     vals = _temporal_values(ref, df.schema[cols.fecha].dataType)
     return (agg.filter(F.col("_n_long") > 0)
                .select(F.col(cols.cliente), *[vals[c].alias(c) for c in TEMPORAL_COLS]))
@@ -241,7 +240,7 @@ def _final_fill(df: DataFrame) -> DataFrame:
             out.append(F.coalesce(c, F.lit("0")).alias(f.name))
         elif f.name in ("target",) or f.name == "fecha_pedido_dt":
             out.append(c)
-        elif f.name in HISTORY_COLS + TEMPORAL_COLS + SEQUENCE_COLS + CATEGORICAL_COLS:
+        elif f.name != "cliente_id":
             out.append(F.coalesce(c, F.lit(0).cast(f.dataType)).alias(f.name))
         else:
             out.append(c)
@@ -255,6 +254,7 @@ def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = C
     customer's latest order date. The reference date (N6) is the maximum
     date of the historical rows, found from a recent date slice
     (``historical_reference_date``) unless ``ref_date`` is given."""
+    check_transactions(tx, cols, features=True)
     profile = customer_profile(tx, cols, spec.hot_rows)  # one pass: hot customers + date bounds
     x = with_positions(tx, cols, spec.hot_rows, profile).filter(F.col(N) >= spec.min_orders)
     hist = F.col(RN) < F.col(N)
@@ -269,7 +269,7 @@ def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = C
 
     agg = x.groupBy(cols.cliente).agg(
         *_history_aggs(cols, spec, hist),
-        *_temporal_aggs(cols, spec, hist, ref),
+        *_temporal_aggs(cols, spec, hist, ref, fecha_type),
         *_sequence_aggs(cols, hist),
         *_categorical_aggs(cols, hist),
         F.max(F.when(last, F.col(cols.canal))).alias("_label_channel"),
@@ -310,5 +310,5 @@ def feature_table_joined(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Colu
           .join(label_last_order(tx, spec, cols, spec.hot_rows).select(k, "target"), k, "left")
           .join(tx.groupBy(k).agg(F.max(F.col(cols.fecha)).alias("fecha_pedido_dt")), k, "left"))
     df = df.withColumn("target", F.coalesce(F.col("target"), F.lit(0)).cast("int"))
-    return _final_fill(df.select(k, *[F.col(c) for c in HISTORY_COLS + TEMPORAL_COLS + SEQUENCE_COLS
-                                      + CATEGORICAL_COLS], "target", "fecha_pedido_dt"))
+    return _final_fill(df.select(k, *[F.col(c) for c in spec.history_columns() + TEMPORAL_COLS
+                                      + SEQUENCE_COLS + CATEGORICAL_COLS], "target", "fecha_pedido_dt"))

@@ -8,20 +8,29 @@ the definitions require. Results are small DataFrames.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.functions import ratio
-from cauce.plans.prefix import exact_rank_values, prefix_sums
+from cauce.plans.prefix import default_buckets, prefix_sums
+from cauce.session import materialize
 
 LABEL, SCORE, KEY = "target", "propension_digital", "cliente_id"
 
 
+def present(score: str) -> Column:
+    """A score that counts: neither null nor NaN."""
+    return F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+
+
+def one_row(df: DataFrame, *columns: Column) -> DataFrame:
+    """A one-row frame of constants."""
+    return df.sparkSession.range(1).select(*columns)
+
+
 def score_table(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
     y = F.col(label).cast("bigint")
-    return (scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return (scored.filter(present(score) & F.col(label).isNotNull())
                   .groupBy(F.col(score).cast("double").alias("score"))
                   .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"),
                        F.count(F.lit(1)).alias("cnt")))
@@ -84,7 +93,7 @@ def confusion_metrics(scored: DataFrame, threshold: float = 0.5, label: str = LA
                       score: str = SCORE) -> DataFrame:
     """Confusion counts at an inclusive threshold and the derived
     precision, recall, F1 and specificity (0 when undefined)."""
-    c = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).agg(
+    c = scored.filter(present(score) & F.col(label).isNotNull()).agg(
         *_confusion_aggs(label, score, threshold))
     return c.select("true_positives", "false_positives", "true_negatives", "false_negatives", *_derived())
 
@@ -112,7 +121,7 @@ def roc_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> Data
     pts = cum.select(F.col("score").alias("threshold"),
                      (F.col("cum_neg") / F.lit(N) if N else F.lit(None).cast("double")).alias("fpr"),
                      (F.col("cum_pos") / F.lit(P) if P else F.lit(None).cast("double")).alias("tpr"))
-    start = cum.agg(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    start = one_row(scored, F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)
 
 
@@ -124,26 +133,44 @@ def pr_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
     pts = cum.select(F.col("score").alias("threshold"),
                      ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg"), 0.0).alias("precision"),
                      (F.col("cum_pos") / F.lit(P) if P else F.lit(1.0)).alias("recall"))
-    end = cum.agg(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
+    end = one_row(scored, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"),
                   F.lit(0.0).alias("recall"))
     return pts.unionByName(end)
 
 
-WINDOW_GROUP_ROWS = 1_000_000  # a tied group this small is ranked by one window task
+def positives_of_first(group: DataFrame, m: int, key: str, label: str) -> int:
+    """Positives among the ``m`` rows with the smallest keys (natural order of
+    the key's own type, nulls first). The group is written once in key ranges;
+    whole ranges before the cut are summed and only the one range that holds
+    the cut is ranked row by row."""
+    ranged = materialize(group.select(F.col(key).alias("k"), F.col(label).cast("bigint").alias("y"))
+                         .repartitionByRange(default_buckets(group), F.col("k").asc_nulls_first())
+                         .withColumn("part", F.spark_partition_id()))
+    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).collect()
+    seen = total = 0
+    for r in sorted(parts, key=lambda r: r["part"]):  # at most one row per range
+        if seen + r["n"] > m:
+            w = Window.partitionBy("part").orderBy(F.col("k").asc_nulls_first())
+            cut = (ranged.filter(F.col("part") == r["part"]).withColumn("r", F.row_number().over(w))
+                         .filter(F.col("r") <= m - seen).agg(F.sum("y")).collect()[0][0])
+            return total + int(cut or 0)
+        seen, total = seen + r["n"], total + int(r["p"] or 0)
+    return total
 
 
 def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score: str = SCORE,
-               key: str = KEY, ranking=None, window_group_rows: int = WINDOW_GROUP_ROWS) -> DataFrame:
+               key: str = KEY, ranking=None) -> DataFrame:
     """Share of positives among the top ``int(n*k)`` rows by score
-    (ties broken by ascending key), divided by the overall positive rate.
+    (ties broken by ascending key of any orderable type), divided by the
+    overall positive rate.
 
     No global sort and no ``limit``: whole score groups above the cut come
     from the prefix table; only the one group straddling the cut is ranked
-    by key, again with the distributed rank selection."""
+    by key, in ranges of keys (``positives_of_first``), at every size alike."""
     cum, tot = ranking or cumulative(scored, label, score)
     n, P = int(tot["cnt"]), int(tot["pos"])
     n_top = int(n * top_k)
-    baseline = P / n if n else float("nan")
+    baseline = P / n if n else None
     pos_top = 0
     if n_top > 0:
         straddles = (F.col("cum_cnt") > n_top) & (F.col("cum_cnt") - F.col("cnt") < n_top)
@@ -154,23 +181,11 @@ def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score
         pos_top = int(row["p"] or 0)
         if row["cut"] is not None:
             s, cnt, cc = row["cut"]["score"], int(row["cut"]["cnt"]), int(row["cut"]["cum_cnt"])
-            m = n_top - (cc - cnt)
-            grp = scored.filter(F.col(score).cast("double") == F.lit(s))
-            if cnt <= window_group_rows:
-                # size checked above (the prefix table's count): one bounded window task
-                w = Window.partitionBy(F.col(score)).orderBy(F.col(key).asc())
-                part = (grp.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= m)
-                           .agg(F.sum(F.col(label).cast("bigint")).alias("p")).collect()[0]["p"] or 0)
-            else:
-                kth = exact_rank_values(grp, [key], {key: [m - 1]})[key][m - 1]
-                part = grp.filter(F.col(key).cast("double") <= F.lit(kth)).agg(
-                    F.sum(F.col(label).cast("bigint")).alias("p")).collect()[0]["p"] or 0
-            pos_top += int(part)
+            group = scored.filter((F.col(score).cast("double") == F.lit(s)) & F.col(label).isNotNull())
+            pos_top += positives_of_first(group, n_top - (cc - cnt), key, label)
     prec = pos_top / n_top if n_top > 0 else None
-    lift = (prec / baseline if baseline > 0 else 0.0) if prec is not None else None
-    if n_top > 0 and prec is not None and not (baseline > 0):
-        lift = 0.0
-    return cum.agg(F.lit(n).cast("bigint").alias("n"), F.lit(n_top).cast("bigint").alias("n_top"),
+    lift = None if prec is None else prec / baseline if baseline else 0.0
+    return one_row(scored, F.lit(n).cast("bigint").alias("n"), F.lit(n_top).cast("bigint").alias("n_top"),
                    F.lit(prec).cast("double").alias("precision_top_k"),
-                   F.lit(None if math.isnan(baseline) else baseline).cast("double").alias("baseline"),
+                   F.lit(baseline).cast("double").alias("baseline"),
                    F.lit(lift).cast("double").alias("lift_score"))

@@ -7,10 +7,11 @@ results are small. Exact quartiles use the distributed rank selection;
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cauce.functions import number
 from cauce.plans.prefix import exact_quantiles
 from cauce.session import materialize
 
@@ -46,12 +47,12 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     and max per numeric column, in long form (one row per column)."""
     cols = cols or _numeric(df)
     base = df.agg(*[x for c in cols for x in (
-        F.count(F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`"))).alias(f"{c}__count"),
-        F.avg(F.col(f"`{c}`").cast("double")).alias(f"{c}__mean"),
-        F.stddev_samp(F.col(f"`{c}`").cast("double")).alias(f"{c}__std"),
-        F.min(F.col(f"`{c}`").cast("double")).alias(f"{c}__min"),
-        F.max(F.col(f"`{c}`").cast("double")).alias(f"{c}__max"),
-    )] + ([F.percentile_approx(F.col(f"`{c}`").cast("double"), [0.25, 0.5, 0.75], 100000).alias(f"{c}__q")
+        F.count(number(F.col(f"`{c}`"))).alias(f"{c}__count"),
+        F.avg(number(F.col(f"`{c}`"))).alias(f"{c}__mean"),
+        F.stddev_samp(number(F.col(f"`{c}`"))).alias(f"{c}__std"),
+        F.min(number(F.col(f"`{c}`"))).alias(f"{c}__min"),
+        F.max(number(F.col(f"`{c}`"))).alias(f"{c}__max"),
+    )] + ([F.percentile_approx(number(F.col(f"`{c}`")), [0.25, 0.5, 0.75], 100000).alias(f"{c}__q")
            for c in cols] if approx else []))
     if approx:
         q = {c: [F.col(f"{c}__q")[i] for i in range(3)] for c in cols}
@@ -88,8 +89,9 @@ def trend_counts(temporal: DataFrame, col: str = "tendencia_digital", threshold:
 
 
 def target_distribution(df: DataFrame, label: str = "target") -> DataFrame:
-    """Customers per class and percentage (rounded to 2)."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    """Customers per class and percentage (rounded to 2). The total is
+    summed from the few class counts, so the frame is read once."""
+    total = F.sum("clientes").over(Window.partitionBy(F.lit(0)))
     return (df.groupBy(label).agg(F.count(F.lit(1)).alias("clientes"))
               .withColumn("porcentaje", F.round(F.col("clientes") * 100.0 / total, 2)))
 
@@ -109,10 +111,10 @@ def target_correlation(df: DataFrame, label: str = "target", k: int | None = 15)
     target, computed as covar_pop / (stddev_pop * stddev_pop) with a zero
     guard, so a constant column gives null instead of an ANSI error."""
     cols = _numeric(df)
-    y = F.col(label).cast("double")
+    y = number(F.col(label))
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(f"`{c}`").cast("double")
+        x = number(F.col(f"`{c}`"))
         aggs.append(F.try_divide(F.covar_pop(x, y), F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0)))
                     .alias(f"c{i}"))
     rows = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("correlation"))

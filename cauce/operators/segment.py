@@ -32,15 +32,15 @@ class SegmentEdges:
     def transform(self, df: DataFrame) -> DataFrame:
         s = F.col(self.score_col)
         e, lab = self.edges, self.labels
-        expr = F.when(s.isNull() | (s < F.lit(e[0])) | (s > F.lit(e[-1])), F.lit(None).cast("string"))
+        if not e:
+            return df.withColumn(self.out_col, F.lit(None).cast("string"))
+        outside = s.isNull() | F.isnan(s.cast("double")) | (s < F.lit(e[0])) | (s > F.lit(e[-1]))
+        expr = F.when(outside, F.lit(None).cast("string"))
         for i in range(1, len(e) - 1):
             expr = expr.when(s <= F.lit(e[i]), F.lit(lab[i - 1]))
-        expr = expr.otherwise(F.lit(lab[len(e) - 2]))
+        expr = expr.otherwise(F.lit(lab[-1]))
         return df.withColumn(self.out_col, expr)
 
-    def to_df(self, spark):
-        return spark.createDataFrame([(i, float(x)) for i, x in enumerate(self.edges)], "edge_idx int, edge double")
-
 
 def fit_segments(df: DataFrame, score_col: str = "propension_digital", n: int = 10,
                  duplicates: str = "raise", out_col: str = "segmento_propension") -> SegmentEdges:
@@ -49,8 +49,8 @@ def fit_segments(df: DataFrame, score_col: str = "propension_digital", n: int =
     keeps the labels of the surviving bins."""
     probs = [i / n for i in range(n + 1)]
     edges = exact_quantiles(df, [score_col], probs)[score_col]
-    if any(e is None for e in edges):
-        raise ValueError("cannot segment an empty score column")
+    if any(e is None for e in edges):  # no score at all: every row stays without a segment
+        return SegmentEdges((), (), score_col, out_col)
     labels = segment_labels(n)
     uniq = []
     keep = []
@@ -64,7 +64,8 @@ def fit_segments(df: DataFrame, score_col: str = "propension_digital", n: int =
     if len(uniq) != len(edges):
         if duplicates == "raise":
             raise ValueError(f"bin edges must be unique: {edges}")
-        labels = keep if len(keep) == len(uniq) - 1 else labels[: len(uniq) - 1]
+        # equal scores only: one bin, named as the highest
+        labels = keep if len(uniq) > 1 else labels[-1:]
     return SegmentEdges(tuple(uniq), tuple(labels), score_col, out_col)
 
 
@@ -100,15 +101,12 @@ def segment_lift(df: DataFrame, seg_col: str = "segmento_propension", label: str
 def scoring_summary(df: DataFrame) -> DataFrame:
     """A25 + T7: segment x maturity counts and score stats, the report's own
     SQL (``GROUP BY ALL ORDER BY ALL``) run by Spark."""
-    spark = df.sparkSession
-    name = f"_scoring_{abs(hash(id(df)))}"
-    df.createOrReplaceTempView(name)
-    return spark.sql(f"""
+    return df.sparkSession.sql("""
         SELECT segmento_propension, madurez_digital,
                COUNT(cliente_id) AS q_clientes,
                AVG(propension_digital) AS prop_avg,
                MIN(propension_digital) AS prop_min,
                MAX(propension_digital) AS prop_max
-        FROM {name}
+        FROM {scored}
         GROUP BY ALL
-        ORDER BY ALL""")
+        ORDER BY ALL""", scored=df)

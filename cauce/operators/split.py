@@ -54,16 +54,14 @@ def stratified_split(df: DataFrame, label: str = "target", fraction: float = 0.2
     if not exact:
         return df.withColumn(out_col, h < F.lit(fraction * float(1 << 52)))
     x = df.withColumn("_h", h)
-    counts = {r[0]: int(r[1]) for r in x.groupBy(label).count().collect()}  # one row per class
-    cuts = {}
-    for v, n in counts.items():
-        k = int(round(fraction * n))
-        if k <= 0:
-            continue
-        stratum = x.filter(F.col(label) == F.lit(v)) if v is not None else x.filter(F.col(label).isNull())
-        cuts[v] = exact_rank_values(stratum, ["_h"], {"_h": [k - 1]})["_h"][k - 1]
+    counts = [(r[0], int(r[1])) for r in x.groupBy(label).count().collect()]  # one row per class
+    own = {v: (F.col(label).isNull() if v is None else F.col(label) == F.lit(v)) for v, _ in counts}
+    wanted = {f"_c{i}": (v, int(round(fraction * n)) - 1) for i, (v, n) in enumerate(counts)
+              if int(round(fraction * n)) > 0}
+    # one selection for all classes: a column per class, null in the others
+    per_class = x.select(*[F.when(own[v], F.col("_h")).alias(c) for c, (v, _) in wanted.items()])
+    found = exact_rank_values(per_class, list(wanted), {c: [k] for c, (_, k) in wanted.items()}) if wanted else {}
     cond = F.lit(False)
-    for v, c in cuts.items():
-        is_v = F.col(label).isNull() if v is None else (F.col(label) == F.lit(v))
-        cond = F.when(is_v, F.col("_h") <= F.lit(c)).otherwise(cond)
+    for c, (v, k) in wanted.items():
+        cond = F.when(own[v], F.col("_h") <= F.lit(found[c][k])).otherwise(cond)
     return x.withColumn(out_col, F.coalesce(cond, F.lit(False))).drop("_h")

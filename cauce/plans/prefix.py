@@ -13,7 +13,7 @@ partition would move every row into one task, so instead:
 3. bucket totals are tiny (<= n_buckets rows): they are collected and the
    exclusive running totals computed on the driver (bounded state);
 4. positions inside a bucket come from a window partitioned by bucket,
-   plus the bucket's offset, injected as a literal map (no join).
+   plus the bucket's offset, from a broadcast table of one row a bucket.
 
 Every edge is a literal once computed, so re-execution after a lost
 executor reproduces the same buckets (no sampling at run time).
@@ -22,27 +22,23 @@ executor reproduces the same buckets (no sampling at run time).
 from __future__ import annotations
 
 import math
-from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.session import materialize
 
 
+# approximate percentiles of accuracy 10000 can't tell more buckets apart
+MAX_BUCKETS = 2000
+
+
 def default_buckets(df: DataFrame) -> int:
     try:
         p = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover
         p = 200
-    return max(4, 4 * p)
-
-
-def _lit_map(d: dict, key_type: str, value_type: str) -> Column:
-    if not d:
-        return F.create_map().cast(f"map<{key_type},{value_type}>")
-    return F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in d.items())).cast(
-        f"map<{key_type},{value_type}>")
+    return max(4, min(4 * p, MAX_BUCKETS))
 
 
 def _clean_edges(vals) -> list[float]:
@@ -59,9 +55,16 @@ def _bucketize(df: DataFrame, cols: list[str], edges: dict, prefix: str = "_b_")
     x = df
     for t, c in zip(tmp, cols):
         x = x.withColumn(t, F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))))
-    b = Bucketizer(splitsArray=[[-inf] + edges[c] + [inf] for c in cols], inputCols=tmp,
-                   outputCols=[f"{prefix}{i}" for i in range(len(cols))], handleInvalid="keep")
-    return b.transform(x).drop(*tmp)
+    # without an edge there is one bucket, and nothing to search
+    cut = [i for i, c in enumerate(cols) if edges[c]]
+    for i, t in enumerate(tmp):
+        if i not in cut:
+            x = x.withColumn(f"{prefix}{i}", F.when(F.isnan(t), 1.0).otherwise(0.0))
+    if cut:
+        b = Bucketizer(splitsArray=[[-inf] + edges[cols[i]] + [inf] for i in cut], inputCols=[tmp[i] for i in cut],
+                       outputCols=[f"{prefix}{i}" for i in cut], handleInvalid="keep")
+        x = b.transform(x)
+    return x.drop(*tmp)
 
 
 # --------------------------------------------------------------------------
@@ -70,24 +73,26 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
 
     ``ranks`` maps column -> list of ranks (ints). Nulls and NaN are
     skipped. Returns {column: {rank: value}}. A fixed number of jobs
-    regardless of the number of columns: one pass for approximate edges,
-    one value-count shuffle of the unpivoted, bucketed values, one pass
-    over the (few) buckets holding the requested ranks.
+    regardless of the number of columns: one pass for approximate edges, one
+    for rows per bucket, one that counts the values of the (few) buckets
+    holding the requested ranks. Nothing is written in between.
     """
+    cols = [c for c in cols if ranks.get(c)]
+    if not cols:
+        return {c: {} for c in ranks}
     nb = n_buckets or default_buckets(df)
     probs = [i / nb for i in range(1, nb)]
-    erow = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), probs, 10000).alias(f"e{i}")
-                    for i, c in enumerate(cols)]).collect()[0]
+    clean = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    erow = clean.agg(*[F.percentile_approx(F.col(f"`{c}`"), probs, 10000).alias(f"e{i}")
+                       for i, c in enumerate(cols)]).collect()[0]
     edges = {c: _clean_edges(erow[f"e{i}"]) for i, c in enumerate(cols)}
-    bz = _bucketize(df.select(*[F.col(f"`{c}`") for c in cols]), cols, edges)
+    bz = _bucketize(clean, cols, edges)
     stack = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("double").alias("value"),
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value"),
                  F.col(f"_b_{i}").cast("int").alias("_bucket")) for i, c in enumerate(cols)]))
-    long = bz.select(stack.alias("_kv")).select("_kv.*").filter(
-        F.col("value").isNotNull() & ~F.isnan(F.col("value")))
-    # reused by two jobs below: computed once (at most one row per distinct value)
-    vb = materialize(long.groupBy("feature", "_bucket", "value").agg(F.count(F.lit(1)).alias("c")))
-    totals = vb.groupBy("feature", "_bucket").agg(F.sum("c").alias("c")).collect()
+    long = bz.select(stack.alias("_kv")).select("_kv.*").filter(F.col("value").isNotNull())
+    # pass 1: rows per bucket (columns x buckets rows, combined map-side)
+    totals = long.groupBy("feature", "_bucket").agg(F.count(F.lit(1)).alias("c")).collect()
     by_feat: dict = {}
     for r in totals:
         by_feat.setdefault(r["feature"], []).append((int(r["_bucket"]), int(r["c"])))
@@ -107,8 +112,9 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
                 if lo <= r < hi:
                     need.setdefault((f, b), []).append(r)
                     break
+    out: dict = {c: {} for c in ranks}
     if not need:
-        return {c: {} for c in cols}
+        return out
     spark = df.sparkSession
     # the buckets to open, with their offsets, and the ranks sought in each:
     # at most (columns x ranks) rows, so broadcasting them is bounded
@@ -116,14 +122,15 @@ def exact_rank_values(df: DataFrame, cols: list[str], ranks: dict, n_buckets: in
                                    "feature string, _bucket int, _off bigint")
     ranks_df = spark.createDataFrame([(f, b, r) for (f, b), rs in need.items() for r in sorted(set(rs))],
                                      "feature string, _bucket int, _rank bigint")
-    sub = vb.join(F.broadcast(wanted), ["feature", "_bucket"])
+    # pass 2: only the wanted buckets' rows reach the value counts
+    sub = (long.join(F.broadcast(wanted), ["feature", "_bucket"])
+               .groupBy("feature", "_bucket", "_off", "value").agg(F.count(F.lit(1)).alias("c")))
     w = Window.partitionBy("feature", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     cum = sub.withColumn("cum", F.sum("c").over(w) + F.col("_off"))
     # value at rank r = smallest value whose inclusive cumulative count exceeds r
     hit = (cum.join(F.broadcast(ranks_df), ["feature", "_bucket"])
               .filter(F.col("cum") > F.col("_rank"))
               .groupBy("feature", "_rank").agg(F.min("value").alias("v")))
-    out: dict = {c: {} for c in cols}
     for r in hit.collect():
         out[r["feature"]][int(r["_rank"])] = r["v"]
     return out
@@ -142,7 +149,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     ranks: dict = {}
     pos: dict = {}
     for c in cols:
-        n = int(counts[c])
+        n = int(counts[c] or 0)
         if n == 0:
             continue
         for p in probs:
@@ -189,8 +196,12 @@ def prefix_sums(df: DataFrame, key: str, sums: list[str], descending: bool = Fal
             totals[c] += (r[c] or 0)
     order = F.col(key).desc() if descending else F.col(key).asc()
     w = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b
+    kinds = {c: "bigint" if isinstance(totals[c], int) else "double" for c in sums}
+    # one row per bucket, at most MAX_BUCKETS + 2 of them, so broadcast is bounded
+    offsets = df.sparkSession.createDataFrame(
+        [(bucket, *[offs[c][bucket] for c in sums]) for bucket in sorted(offs[sums[0]])],
+        "_bucket int, " + ", ".join(f"`_off_{c}` {kinds[c]}" for c in sums))
+    out = b.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums]).join(F.broadcast(offsets), "_bucket", "left")
     for c in sums:
-        m = _lit_map(offs[c], "int", "bigint" if isinstance(totals[c], int) else "double")
-        out = out.withColumn(f"cum_{c}", F.sum(c).over(w) + F.coalesce(F.element_at(m, F.col("_bucket")), F.lit(0)))
-    return out.drop("_bucket"), totals
+        out = out.withColumn(f"cum_{c}", F.col(f"cum_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0)))
+    return out.drop("_bucket", *[f"_off_{c}" for c in sums]), totals

@@ -435,7 +435,7 @@ def q_scoring_summary(spark, sf_dir):
 # ----------------------------------------------------------- batch 3: trials, model
 from cauce.operators import model as mdl  # noqa: E402
 from cauce.operators import tuning as tun  # noqa: E402
-from cauce.session import checkpoint_dir, materialize  # noqa: E402
+from cauce.session import materialize, stage_path  # noqa: E402
 from cauce.sources.sinks import RunLog, write_table  # noqa: E402
 
 
@@ -501,9 +501,7 @@ def q_top_trials(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- rows-only queries
-TEST_ITERS = 20  # boosting rounds in the registered model queries (library default: MODEL.max_iter)
-
-
+# The model queries run the library's defaults: early stopping ends a fit, 50 draws make a search.
 def _train_test_a(spark, sf_dir):
     # the feature table is the hand-off between feature build and modelling
     # (the reference persists it too): compute it once per query
@@ -513,7 +511,7 @@ def _train_test_a(spark, sf_dir):
 
 def _fitted(spark, sf_dir):
     tr, te = _train_test_a(spark, sf_dir)
-    return mdl.train_pipeline(tr, te, maxIter=TEST_ITERS)
+    return mdl.train_pipeline(tr, te)
 
 
 @register("stratified_split")
@@ -539,11 +537,10 @@ def q_importance(spark, sf_dir):
 
 @register("permutation_importance")
 def q_perm(spark, sf_dir):
-    """AUC drop per permuted feature (the five most important)."""
+    """AUC drop of every feature, permuted."""
     tr, te = _train_test_a(spark, sf_dir)
-    pm, res = mdl.train_pipeline(tr, te, maxIter=TEST_ITERS)
-    top = [r[0] for r in res["feature_importance"].limit(5).collect()]
-    return mdl.permutation_importance(pm, te, top)
+    pm, _ = mdl.train_pipeline(tr, te)
+    return mdl.permutation_importance(pm, te)
 
 
 def _search_inputs(spark, sf_dir):
@@ -557,10 +554,10 @@ def _search_inputs(spark, sf_dir):
 
 @register("tuning_trials")
 def q_tuning(spark, sf_dir):
-    """M11 + M12 + W8: seeded random search (8 draws in the registered
-    query; the library default is the reference's 50)."""
+    """M11 + M12 + W8: seeded random search of 50 draws, logged as nested runs."""
     mat, _, names = _search_inputs(spark, sf_dir)
-    trials = tun.random_search(mat, names, n_trials=8, parallelism=4, max_iter_cap=TEST_ITERS)
+    log = RunLog(spark, stage_path(spark, "runs"), "propension_digital")
+    trials = tun.random_search(mat, names, parallelism=4, run_log=log, parent_run_id=log.start_run("search"))
     return tun.best_so_far(trials, "auc")
 
 
@@ -568,8 +565,10 @@ def q_tuning(spark, sf_dir):
 def q_baseline_vs_tuned(spark, sf_dir):
     """M13 + M14 + A32: refit best and default configurations, compare."""
     mat, test_mat, names = _search_inputs(spark, sf_dir)
-    trials = tun.random_search(mat, names, n_trials=4, parallelism=4, max_iter_cap=TEST_ITERS)
-    cmp, _, _ = tun.refit_and_compare(mat, test_mat, names, tun.best_trial(trials), max_iter_cap=TEST_ITERS)
+    trials = tun.random_search(mat, names, parallelism=4)
+    log = RunLog(spark, stage_path(spark, "runs"), "propension_digital")
+    cmp, _, _ = tun.refit_and_compare(mat, test_mat, names, tun.best_trial(trials), run_log=log,
+                                      model_path=stage_path(spark, "model"))
     return cmp
 
 
@@ -577,8 +576,8 @@ def q_baseline_vs_tuned(spark, sf_dir):
 def q_pipeline(spark, sf_dir):
     """M8: full training pipeline with the run log; returns the metrics row."""
     tr, te = _train_test_a(spark, sf_dir)
-    log = RunLog(spark, f"{checkpoint_dir(spark)}/cauce_runs", "propension_digital")
-    pm, res = mdl.train_pipeline(tr, te, run_log=log, maxIter=TEST_ITERS)
+    log = RunLog(spark, stage_path(spark, "runs"), "propension_digital")
+    pm, res = mdl.train_pipeline(tr, te, run_log=log)
     m = res["metricas"]
     return spark.createDataFrame([tuple(float(m[k]) if m[k] is not None else None for k in sorted(m))],
                                  ", ".join(f"{k} double" for k in sorted(m)))
@@ -588,13 +587,12 @@ def q_pipeline(spark, sf_dir):
 def q_score_new(spark, sf_dir):
     """M9 + M10 + S5 + S10: persist the fitted model, reload it, score every
     customer, decile them, write the scored table and read it back."""
-    import uuid
     pm, _ = _fitted(spark, sf_dir)
-    path = f"{checkpoint_dir(spark)}/cauce_model_{uuid.uuid4().hex}"
+    path = stage_path(spark, "model")
     pm.save(path)
     loaded = mdl.PropensityModel.load(spark, path)
     scores = mdl.score_customers(loaded, scan_features(feature_stage(spark, sf_dir)))
-    out = f"{checkpoint_dir(spark)}/cauce_scores_{uuid.uuid4().hex}"
+    out = stage_path(spark, "scores")
     write_table(scores, out)
     return spark.read.parquet(out)
 
@@ -602,19 +600,17 @@ def q_score_new(spark, sf_dir):
 @register("run_log")
 def q_run_log(spark, sf_dir):
     """Params, metrics and text rows of a training run, read back."""
-    import uuid
     tr, te = _train_test_a(spark, sf_dir)
-    log = RunLog(spark, f"{checkpoint_dir(spark)}/cauce_runs_{uuid.uuid4().hex}", "propension_digital",
+    log = RunLog(spark, stage_path(spark, "runs"), "propension_digital",
                  {"project": "cauce"})
-    mdl.train_pipeline(tr, te, run_log=log, maxIter=TEST_ITERS)
+    mdl.train_pipeline(tr, te, run_log=log)
     return log.read()
 
 
 @register("write_features")
 def q_write(spark, sf_dir):
     """Write the feature table (overwrite) and read it back."""
-    import uuid
-    path = f"{checkpoint_dir(spark)}/cauce_features_{uuid.uuid4().hex}"
+    path = stage_path(spark, "features")
     write_table(features_a(spark, sf_dir), path)
     return spark.read.parquet(path)
 

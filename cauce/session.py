@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,13 +55,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df, eager: bool = True):
+def stage_path(spark: SparkSession, kind: str = "stage") -> str:
+    """A new folder for intermediate data, under this session's own folder in
+    the shared checkpoint folder (``release`` removes them all)."""
+    return f"{_session_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def _session_dir(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/cauce-{spark.sparkContext.applicationId}"
+
+
+def materialize(df):
     """Cut lineage: write the frame as a Parquet table under the shared
     ``spark.checkpoint.dir`` and read it back. Frames reused by several jobs
     are then computed once, survive executor loss, and later reads get
     column pruning and filter pushdown. Never a local checkpoint."""
-    import uuid
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = stage_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this session has staged. Frames that were built on it
+    can't be read afterwards, so call it when their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def staging(spark: SparkSession):
+    """``with staging(spark): ...`` releases the staged tables at the end."""
+    try:
+        yield spark
+    finally:
+        release(spark)

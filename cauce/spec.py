@@ -55,6 +55,11 @@ class FeatureSpec:
     # (skew guard); None disables the check
     hot_rows: int | None = 2_000_000
 
+    def history_columns(self) -> tuple:
+        """Output columns of the history block, with two means per channel."""
+        base = HISTORY_COLS[:HISTORY_COLS.index("pct_digital_historico") + 1]
+        return base + tuple(f"{m}_promedio_{ch.lower()}" for ch in self.channels for m in ("facturacion", "materiales"))
+
 
 @dataclass(frozen=True)
 class ModelSpec:
@@ -64,13 +69,14 @@ class ModelSpec:
     top_k: float = 0.20
     validation_fraction: float = 0.2
     # boosted-tree parameters (Spark GBT names)
-    max_iter: int = 100
+    max_iter: int = 1000  # an upper bound: early stopping ends it
     max_depth: int = 5
     step_size: float = 0.05
     subsampling_rate: float = 0.8
     feature_subset: str = "0.8"
     min_instances_per_node: int = 20
-    validation_tol: float = 0.01
+    # least relative gain of a round on the validation rows
+    validation_tol: float = 1e-3
     categoricals: tuple = (
         "ultimo_canal",
         "penultimo_canal",
@@ -102,12 +108,16 @@ CATEGORICAL_COLS = ("pais_cd", "madurez_digital_cd", "frecuencia_visitas_cd", "m
 FEATURE_COLS = HISTORY_COLS + TEMPORAL_COLS + SEQUENCE_COLS + CATEGORICAL_COLS
 
 
-def check_transactions(df: DataFrame, cols: Columns = COLUMNS, need_gap: bool = False) -> None:
-    """Validate the input contract; raises ValueError naming what is wrong."""
+def check_transactions(df: DataFrame, cols: Columns = COLUMNS, need_gap: bool = False,
+                       features: bool = False) -> None:
+    """Validate the input contract; raises ValueError naming what is wrong.
+    ``features`` also asks for what only the feature builders read."""
     fields = {f.name: f.dataType for f in df.schema.fields}
     required = [cols.cliente, cols.fecha, cols.canal, cols.pedido]
     if need_gap:
         required.append(cols.dias_ultimo)
+    if features:
+        required += [cols.facturacion, cols.materiales, cols.pais, cols.madurez, cols.frecuencia]
     missing = [c for c in required if c not in fields]
     if missing:
         raise ValueError(f"transaction frame lacks columns {missing}")
