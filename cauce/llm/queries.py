@@ -68,7 +68,34 @@ def op6(spark, sf_dir):
     return fingerprints(documents(spark, sf_dir))
 
 
-@register("op10_suffix_dedup")
+#: Bytes as hex text, so that a byte is two characters and a window 800.
+SUFFIX_DEDUP_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+  SELECT rid, i, md5(substr(x, 2 * i + 1, 800)) AS h
+  FROM (SELECT rid, x, unnest(range(0, len(x) // 2 - 399)) AS i FROM d WHERE len(x) >= 800)),
+s AS (
+  SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS p
+  FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+r AS (
+  SELECT rid, min(i) AS a, max(i) + 400 AS b
+  FROM (SELECT rid, i, sum(CASE WHEN p IS NULL OR i > p + 400 THEN 1 ELSE 0 END)
+               OVER (PARTITION BY rid ORDER BY i) AS run FROM s)
+  GROUP BY rid, run),
+k AS (
+  SELECT r.rid, a, b, x, lag(b, 1, 0) OVER (PARTITION BY r.rid ORDER BY a) AS q FROM r JOIN d ON d.rid = r.rid),
+g AS (
+  SELECT rid, count(*) AS n_spans, sum(b - a) AS n_removed,
+         string_agg(substr(x, 2 * q + 1, 2 * (a - q)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept
+  FROM k GROUP BY rid)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN g ON g.rid = d.rid
+"""
+
+
+@register("op10_suffix_dedup", SUFFIX_DEDUP_SQL)
 def op10(spark, sf_dir):
     """All documents without the bytes of repeated 400-byte strings."""
     from cauce.llm.suffix_dedup import dedup
