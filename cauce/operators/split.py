@@ -38,8 +38,10 @@ def split_summary(split_df: DataFrame, split_col: str = "split", label: str = "t
 
 
 def _hash_key(key: str, seed: int):
-    # 52 bits of a seeded 64-bit hash: exactly representable as a double
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52)).cast("double")
+    # the first 13 hex digits of md5('seed:key'): 52 bits, exact as a double
+    # and the same in any engine
+    text = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double")
 
 
 def stratified_split(df: DataFrame, label: str = "target", fraction: float = 0.2, seed: int = 42,

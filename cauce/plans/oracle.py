@@ -8,11 +8,40 @@ aggregates. Doubles are rounded to 6 places on both sides.
 
 from __future__ import annotations
 
-from cauce.sources.fixtures import (
-    DIGITAL_PRIORITIES, EVENT_COUNTRIES, EVENT_DIGITAL, EVENT_FREQUENCY, EVENT_MATURITY,
-    EVENT_PHONE, EVENT_SELLER, PHONE_PRIORITIES, SEGMENT_MATURITY,
-)
-from cauce.spec import CHANNELS, HISTORY_COLS, MATURITY_SCORES, TEMPORAL_COLS
+# The specification's values, written out here again on purpose: a wrong
+# constant of the implementation must turn its row red.
+DIGITAL_PRIORITIES = ('1-URGENT', '2-HIGH')
+EVENT_COUNTRIES = ('PE', 'CO', 'MX', 'CL', 'EC')
+EVENT_DIGITAL = ('click', 'purchase')
+EVENT_FREQUENCY = ('SEMANAL', 'QUINCENAL', 'MENSUAL', None)
+EVENT_MATURITY = ('ALTA', 'MEDIA', 'BAJA')
+EVENT_PHONE = ('view',)
+EVENT_SELLER = ('signup', 'error')
+PHONE_PRIORITIES = ('3-MEDIUM',)
+SEGMENT_MATURITY = {'AUTOMOBILE': 'ALTA', 'BUILDING': 'MEDIA', 'FURNITURE': 'BAJA', 'HOUSEHOLD': 'DESCONOCIDA'}
+CHANNELS = ('DIGITAL', 'TELEFONO', 'VENDEDOR')
+HISTORY_COLS = ('total_pedidos',
+ 'facturacion_promedio',
+ 'facturacion_std',
+ 'facturacion_total',
+ 'materiales_promedio',
+ 'materiales_std',
+ 'dias_ultimo_promedio',
+ 'pedidos_digitales_total',
+ 'pct_digital_historico',
+ 'facturacion_promedio_digital',
+ 'materiales_promedio_digital',
+ 'facturacion_promedio_telefono',
+ 'materiales_promedio_telefono',
+ 'facturacion_promedio_vendedor',
+ 'materiales_promedio_vendedor')
+MATURITY_SCORES = {'ALTA': 0.75, 'MEDIA': 0.55, 'BAJA': 0.35}
+TEMPORAL_COLS = ('pct_digital_90d',
+ 'pct_digital_30d',
+ 'tendencia_digital',
+ 'pedidos_ultimos_90d',
+ 'pedidos_ultimos_30d',
+ 'dias_desde_ultimo_digital')
 
 
 def _q(v):
@@ -276,21 +305,21 @@ def correlation_sql() -> str:
     return rounded(with_ft(body), ["correlation"])
 
 
-def histogram_sql(by: str | None = None, bins: int = 50) -> str:
+def histogram_sql(by: str | None = None, bins: int = 50, src: str = "sc", extra: str = "") -> str:
     g = f"{by}, " if by else ""
     join = f"JOIN rg USING ({by})" if by else "CROSS JOIN rg"
     body = f"""
 SELECT {g}bin, lo + bin * (hi - lo) / {bins} AS bin_lo, lo + (bin + 1) * (hi - lo) / {bins} AS bin_hi, COUNT(*) AS n
 FROM (SELECT {g}lo, hi, CAST(LEAST(FLOOR((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin
-      FROM (SELECT {g}CAST(propension_digital AS DOUBLE) AS x FROM sc WHERE propension_digital IS NOT NULL) s
+      FROM (SELECT {g}CAST(propension_digital AS DOUBLE) AS x FROM {src} WHERE propension_digital IS NOT NULL) s
       {join})
 GROUP BY {g}bin, lo, hi"""
-    extra = f""",
+    extra += f""",
 rg AS (SELECT {g}CASE WHEN MIN(propension_digital) = MAX(propension_digital) THEN MIN(propension_digital) - 0.5
                     ELSE MIN(propension_digital) END AS lo,
               CASE WHEN MIN(propension_digital) = MAX(propension_digital) THEN MAX(propension_digital) + 0.5
                     ELSE MAX(propension_digital) END AS hi
-       FROM sc WHERE propension_digital IS NOT NULL {"GROUP BY " + by if by else ""})"""
+       FROM {src} WHERE propension_digital IS NOT NULL {"GROUP BY " + by if by else ""})"""
     return rounded(with_ft(body, extra), ["bin_lo", "bin_hi"])
 
 
@@ -398,3 +427,21 @@ def segments_select(n: int, score: str = "propension_digital", src: str = "sc")
     whens = " ".join(f"WHEN {score} <= e[{i + 1}] THEN '{labels[i - 1]}'" for i in range(1, n))
     return (f"SELECT cliente_id, {score}, CASE {whens} ELSE '{labels[n - 1]}' END AS segmento_propension "
             f"FROM {src}, (SELECT quantile_cont({score}, {dlist(linspace(n))}) AS e FROM {src})")
+
+
+def stratified_sql(fraction: str = "0.2", seed: int = 42) -> str:
+    """M2 by ranks: the first round(fraction * n) customers of each class in
+    the order of the first 13 hex digits of md5('seed:id')."""
+    body = f"""
+SELECT cliente_id, target, r <= round({fraction} * n) AS is_validation
+FROM (SELECT cliente_id, target, COUNT(*) OVER (PARTITION BY target) AS n,
+             ROW_NUMBER() OVER (PARTITION BY target ORDER BY substr(md5('{seed}:' || cliente_id), 1, 13)) AS r
+      FROM sp WHERE split = 'train')"""
+    return with_ft(body, SPLIT_CTE)
+
+
+def parity_sql() -> str:
+    """Every column that scoring carries beside the model's own."""
+    extra = ["cliente_id", "fecha_pedido_dt", "frecuencia_visitas_cd", "madurez_digital_cd", "pais_cd",
+             "penultimo_canal", "target", "transicion_canal"]
+    return " UNION ALL ".join(f"SELECT 'extra' AS kind, {_q(c)} AS column_name" for c in extra)

@@ -514,7 +514,7 @@ def _fitted(spark, sf_dir):
     return mdl.train_pipeline(tr, te)
 
 
-@register("stratified_split")
+@register("stratified_split", O.stratified_sql())
 def q_stratified(spark, sf_dir):
     """M2: exact stratified 80/20 hold-out of the training customers."""
     tr, _ = _train_test_a(spark, sf_dir)
@@ -607,7 +607,7 @@ def q_run_log(spark, sf_dir):
     return log.read()
 
 
-@register("write_features")
+@register("write_features", ORACLE["feature_table"])
 def q_write(spark, sf_dir):
     """Write the feature table (overwrite) and read it back."""
     path = stage_path(spark, "features")
@@ -615,9 +615,37 @@ def q_write(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("schema_parity")
+@register("schema_parity", O.parity_sql())
 def q_parity(spark, sf_dir):
     """Expected model columns vs the columns built for scoring."""
-    pm, res = _fitted(spark, sf_dir)
-    produced = pm.prepare(scan_features(features_a(spark, sf_dir))).columns
-    return mdl.schema_parity(res["feature_names"], produced, spark)
+    tr, te = _train_test_a(spark, sf_dir)
+    _, names, vocab = enc_ops.model_matrix(tr, mdl.MODEL.categoricals)
+    return mdl.schema_parity(names, vocab.transform(te).columns, spark)
+
+
+@register("best_trial", O.rounded(O.with_ft(
+    "SELECT trial, threshold, f1_score FROM tr ORDER BY f1_score DESC NULLS LAST, trial ASC LIMIT 1",
+    _threshold_trials_sql()), ["threshold", "f1_score"]))
+def q_best_trial(spark, sf_dir):
+    """The trial with the best metric, as a row."""
+    best = tun.best_trial(tun.threshold_trials(scored_a(spark, sf_dir)), "f1_score")
+    return spark.createDataFrame([(best["trial"], best["threshold"], best["f1_score"])],
+                                 "trial int, threshold double, f1_score double")
+
+
+@register("score_histogram_by_segment", O.histogram_sql("segmento_propension", src="sg", extra=SEG_CTE))
+def q_hist_segment(spark, sf_dir):
+    """50-bin histograms per segment, each on its own range."""
+    sg = seg.segment_customers(scored_a(spark, sf_dir), "propension_digital", 10)
+    return prof.histogram(sg, "propension_digital", 50, by="segmento_propension")
+
+
+@register("conform_dates", f"""WITH {O.tx_ctes('A')}
+SELECT cliente_id, pedido_id, CAST(fecha_pedido_dt AS TIMESTAMP) AS fecha_pedido_dt,
+       round(CAST(facturacion_usd_val AS DOUBLE), 6) AS facturacion_usd_val FROM tx""")
+def q_conform(spark, sf_dir):
+    """Dates that come as text and amounts as decimals, conformed."""
+    tx = orders_transactions(spark, sf_dir)
+    raw = tx.withColumn("fecha_pedido_dt", F.date_format("fecha_pedido_dt", "yyyy-MM-dd HH:mm:ss")) \
+        .withColumn("facturacion_usd_val", F.col("facturacion_usd_val").cast("decimal(18,2)"))
+    return prepare.conform_transactions(raw).select("cliente_id", "pedido_id", "fecha_pedido_dt", "facturacion_usd_val")
