@@ -66,7 +66,7 @@ SELECT cliente_id, pedido_id, fecha_pedido_dt, canal_pedido_cd, facturacion_usd_
                                      ["facturacion_usd_val"]))
 def q_eligible(spark, sf_dir):
     """Historical orders of customers with >= 2 orders, last removed."""
-    return prepare.eligible_orders(tx_a(spark, sf_dir))
+    return prepare.eligible_orders(orders_transactions(spark, sf_dir))
 
 
 @register("label_last_order", f"""WITH {O.tx_ctes('A')}
@@ -75,7 +75,7 @@ SELECT cliente_id, pedido_id, fecha_pedido_dt, canal_pedido_cd AS canal_ultimo_p
 FROM pos WHERE n >= 2 AND rn = n""")
 def q_label(spark, sf_dir):
     """W7, P17."""
-    return prepare.label_last_order(tx_a(spark, sf_dir))
+    return prepare.label_last_order(orders_transactions(spark, sf_dir))
 
 
 @register("channel_lags", f"""WITH {O.tx_ctes('A')}
@@ -86,7 +86,7 @@ SELECT cliente_id, pedido_id, fecha_pedido_dt, canal_pedido_cd,
 FROM tx""")
 def q_lags(spark, sf_dir):
     """W2."""
-    return prepare.channel_lags(tx_a(spark, sf_dir), 3)
+    return prepare.channel_lags(orders_transactions(spark, sf_dir), 3)
 
 
 @register("channel_runs", f"""WITH {O.tx_ctes('A')},
@@ -97,7 +97,7 @@ SELECT cliente_id, CAST(grupo_racha AS BIGINT) AS grupo_racha, MAX(canal_pedido_
 FROM g GROUP BY cliente_id, grupo_racha""")
 def q_runs(spark, sf_dir):
     """W4, W5, W6."""
-    return prepare.channel_runs(tx_a(spark, sf_dir))
+    return prepare.channel_runs(orders_transactions(spark, sf_dir))
 
 
 # --------------------------------------------------------------------- features
@@ -105,14 +105,14 @@ def q_runs(spark, sf_dir):
                                     [c for c in O.FEATURE_DOUBLES if c in O.HISTORY_COLS]))
 def q_hist(spark, sf_dir):
     """A1, A2, A3 over all orders."""
-    return feat.history_features(tx_a(spark, sf_dir))
+    return feat.history_features(orders_transactions(spark, sf_dir))
 
 
 @register("feat_temporal", O.rounded(f"WITH {O.tx_ctes('A')} {O.temporal_sql('pos')}",
                                      ["pct_digital_90d", "pct_digital_30d", "tendencia_digital"]))
 def q_temp(spark, sf_dir):
     """A4, A5, A6, P3, P11, P13 over all orders."""
-    return feat.temporal_features(tx_a(spark, sf_dir))
+    return feat.temporal_features(orders_transactions(spark, sf_dir))
 
 
 @register("feat_temporal_events", O.rounded(
@@ -120,20 +120,20 @@ def q_temp(spark, sf_dir):
     ["pct_digital_90d", "pct_digital_30d", "tendencia_digital"]))
 def q_temp_ev(spark, sf_dir):
     """A4-A6 on sub-day timestamps (fixture B, 10/3-day windows)."""
-    return feat.temporal_features(tx_b(spark, sf_dir), EVENTS_SPEC)
+    return feat.temporal_features(events_transactions(spark, sf_dir), EVENTS_SPEC)
 
 
 @register("feat_sequence", f"WITH {O.tx_ctes('A')} {O.sequence_sql('pos')}")
 def q_seq(spark, sf_dir):
     """W3-W6, W10, P14."""
-    return feat.sequence_features(tx_a(spark, sf_dir))
+    return feat.sequence_features(orders_transactions(spark, sf_dir))
 
 
 @register("feat_categorical", O.rounded(f"WITH {O.tx_ctes('A')} {O.categorical_sql('pos')}",
                                         ["madurez_digital_encoded"]))
 def q_cat(spark, sf_dir):
     """A7, P16."""
-    return feat.categorical_features(tx_a(spark, sf_dir))
+    return feat.categorical_features(orders_transactions(spark, sf_dir))
 
 
 @register("feature_table", O.rounded(f"WITH {O.feature_table_ctes('A')} SELECT * FROM ft", O.FEATURE_DOUBLES))
@@ -223,7 +223,7 @@ SELECT COUNT(*) FILTER (WHERE tendencia_digital > 0.1) AS clientes_acelerando,
 FROM ({O.temporal_sql('pos')})""")
 def q_trend_counts(spark, sf_dir):
     """A12 over the temporal features of all orders."""
-    return prof.trend_counts(feat.temporal_features(tx_a(spark, sf_dir)))
+    return prof.trend_counts(feat.temporal_features(orders_transactions(spark, sf_dir)))
 
 
 @register("target_distribution", O.rounded(O.with_ft(
