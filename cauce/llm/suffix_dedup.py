@@ -37,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cauce.llm.common import ship, stage
+from cauce.llm.common import ship, shuffle_partitions, stage
 
 K = 128
 #: Buffer of at most 2**BITS bytes are hashed at once; longer texts in pieces.
 BITS = 20
 #: Bytes of context per shard on average, and distinct contexts of one anchor
 #: that one shard takes.
-SHARD_BYTES, SHARD_CONTEXTS = 4_000_000, 2000
+SHARD_BYTES, SHARD_CONTEXTS = 2_000_000, 2000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -240,12 +240,15 @@ def _spans(key: np.ndarray, start: np.ndarray):
     return key[at], start[at], np.diff(np.append(at, len(key)))
 
 
-_FOUND = "key long, lo long, n int, hi long, low long, weight int"
+#: A window that is merged across shards: digest, place, and its weight.
+_WINDOW = np.dtype([("hi", "<i8"), ("low", "<i8"), ("key", "<i8"), ("lo", "<i8"), ("weight", "<i8")])
+_FOUND = "key long, lo long, n int, part int, run binary"
 
 
-def shard_repeats(contexts: DataFrame, n_shards: int, width: int) -> DataFrame:
-    """Rows (key, lo, n) for repeats found within a shard (hi null), and rows
-    with a window's digest for what split anchors have to merge across shards."""
+def shard_repeats(contexts: DataFrame, n_shards: int, n_parts: int, width: int) -> DataFrame:
+    """Rows (key, lo, n) for repeats found within a shard (part null). What
+    split anchors have to merge across shards follows as one sorted run of
+    windows for each of ``n_parts`` ranges of digests."""
     from xxhash import xxh3_128_digest as digest
 
     def one(rows: pa.Table) -> pa.Table:
@@ -254,44 +257,46 @@ def shard_repeats(contexts: DataFrame, n_shards: int, width: int) -> DataFrame:
         weights, split = rows["weight"].to_numpy(), np.asarray(rows["split"].to_pylist(), bool)
         of, offset, run, twice = repeated_windows(texts, rows["n"].to_numpy(), weights, width)
         hit = twice & (weights[of] == 1)
-        a = _spans(keys[of[hit]], los[of[hit]] + offset[hit])
+        key, lo, n = _spans(keys[of[hit]], los[of[hit]] + offset[hit])
         # of split anchors: windows still single, and the first of each repeated run
         head = np.concatenate([[True], run[1:] != run[:-1]]) if len(run) else np.empty(0, bool)
         cross = np.nonzero(split[of] & (~twice | head))[0]
+        w = np.empty(len(cross), _WINDOW)
         d = np.frombuffer(b"".join(digest(texts[of[i]][offset[i]:offset[i] + width]) for i in cross), "<i8").reshape(-1, 2)
-        m = len(a[0])
-        cols = [np.concatenate([a[0], keys[of[cross]]]), np.concatenate([a[1], los[of[cross]] + offset[cross]]),
-                np.concatenate([a[2], np.ones(len(cross), np.int64)]).astype(np.int32)]
-        mask = np.arange(m + len(cross)) < m
-        two = [pa.array(np.concatenate([np.zeros(m, np.int64), d[:, j]]), mask=mask) for j in (0, 1)]
-        w = np.concatenate([np.zeros(m), 1 + twice[cross]]).astype(np.int32)
-        return pa.table([*map(pa.array, cols), *two, pa.array(w, mask=mask)],
+        w["hi"], w["low"], w["key"], w["lo"] = d[:, 0], d[:, 1], keys[of[cross]], los[of[cross]] + offset[cross]
+        w["weight"] = 1 + twice[cross]
+        w = w[np.lexsort((w["low"], w["hi"]))]
+        part = w["hi"] % n_parts
+        own = np.unique(part).tolist()
+        none = len(own)
+        return pa.table([pa.array(key.tolist() + [None] * none, pa.int64()), pa.array(lo.tolist() + [None] * none, pa.int64()),
+                         pa.array(n.tolist() + [None] * none, pa.int32()), pa.array([None] * len(key) + own, pa.int32()),
+                         pa.array([None] * len(key) + [w[part == p].tobytes() for p in own], pa.binary())],
                         [f.split()[0] for f in _FOUND.split(", ")])
 
     return contexts.repartition(n_shards, "shard").groupBy("shard").applyInArrow(one, _FOUND)
 
 
-def merge_across(windows: DataFrame) -> DataFrame:
-    """Windows that more than one shard holds: rows are dealt by digest, each
-    digest's place among all of its part is found by binary search."""
+def merge_across(runs: DataFrame) -> DataFrame:
+    """Windows that more than one shard holds: the sorted runs of a part of the
+    digests are merged, each window's equals found by binary search."""
     def task(batches):
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        hi, low, w = (t[c].to_numpy() for c in ("hi", "low", "weight"))
-        order = np.lexsort((low, hi))
-        hi_s, low_s = hi[order], low[order]
-        # runs of equal digests, then each window's run by binary search
-        new = np.concatenate([[True], (hi_s[1:] != hi_s[:-1]) | (low_s[1:] != low_s[:-1])])
-        at = np.nonzero(new)[0]
-        run = np.searchsorted(at, np.arange(len(hi)), "right") - 1
-        total = np.bincount(run, w[order])
-        hit = (total[run] >= 2) & (w[order] == 1)
-        key, lo, n = _spans(t["key"].to_numpy()[order][hit], t["lo"].to_numpy()[order][hit])
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo), pa.array(n.astype(np.int32))], ["key", "lo", "n"])
-
-    return windows.repartition("hi").mapInArrow(task, "key long, lo long, n int")
+        held: dict[int, list[bytes]] = {}
+        for b in batches:
+            for part, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                held.setdefault(part, []).append(raw)
+        for part in sorted(held):
+            w = np.frombuffer(b"".join(held.pop(part)), _WINDOW)
+            order = np.lexsort((w["low"], w["hi"]))
+            w = w[order]
+            new = np.concatenate([[True], (w["hi"][1:] != w["hi"][:-1]) | (w["low"][1:] != w["low"][:-1])])
+            equal = np.searchsorted(np.nonzero(new)[0], np.arange(len(w)), "right") - 1
+            total = np.bincount(equal, w["weight"])
+            hit = (total[equal] >= 2) & (w["weight"] == 1)
+            key, lo, n = _spans(w["key"][hit], w["lo"][hit])
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo), pa.array(n.astype(np.int32))], ["key", "lo", "n"])
+
+    return runs.select("part", "run").repartition("part").mapInArrow(task, "key long, lo long, n int")
 
 
 def repeats(rows: DataFrame, width: int) -> DataFrame:
@@ -299,14 +304,15 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
     table = stage(anchor_table(rows, width))
     shared = (table.groupBy("h").agg(F.count(F.lit(1)).alias("t"), (F.min("ctx") != F.max("ctx")).alias("mixed"))
               .where("t > 1").select("h", "mixed"))
-    suspect = stage(table.join(shared, "h"))
+    # joined as written tables, whose hot anchors Spark can split
+    suspect = stage(table.join(stage(shared), "h"))
     context = stage(suspect.groupBy("h", "ctx", "mixed").agg(
         F.count(F.lit(1)).alias("copies"), F.first("key").alias("key"), F.first("lo").alias("lo"),
         F.first("n").alias("n")))
     settled = suspect.join(context.where("copies > 1").select("h", "ctx"), ["h", "ctx"]).select("key", "lo", "n")
 
     rim = context.where("mixed")
-    per_anchor = rim.groupBy("h").agg(F.count(F.lit(1)).alias("d"))
+    per_anchor = stage(rim.groupBy("h").agg(F.count(F.lit(1)).alias("d")))
     rim = rim.join(per_anchor, "h").withColumn("parts", F.ceil(F.col("d") / SHARD_CONTEXTS).cast("long"))
     size = rim.agg(F.sum(F.col("n") + width)).first()[0] or 0
     n_shards = max(1, -(-int(size) // SHARD_BYTES))
@@ -334,9 +340,9 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
     texts = rows.where(F.octet_length("text") >= width).select("key", "text")
     held = texts.join(wanted, "key").select("key", "text", "cuts").mapInArrow(
         cut, "key long, lo long, n int, weight int, split boolean, shard int, bytes binary")
-    found = stage(shard_repeats(held, n_shards, width))
-    crossed = merge_across(found.where("hi is not null"))
-    return settled.unionByName(found.where("hi is null").select("key", "lo", "n")).unionByName(crossed)
+    found = stage(shard_repeats(held, n_shards, max(n_shards, shuffle_partitions(rows.sparkSession)), width))
+    crossed = merge_across(found.where("part is not null"))
+    return settled.unionByName(found.where("part is null").select("key", "lo", "n")).unionByName(crossed)
 
 
 def dedup(docs: DataFrame, width: int = 400, with_text: bool = False) -> DataFrame:
