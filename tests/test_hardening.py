@@ -145,3 +145,23 @@ def test_staged_folders_go(spark):
         assert fs.exists(path)
     assert not fs.exists(path)
     release(other)  # again, without anything to remove
+
+
+def test_managed_tables_are_written_and_scanned(spark):
+    from cauce.sources.sinks import write_table
+    from cauce.sources.tables import read_table, scan_transactions
+    rows = [(i % 5, i, dt.date(2024, 1, 1) + dt.timedelta(days=i), "DIGITAL", 1.0, 2, "PE", "ALTA", "S") for i in range(40)]
+    tx = spark.createDataFrame(rows, "cliente_id bigint, pedido_id bigint, fecha_pedido_dt date, canal_pedido_cd string, "
+                                     "facturacion_usd_val double, materiales_distintos_val bigint, pais_cd string, "
+                                     "madurez_digital_cd string, frecuencia_visitas_cd string")
+    try:
+        write_table(tx, "cauce_test_tx", bucket_by=(4, "cliente_id"))
+        back = scan_transactions(spark, "cauce_test_tx")
+        assert back.count() == 40 and read_table(spark, "cauce_test_tx").columns == tx.columns
+        plan = back.groupBy("cliente_id").count()._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan  # the buckets serve the aggregate
+        write_table(feat.feature_table(back), "cauce_test_ft")
+        assert spark.table("cauce_test_ft").count() == 5
+    finally:
+        spark.sql("DROP TABLE IF EXISTS cauce_test_tx")
+        spark.sql("DROP TABLE IF EXISTS cauce_test_ft")
