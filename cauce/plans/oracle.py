@@ -369,17 +369,28 @@ def model_matrix_sql() -> str:
     return rounded(with_ft(" UNION ALL ".join(parts), SPLIT_CTE), ["value"])
 
 
-def cum_cte(score: str = "propension_digital", src: str = "sc") -> str:
+def cum_cte(score: str = "propension_digital", src: str = "sc", suffix: str = "") -> str:
+    st, cu, tt = f"st{suffix}", f"cu{suffix}", f"tt{suffix}"
     return f""",
-st AS (SELECT CAST({score} AS DOUBLE) AS score, SUM(target) AS pos, SUM(1 - target) AS neg, COUNT(*) AS cnt
+{st} AS (SELECT CAST({score} AS DOUBLE) AS score, SUM(target) AS pos, SUM(1 - target) AS neg, COUNT(*) AS cnt
        FROM {src} WHERE {score} IS NOT NULL GROUP BY 1),
-cu AS (SELECT *, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
-                 SUM(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg FROM st),
-tt AS (SELECT CAST(SUM(pos) AS DOUBLE) AS p, CAST(SUM(neg) AS DOUBLE) AS q FROM st)"""
+{cu} AS (SELECT *, SUM(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+                 SUM(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg FROM {st}),
+{tt} AS (SELECT CAST(SUM(pos) AS DOUBLE) AS p, CAST(SUM(neg) AS DOUBLE) AS q FROM {st})"""
 
 
-AUC = "(SELECT SUM(neg * (cum_pos - pos / 2.0)) / ((SELECT p FROM tt) * (SELECT q FROM tt)) FROM cu)"
-AP = "(SELECT SUM(pos * (CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg))) / (SELECT p FROM tt) FROM cu)"
+def auc(suffix: str = "") -> str:
+    tt = f"tt{suffix}"
+    return (f"(SELECT SUM(neg * (cum_pos - pos / 2.0)) / ((SELECT p FROM {tt}) * (SELECT q FROM {tt})) "
+            f"FROM cu{suffix})")
+
+
+def ap(suffix: str = "") -> str:
+    return (f"(SELECT SUM(pos * (CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg))) / (SELECT p FROM tt{suffix}) "
+            f"FROM cu{suffix})")
+
+
+AUC, AP = auc(), ap()
 
 
 def confusion_select(score: str = "propension_digital", src: str = "sc", t: float = 0.5) -> str:
@@ -400,8 +411,8 @@ FROM {confusion_select()}"""
     return rounded(with_ft(body), ["precision", "recall", "specificity", "f1_score"])
 
 
-def metrics_all_body(score: str = "propension_digital", src: str = "sc") -> str:
-    return f"""SELECT {AUC} AS roc_auc, {AP} AS avg_precision, precision, recall,
+def metrics_all_body(score: str = "propension_digital", src: str = "sc", suffix: str = "") -> str:
+    return f"""SELECT {auc(suffix)} AS roc_auc, {ap(suffix)} AS avg_precision, precision, recall,
   COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0) AS f1_score, specificity,
   true_positives, false_positives, true_negatives, false_negatives
 FROM {confusion_select(score, src)}"""

@@ -439,20 +439,12 @@ from cauce.session import materialize, stage_path  # noqa: E402
 from cauce.sources.sinks import RunLog, write_table  # noqa: E402
 
 
-def _suffixed(sql: str, suf: str) -> str:
-    for name in ("st", "cu", "tt"):
-        sql = sql.replace(f" {name} ", f" {name}{suf} ").replace(f"\n{name} ", f"\n{name}{suf} ").replace(
-            f"FROM {name})", f"FROM {name}{suf})").replace(f"FROM {name}\n", f"FROM {name}{suf}\n")
-    return sql
-
-
 def _metric_cmp_sql() -> str:
     parts, ctes = [], ""
     for suf, score, name in (("_b", "madurez_digital_encoded", "Baseline"), ("_o", "pct_digital_historico",
                                                                               "Optimizado")):
-        ctes += _suffixed(O.cum_cte(score, "ft"), suf)
-        body = _suffixed(O.metrics_all_body(score, "ft").replace(O.AUC, _suffixed(O.AUC, suf)).replace(
-            O.AP, _suffixed(O.AP, suf)), suf)
+        ctes += O.cum_cte(score, "ft", suf)
+        body = O.metrics_all_body(score, "ft", suf)
         lift = O.lift_body(score, "ft")
         ctes += f",\nm{suf} AS (SELECT '{name}' AS modelo, m.*, l.lift_score FROM ({body}) m, ({lift}) l)"
     cols = list(tun.COMPARE_METRICS)
