@@ -113,10 +113,21 @@ def metrics_all(scored: DataFrame, threshold: float = 0.5, label: str = LABEL, s
         "true_positives", "false_positives", "true_negatives", "false_negatives")
 
 
-def roc_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataFrame:
+def roc_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE,
+              drop_intermediate: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, plus the
-    starting point (inf, 0, 0)."""
-    cum, tot = cumulative(scored, label, score)
+    starting point (inf, 0, 0). ``drop_intermediate`` leaves out inner points
+    that lie on the line between their neighbours' steps: those whose next score
+    adds as many positives and negatives as they do. The next score is found by an equi-join on
+    the running number of distinct scores, not by a global window."""
+    if drop_intermediate:
+        cum, tot = prefix_sums(score_table(scored, label, score).withColumn("one", F.lit(1).cast("bigint")),
+                               "score", ["pos", "neg", "one"], descending=True)
+        nxt = cum.select((F.col("cum_one") - 1).alias("cum_one"), F.col("pos").alias("np"), F.col("neg").alias("nn"))
+        kept = (F.col("cum_one") == 1) | F.col("np").isNull() | (F.col("np") != F.col("pos")) | (F.col("nn") != F.col("neg"))
+        cum = cum.join(nxt, "cum_one", "left").filter(kept)
+    else:
+        cum, tot = cumulative(scored, label, score)
     P, N = float(tot["pos"]), float(tot["neg"])
     pts = cum.select(F.col("score").alias("threshold"),
                      (F.col("cum_neg") / F.lit(N) if N else F.lit(None).cast("double")).alias("fpr"),

@@ -347,6 +347,17 @@ def q_roc_curve(spark, sf_dir):
     return met.roc_curve(scored_a(spark, sf_dir))
 
 
+@register("roc_curve_thin", O.rounded(O.with_ft(
+    "SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS fpr, CAST(0 AS DOUBLE) AS tpr "
+    "UNION ALL SELECT score, cum_neg / (SELECT q FROM tt), cum_pos / (SELECT p FROM tt) "
+    "FROM (SELECT *, ROW_NUMBER() OVER w AS i, LEAD(pos) OVER w AS np, LEAD(neg) OVER w AS nn FROM cu "
+    "WINDOW w AS (ORDER BY score DESC)) WHERE i = 1 OR np IS NULL OR np <> pos OR nn <> neg",
+    O.cum_cte()), ["threshold", "fpr", "tpr"]))
+def q_roc_thin(spark, sf_dir):
+    """A30 without the inner points of straight stretches."""
+    return met.roc_curve(scored_a(spark, sf_dir), drop_intermediate=True)
+
+
 @register("pr_curve", O.rounded(O.with_ft(
     "SELECT score AS threshold, CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg) AS precision, "
     "cum_pos / (SELECT p FROM tt) AS recall FROM cu "
