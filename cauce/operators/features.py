@@ -248,14 +248,16 @@ def _final_fill(df: DataFrame) -> DataFrame:
 
 
 def feature_table(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns = COLUMNS,
-                  ref_date=None) -> DataFrame:
+                  ref_date=None, profile: dict | None = None) -> DataFrame:
     """M15 fused: customers with >= ``min_orders`` orders; features over all
     but the last order; target from the last order; ``fecha_pedido_dt`` the
     customer's latest order date. The reference date (N6) is the maximum
     date of the historical rows, found from a recent date slice
-    (``historical_reference_date``) unless ``ref_date`` is given."""
+    (``historical_reference_date``) unless ``ref_date`` is given. A
+    ``customer_profile`` that is at hand can be passed, and is not computed again."""
     check_transactions(tx, cols, features=True)
-    profile = customer_profile(tx, cols, spec.hot_rows)  # one pass: hot customers + date bounds
+    if profile is None:  # one pass: hot customers + date bounds
+        profile = customer_profile(tx, cols, spec.hot_rows)
     x = with_positions(tx, cols, spec.hot_rows, profile).filter(F.col(N) >= spec.min_orders)
     hist = F.col(RN) < F.col(N)
     last = F.col(RN) == F.col(N)
