@@ -193,9 +193,10 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", size).alias("key"))
     # the row's own names stay apart in a struct
-    alone = keyed.join(chosen.where("n = 1"), "key").withColumn("times", F.col("copies"))
+    # one way to join at every size: texts are dealt by key once, the keys hashed
+    alone = keyed.join(chosen.where("n = 1").hint("shuffle_hash"), "key").withColumn("times", F.col("copies"))
     order = Window.partitionBy("key").orderBy(F.xxhash64("row.text"))
-    several = keyed.join(chosen.where("n > 1"), "key").withColumn("at", F.row_number().over(order)).withColumn(
+    several = keyed.join(chosen.where("n > 1").hint("shuffle_hash"), "key").withColumn("at", F.row_number().over(order)).withColumn(
         "times", F.expr("copies div n + cast(at <= copies % n as bigint)")).drop("at")
     both = alone.unionByName(several)
     return both.withColumn("again", F.explode(F.expr("array_repeat(0, cast(times as int))"))).select("row.*")

@@ -225,6 +225,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFrame:
              .groupBy("root").agg(F.min(F.struct("row_key", "n")).alias("first")))
     first = stage(first.select(F.col("first.row_key").alias("key"), F.col("first.n").alias("n")))
     keyed = docs.select(F.struct("*").alias("row"), row_key().alias("key"))  # the row's own names stay apart
-    once = keyed.join(first.where("n = 1").select("key"), "key")
-    many = keyed.join(first.where("n > 1").select("key"), "key").dropDuplicates(["key"])
+    # one way to join at every size: texts are dealt by key once, the keys hashed
+    once = keyed.join(first.where("n = 1").select("key").hint("shuffle_hash"), "key")
+    many = keyed.join(first.where("n > 1").select("key").hint("shuffle_hash"), "key").dropDuplicates(["key"])
     return once.unionByName(many).select("row.*")
