@@ -40,7 +40,9 @@ _PLAIN = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijkl
 SLICE = 2_000_000
 #: Variants per bucket at which the number of buckets doubles.
 BUCKET = 256_000_000
-MIN_BITS, BATCH = 6, 8192
+MIN_BITS = 6
+#: (fingerprint, bucket) pairs that are sorted at once when dealing.
+DEALT = 1 << 20
 
 
 def row_key():
@@ -172,20 +174,21 @@ def near_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     n_buckets = 1 << bits
 
     def deal(batches):
-        reach = Masks(half, bits).count > 0
+        near = np.unique(linear_bucket(flip_masks(half), bits))  # of the bucket of any fingerprint, those its variants reach
+        step = max(1, DEALT // len(near))
         for b in batches:
             every = np.asarray(b.column(0)).view(np.uint64)
-            for i in range(0, len(every), BATCH):
-                part = every[i:i + BATCH]
-                own = linear_bucket(part, bits)
-                buckets, blobs = [], []
-                for bucket in range(n_buckets):
-                    sent = part[reach[own ^ bucket]]
-                    if len(sent):
-                        buckets.append(bucket)
-                        blobs.append(sent.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())],
-                                                 ["bucket", "blob"])
+            for i in range(0, len(every), step):
+                part = every[i:i + step]
+                to = (linear_bucket(part, bits)[:, None] ^ near[None, :]).ravel()
+                order = np.argsort(to, kind="stable")
+                sent, to = np.repeat(part, len(near))[order], to[order]
+                first = np.nonzero(np.concatenate([[True], to[1:] != to[:-1]]))[0]
+                ends = np.append(first[1:], len(to))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(to[first].astype(np.int32)),
+                     pa.array([sent[x:y].tobytes() for x, y in zip(first.tolist(), ends.tolist())], pa.binary())],
+                    ["bucket", "blob"])
 
     def meet(batches):
         held: dict[int, list[bytes]] = {}

@@ -1,8 +1,10 @@
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
+from cauce.llm import simhash
 from cauce.llm.components import components
 from cauce.llm.simhash import fingerprint, flip_masks, keep_one, near_duplicates, near_links
 from llm.helpers import awkward, awkward_rows, frame, plain, words
@@ -40,7 +42,11 @@ def test_masks_are_the_ball():
     assert len(m) == len(set(m.tolist())) == 1 + 64 + 2016 and np.bitwise_count(m).max() == 2
 
 
-def test_links_close_to_all_near_pairs(spark):
+@pytest.mark.parametrize("bits,dealt,part", [(6, 1 << 20, 2_000_000), (12, 1 << 14, 5000)])
+def test_links_close_to_all_near_pairs(spark, monkeypatch, bits, dealt, part):
+    monkeypatch.setattr(simhash, "MIN_BITS", bits)
+    monkeypatch.setattr(simhash, "DEALT", dealt)
+    monkeypatch.setattr(simhash, "SLICE", part)
     r = np.random.default_rng(5)
     fps = [int(x) for x in r.integers(0, 1 << 63, 150)]
     for f in list(fps):  # neighbours at 1 to 6 bits, chains among them
