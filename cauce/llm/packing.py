@@ -131,8 +131,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = 4096, cl
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i in range(0, len(ids), 256):
-                for doc_id, got in zip(ids[i:i + 256], enc.encode(texts[i:i + 256])):
+            for i in range(0, len(ids), tokens.PART):
+                for doc_id, got in zip(ids[i:i + tokens.PART], enc.encode(texts[i:i + tokens.PART])):
                     held[number] = [doc_id, np.append(got, got.dtype.type(end_id)), len(got) + 1]
                     packer.add(number, len(got) + 1)
                     number += 1

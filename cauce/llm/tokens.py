@@ -26,6 +26,8 @@ _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\u00b2\u00b3\u00b9\u00bc-\
 _MARK = "<|"  # start of the special tokens' strings
 #: Remembered chunks per Python worker (two generations of this many).
 _CHUNKS = 900_000
+#: Texts whose chunks are looked up together.
+PART = 2048
 _LONG = 64  # chunks longer than this are not remembered
 
 
@@ -72,20 +74,26 @@ class Encoder:
                     for e in self.lib.encode_batch(texts[i:i + 64], add_special_tokens=False)]
         return out
 
-    def _learn(self, chunks) -> None:
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Encode unknown chunks by the library's model, piece by piece."""
         tokenize, known, code = self.lib.model.tokenize, self.pieces, self.dtype.char
+        made = {}
         for c in chunks:
             out = b""
             for p in _PIECES.findall(c):
                 got = known.get(p)
                 if got is None:
                     raw = p if p.isascii() else "".join(map(self.letters.__getitem__, p.encode()))
-                    got = known[p] = array(code, [t.id for t in tokenize(raw)]).tobytes()
+                    got = array(code, [t.id for t in tokenize(raw)]).tobytes()
+                    if len(p) <= _LONG:
+                        known[p] = got
                 out += got
-            self.new[c] = out
+            made[c] = out
+            if len(c) <= _LONG:
+                self.new[c] = out
         if len(known) > _CHUNKS:
             known.clear()
+        return made
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text (None counts as empty), as unsigned integers."""
@@ -97,21 +105,24 @@ class Encoder:
                 plain.append((i, t.lower().split()))
             else:
                 odd.append((i, t))
-        for a in range(0, len(plain), 256):
-            part = plain[a:a + 256]
-            seen = set().union(*(w for _, w in part))
-            unknown = seen.difference(self.new)
-            if self.old:
-                known = unknown.intersection(self.old)
-                self.new.update((c, self.old[c]) for c in known)
-                unknown -= known
-            long = {c for c in unknown if len(c) > _LONG}
-            self._learn(unknown)
-            get = self.new.__getitem__
+        for a in range(0, len(plain), PART):
+            part = plain[a:a + PART]
+            # a small table of this part's chunks: the large one is asked once for each kind
+            near, unknown = {}, []
+            new, old = self.new.get, self.old.get
+            for c in set().union(*(w for _, w in part)):
+                got = new(c)
+                if got is None:
+                    got = old(c)
+                    if got is None:
+                        unknown.append(c)
+                        continue
+                    self.new[c] = got
+                near[c] = got
+            near.update(self._learn(unknown))
+            get = near.__getitem__
             for i, words in part:
                 out[i] = b"".join(map(get, words))
-            for c in long:
-                self.new.pop(c, None)
             if len(self.new) > _CHUNKS:
                 self.old, self.new = self.new, {}
         for (i, _), b in zip(odd, self._library([t for _, t in odd])):
