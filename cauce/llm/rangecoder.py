@@ -41,12 +41,14 @@ from cauce.llm import tokens
 from cauce.llm.common import id_cuts, ship, shuffle_partitions, stage
 
 #: Ids in a block, at least; lanes at most, and ids per lane at least.
-BLOCK, LANES, LANE = 2_000_000, 8192, 128
+BLOCK, LANES, LANE = 4_000_000, 16384, 128
 _MAGIC = b"CMR1"
 _TOP, _LOW = np.uint64(1 << 48), np.uint64(1 << 32)
 _16, _48, _32 = np.uint64(16), np.uint64(48), np.uint64(32)
 _P = 1 << 16  # scale of probabilities
 _CONF = 15
+#: Confidence from which order 1 is asked after order 2 has failed.
+SURE = 3
 _HASH_BITS = 20
 
 #: ln(p / (1 - p)) in 1/256 for p in 1/4096, and back to 1/65536.
@@ -56,6 +58,10 @@ _SQUASH = np.array([min(_P - 32, max(32, round(_P / (1 + math.exp(-x / 256)))))
                    np.int64)
 
 
+#: Bits of a share of 2**17, at most 17.
+_MAGNITUDE = np.array([min(17, i.bit_length()) for i in range((1 << 17) + 1)], np.int64)
+
+
 class Mixer:
     """A binary event's probability from several small contexts."""
 
@@ -117,8 +123,7 @@ class Model:
 
     def rank(self, ids):
         """Order of magnitude of the order-0 frequency, 0..17."""
-        share = (self.count[ids] << 17) // self.below[-1]
-        return np.minimum(np.frexp(share.astype(np.float64))[1], 17).astype(np.int64)
+        return _MAGNITUDE[(self.count[ids] << 17) // self.below[-1]]
 
     def learn(self, slot, b, ids):
         for table, conf, at in ((self.next2, self.conf2, slot), (self.next1, self.conf1, b)):
@@ -127,7 +132,7 @@ class Model:
             swap = ~right & (f <= 1)
             conf[at] = np.where(swap, 1, np.maximum(new, 1))
             table[at[swap]] = ids[swap]
-        np.add.at(self.count, ids, 24)
+        self.count += 24 * np.bincount(ids, minlength=len(self.count))
         if self.below[-1] > 1 << 26:
             self.count = (self.count + 1) >> 1
         self.sum()
@@ -144,20 +149,23 @@ class Encoder:
         r = self.range[who] // total
         low = self.low[who] + r * start
         rng = r * width
-        live = np.arange(len(who))
+        live, l, g = None, low, rng  # all of who, then those that go on
         while True:
-            l, g = low[live], rng[live]
             same = (l ^ (l + g)) < _TOP
-            tight = ~same & (g < _LOW)
-            go = same | tight
-            if not go.any():
+            small = g < _LOW
+            go = np.flatnonzero(same | small)
+            if not len(go):
                 break
+            live = go if live is None else live[go]
+            tight = (small & ~same)[go]
+            l, g = l[go], g[go]
             g = np.where(tight, (np.uint64(0) - l) & (_LOW - np.uint64(1)), g)
-            live, l, g = live[go], l[go], g[go]
             lane = who[live]
-            self.out[lane, self.at[lane]] = (l >> _48).astype(np.uint16)
-            self.at[lane] += 1
-            low[live], rng[live] = l << _16, g << _16
+            at = self.at[lane]
+            self.out[lane, at] = l >> _48
+            self.at[lane] = at + 1
+            l, g = l << _16, g << _16
+            low[live], rng[live] = l, g
         self.low[who], self.range[who] = low, rng
 
     def finish(self):
@@ -192,18 +200,20 @@ class Decoder:
     def take(self, who, start, width):
         low, rng = self.low[who] + self.step * start, self.step * width
         code = self.code[who]
-        live = np.arange(len(who))
+        live, l, g = None, low, rng  # all of who, then those that go on
         while True:
-            l, g = low[live], rng[live]
             same = (l ^ (l + g)) < _TOP
-            tight = ~same & (g < _LOW)
-            go = same | tight
-            if not go.any():
+            small = g < _LOW
+            go = np.flatnonzero(same | small)
+            if not len(go):
                 break
+            live = go if live is None else live[go]
+            tight = (small & ~same)[go]
+            l, g = l[go], g[go]
             g = np.where(tight, (np.uint64(0) - l) & (_LOW - np.uint64(1)), g)
-            live, l, g = live[go], l[go], g[go]
             code[live] = (code[live] << _16) | self._next(who[live])
-            low[live], rng[live] = l << _16, g << _16
+            l, g = l << _16, g << _16
+            low[live], rng[live] = l, g
         self.low[who], self.range[who], self.code[who] = low, rng, code
 
 
@@ -219,13 +229,11 @@ def _lanes(n: int) -> tuple[int, int]:
 def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
     """Code (``given`` set) or decode the n ids of a block, step by step."""
     lanes, steps = _lanes(n)
-    grid = np.zeros((steps, lanes), np.int64)
     length = np.clip(n - np.arange(lanes) * steps, 0, steps)
+    flat = np.zeros(lanes * steps, np.int32)  # lanes hold consecutive ids
     if given is not None:
-        grid.T.reshape(-1)  # lanes hold consecutive ids
-        padded = np.zeros(lanes * steps, np.int64)
-        padded[:n] = given
-        grid = np.ascontiguousarray(padded.reshape(lanes, steps).T)
+        flat[:n] = given
+    grid = flat.reshape(lanes, steps)
     model = Model(vocab)
     a, b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     scale = np.uint64(_P)
@@ -248,7 +256,7 @@ def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
         if not live:
             break
         a, b = a[:live], b[:live]
-        ids = grid[t, :live]
+        ids = grid[:live, t].astype(np.int64)
         slot, c1, f1, cand, has, contexts = model.contexts(a, b)
         who = np.nonzero(has)[0]
         done = np.zeros(live, bool)
@@ -256,7 +264,7 @@ def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
             hit = event(model.first, who, [c[who] for c in contexts], ids[who] == cand[who])
             done[who] = hit
             ids[who[hit]] = cand[who[hit]]
-        who = np.nonzero(~done & (f1 > 0) & (c1 != cand))[0]
+        who = np.nonzero(~done & (f1 >= SURE) & (c1 != cand))[0]
         if len(who):
             hit = event(model.second, who, [f1[who], model.rank(c1[who])], ids[who] == c1[who])
             done[who] = hit
@@ -273,8 +281,9 @@ def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
             else:
                 coder.put(who, start, width, total)
         model.learn(slot, b, ids)
-        a, b = b, ids.copy()
-    return grid.T.reshape(-1)[:n]
+        grid[:live, t] = ids
+        a, b = b, ids
+    return flat[:n]
 
 
 def encode_block(ids: np.ndarray, vocab: int) -> bytes:
@@ -284,7 +293,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
     lanes, steps = _lanes(n)
     coder = Encoder(lanes, 4 * steps + 8)
     if n:
-        _run(n, vocab, coder, ids.astype(np.int64))
+        _run(n, vocab, coder, ids)
     coder.finish()
     words = coder.out[np.arange(coder.out.shape[1])[None, :] < coder.at[:, None]]
     return (_MAGIC + struct.pack("<QIII", n, vocab, lanes, check) + coder.at.astype("<u4").tobytes()
@@ -312,17 +321,19 @@ def blocks(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, block
     spark, path = docs.sparkSession, tokenizer or tokens.default_path()
     ship(spark)
     parts = shuffle_partitions(spark)
+    lib = tokens.Encoder(path)
+    vocab, dtype = max(lib.lib.get_vocab_size(), end_id + 1), lib.dtype
+    del lib
     cuts = np.array(id_cuts(docs, "doc_id", parts), np.int64)
 
     def ids(batches):
         enc = tokens.encoder(path)
         for b in batches:
-            for i in range(0, b.num_rows, 512):
-                s = b.slice(i, 512)
+            for i in range(0, b.num_rows, tokens.PART):
+                s = b.slice(i, tokens.PART)
                 keys = s.column(0).cast(pa.int64())
                 at = np.searchsorted(cuts, keys.fill_null(-(1 << 63)).to_numpy(), "right").astype(np.int32)
-                got = [x.astype("<u2" if enc.dtype.itemsize == 2 else "<u4").tobytes()
-                       for x in enc.encode(s.column(1).to_pylist())]
+                got = [x.tobytes() for x in enc.encode(s.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([pa.array(at), keys, s.column(2), pa.array(got, pa.binary())],
                                                  ["range", "doc_id", "tie", "ids"])
 
@@ -332,32 +343,33 @@ def blocks(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, block
              .select("range", "doc_id", "ids"))
 
     def write(batches):
-        enc = tokens.encoder(path)
-        vocab = max(enc.lib.get_vocab_size(), end_id + 1)
-        end = np.array([end_id], enc.dtype).tobytes()
+        tokens.encoder.cache_clear()  # a reused worker needs its remembered chunks no more
+        end = np.array([end_id], dtype).tobytes()
         at, number, keys, held, size = None, 0, [], [], 0
 
         def flush():
             nonlocal number, keys, held, size
-            lengths = np.array([len(h) // enc.dtype.itemsize for h in held], "<u4")
+            lengths = np.array([len(h) // dtype.itemsize for h in held], "<u4")
             missing = np.array([k is None for k in keys], np.uint8)
             row = [at, number, len(keys), int(lengths.sum()),
                    np.array([k or 0 for k in keys], "<i8").tobytes(), missing.tobytes(), lengths.tobytes(),
-                   encode_block(np.frombuffer(b"".join(held), enc.dtype), vocab)]
+                   encode_block(np.frombuffer(b"".join(held), dtype), vocab)]
             number, keys, held, size = number + 1, [], [], 0
             kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64()] + [pa.binary()] * 4
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)],
                                               [f.split()[0] for f in _BLOCKS.split(", ")])
 
         for b in batches:
-            for r, doc_id, raw in zip(*(c.to_pylist() for c in b.columns)):
+            ranges, ids_, raws = b.columns
+            for r, doc_id, i in zip(ranges.to_pylist(), ids_.to_pylist(), range(b.num_rows)):
+                raw = raws[i].as_py()
                 if keys and (r != at or size >= block):
                     yield flush()
                 if r != at:
                     at, number = r, 0
                 keys.append(doc_id)
                 held.append(raw + end)
-                size += len(raw) // enc.dtype.itemsize + 1
+                size += len(raw) // dtype.itemsize + 1
         if keys:
             yield flush()
 
@@ -377,8 +389,10 @@ def read_blocks(written: DataFrame) -> DataFrame:
               .select("range", "block", (F.col("r_start") + F.col("b_start")).alias("base")))
 
     def read(batches):
+        tokens.encoder.cache_clear()
         for b in batches:
-            for r, block, keys, missing, lengths, raw in zip(*(c.to_pylist() for c in b.columns)):
+            for i in range(b.num_rows):  # one block at a time
+                r, block, keys, missing, lengths, raw = (c[i].as_py() for c in b.columns)
                 ids = decode_block(raw)
                 n = np.frombuffer(lengths, "<u4").astype(np.int64)
                 ends = np.cumsum(n)

@@ -25,7 +25,7 @@ _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\u00b2\u00b3\u00b9\u00bc-\
                      r"[\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\s\w]|_)+")
 _MARK = "<|"  # start of the special tokens' strings
 #: Remembered chunks per Python worker (two generations of this many).
-_CHUNKS = 900_000
+_CHUNKS = 700_000
 #: Texts whose chunks are looked up together.
 PART = 2048
 _LONG = 64  # chunks longer than this are not remembered
