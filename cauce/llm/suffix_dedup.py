@@ -304,8 +304,10 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
     table = stage(anchor_table(rows, width))
     shared = (table.groupBy("h").agg(F.count(F.lit(1)).alias("t"), (F.min("ctx") != F.max("ctx")).alias("mixed"))
               .where("t > 1").select("h", "mixed"))
-    # joined as written tables, whose hot anchors Spark can split
-    suspect = stage(table.join(stage(shared), "h"))
+    # joined as written tables, whose hot anchors Spark can split; dealt by
+    # text again, so that the rows of a hot anchor lie in many files
+    parts = shuffle_partitions(rows.sparkSession)
+    suspect = stage(table.join(stage(shared), "h").repartition(parts, "key"))
     context = stage(suspect.groupBy("h", "ctx", "mixed").agg(
         F.count(F.lit(1)).alias("copies"), F.first("key").alias("key"), F.first("lo").alias("lo"),
         F.first("n").alias("n")))
