@@ -52,14 +52,11 @@ def _bucketize(df: DataFrame, cols: list[str], edges: dict, prefix: str = "_b_")
     from pyspark.ml.feature import Bucketizer
     inf = float("inf")
     tmp = [f"_bz_in_{i}" for i in range(len(cols))]
-    x = df
-    for t, c in zip(tmp, cols):
-        x = x.withColumn(t, F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))))
+    x = df.withColumns({t: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for t, c in zip(tmp, cols)})
     # without an edge there is one bucket, and nothing to search
     cut = [i for i, c in enumerate(cols) if edges[c]]
-    for i, t in enumerate(tmp):
-        if i not in cut:
-            x = x.withColumn(f"{prefix}{i}", F.when(F.isnan(t), 1.0).otherwise(0.0))
+    plain = {f"{prefix}{i}": F.when(F.isnan(t), 1.0).otherwise(0.0) for i, t in enumerate(tmp) if i not in cut}
+    x = x.withColumns(plain) if plain else x
     if cut:
         b = Bucketizer(splitsArray=[[-inf] + edges[cols[i]] + [inf] for i in cut], inputCols=[tmp[i] for i in cut],
                        outputCols=[f"{prefix}{i}" for i in cut], handleInvalid="keep")
