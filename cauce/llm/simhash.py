@@ -10,9 +10,13 @@ flipped, and its bucket is a GF(2)-linear function of its bits, so bucket(fp ^
 flips) = bucket(fp) ^ bucket(flips). A fingerprint therefore goes once to each
 bucket that owns some of its variants, and the bucket's task spells out exactly
 the variants that fall there: the 2,081 variants cost 8 bytes for each bucket
-reached and not 16 bytes each. Buckets grow with the number of fingerprints, so
-a task's share is bounded; inside a task they are worked off in slices of at
-most ``SLICE`` variants.
+reached and not 16 bytes each. Each bit of the bucket is the parity of a few
+bits of its own, so that two flips change at most two of them: a fingerprint
+reaches 1 + 14 + 91 = 106 of the 16,384 buckets that there are at least, and a
+bucket gets 0.65 % of the fingerprints. Buckets double until one holds ``HELD``
+fingerprints and ``BUCKET`` variants at most on average; tasks are so many that
+one takes buckets of ``TASK`` fingerprints on average, and it works them off one
+by one in slices of ``SLICE`` variants.
 
 Fingerprints that share a variant lie within the radius of each other
 (triangle inequality), so a run of k equal variants needs k - 1 links for its
@@ -27,6 +31,8 @@ repeated rows get the same fingerprint and component; an empty table no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -38,9 +44,11 @@ from cauce.llm.components import components
 _PLAIN = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ\t\n\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz     ")
 #: Variants held at once by a task.
 SLICE = 2_000_000
-#: Variants per bucket at which the number of buckets doubles.
-BUCKET = 256_000_000
-MIN_BITS = 6
+#: Fingerprints and variants per bucket at which the number of buckets doubles.
+HELD, BUCKET = 1_000_000, 32_000_000
+MIN_BITS, MAX_BITS = 14, 30
+#: (fingerprint, bucket) pairs per task, and the least number of tasks.
+TASK, MIN_TASKS = 4_000_000, 64
 #: (fingerprint, bucket) pairs that are sorted at once when dealing.
 DEALT = 1 << 20
 
@@ -103,43 +111,79 @@ def flip_masks(half: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def linear_bucket(v: np.ndarray, bits: int) -> np.ndarray:
-    """``bits``-bit GF(2)-linear image of 64-bit values."""
-    columns = np.random.default_rng(20240601).integers(0, 1 << 62, 64, dtype=np.uint64)
-    out = np.zeros(v.shape, np.uint64)
-    for i in range(0, 64, 8):  # a byte at a time: the images of its 256 values
+@lru_cache
+def _images(bits: int, more: int) -> list[np.ndarray]:
+    """The buckets of the 256 values of each byte of a fingerprint."""
+    columns = np.uint64(1) << (np.arange(64, dtype=np.uint64) % np.uint64(max(bits, 1))) if bits else np.zeros(64, np.uint64)
+    extra = np.random.default_rng(20240601).integers(0, 1 << 62, 64, dtype=np.uint64) >> np.uint64(62 - more)
+    columns = columns << np.uint64(more) | extra
+    tables = []
+    for i in range(0, 64, 8):
         table = np.zeros(1, np.uint64)
         for c in columns[i:i + 8]:
             table = np.concatenate([table, table ^ c])
-        out ^= table[(v >> np.uint64(i)) & np.uint64(255)]
-    return (out >> np.uint64(62 - bits)).astype(np.int64)
+        tables.append(table)
+    return tables
+
+
+def linear_bucket(v: np.ndarray, bits: int, more: int = 0) -> np.ndarray:
+    """GF(2)-linear image of 64-bit values: ``bits`` parities of every
+    ``bits``-th bit, then ``more`` parities of random bits."""
+    out = np.zeros(v.shape, np.uint64)
+    for i, table in enumerate(_images(bits, more)):
+        out ^= table[(v >> np.uint64(8 * i)) & np.uint64(255)]
+    return out.astype(np.int64)
+
+
+@lru_cache
+def reached(half: int, bits: int) -> np.ndarray:
+    """Of the bucket of any fingerprint, those that its variants reach."""
+    return np.unique(linear_bucket(flip_masks(half), bits))
+
+
+def bucket_bits(count: int, half: int) -> int:
+    """Bits of the bucket for ``count`` fingerprints."""
+    per, bits = len(flip_masks(half)), MIN_BITS
+    while bits < MAX_BITS and (count * len(reached(half, bits)) > HELD << bits or count * per > BUCKET << bits):
+        bits += 1
+    return bits
 
 
 class Masks:
     """The flips, grouped by their linear bucket."""
 
-    def __init__(self, half: int, bits: int):
+    def __init__(self, half: int, bits: int, more: int):
         masks = flip_masks(half)
-        at = linear_bucket(masks, bits)
+        at = linear_bucket(masks, bits, more)
         order = np.argsort(at, kind="stable")
         self.masks = masks[order]
-        self.count = np.bincount(at, minlength=1 << bits)
-        self.start = np.concatenate([[0], np.cumsum(self.count)[:-1]])
+        self.kinds, self.start, self.count = np.unique(at[order], return_index=True, return_counts=True)
+
+    def owned(self, own: np.ndarray, bucket: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first mask, number of masks) of each fingerprint in the bucket; ``own``: their buckets."""
+        need = own ^ bucket
+        i = np.minimum(np.searchsorted(self.kinds, need), len(self.kinds) - 1)
+        return self.start[i], np.where(self.kinds[i] == need, self.count[i], 0)
 
     def variants(self, fps: np.ndarray, own: np.ndarray, bucket: int) -> tuple[np.ndarray, np.ndarray]:
         """(variants of fps in the bucket, their fps); ``own``: the fps' buckets."""
-        need = own ^ bucket
-        n = self.count[need]
+        start, n = self.owned(own, bucket)
         of = np.repeat(np.arange(len(fps)), n)
         step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-        return fps[of] ^ self.masks[self.start[need][of] + step], of
+        return fps[of] ^ self.masks[start[of] + step], of
+
 
+_masks = lru_cache(Masks)
 
-def _links(fps: np.ndarray, half: int, bits: int, bucket: int, k: int) -> np.ndarray:
-    """Links among ``fps`` by the variants in one of 2**bits buckets; the task
-    slices it by ``k`` further bits."""
-    masks = Masks(half, bits + k)
-    own = linear_bucket(fps, bits + k)
+
+def _links(fps: np.ndarray, half: int, bits: int, bucket: int) -> np.ndarray:
+    """Links among ``fps`` by the variants in one of 2**bits buckets, sliced by
+    as many further bits as its variants need."""
+    n, k = int(_masks(half, bits, 0).owned(linear_bucket(fps, bits), bucket)[1].sum()), 0
+    while n > SLICE << k:
+        k += 1
+    masks = _masks(half, bits, k)
+    own = linear_bucket(fps, bits, k)
     found = []
     for s in range(1 << k):
         v, of = masks.variants(fps, own, (bucket << k) | s)
@@ -167,44 +211,63 @@ def near_links(fps: DataFrame, distance: int = 4) -> DataFrame:
     spark = fps.sparkSession
     ship(spark)
     half, count = (distance + 1) // 2, fps.count()
-    per = len(flip_masks(half))
-    bits = MIN_BITS
-    while count * per / (1 << bits) > BUCKET:
-        bits += 1
-    n_buckets = 1 << bits
+    bits = bucket_bits(count, half)
+    pairs = count * len(reached(half, bits))
+    tasks = min(1 << bits, max(MIN_TASKS, -(-pairs // TASK)))
 
     def deal(batches):
-        near = np.unique(linear_bucket(flip_masks(half), bits))  # of the bucket of any fingerprint, those its variants reach
+        near = reached(half, bits)
         step = max(1, DEALT // len(near))
+        kind = np.min_scalar_type((1 << bits) - 1)  # short ones sort faster
+
+        def dealt(part):
+            to = (linear_bucket(part, bits)[:, None] ^ near[None, :]).ravel().astype(kind)
+            order = np.argsort(to, kind="stable")
+            sent, to = part[order // len(near)], to[order]
+            first = np.nonzero(np.concatenate([[True], to[1:] != to[:-1]]))[0]
+            ends = np.append(first[1:], len(to))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(to[first].astype(np.int32)),
+                 pa.array([sent[x:y].tobytes() for x, y in zip(first.tolist(), ends.tolist())], pa.binary())],
+                ["bucket", "blob"])
+
+        held = np.empty(0, np.uint64)
         for b in batches:
-            every = np.asarray(b.column(0)).view(np.uint64)
-            for i in range(0, len(every), step):
-                part = every[i:i + step]
-                to = (linear_bucket(part, bits)[:, None] ^ near[None, :]).ravel()
-                order = np.argsort(to, kind="stable")
-                sent, to = np.repeat(part, len(near))[order], to[order]
-                first = np.nonzero(np.concatenate([[True], to[1:] != to[:-1]]))[0]
-                ends = np.append(first[1:], len(to))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to[first].astype(np.int32)),
-                     pa.array([sent[x:y].tobytes() for x, y in zip(first.tolist(), ends.tolist())], pa.binary())],
-                    ["bucket", "blob"])
+            held = np.concatenate([held, np.asarray(b.column(0)).view(np.uint64)])
+            while len(held) >= step:
+                yield dealt(held[:step])
+                held = held[step:]
+        if len(held):
+            yield dealt(held)
 
     def meet(batches):
-        held: dict[int, list[bytes]] = {}
+        held, to = [], []
         for b in batches:
-            for bucket, blob in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(bucket, []).append(blob)
-        for bucket in sorted(held):
-            got = np.frombuffer(b"".join(held.pop(bucket)), np.uint64)
-            k = 0
-            while len(got) * per / (1 << (bits + k)) > SLICE:
-                k += 1
-            pairs = _links(np.sort(got), half, bits, bucket, k).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            blob = b.column(1)
+            at = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset:blob.offset + len(blob) + 1]
+            held.append(np.frombuffer(blob.buffers()[2], np.uint64, (at[-1] - at[0]) // 8, at[0]).copy() if len(blob) else
+                        np.empty(0, np.uint64))
+            to.append(np.repeat(np.asarray(b.column(0)), np.diff(at) // 8) if len(blob) else np.empty(0, np.int32))
+        if not held:
+            return
+        held, to = np.concatenate(held), np.concatenate(to)
+        order = np.argsort(to, kind="stable")
+        held, to = held[order], to[order]
+        del order
+        ends = np.append(np.nonzero(to[1:] != to[:-1])[0] + 1, len(to))
+        made, size, x = [], 0, 0
+        for y in ends.tolist():
+            if y > x:
+                made.append(_links(np.sort(held[x:y]), half, bits, int(to[x])).view(np.int64))
+                size += len(made[-1])
+            if made and (size > DEALT or y == len(to)):
+                pairs = np.concatenate(made)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                made, size = [], 0
+            x = y
 
     dealt = fps.select("fp").mapInArrow(deal, "bucket int, blob binary")
-    links = dealt.repartition(n_buckets, "bucket").mapInArrow(meet, "a long, b long")
+    links = dealt.repartition(tasks, "bucket").mapInArrow(meet, "a long, b long")
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance).distinct()
 
 

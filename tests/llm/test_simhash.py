@@ -108,3 +108,15 @@ def test_hot_copies(spark):
     d = plain(spark, [words(40, 1)] * 300 + [words(40, i) for i in range(2, 40)])
     got = near_duplicates(d).collect()
     assert {x.component_id for x in got if x.doc_id < 300} == {0} and len(got) == 338
+
+
+@pytest.mark.parametrize("count", [1000, 10 ** 7, 10 ** 9, 10 ** 11])
+def test_a_bucket_gets_few_of_the_fingerprints(count):
+    bits = simhash.bucket_bits(count, 2)
+    to = np.unique(simhash.linear_bucket(flip_masks(2), bits))
+    assert len(to) / 2 ** bits < 0.01 and count * len(to) / 2 ** bits <= 10 ** 6
+    fps = np.random.default_rng(6).integers(0, 1 << 63, 4000).astype(np.uint64)
+    own = simhash.linear_bucket(fps, bits)
+    assert (simhash.linear_bucket(fps[:, None] ^ flip_masks(2), bits) == own[:, None] ^ simhash.linear_bucket(flip_masks(2), bits)).all()
+    got = np.bincount((simhash.linear_bucket(fps, 14)[:, None] ^ simhash.reached(2, 14)).ravel(), minlength=1 << 14)
+    assert got.max() < 0.03 * len(fps)
