@@ -3,14 +3,15 @@
 A k-mer of characters is a closed syncmer if the smallest of its s-mers (by
 hash) is its first or its last. Whether it is one depends on its own characters
 only, so the same passage gives the same anchors in any context, and an edit
-spoils no anchor that it does not touch. The fingerprint is a sketch of all of
-a text's anchors: the ``sketch`` smallest distinct anchor hashes, each with the
-position of its first appearance.
+spoils no anchor that it does not touch. The fingerprint is all of a text's
+anchors, each with every position at which it appears, by hash and position.
 
-Likeness of two fingerprints: the Jaccard estimate of the sketches, where a
-shared anchor counts only if it fits the common shift of positions (the one
-with most anchors, within ``slack`` characters). Two empty fingerprints are
-alike.
+Likeness of two fingerprints: the share of their distinct anchors that both
+have at a common shift of positions (the one with most anchors, within ``slack``
+characters; an anchor that appears several times may fit by any of its
+positions). It is exact: shifts of an anchor are counted one by one, or by a
+convolution where it appears too often in both texts. Two empty fingerprints
+are alike.
 
 The operator pairs each document with the next by descending id, in one shuffle
 of the texts: ids are cut into ranges from the id column alone, each range is a
@@ -34,10 +35,14 @@ from pyspark.sql import functions as F
 from cauce.llm.common import bucket_of, id_cuts, ship, shuffle_partitions
 
 K, S = 16, 5
-SKETCH, SLACK = 96, 64
+SLACK = 64
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # the golden ratio's odd 64-bit multiplier
 #: Texts are worked off in pieces of this many characters.
 PIECE = 1 << 18
+#: Pairs of positions that are compared at once; an anchor with more is convolved.
+PAIRS = 1 << 20
+#: Characters of fingerprints and texts in a batch of results.
+BATCH = 1 << 23
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -88,35 +93,76 @@ def anchors(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sketch(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The smallest distinct anchor hashes, ascending, and first positions."""
+    """All anchors' hashes, ascending, and positions, ascending for each hash."""
     h, at = anchors(text)
-    if len(h) > 4 * SKETCH:
-        few = np.partition(h, 4 * SKETCH - 1)[4 * SKETCH - 1]
-        low = h <= few
-        if len(np.unique(h[low])) >= SKETCH:
-            h, at = h[low], at[low]
-    kinds, first = np.unique(h, return_index=True)  # the first index is the first position
-    return kinds[:SKETCH], at[first[:SKETCH]]
+    order = np.argsort(h, kind="stable")
+    return h[order], at[order]
+
+
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
 def written(mark: tuple[np.ndarray, np.ndarray]) -> str:
-    """The fingerprint as text: hash:position, dot-separated."""
-    return ".".join(f"{h:x}:{p:x}" for h, p in zip(mark[0].tolist(), mark[1].tolist()))
+    """The fingerprint as text: hash:position in hex digits, dot-separated."""
+    h, at = mark
+    if not len(h):
+        return ""
+    wide = (int(at.max()).bit_length() + 3) // 4 or 1
+    out = np.empty((len(h), 18 + wide), np.uint8)
+    for a, v, n in ((0, h, 16), (17, at.astype(np.uint64), wide)):
+        for j in range(n):
+            out[:, a + j] = _HEX[(v >> np.uint64(4 * (n - 1 - j))) & np.uint64(15)]
+    out[:, 16], out[:, 17 + wide] = ord(":"), ord(".")
+    return out.tobytes()[:-1].decode("ascii")
+
+
+def _spread(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """All distinct shifts x - y of many positions, by convolution."""
+    x0, y0 = x.min(), y.min()
+    a, b = np.zeros(x.max() - x0 + 1), np.zeros(y.max() - y0 + 1)
+    a[x - x0], b[len(b) - 1 - (y - y0)] = 1, 1
+    n = len(a) + len(b) - 1
+    size = 1 << (n - 1).bit_length()
+    met = np.fft.irfft(np.fft.rfft(a, size) * np.fft.rfft(b, size), size)[:n]
+    return np.nonzero(met > 0.5)[0] - (len(b) - 1) + x0 - y0
+
+
+def _reach(of: np.ndarray, shift: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last shifts of each anchor's runs whose steps are at most SLACK."""
+    order = np.lexsort((shift, of))
+    of, shift = of[order], shift[order]
+    new = (of[1:] != of[:-1]) | (shift[1:] - shift[:-1] > SLACK)
+    return shift[np.concatenate([[True], new])], shift[np.concatenate([new, [True]])]
 
 
 def likeness(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
-    """Share of the joint sketch's anchors that both have at a common shift."""
+    """Share of both texts' distinct anchors that both have at a common shift."""
     if not len(x[0]) or not len(y[0]):
         return float(len(x[0]) == len(y[0]))
-    size = SKETCH if max(len(x[0]), len(y[0])) >= SKETCH else len(x[0]) + len(y[0])
-    union = np.union1d(x[0], y[0])[:size]
-    both, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    fits = both <= union[-1]
-    shift = np.sort(x[1][i][fits] - y[1][j][fits])
-    if not len(shift):
+    hx, ax, nx = np.unique(x[0], return_index=True, return_counts=True)
+    hy, ay, ny = np.unique(y[0], return_index=True, return_counts=True)
+    both, i, j = np.intersect1d(hx, hy, assume_unique=True, return_indices=True)
+    if not len(both):
         return 0.0
-    most = (np.searchsorted(shift, shift + SLACK, "right") - np.arange(len(shift))).max()
-    return float(most / len(union))
+    ax, nx, ay, ny = ax[i], nx[i], ay[j], ny[j]
+    pairs = nx * ny
+    runs = []
+    for k in np.nonzero(pairs > PAIRS)[0].tolist():
+        shift = _spread(x[1][ax[k]:ax[k] + nx[k]], y[1][ay[k]:ay[k] + ny[k]])
+        runs.append(_reach(np.zeros(len(shift), np.int64), shift))
+    few = np.nonzero(pairs <= PAIRS)[0]
+    piece = np.cumsum(pairs[few]) // PAIRS
+    for part in np.split(few, np.nonzero(np.diff(piece))[0] + 1):
+        n = pairs[part]
+        of = np.repeat(part, n)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        if len(of):
+            runs.append(_reach(of, x[1][ax[of] + step // ny[of]] - y[1][ay[of] + step % ny[of]]))
+    # an anchor fits all common shifts s with s <= one of its shifts <= s + SLACK
+    first = np.sort(np.concatenate([r[0] for r in runs])) - SLACK
+    last = np.sort(np.concatenate([r[1] for r in runs]))
+    most = (np.arange(1, len(first) + 1) - np.searchsorted(last, first, "left")).max()
+    return float(most / (len(hx) + len(hy) - len(both)))
 
 
 def edited(text: str, following: str) -> str:
@@ -162,8 +208,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             return (own[1], len(own[2]), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
                     written(own[3]), written(other), likeness(own[3], other), likeness(own[3], mark))
 
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+        def result(made):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, kinds)],
+                                              [f.split()[0] for f in SCHEMA.split(", ")])
+
         for batch in batches:
             made: list[list] = [[] for _ in range(7)]
+            size = 0
             for part, is_guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0] != part:
                     held = None
@@ -171,11 +224,14 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     continue  # of several rows with the head's id only the first counts
                 mark = sketch(text)
                 if held:
-                    for col, v in zip(made, row(held, text, mark)):
+                    done = row(held, text, mark)
+                    for col, v in zip(made, done):
                         col.append(v)
+                    size += len(done[3]) + len(done[4])
+                    if size > BATCH:
+                        yield result(made)
+                        made, size = [[] for _ in range(7)], 0
                 held = None if is_guest else (part, doc_id, text, mark)
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, kinds)],
-                                             [f.split()[0] for f in SCHEMA.split(", ")])
+            yield result(made)
 
     return rows.mapInArrow(task, SCHEMA)

@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from cauce.llm import syncmers as M
 from llm.helpers import awkward_rows, frame, plain, words
@@ -94,3 +95,38 @@ def test_many_ranges(spark):
     for i in range(n):
         t, nxt = texts[i], texts[i - 1]
         assert got[i] == hashlib.sha256((t[:len(t) - len(t) // 3] + nxt[:len(t) // 3]).encode()).hexdigest()
+
+
+def brute_likeness(a, b):
+    x, y = ([(int(h), int(p)) for h, p in zip(*M.anchors(t))] for t in (a, b))
+    where = {}
+    for h, p in y:
+        where.setdefault(h, []).append(p)
+    fits = {}
+    for h, p in x:
+        for q in where.get(h, ()):
+            fits.setdefault(p - q, set()).add(h)
+    most = max((len(set().union(*(fits[d] for d in fits if s <= d <= s + M.SLACK))) for s in fits), default=0)
+    return most / len({h for h, _ in x} | {h for h, _ in y})
+
+
+@pytest.mark.parametrize("pairs", [1 << 20, 3])
+def test_long_texts_with_a_shared_passage(monkeypatch, pairs):
+    passage = words(60, 50, kinds=5000)
+    a = words(2500, 51, kinds=5000) + " " + passage + " " + words(1500, 52, kinds=5000)
+    b = words(700, 53, kinds=5000) + " " + passage + " " + words(3000, 54, kinds=5000)
+    own = len(M.anchors(passage)[0])
+    monkeypatch.setattr(M, "PAIRS", pairs)
+    x, y = M.sketch(a), M.sketch(b)
+    assert len(x[0]) == len(M.anchors(a)[0]) > 1000
+    assert M.likeness(x, y) == brute_likeness(a, b) >= 0.9 * own / (len(x[0]) + len(y[0]))
+    for c, d in (("ab" * 300 + passage, "q" + "ab" * 200 + passage), (passage * 3, "zz" + passage * 2), (passage, a)):
+        assert M.likeness(M.sketch(c), M.sketch(d)) == brute_likeness(c, d)
+    changed = a[:9000] + words(20, 55) + a[9000:]  # only a few anchors are others
+    assert 0 < M.likeness(x, M.sketch(changed)) < 1 and M.written(x) != M.written(M.sketch(changed))
+
+
+def test_fingerprint_names_every_anchor():
+    t = words(3000, 56)
+    got = [p.split(":") for p in M.written(M.sketch(t)).split(".")]
+    assert sorted((int(h, 16), int(p, 16)) for h, p in got) == sorted(zip(*(v.tolist() for v in M.anchors(t))))
