@@ -277,26 +277,34 @@ def shard_repeats(contexts: DataFrame, n_shards: int, n_parts: int, width: int)
     return contexts.repartition(n_shards, "shard").groupBy("shard").applyInArrow(one, _FOUND)
 
 
-def merge_across(runs: DataFrame) -> DataFrame:
+def merge_across(runs: DataFrame, n_parts: int) -> DataFrame:
     """Windows that more than one shard holds: the sorted runs of a part of the
-    digests are merged, each window's equals found by binary search."""
+    digests are merged, each window's equals found by binary search. A task
+    holds one part at a time."""
+    def merged(raws):
+        w = np.frombuffer(b"".join(raws), _WINDOW)
+        w = w[np.lexsort((w["low"], w["hi"]))]
+        new = np.concatenate([[True], (w["hi"][1:] != w["hi"][:-1]) | (w["low"][1:] != w["low"][:-1])])
+        equal = np.searchsorted(np.nonzero(new)[0], np.arange(len(w)), "right") - 1
+        total = np.bincount(equal, w["weight"])
+        hit = (total[equal] >= 2) & (w["weight"] == 1)
+        key, lo, n = _spans(w["key"][hit], w["lo"][hit])
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo), pa.array(n.astype(np.int32))], ["key", "lo", "n"])
+
     def task(batches):
-        held: dict[int, list[bytes]] = {}
+        at, held = None, []
         for b in batches:
-            for part, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.setdefault(part, []).append(raw)
-        for part in sorted(held):
-            w = np.frombuffer(b"".join(held.pop(part)), _WINDOW)
-            order = np.lexsort((w["low"], w["hi"]))
-            w = w[order]
-            new = np.concatenate([[True], (w["hi"][1:] != w["hi"][:-1]) | (w["low"][1:] != w["low"][:-1])])
-            equal = np.searchsorted(np.nonzero(new)[0], np.arange(len(w)), "right") - 1
-            total = np.bincount(equal, w["weight"])
-            hit = (total[equal] >= 2) & (w["weight"] == 1)
-            key, lo, n = _spans(w["key"][hit], w["lo"][hit])
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(lo), pa.array(n.astype(np.int32))], ["key", "lo", "n"])
-
-    return runs.select("part", "run").repartition("part").mapInArrow(task, "key long, lo long, n int")
+            for part, raw in zip(b.column(0).to_pylist(), b.column(1)):
+                if part != at:
+                    if held:
+                        yield merged(held)
+                    at, held = part, []
+                held.append(raw.as_py())
+        if held:
+            yield merged(held)
+
+    dealt = runs.select("part", "run").repartition(n_parts, "part").sortWithinPartitions("part")
+    return dealt.mapInArrow(task, "key long, lo long, n int")
 
 
 def repeats(rows: DataFrame, width: int) -> DataFrame:
@@ -340,10 +348,12 @@ def repeats(rows: DataFrame, width: int) -> DataFrame:
 
     # rows that repeat as a whole have the same key and text: one of them is enough
     texts = rows.where(F.octet_length("text") >= width).select("key", "text")
+    texts = texts.join(rim.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
     held = texts.join(wanted, "key").select("key", "text", "cuts").mapInArrow(
         cut, "key long, lo long, n int, weight int, split boolean, shard int, bytes binary")
-    found = stage(shard_repeats(held, n_shards, max(n_shards, shuffle_partitions(rows.sparkSession)), width))
-    crossed = merge_across(found.where("part is not null"))
+    n_parts = max(n_shards, shuffle_partitions(rows.sparkSession))
+    found = stage(shard_repeats(held, n_shards, n_parts, width))
+    crossed = merge_across(found.where("part is not null"), n_parts)
     return settled.unionByName(found.where("part is null").select("key", "lo", "n")).unionByName(crossed)
 
 

@@ -94,3 +94,17 @@ def test_kept_bytes(spark):
     a, x, y = text(r, 500), text(r, 40), text(r, 60)
     got = {g.doc_id: bytes(g.kept) for g in D.dedup(plain(spark, [x + a, a + y]), with_text=True).collect()}
     assert got == {0: x.encode(), 1: y.encode()}
+
+
+def test_repeated_rows_are_cut_once(spark, monkeypatch):
+    r = random.Random(5)
+    a = text(r, 900)
+    rows = [(None, text(r, 50) + a + text(r, 50))] * 300 + [(1, text(r, 70) + a[100:800] + text(r, 90))]
+    seen, real = [], D.shard_repeats
+
+    def counted(contexts, *more):
+        seen.append((contexts.count(), contexts.select("key", "lo").distinct().count()))
+        return real(contexts, *more)
+    monkeypatch.setattr(D, "shard_repeats", counted)
+    held(frame(spark, [x + ("en", "s", 1, 0, "k", "f", "r", 0.0, "s", 1) for x in rows]), rows)
+    assert seen[0][0] == seen[0][1] > 0
