@@ -123,3 +123,65 @@ def op9(spark, sf_dir):
     """Roles of all conversations recovered from raw transcripts, rendered."""
     from cauce.llm.transcripts import format_chats
     return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: crc32 of UTF-8 text, as a list of bytes reduced with the table made by rule.
+CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def crc_sql(text: str) -> str:
+    """crc32 of a SQL expression, beside ``crc_table`` (column t)."""
+    hexed = f"hex(encode({text}))"
+    return (f"xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(len({hexed}) // 2), "
+            f"lambda i: CAST('0x' || substr({hexed}, 2 * i + 1, 2) AS BIGINT))), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))")
+
+
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]{{7,}}')),
+                     '{_CAPITALS}', '{_CAPITALS.lower()}') AS run FROM documents)
+  GROUP BY id, run),
+h AS (SELECT run, n, {crc_sql("id || ':' || run")} AS h FROM r, crc_table),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                   ELSE run END AS word FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+c AS MATERIALIZED (
+  SELECT word, n, p, substr(word, 1, p - 1) AS a, substr(word, p + 1) AS z
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM w)),
+near AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM c x JOIN c y ON x.p = y.p AND x.a = y.a AND x.z = y.z
+  WHERE x.word <> y.word
+  UNION SELECT c.word, w.word, w.n FROM c JOIN w ON w.word = c.a || c.z
+  UNION SELECT w.word, c.word, c.n FROM c JOIN w ON w.word = c.a || c.z),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY word),
+pick AS (
+  SELECT near.word, min(other) AS form, any_value(n_near) AS n_near, any_value(top) AS top
+  FROM near JOIN best ON best.word = near.word AND top = other_n GROUP BY near.word),
+f AS MATERIALIZED (
+  SELECT w.word, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN top >= 10 * w.n THEN form END AS form,
+         CASE WHEN top >= 10 * w.n THEN top END AS form_n
+  FROM w LEFT JOIN pick ON pick.word = w.word),
+chain AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN f ON f.word = c.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, c.at AS root, f.n, f.n_near, f.form_n
+FROM f JOIN chain c ON c.word = f.word JOIN f e ON e.word = c.at AND e.form IS NULL
+"""
+
+
+@register("op11_spelling", SPELLING_SQL)
+def op11(spark, sf_dir):
+    """Words of all documents, the frequent form each varies, and its root."""
+    from cauce.llm.spelling import group_variants
+    return group_variants(documents(spark, sf_dir))
