@@ -185,3 +185,53 @@ def op11(spark, sf_dir):
     """Words of all documents, the frequent form each varies, and its root."""
     from cauce.llm.spelling import group_variants
     return group_variants(documents(spark, sf_dir))
+
+
+#: Words by byte classes: what is not an ASCII digit, letter or beyond ASCII separates.
+RESAMPLE_SQL = f"""
+WITH {CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS words
+  FROM documents),
+v AS (SELECT rid, unnest(words) AS word FROM d),
+b AS (
+  SELECT unnest(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'),
+                                   '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS word FROM benchmark),
+k AS MATERIALIZED (
+  SELECT word, {crc_sql("word")} % 10000 AS bucket
+  FROM (SELECT word FROM v UNION SELECT word FROM b), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM v JOIN k USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN k USING (word) GROUP BY bucket),
+g AS MATERIALIZED (
+  SELECT s.bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM v) + 10000)
+                                        / ((s.n + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+w AS (
+  SELECT rid, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+  FROM v JOIN k USING (word) JOIN g USING (bucket) GROUP BY rid),
+h AS (
+  SELECT d.doc_id, d.rid, CAST(coalesce(len(words), 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN w ON w.rid = d.rid),
+x AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM h),
+r AS (
+  SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+FROM x LEFT JOIN r ON r.rid = x.rid
+"""
+
+
+@register("op13_resample", RESAMPLE_SQL)
+def op13(spark, sf_dir):
+    """A tenth of all documents drawn towards the word distribution of the benchmark."""
+    from cauce.llm.resample import resample
+    return resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@register("op12_language")
+def op12(spark, sf_dir):
+    """Language of all documents by string kernels."""
+    from cauce.llm.language import predict
+    return predict(documents(spark, sf_dir))

@@ -1,0 +1,119 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from cauce.llm import language as M
+from llm.helpers import awkward, awkward_rows, frame, words
+
+SF01 = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def grams(text):
+    """All n-grams of letters, lower-cased, words apart by one blank."""
+    t = " " + "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text) + " "
+    while "  " in t:
+        t = t.replace("  ", " ")
+    return {t[i:i + n] for n in range(1, M.LONGEST + 1) for i in range(len(t) - n + 1)}
+
+
+def row_of(text):
+    out = np.zeros(M.WIDTH, np.uint8)
+    M.presence(text, out)
+    return out
+
+
+def hashed(g):
+    h = 0
+    for c in g:
+        h = (h * int(M._MIX) & 0xFFFFFFFF) ^ ord(c)
+    h = (h + len(g)) * int(M._MIX) & 0xFFFFFFFF
+    h ^= h >> 15
+    return (h * int(M._MIX) & 0xFFFFFFFF) >> (32 - M.WIDTH.bit_length() + 1)
+
+
+TEXTS = ["a", "Über-Straße 12 é", "x  y\n\nz!", "😀 漢字 text 𐐷 end", words(300, 1), "ßé" * 40, "tail no blank", " lead", "end "]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_presence_is_brute_force(monkeypatch, text):
+    want = {hashed(g) for g in grams(text)}
+    assert set(np.nonzero(row_of(text))[0].tolist()) == want
+    for piece in (1, 2, 3, 7):
+        monkeypatch.setattr(M, "PIECE", piece)
+        assert set(np.nonzero(row_of(text))[0].tolist()) == want
+
+
+def test_kernel_is_that_of_shared_ngrams():
+    a, b = words(60, 1), words(50, 2, kinds=90)
+    x, some = M.presence_rows([a, b, None, "12 + 3"])
+    ga, gb = grams(a), grams(b)
+    exact = len(ga & gb) / np.sqrt(len(ga) * len(gb))
+    assert abs(float(x[0] @ x[1]) - exact) < 0.05  # hashes of n-grams may meet
+    assert some.tolist() == [True, True, False, False] and abs(float(x[0] @ x[0]) - 1) < 1e-5
+
+
+def test_all_landmarks_give_kernel_ridge_regression():
+    r = random.Random(3)
+    texts = [words(30, i, kinds=50 + 10 * (i % 3)) for i in range(60)]
+    langs = [("aa", "bb", "cc")[i % 3] for i in range(60)]
+    r.shuffle(texts)
+    x = np.array([row_of(t) for t in texts])
+    m = M.fit(x, langs, landmarks=60, ridge=1e-2)
+    p = x / np.sqrt(x.sum(1, keepdims=True))
+    k = p @ p.T
+    y = np.where(np.array(langs)[:, None] == np.array(["aa", "bb", "cc"]), 1.0, -1.0)
+    want = k @ np.linalg.solve(k + 1e-2 * len(k) * np.eye(len(k)), y)
+    new = M.presence_rows(texts)[0]
+    assert np.allclose((new @ m.landmarks.T) @ m.weights, want, atol=2e-3)
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    got = {r.doc_id: r for r in M.predict(docs).collect()}
+    rows = docs.select("doc_id", "lang", "text").collect()
+    assert len(got) == len(rows)
+    right, n = 0, 0
+    for r in rows:
+        g = got[r.doc_id]
+        assert g.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= g.score <= 1
+        if g.held_out and r.lang is not None:
+            n += 1
+            right += g.lang_pred == r.lang
+    assert n > 150 and right / n > 0.99
+
+
+def test_neither_held_out_rows_nor_other_columns_are_used(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(300).collect()
+    free = [(r.doc_id, r.text, r.lang, r.source) for r in docs]
+    changed = [(i, t, "xx" if zlib.crc32(str(i).encode()) % 4 == 2 else g, "other") for i, t, g, _ in free]
+    a, b = ({r.doc_id: (r.lang_pred, r.score) for r in M.predict(spark.createDataFrame(x, SCHEMA)).collect()}
+            for x in (free, changed))
+    assert a == b and "xx" not in {p for p, _ in a.values()}
+
+
+def test_sample_is_bounded_and_fair(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    x, langs = M.sample(docs, 60, 4, 2)
+    n = {g: langs.count(g) for g in langs}
+    assert len(x) == len(langs) <= 60 and set(n.values()) == {15}
+    again = M.sample(docs.repartition(7), 60, 4, 2)
+    assert (again[0] == x).all() and again[1] == langs
+
+
+def test_awkward_tables(spark):
+    rows = awkward_rows()
+    got = M.predict(awkward(spark)).collect()
+    assert len(got) == len(rows)
+    assert {r.lang_pred for r in got} == {"en", "und"}
+    for r in got:
+        text = [x[1] for x in rows if x[0] == r.doc_id]
+        if not any(c.isalpha() for t in text for c in t or ""):
+            assert (r.lang_pred, r.score) == ("und", 0.0)
+    assert M.predict(frame(spark, [])).count() == 0
+    nobody = M.predict(spark.createDataFrame([(1, "some text", None, "s"), (None, "more text", "en", "s")], SCHEMA)).collect()
+    assert {(r.lang_pred, r.score, r.held_out) for r in nobody} == {("und", 0.0, False)}
+    one = M.predict(spark.createDataFrame([(1, "some text", "en", "s"), (2, "123 !", "en", "s")], SCHEMA)).collect()
+    assert {r.doc_id: r.lang_pred for r in one} == {1: "en", 2: "und"}
