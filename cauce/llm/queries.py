@@ -192,12 +192,12 @@ RESAMPLE_SQL = f"""
 WITH {CRC_TABLE},
 d AS (
   SELECT row_number() OVER () AS rid, doc_id,
-         regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS words
+         regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS words
   FROM documents),
 v AS (SELECT rid, unnest(words) AS word FROM d),
 b AS (
   SELECT unnest(regexp_extract_all(translate(text, '{_CAPITALS}', '{_CAPITALS.lower()}'),
-                                   '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS word FROM benchmark),
+                                   '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS word FROM benchmark),
 k AS MATERIALIZED (
   SELECT word, {crc_sql("word")} % 10000 AS bucket
   FROM (SELECT word FROM v UNION SELECT word FROM b), crc_table),
