@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.functions import ratio
-from cauce.plans.prefix import default_buckets, prefix_sums
+from cauce.plans.prefix import default_buckets, grouped_prefix_sums, prefix_sums
 from cauce.session import materialize
 
 LABEL, SCORE, KEY = "target", "propension_digital", "cliente_id"
@@ -70,6 +70,34 @@ def average_precision(scored: DataFrame, label: str = LABEL, score: str = SCORE,
     return cum.agg(_ap_expr(tot["pos"]).cast("double").alias("avg_precision"))
 
 
+def roc_auc_by(counts: DataFrame, groups: list[str]) -> DataFrame:
+    """A18 for every group of a table of (groups, score, pos, neg) counts, whose
+    rows may repeat scores: (groups, roc_auc), null with one class."""
+    return _ranking_by(counts, groups).select(*groups, "roc_auc")
+
+
+def ranking_metrics_by(scored: DataFrame, groups: list[str], label: str = LABEL, score: str = SCORE) -> DataFrame:
+    """A18 + A19 for every group at once: (groups, n, positives, roc_auc,
+    avg_precision). One ranking serves all groups and no group is one task; a
+    null group is a group of its own."""
+    y = F.col(label).cast("bigint")
+    counts = scored.filter(present(score) & F.col(label).isNotNull()).select(
+        *groups, F.col(score).cast("double").alias("score"), y.alias("pos"), (F.lit(1) - y).alias("neg"))
+    return _ranking_by(counts, groups)
+
+
+def _ranking_by(counts: DataFrame, groups: list[str]) -> DataFrame:
+    table = counts.groupBy(*groups, "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    cum = grouped_prefix_sums(table, groups, "score", ["pos", "neg"], descending=True)
+    pos, neg = F.sum("pos"), F.sum("neg")
+    area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0))
+    steps = F.sum(F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))))
+    return cum.groupBy(*groups).agg(
+        (pos + neg).alias("n"), pos.alias("positives"),
+        F.try_divide(area, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
+        F.try_divide(steps, pos.cast("double")).alias("avg_precision"))
+
+
 def _confusion_aggs(label: str, score: str, threshold: float) -> list[Column]:
     y = F.col(label) == 1
     pred = F.col(score) >= F.lit(threshold)  # P25, N22: inclusive threshold

@@ -28,13 +28,16 @@ class SegmentEdges:
     labels: tuple
     score_col: str = "propension_digital"
     out_col: str = "segmento_propension"
+    open_ends: bool = False  # scores beyond the fitted range fall in the first or last bin
 
     def transform(self, df: DataFrame) -> DataFrame:
         s = F.col(self.score_col)
         e, lab = self.edges, self.labels
         if not e:
             return df.withColumn(self.out_col, F.lit(None).cast("string"))
-        outside = s.isNull() | F.isnan(s.cast("double")) | (s < F.lit(e[0])) | (s > F.lit(e[-1]))
+        outside = s.isNull() | F.isnan(s.cast("double"))
+        if not self.open_ends:
+            outside = outside | (s < F.lit(e[0])) | (s > F.lit(e[-1]))
         expr = F.when(outside, F.lit(None).cast("string"))
         for i in range(1, len(e) - 1):
             expr = expr.when(s <= F.lit(e[i]), F.lit(lab[i - 1]))
@@ -43,14 +46,16 @@ class SegmentEdges:
 
 
 def fit_segments(df: DataFrame, score_col: str = "propension_digital", n: int = 10,
-                 duplicates: str = "raise", out_col: str = "segmento_propension") -> SegmentEdges:
+                 duplicates: str = "raise", out_col: str = "segmento_propension",
+                 open_ends: bool = False) -> SegmentEdges:
     """Fit n quantile bins. ``duplicates='raise'`` mirrors a fixed-label
     quantile cut (equal edges are an error); ``'collapse'`` merges them and
-    keeps the labels of the surviving bins."""
+    keeps the labels of the surviving bins. Scores outside the fitted range have
+    no segment, unless ``open_ends``."""
     probs = [i / n for i in range(n + 1)]
     edges = exact_quantiles(df, [score_col], probs)[score_col]
     if any(e is None for e in edges):  # no score at all: every row stays without a segment
-        return SegmentEdges((), (), score_col, out_col)
+        return SegmentEdges((), (), score_col, out_col, open_ends)
     labels = segment_labels(n)
     uniq = []
     keep = []
@@ -66,7 +71,7 @@ def fit_segments(df: DataFrame, score_col: str = "propension_digital", n: int =
             raise ValueError(f"bin edges must be unique: {edges}")
         # equal scores only: one bin, named as the highest
         labels = keep if len(uniq) > 1 else labels[-1:]
-    return SegmentEdges(tuple(uniq), tuple(labels), score_col, out_col)
+    return SegmentEdges(tuple(uniq), tuple(labels), score_col, out_col, open_ends)
 
 
 def segment_customers(df: DataFrame, score_col: str = "propension_digital", n: int = 10,

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.session import materialize
@@ -172,33 +172,148 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
 
 # --------------------------------------------------------------------------
+#: Rows of one window task, and the least that a cell is cut for.
+WINDOW_ROWS = 1_000_000
+LEAST_ROWS = 50_000
+
+
+def window_rows(df: DataFrame, rows: int) -> int:
+    """Rows that one window task may get: about a task per core and a half for
+    middling tables, never over ``WINDOW_ROWS``."""
+    tasks = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(WINDOW_ROWS, max(LEAST_ROWS, rows // tasks)))
+
+
+def _safe_key(key: str) -> Column:
+    """The key as a double for cutting; nulls and NaN count as the largest."""
+    return F.coalesce(F.col(f"`{key}`").cast("double"), F.lit(float("nan")))
+
+
+def _finite(x: Column) -> Column:
+    return F.when(F.abs(x) < float("inf"), x)
+
+
+def _magnitude(x: Column) -> Column:
+    """The logarithm of the distance from 0, signed, rising with x (the least
+    double's is -745)."""
+    size = F.log(F.abs(F.when(x == 0, F.lit(1.0)).otherwise(x))) + 746
+    return F.when(x == 0, F.lit(0.0)).when(x > 0, size).otherwise(-size)
+
+
+def _cell_stats(df: DataFrame, by: list, key: str, bound: int) -> list:
+    """(by..., _n, _lo, _hi) of the cells with more rows than ``bound``: at most
+    rows / bound of them."""
+    x = _finite(_safe_key(key))
+    n = F.count(F.lit(1))
+    return (df.groupBy(*by).agg(n.alias("_n"), F.min(x).alias("_lo"), F.max(x).alias("_hi"))
+            .filter((F.col("_n") > bound) & (F.col("_lo") < F.col("_hi"))).collect())
+
+
+def cut_cells(df: DataFrame, key: str, groups: list[str], bound: int) -> tuple[DataFrame, list[int]]:
+    """``_cell``: contiguous key ranges of each group that hold at most ``bound``
+    rows, and the ids of the cells of cut groups in key order.
+
+    A group or cell with more rows is cut between its own smallest and largest
+    key into four times as many pieces as it holds bounds of rows: of equal widths,
+    or of equal ratios where the keys span magnitudes (both rise with the key, and
+    a ratio cut leaves spans that widths can cut, so a few turns do). What still
+    holds more is cut again. Each turn is one partial aggregation, and the
+    driver only sees the cells to be cut: at most rows / bound. Equal keys are
+    never parted, so keys should be unique within a group."""
+    spark = df.sparkSession
+    # cell 0 is all that is not cut; not a literal, as windows by a literal count as unpartitioned
+    out = df.withColumn("_cell", F.pmod(F.hash(key), F.lit(1)).cast("bigint"))
+    fresh, after = 1, {}  # next free id; cells that each cut cell became
+    roots: list = []
+    large = _cell_stats(df, groups, key, bound)
+    kinds = ", ".join(f"`{g}` {df.schema[g].dataType.simpleString()}" for g in groups)
+    by_group, turns = True, 0
+    while large:
+        rows = []
+        for r in large:
+            m = 4 * -(-r["_n"] // bound)
+            ids = range(fresh, fresh + m)
+            fresh += m
+            own = [r[g] for g in groups] if by_group else [r["_cell"]]
+            if by_group:
+                roots.append(ids)
+            else:
+                after[r["_cell"]] = ids
+            small, big = sorted((abs(r["_lo"]), abs(r["_hi"])))
+            wide = r["_lo"] * r["_hi"] <= 0 or big / 1024 > small
+            rows.append((*own, r["_lo"], r["_hi"], wide, m, ids[0]))
+        own = [f"_g{i}" for i in range(len(groups))] if by_group else ["_was"]
+        shape = (kinds if by_group else "_was bigint")
+        cuts = F.broadcast(spark.createDataFrame(
+            rows, (shape + ", " if shape else "") + "_lo double, _hi double, _wide boolean, _m bigint, _base bigint")
+            .withColumnsRenamed(dict(zip(groups, own)) if by_group else {}))
+        on = F.lit(True)
+        for g, o in zip(groups if by_group else ["_cell"], own):
+            on = on & F.col(f"`{g}`").eqNullSafe(F.col(o))
+        x = _safe_key(key)
+        here, low, high = (F.when(F.col("_wide"), _magnitude(v)).otherwise(v) for v in (x, F.col("_lo"), F.col("_hi")))
+        place = F.floor((here - low) / (high - low) * F.col("_m"))
+        part = F.when(F.isnan(x) | (x >= F.col("_hi")), F.col("_m") - 1).when(x <= F.col("_lo"), F.lit(0)).otherwise(
+            F.least(F.greatest(place, F.lit(0)), F.col("_m") - 1))
+        out = (out.join(cuts, on, "left").withColumn("_cell", F.coalesce(F.col("_base") + part, F.col("_cell")))
+               .drop("_lo", "_hi", "_wide", "_m", "_base", *own))
+        turns += 1
+        if turns > 2:  # keep the plan short
+            out = materialize(out)
+        large = _cell_stats(out.filter("_cell > 0"), ["_cell"], key, bound)
+        large = [r for r in large if r["_cell"] not in after]
+        by_group = False
+    order, todo = [], [c for ids in reversed(roots) for c in reversed(ids)]
+    while todo:
+        c = todo.pop()
+        todo.extend(reversed(after[c])) if c in after else order.append(c)
+    return out, order
+
+
+def grouped_prefix_sums(df: DataFrame, groups: list[str], key: str, sums: list[str], descending: bool = False,
+                        bound: int | None = None, checkpoint: bool = True) -> DataFrame:
+    """Inclusive running sums of ``sums`` in ``key`` order within every group, as
+    ``cum_<col>``, for all groups in one pass. ``key`` is unique within a group.
+    No window task gets more than ``bound`` rows, however the rows spread over
+    groups and keys: small groups are one window partition each, large ones are
+    cut into cells whose totals are added as offsets."""
+    if checkpoint:  # the frame feeds several passes; compute it once
+        df = materialize(df)
+    bound = bound or window_rows(df, df.count())
+    cells, order = cut_cells(df, key, groups, bound)
+    by = F.col(f"`{key}`").desc_nulls_first() if descending else F.col(f"`{key}`").asc_nulls_last()
+    w = Window.partitionBy(*groups, "_cell").orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    out = cells.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums])
+    if order:
+        found = {r["_cell"]: r for r in cells.filter("_cell > 0").groupBy("_cell", *groups).agg(
+            *[F.sum(c).alias(f"_s_{c}") for c in sums]).collect()}  # one row a cell of the cut groups
+        before: dict = {}
+        kinds = {c: df.select(F.sum(c).alias("s")).schema["s"].dataType.simpleString() for c in sums}
+        rows = []
+        for c in reversed(order) if descending else order:
+            if c in found:
+                r = found[c]
+                have = before.setdefault(tuple(r[g] for g in groups), {s: 0 for s in sums})
+                rows.append((c, *[float(have[s]) if kinds[s] == "double" else have[s] for s in sums]))
+                for s in sums:
+                    have[s] += r[f"_s_{s}"] or 0
+        shape = ", ".join(f"`_off_{c}` {kinds[c]}" for c in sums)
+        offsets = F.broadcast(df.sparkSession.createDataFrame(rows, f"_cell bigint, {shape}"))  # one row a cell
+        out = out.join(offsets, "_cell", "left")
+        out = out.withColumns({f"cum_{c}": F.col(f"cum_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0)) for c in sums})
+        out = out.drop(*[f"_off_{c}" for c in sums])
+    return out.drop("_cell")
+
+
 def prefix_sums(df: DataFrame, key: str, sums: list[str], descending: bool = False,
                 n_buckets: int | None = None, checkpoint: bool = True) -> tuple[DataFrame, dict]:
     """Inclusive running sums of ``sums`` in ``key`` order over a frame whose
     ``key`` is unique (e.g. the output of ``groupBy(key)``). Returns the
-    frame with ``cum_<col>`` columns and the grand totals (dict)."""
-    nb = n_buckets or default_buckets(df)
-    if checkpoint:  # the frame feeds three passes; compute it once
+    frame with ``cum_<col>`` columns and the grand totals (dict). ``n_buckets``
+    asks for that many window tasks at least."""
+    if checkpoint:  # the frame feeds several passes; compute it once
         df = materialize(df)
-    probs = [i / nb for i in range(1, nb)]
-    e = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 10000).alias("e")).collect()[0]["e"]
-    b = _bucketize(df, [key], {key: _clean_edges(e)}).withColumn("_bucket", F.col("_b_0").cast("int")).drop("_b_0")
-    tot_rows = b.groupBy("_bucket").agg(*[F.sum(c).alias(c) for c in sums]).collect()
-    tot_rows = sorted(tot_rows, key=lambda r: r["_bucket"], reverse=descending)
-    totals = {c: 0 for c in sums}
-    offs = {c: {} for c in sums}
-    for r in tot_rows:
-        for c in sums:
-            offs[c][int(r["_bucket"])] = totals[c]
-            totals[c] += (r[c] or 0)
-    order = F.col(key).desc() if descending else F.col(key).asc()
-    w = Window.partitionBy("_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    kinds = {c: "bigint" if isinstance(totals[c], int) else "double" for c in sums}
-    # one row per bucket, at most MAX_BUCKETS + 2 of them, so broadcast is bounded
-    offsets = df.sparkSession.createDataFrame(
-        [(bucket, *[offs[c][bucket] for c in sums]) for bucket in sorted(offs[sums[0]])],
-        "_bucket int, " + ", ".join(f"`_off_{c}` {kinds[c]}" for c in sums))
-    out = b.select("*", *[F.sum(c).over(w).alias(f"cum_{c}") for c in sums]).join(F.broadcast(offsets), "_bucket", "left")
-    for c in sums:
-        out = out.withColumn(f"cum_{c}", F.col(f"cum_{c}") + F.coalesce(F.col(f"_off_{c}"), F.lit(0)))
-    return out.drop("_bucket", *[f"_off_{c}" for c in sums]), totals
+    whole = df.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in sums]).first()
+    bound = -(-whole["_n"] // n_buckets) if n_buckets else window_rows(df, whole["_n"])
+    out = grouped_prefix_sums(df, [], key, sums, descending, max(1, bound), checkpoint=False)
+    return out, {c: whole[c] or 0 for c in sums}

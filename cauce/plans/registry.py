@@ -444,6 +444,7 @@ def q_scoring_summary(spark, sf_dir):
 
 
 # ----------------------------------------------------------- batch 3: trials, model
+from cauce.operators import attribution  # noqa: E402
 from cauce.operators import model as mdl  # noqa: E402
 from cauce.operators import tuning as tun  # noqa: E402
 from cauce.session import materialize, stage_path  # noqa: E402
@@ -504,7 +505,7 @@ def q_top_trials(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- rows-only queries
-# The model queries run the library's defaults: early stopping ends a fit, 50 draws make a search.
+# The model queries run the library's defaults: early stopping ends a fit, 50 trials make a search.
 def _train_test_a(spark, sf_dir):
     # the feature table is the hand-off between feature build and modelling
     # (the reference persists it too): compute it once per query
@@ -546,6 +547,23 @@ def q_perm(spark, sf_dir):
     return mdl.permutation_importance(pm, te)
 
 
+@register("customer_attribution")
+def q_attribution(spark, sf_dir):
+    """What each feature adds to every test customer's margin."""
+    tr, te = _train_test_a(spark, sf_dir)
+    pm, _ = mdl.train_pipeline(tr, te)
+    explained = attribution.attributions(pm.model, pm.prepare(te), ["cliente_id"])
+    return attribution.long_form(explained, pm.feature_names, ["cliente_id", "base_value", "margin"])
+
+
+@register("attribution_importance")
+def q_attribution_importance(spark, sf_dir):
+    """Mean absolute attribution of every feature over the test customers."""
+    tr, te = _train_test_a(spark, sf_dir)
+    pm, _ = mdl.train_pipeline(tr, te)
+    return attribution.attribution_importance(pm.model, pm.prepare(te))
+
+
 def _search_inputs(spark, sf_dir):
     tr, te = _train_test_a(spark, sf_dir)
     enc = enc_ops.TargetEncoder("pais_cd", "target", 50).fit(tr)
@@ -557,10 +575,10 @@ def _search_inputs(spark, sf_dir):
 
 @register("tuning_trials")
 def q_tuning(spark, sf_dir):
-    """M11 + M12 + W8: seeded random search of 50 draws, logged as nested runs."""
+    """M11 + M12 + W8: adaptive search of 50 trials, logged as nested runs."""
     mat, _, names = _search_inputs(spark, sf_dir)
     log = RunLog(spark, stage_path(spark, "runs"), "propension_digital")
-    trials = tun.random_search(mat, names, parallelism=4, run_log=log, parent_run_id=log.start_run("search"))
+    trials = tun.adaptive_search(mat, names, run_log=log, parent_run_id=log.start_run("search"))
     return tun.best_so_far(trials, "auc")
 
 
@@ -568,7 +586,7 @@ def q_tuning(spark, sf_dir):
 def q_baseline_vs_tuned(spark, sf_dir):
     """M13 + M14 + A32: refit best and default configurations, compare."""
     mat, test_mat, names = _search_inputs(spark, sf_dir)
-    trials = tun.random_search(mat, names, parallelism=4)
+    trials = tun.adaptive_search(mat, names)
     log = RunLog(spark, stage_path(spark, "runs"), "propension_digital")
     cmp, _, _ = tun.refit_and_compare(mat, test_mat, names, tun.best_trial(trials), run_log=log,
                                       model_path=stage_path(spark, "model"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -76,6 +77,22 @@ def materialize(df):
     return spark.read.parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that were started without
+    it on their path: its code travels with the session, once."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    app = spark.sparkContext.applicationId
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if app in _SHIPPED or root in on_path or not os.path.isdir(os.path.join(root, "cauce")):
+        return
+    folder = tempfile.mkdtemp(prefix="cauce-code-")  # read by the driver's file server until the session ends
+    spark.sparkContext.addPyFile(shutil.make_archive(os.path.join(folder, "cauce"), "zip", root, "cauce"))
+    _SHIPPED.add(app)
+
+
 def release(spark: SparkSession) -> None:
     """Remove everything this session has staged. Frames that were built on it
     can't be read afterwards, so call it when their results are written."""

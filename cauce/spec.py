@@ -61,6 +61,26 @@ class FeatureSpec:
         return base + tuple(f"{m}_promedio_{ch.lower()}" for ch in self.channels for m in ("facturacion", "materiales"))
 
 
+@dataclass(frozen=True)
+class BoostParams:
+    """The booster's parameters, with the reference's names and values."""
+
+    rounds: int = 1000  # an upper bound: early stopping ends it
+    patience: int = 50
+    learning_rate: float = 0.05
+    num_leaves: int = 31
+    max_depth: int = -1
+    feature_fraction: float = 0.8
+    bagging_fraction: float = 0.8
+    bagging_freq: int = 5
+    min_child_samples: int = 20
+    min_child_weight: float = 1e-3
+    reg_alpha: float = 0.1
+    reg_lambda: float = 0.1
+    max_bin: int = 64
+    seed: int = 42
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     test_months: int = 1
@@ -68,15 +88,7 @@ class ModelSpec:
     threshold: float = 0.5
     top_k: float = 0.20
     validation_fraction: float = 0.2
-    # boosted-tree parameters (Spark GBT names)
-    max_iter: int = 1000  # an upper bound: early stopping ends it
-    max_depth: int = 5
-    step_size: float = 0.05
-    subsampling_rate: float = 0.8
-    feature_subset: str = "0.8"
-    min_instances_per_node: int = 20
-    # least relative gain of a round on the validation rows
-    validation_tol: float = 1e-3
+    boost: BoostParams = BoostParams()
     categoricals: tuple = (
         "ultimo_canal",
         "penultimo_canal",
