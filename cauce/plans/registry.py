@@ -504,6 +504,20 @@ def q_top_trials(spark, sf_dir):
     return tun.top_trials(tun.threshold_trials(scored_a(spark, sf_dir)), "f1_score", 10, ("threshold",))
 
 
+@register("auc_by_country", O.rounded(O.with_ft("""
+SELECT pais_cd, CAST(SUM(pos + neg) AS BIGINT) AS n, CAST(SUM(pos) AS BIGINT) AS positives,
+       SUM(neg * (cum_pos - pos / 2.0)) / NULLIF(CAST(SUM(pos) AS DOUBLE) * SUM(neg), 0) AS roc_auc,
+       SUM(pos * (CAST(cum_pos AS DOUBLE) / (cum_pos + cum_neg))) / NULLIF(SUM(pos), 0) AS avg_precision
+FROM (SELECT *, SUM(pos) OVER w AS cum_pos, SUM(neg) OVER w AS cum_neg
+      FROM (SELECT pais_cd, pct_digital_historico AS score, SUM(target) AS pos, SUM(1 - target) AS neg
+            FROM ft GROUP BY ALL)
+      WINDOW w AS (PARTITION BY pais_cd ORDER BY score DESC ROWS UNBOUNDED PRECEDING))
+GROUP BY pais_cd"""), ["roc_auc", "avg_precision"]))
+def q_auc_by_country(spark, sf_dir):
+    """A18 + A19 of every country, from one grouped ranking."""
+    return met.ranking_metrics_by(feature_stage(spark, sf_dir), ["pais_cd"], score="pct_digital_historico")
+
+
 # ---------------------------------------------------------------- rows-only queries
 # The model queries run the library's defaults: early stopping ends a fit, 50 trials make a search.
 def _train_test_a(spark, sf_dir):
