@@ -108,3 +108,26 @@ def test_repeated_rows_are_cut_once(spark, monkeypatch):
     monkeypatch.setattr(D, "shard_repeats", counted)
     held(frame(spark, [x + ("en", "s", 1, 0, "k", "f", "r", 0.0, "s", 1) for x in rows]), rows)
     assert seen[0][0] == seen[0][1] > 0
+
+
+@pytest.mark.parametrize("size", [399, 400, 401, 650])
+def test_planted_repeats_around_the_width(spark, size):
+    """A passage of ``size`` bytes in many documents goes whole from 400 bytes on,
+    and stays whole below; documents without it keep every byte."""
+    r = random.Random(size)
+
+    def letters(n, of="abcdefghijklmnopqrstuvwxyz "):
+        return "".join(r.choice(of) for _ in range(n))
+    passage = letters(size)
+    planted = {i: letters(300 + 7 * i) + "<" + passage + ">" + letters(200) for i in range(12)}
+    # the neighbours of the passage differ, so that no repeat is longer than planted
+    planted = {i: t.replace("<", chr(65 + i)).replace(">", chr(65 + (5 * i + 1) % 12)) for i, t in planted.items()}
+    clean = {100 + i: letters(900) for i in range(12)}
+    rows = [(i, t) for i, t in {**planted, **clean}.items()]
+    got = {x.doc_id: x for x in D.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = size if size >= 400 else 0
+    for i, t in planted.items():
+        kept = t.replace(passage, "") if gone else t
+        assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans) == (len(t), gone, int(gone > 0))
+        assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+    assert all((got[i].n_removed, got[i].n_bytes) == (0, 900) for i in clean)
