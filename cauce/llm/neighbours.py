@@ -19,13 +19,16 @@ batch before anything is shuffled, to one entry with their k + 1 smallest ids
 Defined results: vectors that are null, zero, hold null or non-finite components
 or are not of the most frequent length, and rows without id, take no part; rows
 that repeat an id and vector are one; the copies of a query's id are its own;
-fewer than k candidates give fewer rows; an empty table none. Ties go to the
-smaller id.
+fewer than k candidates give fewer rows; an empty table none. Among all that a
+query verifies, ties go to the smaller id, and vectors of one direction (scaled
+copies) are all verified. Vectors are multiplied by powers of two before products
+and norms, which changes no digit, so any finite components may be scored.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,12 @@ from pyspark.sql import functions as F
 
 from cauce.llm.common import ship, stage
 
-#: Vectors that the split values are fitted on; vectors per region; regions.
+#: Vectors that the split values are fitted on; vectors per task; regions that
+#: the splits make. With more vectors each region is dealt to several tasks by hash.
 SAMPLE, REGION, REGIONS = 20_000, 20_000, 4096
 LEAF, STEP = 32, 512
+#: Rounding of a squared distance between unit vectors, and of one between projections.
+SLACK = 1e-13
 
 
 def chi_square(x: np.ndarray, m: int) -> np.ndarray:
@@ -62,9 +68,15 @@ def directions(dim: int, m: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, m))
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """Every row times the power of two that brings its largest component to
+    0.5 .. 1: the same digits, but no product leaves the range of doubles."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def unit(v: np.ndarray) -> np.ndarray:
-    scaled = v / np.abs(v).max(axis=1, keepdims=True)
-    return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
+    v = scaled(v)
+    return v / np.sqrt((v * v).sum(1, keepdims=True))
 
 
 class Splits:
@@ -115,31 +127,30 @@ class Tree:
         return (gap * gap).sum(1)
 
 
-def search(tree: Tree, vectors: np.ndarray, q: np.ndarray, qy: np.ndarray, known: float, ratio: float,
-           weight: np.ndarray, k: int) -> np.ndarray:
-    """Entries nearest to q, verified until the stopping test holds. ``known``:
-    a squared k-th distance found elsewhere; ``weight``: ids per entry."""
+def search(tree: Tree, score, qy: np.ndarray, known: float, ratio: float, ids: list, k: int) -> list[tuple[float, int]]:
+    """The k nearest (-score, id) to a query, verified until the stopping test
+    holds. ``known``: a squared k-th distance found elsewhere; ``score`` gives
+    the measure of entries, ``ids`` their ids. Only entries that are beaten by k
+    others, ties by id, are let go."""
     bounds = tree.bounds(qy)
     leaves = np.argsort(bounds, kind="stable")
-    best_at, best_d = np.empty(0, np.int64), np.empty(0)
+    best: list[tuple[float, int]] = []
     limit, i = known, 0
-    while i < len(leaves):
-        if bounds[leaves[i]] >= ratio * limit:
-            break
+    while i < len(leaves) and bounds[leaves[i]] <= ratio * (limit + SLACK):
         j, n = i, 0
-        while j < len(leaves) and n < STEP and bounds[leaves[j]] < ratio * limit:
+        while j < len(leaves) and n < STEP and bounds[leaves[j]] <= ratio * (limit + SLACK):
             n += tree.size[leaves[j]]
             j += 1
         at = np.concatenate([tree.order[tree.start[x]:tree.start[x] + tree.size[x]] for x in leaves[i:j]])
-        best_at = np.concatenate([best_at, at])
-        best_d = np.concatenate([best_d, np.maximum(2 - 2 * (vectors[at] @ q), 0)])
-        keep = np.argsort(best_d, kind="stable")[:4 * k]
-        best_at, best_d = best_at[keep], best_d[keep]
-        enough = np.searchsorted(np.cumsum(weight[best_at]), k)
-        if enough < len(best_d):
-            limit = min(limit, float(best_d[enough]))
+        s = score(at)
+        if len(best) == k:
+            near = s >= -best[-1][0]
+            at, s = at[near], s[near]
+        best = sorted(best + [(-v, x) for v, a in zip(s.tolist(), at.tolist()) for x in ids[a]])[:k]
+        if len(best) == k:
+            limit = min(limit, max(2 + 2 * best[-1][0], 0.0))
         i = j
-    return best_at
+    return best
 
 
 def clean(table: DataFrame, id_column: str, vector: str) -> tuple[DataFrame, int]:
@@ -192,19 +203,22 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     entries = stage(collapsed(rows, dim, k))
     n = entries.count()
     depth = max(0, min(int(math.log2(REGIONS)), math.ceil(math.log2(max(1, n / REGION)))))
+    parts = max(1, math.ceil(n / REGION / REGIONS))  # tasks to a region
     share = min(1.0, 1.5 * SAMPLE / max(1, n))
     sample = entries.where(F.abs(F.xxhash64("vec") % 1_000_000) < int(share * 1_000_000)).select("vec") \
         .limit(SAMPLE).toArrow()  # at most SAMPLE vectors
     top = Splits(unit(_doubles(sample["vec"], dim)) @ base if sample.num_rows else np.empty((0, m)), depth)
 
-    def place(batches):
+    def place(batches, dealt):
         for b in batches:
             y = unit(_doubles(b.column(0), dim)) @ base
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(top.region(y).astype(np.int32)),
+            part = [zlib.crc32(v) % parts if dealt else 0 for v in b.column(0).to_pylist()]
+            region = top.region(y) * parts + np.array(part, np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(region.astype(np.int32)),
                                               pa.array([r.tobytes() for r in y], pa.binary())],
                                              [*b.schema.names, "region", "y"])
 
-    index = stage(entries.mapInArrow(place, "vec binary, ids array<long>, region int, y binary"))
+    index = stage(entries.mapInArrow(lambda bs: place(bs, True), "vec binary, ids array<long>, region int, y binary"))
 
     def boxes(batches):
         low, high = {}, {}
@@ -221,7 +235,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
     per = index.select("region", "y").mapInArrow(boxes, "region int, low array<double>, high array<double>")
     box = (per.groupBy("region").agg(*[F.min(F.col("low")[i]).alias(f"l{i}") for i in range(m)],
                                      *[F.max(F.col("high")[i]).alias(f"h{i}") for i in range(m)])
-           .toPandas().sort_values("region"))  # at most REGIONS rows
+           .toPandas().sort_values("region"))  # one row a task's region
     names = box["region"].to_numpy()
     lows, highs = box[[f"l{i}" for i in range(m)]].to_numpy(), box[[f"h{i}" for i in range(m)]].to_numpy()
 
@@ -235,7 +249,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
 
     asked = stage(asked.mapInArrow(keyed, "id long, vec binary").distinct())
     queries = stage(asked.select("vec").distinct()
-                    .mapInArrow(lambda bs: place(bs), "vec binary, region int, y binary")
+                    .mapInArrow(lambda bs: place(bs, False), "vec binary, region int, y binary")
                     .withColumn("known", F.lit(float("inf"))))
 
     result = "vec binary, known double, found array<struct<score:double,id:long>>"
@@ -245,16 +259,14 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
                            ("found", pa.list_(pa.struct([("score", pa.float64()), ("id", pa.int64())])))])
         if not qs.num_rows or not es.num_rows:
             return kinds.empty_table()
-        raw, ids = _doubles(es["vec"], dim), es["ids"].to_pylist()
-        vectors, tree = unit(raw), Tree(_doubles(es["y"], m))
-        norms = np.sqrt((raw * raw).sum(1))
-        weight = np.array([len(x) for x in ids])
+        ids, tree = es["ids"].to_pylist(), Tree(_doubles(es["y"], m))
+        v = scaled(_doubles(es["vec"], dim))
+        norms = np.sqrt((v * v).sum(1))
         out: list[list] = [[], [], []]
-        for key, q, qy, known in zip(qs["vec"].to_pylist(), _doubles(qs["vec"], dim), _doubles(qs["y"], m),
+        for key, q, qy, known in zip(qs["vec"].to_pylist(), scaled(_doubles(qs["vec"], dim)), _doubles(qs["y"], m),
                                      qs["known"].to_pylist()):
-            at = search(tree, vectors, unit(q[None])[0], qy, known, ratio, weight, k + 1)
-            score = (raw[at] * q).sum(1) / (norms[at] * np.sqrt((q * q).sum()))
-            pairs = sorted((-s, i) for s, a in zip(score.tolist(), at.tolist()) for i in ids[a])[:k + 1]
+            own = np.sqrt((q * q).sum())
+            pairs = search(tree, lambda at: (v[at] * q).sum(1) / (norms[at] * own), qy, known, ratio, ids, k + 1)
             out[0].append(key)
             out[1].append(max(2 + 2 * pairs[k][0], 0.0) if len(pairs) > k else float("inf"))
             out[2].append([{"score": -s, "id": i} for s, i in pairs])
@@ -272,7 +284,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "ve
             cols: list[list] = [[], [], [], []]
             for i in range(b.num_rows):
                 gap = np.maximum(np.maximum(lows - y[i], y[i] - highs), 0)
-                go = names[((gap * gap).sum(1) < ratio * known[i]) & (names != own[i])]
+                go = names[((gap * gap).sum(1) <= ratio * (known[i] + SLACK)) & (names != own[i])]
                 cols[0] += go.tolist()
                 cols[1] += [vec[i].as_py()] * len(go)
                 cols[2] += [y[i].tobytes()] * len(go)

@@ -1,3 +1,6 @@
+import math
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,11 +15,11 @@ def brute(ids, v, query, k):
     for q in ok:
         if ids[q] % query:
             continue
-        a = np.array(v[q], float)
+        a = N.scaled(np.array([v[q]], float))[0]
         scored = []
         for c in ok:
             if ids[c] != ids[q]:
-                b = np.array(v[c], float)
+                b = N.scaled(np.array([v[c]], float))[0]
                 scored.append((-(a * b).sum() / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum())), ids[c]))
         out[ids[q]] = [(i, -s) for s, i in sorted(set(scored))[:k]]
     return out
@@ -58,12 +61,49 @@ def test_awkward_vectors(spark):
     v += [v[0]] * 9 + [[1e-200] * 8, [1e150] * 8]
     ids = list(range(len(v)))
     rows = [(i, x, 0, 1, 2) for i, x in zip(ids, v)] + [(0, v[0], 0, 1, 2), (None, v[1], 0, 1, 2), (500, [1.0, 2.0], 0, 1, 2)]
-    small = [x if x is None or len(x) == 8 else None for x in v]
-    small[-2] = small[-1] = None  # their squares leave the range of doubles; only that they do no harm is asked
-    df = spark.createDataFrame([r for r in rows if r[0] not in (len(v) - 2, len(v) - 1)], SCHEMA)
-    got, want = held(df, ids, small, 3, 5, least=1.0)
+    df = spark.createDataFrame(rows, SCHEMA)
+    got, want = held(df, ids, v, 3, 5, least=1.0)
     assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
-    N.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 3 == 0).count()
+
+
+@pytest.mark.parametrize("region", [20_000, 16])
+def test_scaled_copies_tie_by_id(spark, monkeypatch, region):
+    monkeypatch.setattr(N, "REGION", region)
+    v = vectors(40, 8, 5) + [[x * 2.0 ** (7 * (i % 9) - 30) for x in vectors(1, 8, 6)[0]] for i in range(60)]
+    order = np.random.default_rng(1).permutation(100)  # ids don't follow the scale
+    rows = [(int(i), x, 0, 1, 2) for i, x in zip(order, v)]
+    got, want = held(spark.createDataFrame(rows, SCHEMA), [r[0] for r in rows], v, 1, 5, least=1.0)
+    copies = sorted(int(i) for i in order[40:])
+    for q in copies:
+        assert [i for i, _ in got[q]] == [i for i in copies if i != q][:5]
+    assert got == want
+
+
+def test_components_of_any_magnitude(spark):
+    r = np.random.default_rng(8)
+    base = vectors(60, 8, 7)
+    v = [[x * 10.0 ** int(e) for x in b] for b, e in zip(base, r.integers(-300, 300, 60))]
+    v += [[1e300, 1e-300, 0.0, 0.0, 0.0, 0.0, 0.0, -1e300], [1e-300] * 8]
+    rows = [(i, x, 0, 1, 2) for i, x in enumerate(v)]
+    got, want = held(spark.createDataFrame(rows, SCHEMA), list(range(len(v))), v, 1, 5, least=1.0)
+    assert all(np.isfinite(s) and abs(s) <= 1 + 1e-12 for x in got.values() for _, s in x)
+    exact = [[Fraction(x) for x in w] for w in v]
+
+    def cosine(a, b):  # in rationals up to the roots
+        dot = sum(x * y for x, y in zip(a, b))
+        square = dot * dot / (sum(x * x for x in a) * sum(y * y for y in b))
+        return (1 if dot > 0 else -1) * math.sqrt(square)
+    for q in got:
+        for i, s in got[q]:
+            assert s == pytest.approx(cosine(exact[q], exact[i]), abs=1e-12)
+
+
+def test_regions_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(N, "REGION", 25)
+    monkeypatch.setattr(N, "REGIONS", 4)
+    v = vectors(600, 16, 9)
+    df = spark.createDataFrame([(i, x, 0, 1, 2) for i, x in enumerate(v)], SCHEMA)
+    held(df, list(range(len(v))), v, 20, 5)
 
 
 def test_fewer_candidates_and_empty(spark):
