@@ -8,12 +8,14 @@ the definitions require. Results are small DataFrames.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import os
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cauce.functions import ratio
-from cauce.plans.prefix import default_buckets, grouped_prefix_sums, prefix_sums
-from cauce.session import materialize
+from cauce.plans.prefix import grouped_prefix_sums, prefix_sums
 
 LABEL, SCORE, KEY = "target", "propension_digital", "cliente_id"
 
@@ -177,23 +179,51 @@ def pr_curve(scored: DataFrame, label: str = LABEL, score: str = SCORE) -> DataF
     return pts.unionByName(end)
 
 
+#: Hex digits of a key that one pass of the selection tells apart.
+DIGITS = 3
+
+
+def _ordered_text(key: str, kind: T.DataType) -> Column:
+    """The key as hex text in the key's own order, null first: integers and times
+    with their sign bit turned, text by its bytes."""
+    c = F.col(key)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        c = F.unix_date(c) if isinstance(kind, T.DateType) else F.unix_micros(c.cast("timestamp"))
+    elif isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        c = (c * F.lit(10 ** kind.scale)).cast("decimal(38,0)")
+    elif not isinstance(kind, (T.IntegralType, T.StringType, T.BinaryType)):
+        raise TypeError(f"ties can't be broken by a key of type {kind.simpleString()}")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        text = F.hex(c.cast("binary"))
+    else:
+        text = F.lpad(F.hex(c.cast("bigint").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.coalesce(F.concat(F.lit("1"), text), F.lit("0"))
+
+
 def positives_of_first(group: DataFrame, m: int, key: str, label: str) -> int:
-    """Positives among the ``m`` rows with the smallest keys (natural order of
-    the key's own type, nulls first). The group is written once in key ranges;
-    whole ranges before the cut are summed and only the one range that holds
-    the cut is ranked row by row."""
-    ranged = materialize(group.select(F.col(key).alias("k"), F.col(label).cast("bigint").alias("y"))
-                         .repartitionByRange(default_buckets(group), F.col("k").asc_nulls_first())
-                         .withColumn("part", F.spark_partition_id()))
-    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p")).collect()
-    seen = total = 0
-    for r in sorted(parts, key=lambda r: r["part"]):  # at most one row per range
-        if seen + r["n"] > m:
-            w = Window.partitionBy("part").orderBy(F.col("k").asc_nulls_first())
-            cut = (ranged.filter(F.col("part") == r["part"]).withColumn("r", F.row_number().over(w))
-                         .filter(F.col("r") <= m - seen).agg(F.sum("y")).collect()[0][0])
-            return total + int(cut or 0)
-        seen, total = seen + r["n"], total + int(r["p"] or 0)
+    """Positives among the ``m`` rows with the smallest keys (integers, times,
+    text; nulls first; of rows with one key those labelled 0 first). Radix
+    selection: a pass counts rows and positives by the next digits of the key,
+    whole prefixes before the cut are added up, and the next pass only reads the
+    prefix that holds it. Nothing is sorted, shuffled or written but one row
+    per prefix and task."""
+    rows = group.select(_ordered_text(key, group.schema[key].dataType).alias("k"), F.col(label).cast("bigint").alias("y"))
+    ends = rows.agg(F.min("k").alias("a"), F.max("k").alias("z")).first()
+    prefix = os.path.commonprefix([ends["a"] or "", ends["z"] or ""])
+    need, total = m, 0
+    while need > 0:
+        head = F.substring("k", 1, len(prefix) + DIGITS)
+        found = (rows.filter(F.col("k").startswith(prefix)).groupBy(head.alias("k"))
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("p"), F.max(F.length("k")).alias("size")).collect())
+        for r in sorted(found, key=lambda r: r["k"]):  # at most 16 ** DIGITS and a few shorter ones
+            if r["n"] > need:
+                break
+            need, total = need - r["n"], total + (r["p"] or 0)
+        else:
+            return total
+        if r["size"] == len(r["k"]):  # the cut falls among rows with one key
+            return total + max(0, need - (r["n"] - (r["p"] or 0)))
+        prefix = r["k"]
     return total
 
 
@@ -205,7 +235,7 @@ def lift_score(scored: DataFrame, top_k: float = 0.20, label: str = LABEL, score
 
     No global sort and no ``limit``: whole score groups above the cut come
     from the prefix table; only the one group straddling the cut is ranked
-    by key, in ranges of keys (``positives_of_first``), at every size alike."""
+    by key, by digits of the key (``positives_of_first``), at every size alike."""
     cum, tot = ranking or cumulative(scored, label, score)
     n, P = int(tot["cnt"]), int(tot["pos"])
     n_top = int(n * top_k)

@@ -440,6 +440,23 @@ def segments_select(n: int, score: str = "propension_digital", src: str = "sc")
             f"FROM {src}, (SELECT quantile_cont({score}, {dlist(linspace(n))}) AS e FROM {src})")
 
 
+def fold_encoding_sql(folds: int, m: int, seed: int = 42) -> str:
+    """A8 out of fold: every training row from the sums of the other folds."""
+    extra = SPLIT_CTE + f""",
+tr AS (SELECT *, CAST('0x' || substr(md5('{seed}:' || cliente_id), 1, 13) AS BIGINT) % {folds} AS fold
+       FROM sp WHERE split = 'train'),
+g AS (SELECT fold, (SELECT AVG(CAST(o.target AS DOUBLE)) FROM tr o WHERE o.fold <> f.fold) AS gm
+      FROM (SELECT DISTINCT fold FROM tr) f),
+st AS (SELECT c.pais_cd, g.fold, g.gm, AVG(CAST(o.target AS DOUBLE)) AS mean, COUNT(o.target) AS cnt
+       FROM (SELECT DISTINCT pais_cd FROM tr WHERE pais_cd IS NOT NULL) c CROSS JOIN g
+       LEFT JOIN tr o ON o.pais_cd = c.pais_cd AND o.fold <> g.fold GROUP BY ALL),
+enc AS (SELECT pais_cd, fold, w * mean + (1 - w) * gm AS e
+        FROM (SELECT *, 1 / (1 + exp(-(CAST(cnt AS DOUBLE) - {m}) / CAST({m} AS DOUBLE))) AS w FROM st))"""
+    body = ("SELECT tr.cliente_id, tr.pais_cd, COALESCE(enc.e, g.gm) AS pais_cd_target_encoded FROM tr "
+            "JOIN g ON g.fold = tr.fold LEFT JOIN enc ON enc.pais_cd = tr.pais_cd AND enc.fold = tr.fold")
+    return rounded(with_ft(body, extra), ["pais_cd_target_encoded"])
+
+
 def stratified_sql(fraction: str = "0.2", seed: int = 42) -> str:
     """M2 by ranks: the first round(fraction * n) customers of each class in
     the order of the first 13 hex digits of md5('seed:id')."""

@@ -291,6 +291,15 @@ def q_target_encoding(spark, sf_dir):
     return enc.transform(sp).select("cliente_id", "split", "pais_cd", "pais_cd_target_encoded")
 
 
+@register("target_encoding_folds", O.fold_encoding_sql(5, 50))
+def q_fold_encoding(spark, sf_dir):
+    """A8 without the rows' own labels: country encoding of the training rows
+    from the other four of five folds (m=50)."""
+    train = split_a(spark, sf_dir).filter(F.col("split") == "train")
+    out = enc_ops.TargetEncoder("pais_cd", "target", 50).out_of_fold(train, 5)
+    return out.select("cliente_id", "pais_cd", "pais_cd_target_encoded")
+
+
 @register("mean_encoding", O.encoding_sql(False))
 def q_mean_encoding(spark, sf_dir):
     """Unsmoothed encoding fitted on train, applied to every customer."""
