@@ -171,6 +171,28 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - cut] + following[:cut]
 
 
+def spliced(text: str, mark: tuple[np.ndarray, np.ndarray], following: str,
+            other: tuple[np.ndarray, np.ndarray], changed: str) -> tuple[np.ndarray, np.ndarray]:
+    """The sketch of ``changed = edited(text, following)`` from the two texts'
+    own: an anchor hangs on its k characters only, so those before the seam are
+    the text's, those behind it the following one's, moved, and only the windows
+    across the seam are hashed."""
+    cut = len(text) // 3
+    kept, taken = len(text) - cut, min(cut, len(following))
+    if len(changed) < K:
+        return sketch(changed)
+    start = max(0, kept - K + 1)
+    seam = text[start:kept] + following[:min(taken, K - 1)]
+    across = anchors(seam) if len(seam) >= K else (mark[0][:0], mark[1][:0])
+    own = mark[1] <= kept - K
+    moved = other[1] <= taken - K
+    # positions rise from part to part, and a stable sort keeps that for equal hashes
+    h = np.concatenate([mark[0][own], across[0], other[0][moved]])
+    at = np.concatenate([mark[1][own], across[1] + start, other[1][moved] + kept])
+    order = np.argsort(h, kind="stable")
+    return h[order], at[order]
+
+
 SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
           "edited_fingerprint string, near_edited double, near_next double")
 
@@ -204,7 +226,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
         def row(own, text, mark):
             changed = edited(own[2], text)
-            other = own[3] if changed == own[2] else sketch(changed)
+            other = own[3] if changed == own[2] else spliced(own[2], own[3], text, mark, changed)
             return (own[1], len(own[2]), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
                     written(own[3]), written(other), likeness(own[3], other), likeness(own[3], mark))
 

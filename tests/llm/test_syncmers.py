@@ -2,6 +2,8 @@ import hashlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from cauce.llm import syncmers as M
 from llm.helpers import awkward_rows, frame, plain, words
@@ -130,3 +132,19 @@ def test_fingerprint_names_every_anchor():
     t = words(3000, 56)
     got = [p.split(":") for p in M.written(M.sketch(t)).split(".")]
     assert sorted((int(h, 16), int(p, 16)) for h, p in got) == sorted(zip(*(v.tolist() for v in M.anchors(t))))
+
+
+@given(st.text("ab é😀", max_size=80), st.text("ab é😀", max_size=80))
+@settings(max_examples=300, deadline=None)
+def test_spliced_sketch_is_that_of_the_edited_text(text, following):
+    changed = M.edited(text, following)
+    got = M.spliced(text, M.sketch(text), following, M.sketch(following), changed)
+    assert all(a.tolist() == b.tolist() for a, b in zip(got, M.sketch(changed)))
+
+
+def test_spliced_sketches_of_long_and_short_texts():
+    texts = ["", "a", words(3, 1)[:15], words(4, 2)[:16], words(9, 3), words(400, 4), "ab" * 900, words(5000, 5)]
+    for a in texts:
+        for b in texts:
+            got = M.spliced(a, M.sketch(a), b, M.sketch(b), M.edited(a, b))
+            assert all(x.tolist() == y.tolist() for x, y in zip(got, M.sketch(M.edited(a, b))))
