@@ -10,7 +10,8 @@ roles, and turns are rendered in one canonical form.
 Long conversations are worked off in pieces of ``PIECE`` turns. A piece gives the
 best score from every state before it to every state at its end, a small matrix; the matrices
 of a conversation are chained to find the states between pieces, and each piece
-is then decoded between its two known ends. The result is that of one Viterbi
+is then decoded between its two known ends. A turn that goes on over a border
+stays open there: the pieces' chats, joined, are the one chat of a single Viterbi
 pass, but no task holds more than a piece's text.
 
 Defined results: null text is an empty turn; an unknown or null role is not
@@ -135,19 +136,22 @@ def chain(spans: list[np.ndarray | None]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def turns(states: list[int], rest: list[str]) -> list[tuple[str, str]]:
-    """(role, text) of the turns that the states tell."""
-    out: list[tuple[str, list[str]]] = []
+def render(states: list[int], rest: list[str], before: int = STATES, last: bool = True) -> tuple[str, str]:
+    """(roles of the turns that open here, canonical form): a role line, the
+    text, an end line per turn. A piece after the first (``before``: the state
+    that the one before ends in) first ends the open turn or carries it on; only
+    the last piece ends its own last turn."""
+    roles, out, spoken = "", [], before != STATES
     for s, text in zip(states, rest):
-        if s % 2 == 0 or not out:
-            out.append((ROLES[s // 2], []))
-        out[-1][1].append(text)
-    return [(role, "\n".join(lines)) for role, lines in out]
-
-
-def render(spoken: list[tuple[str, str]]) -> str:
-    """The canonical form: a role line, the text, an end line per turn."""
-    return "".join(f"<|{role}|>\n{text}\n<|end|>\n" for role, text in spoken)
+        if s % 2 == 0 or not spoken:
+            role = ROLES[s // 2]
+            out.append("<|end|>\n" if spoken else "")
+            out.append(f"<|{role}|>\n")
+            roles, spoken = roles + role[0], True
+        out.append(text + "\n")
+    if spoken and last:
+        out.append("<|end|>\n")
+    return roles, "".join(out)
 
 
 #: How raw transcripts mark a speaker: every style's text before a turn.
@@ -234,8 +238,8 @@ def fit(pieces: DataFrame) -> Model:
 
 
 def parse(pieces: DataFrame, model: Model) -> DataFrame:
-    """Roles recovered from ``lines`` alone: conv_id, piece, n_lines, n_turns,
-    roles (first letters), chat (canonical form)."""
+    """Roles recovered from ``lines`` alone: conv_id, piece, n_lines, n_turns
+    (opened in the piece), roles (their first letters), chat (canonical form)."""
     ship(pieces.sparkSession)
 
     def spans(batches):
@@ -252,33 +256,33 @@ def parse(pieces: DataFrame, model: Model) -> DataFrame:
 
     def ends(batches):
         for b in batches:
-            cols: list[list] = [[], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for conv, every in zip(*(c.to_pylist() for c in b.columns)):
                 m = [None if p["span"] is None else np.array(p["span"]).reshape(STATES + 1, STATES) for p in every]
                 for p, (x, y) in zip(every, chain(m)):
-                    for col, v in zip(cols, (conv, p["piece"], x, y)):
+                    for col, v in zip(cols, (conv, p["piece"], x, y, p["piece"] == every[-1]["piece"])):
                         col.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                             ["conv", "at", "before", "after"])
+                                             ["conv", "at", "before", "after", "last"])
 
-    known = chained.mapInArrow(ends, "conv long, at int, before int, after int")
+    known = chained.mapInArrow(ends, "conv long, at int, before int, after int, last boolean")
     joined = pieces.join(known, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("piece") == F.col("at")))
 
     def decode(batches):
         for b in batches:
             cols: list[list] = [[] for _ in range(6)]
-            for conv, piece, lines, before, after in zip(*(c.to_pylist() for c in b.columns)):
+            for conv, piece, lines, before, after, last in zip(*(c.to_pylist() for c in b.columns)):
                 seen, rest = observe(lines)
-                spoken = turns(model.viterbi(seen, before, after), rest)
-                row = (conv, piece, len(lines), len(spoken), "".join(r[0] for r, _ in spoken), render(spoken))
+                roles, chat = render(model.viterbi(seen, before, after), rest, before, last)
+                row = (conv, piece, len(lines), len(roles), roles, chat)
                 for col, v in zip(cols, row):
                     col.append(v)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
                                              ["conv_id", "piece", "n_lines", "n_turns", "roles", "chat"])
 
-    return joined.select("conv_id", "piece", "lines", "before", "after").mapInArrow(
+    return joined.select("conv_id", "piece", "lines", "before", "after", "last").mapInArrow(
         decode, "conv_id long, piece int, n_lines long, n_turns long, roles string, chat string")
 
 

@@ -53,14 +53,29 @@ def test_roles_and_rendering(spark):
 
 
 def test_long_conversation_in_pieces(spark, monkeypatch):
-    rows = talk(20, 4) + [(99, t, "user" if t % 2 == 0 else "assistant", words(4 + t % 2 * 30, t)) for t in range(200)]
-    whole = T.format_chats(table(spark, rows))
-    one = [r.roles for r in whole.where("conv_id = 99").collect()]
+    """Pieces of 16 turns give exactly the chat of one piece, with turns of many
+    lines among them, some cut by a border."""
+    rows = talk(20, 4) + [(99, t, "user" if t % 2 == 0 else "assistant",
+                           "\n".join(words(3 + t % 2 * 9, 7 * t + i) for i in range(1 + t % 3))) for t in range(200)]
+    whole = T.transcripts(table(spark, rows))
+    model = T.fit(whole)
+    one = T.parse(whole, model).where("conv_id = 99").collect()
     monkeypatch.setattr(T, "PIECE", 16)
-    parts = T.format_chats(table(spark, rows)).where("conv_id = 99").orderBy("piece").collect()
+    parts = T.parse(T.transcripts(table(spark, rows)), model).where("conv_id = 99").orderBy("piece").collect()
     assert len(one) == 1 and len(parts) == 13
-    joined = "".join(p.roles for p in parts)
-    assert sum(a == b for a, b in zip(joined, "ua" * 100)) > 180
+    assert "".join(p.roles for p in parts) == one[0].roles and "".join(p.chat for p in parts) == one[0].chat
+    assert sum(p.n_turns for p in parts) == one[0].n_turns
+
+
+def test_a_turn_goes_on_over_a_border():
+    states, rest = [2, 3, 3, 4, 5], ["a", "b", "c", "d", "e"]
+    whole = T.render(states, rest)
+    assert whole == ("ua", "<|user|>\na\nb\nc\n<|end|>\n<|assistant|>\nd\ne\n<|end|>\n")
+    for cut in range(1, 5):
+        x = T.render(states[:cut], rest[:cut], last=False)
+        y = T.render(states[cut:], rest[cut:], before=states[cut - 1])
+        assert (x[0] + y[0], x[1] + y[1]) == whole
+    assert T.render([3], ["starts inside"]) == ("u", "<|user|>\nstarts inside\n<|end|>\n") and T.render([], []) == ("", "")
 
 
 def test_awkward_rows(spark):
