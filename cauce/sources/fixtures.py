@@ -36,9 +36,9 @@ def _pick(values, idx) -> F.Column:
 
 
 def orders_transactions(spark: SparkSession, sf_dir: str, cols: Columns = COLUMNS) -> DataFrame:
-    """Fixture A. Joins are planned by Catalyst: lineitem is pre-aggregated
-    per order (partial aggregation before its shuffle) and joined on the
-    order key; customer/nation join on the customer key, which leaves the
+    """Fixture A. Joins are planned by Catalyst: lineitem's two columns are
+    shuffled by order once, which serves the distinct count per order and the
+    join on the order key; customer/nation join on the customer key, which leaves the
     output hash-partitioned by customer for the feature windows; nation is
     25 rows and is broadcast by the size-checked auto-broadcast rule."""
     orders = read_table(spark, sf_dir, "orders").select(
