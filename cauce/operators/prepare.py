@@ -22,13 +22,25 @@ LAGDATE = "_lagdate"
 # A customer with more rows than this is split into ordered pieces so that
 # no single task runs the window over all of its orders.
 HOT_ROWS = 2_000_000
-# The edges of hot customers are broadcast up to this many values, else joined.
-MAX_BROADCAST_EDGES = 1_000_000
+# The ids of hot customers are broadcast up to this many, else joined.
+MAX_BROADCAST_HOT = 1_000_000
+# Flags of undated orders and of orders without id, which a stored transaction
+# table is sorted by (``cauce.sources.sinks.write_transactions``).
+STORED_ORDER = ("_sin_fecha", "_sin_pedido")
 
 
-def order_window(cols: Columns = COLUMNS):
-    return (Window.partitionBy(cols.cliente)
-            .orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last()))
+def order_window(cols: Columns = COLUMNS, stored: bool = False):
+    """A customer's orders by date, then id, nulls last. Over a stored
+    transaction table the same order is spelled by the columns that it is
+    sorted by, so that its scan gives it and nothing is sorted again."""
+    w = Window.partitionBy(cols.cliente)
+    if stored:
+        return w.orderBy(STORED_ORDER[0], cols.fecha, STORED_ORDER[1], cols.pedido)
+    return w.orderBy(F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last())
+
+
+def is_stored(df: DataFrame) -> bool:
+    return set(STORED_ORDER) <= set(df.columns)
 
 
 def customer_window(cols: Columns = COLUMNS):
@@ -40,69 +52,41 @@ def _gap_from(prev: Column, df: DataFrame, cols: Columns) -> Column:
     return F.coalesce(elapsed_days(prev, F.col(cols.fecha), dtype), F.lit(FIRST_ORDER_GAP_DAYS).cast("bigint"))
 
 
-def _order_key(df: DataFrame, cols: Columns, profile: dict | None = None) -> Column:
-    """Numeric image of the (date nulls last, order id) order for cutting
-    pieces. For dates the order id adds a fraction in [0, 1], so one busy
-    day can be cut too; rounding keeps the key non-decreasing in the order,
-    so pieces stay contiguous (only their balance depends on precision)."""
-    c = F.col(cols.fecha)
-    if isinstance(df.schema[cols.fecha].dataType, T.DateType):
-        k = F.unix_date(c).cast("double")
-        pmin, pmax = (profile or {}).get("pmin"), (profile or {}).get("pmax")
-        if pmin is not None and pmax is not None:
-            span = float(pmax) - float(pmin) + 1.0
-            frac = F.coalesce((F.col(cols.pedido).cast("double") - F.lit(float(pmin))) / F.lit(span), F.lit(1.0))
-            k = k + frac
-    elif isinstance(df.schema[cols.fecha].dataType, T.TimestampNTZType):
-        k = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c).cast("double")
-    else:
-        k = F.unix_micros(c).cast("double")
-    return F.coalesce(k, F.lit(float("inf")))
-
-
 def customer_profile(df: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS) -> dict:
     """One pass over (customer, date): how many customers are hot (more than
-    ``hot_rows`` orders), the size of the hottest, and the global bounds.
+    ``hot_rows`` orders), how many orders they hold, and the date bounds.
     Orders without a customer count as one customer here, as they share a
     window. Partial aggregation per customer, then one row to the driver."""
-    numeric_id = isinstance(df.schema[cols.pedido].dataType, T.NumericType)
-    pid = F.col(cols.pedido) if numeric_id else F.lit(None).cast("bigint")
     per = (df.groupBy(cols.cliente)
-             .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn"),
-                  F.max(pid).alias("pmx"), F.min(pid).alias("pmn")))
-    limit = hot_rows if hot_rows else (1 << 62)
-    row = per.agg(F.max("mx").alias("gmax"), F.min("mn").alias("gmin"),
-                  F.max("pmx").alias("pmax"), F.min("pmn").alias("pmin"),
-                  F.count_if(F.col("c") > limit).alias("n_hot"), F.max("c").alias("largest")).collect()[0]
+             .agg(F.count(F.lit(1)).alias("c"), F.max(cols.fecha).alias("mx"), F.min(cols.fecha).alias("mn")))
+    hot = F.col("c") > F.lit(hot_rows if hot_rows else (1 << 62))
+    row = per.agg(F.max("mx").alias("gmax"), F.min("mn").alias("gmin"), F.count_if(hot).alias("n_hot"),
+                  F.sum(F.when(hot, F.col("c"))).alias("hot_total")).collect()[0]
     return row.asDict()
 
 
 def _hot_pieces(df: DataFrame, cols: Columns, hot_rows: int, profile: dict | None = None) -> DataFrame | None:
-    """``df`` with ``_piece``: 0 for ordinary customers; for a customer above
-    ``hot_rows`` rows, the index of its date range among edges taken at
-    quantiles of its own order dates. The edges are a written table with one
-    row per hot customer (at most total / hot_rows of them), joined null-safe,
-    so re-execution is deterministic. None when no customer is hot."""
+    """``df`` with ``_piece``: 0 for ordinary customers; the orders of customers
+    above ``hot_rows`` rows are dealt by ranges of (customer, date, order id)
+    into pieces of about ``hot_rows``, and ``_piece`` is the range's number. The
+    cut is made on the whole key, whatever its types: orders of one instant and
+    ids beyond the precision of a double are cut like all others, only orders
+    that agree in date and id stay together. The dealt orders are written once,
+    so that later passes and re-executed tasks see the same pieces. None when
+    no customer is hot."""
     prof = profile if profile is not None else customer_profile(df, cols, hot_rows)
     if not prof["n_hot"]:
         return None
-    k = max(2, -(-int(prof["largest"]) // hot_rows))
-    probs = [i / k for i in range(1, k)]
-    key = _order_key(df, cols, prof)
-    counts = materialize(df.groupBy(F.col(cols.cliente).alias("_hk")).agg(F.count(F.lit(1)).alias("_c"))
-                         .filter(F.col("_c") > hot_rows).select("_hk"))
-    small = prof["n_hot"] * k <= MAX_BROADCAST_EDGES
-    hint = (lambda t: F.broadcast(t)) if small else (lambda t: t)
-    own = df.select(F.col(cols.cliente).alias("_k"), key.alias("_key"))
-    edges = materialize(own.join(hint(counts), F.col("_k").eqNullSafe(F.col("_hk")))
-                        .groupBy(F.col("_hk").alias("_ek"))
-                        .agg(F.array_sort(F.array_distinct(F.percentile_approx("_key", probs, max(10000, 8 * k))))
-                             .alias("_edges")))
-    x = df.withColumn("_key", key)
-    x = x.join(hint(edges), F.col(cols.cliente).eqNullSafe(F.col("_ek")), "left")
-    piece = F.aggregate(F.coalesce("_edges", F.array().cast("array<double>")), F.lit(0),
-                        lambda acc, e: acc + F.when(e < F.col("_key"), 1).otherwise(0))
-    return x.withColumn("_piece", piece).drop("_key", "_ek", "_edges")
+    hot = materialize(df.groupBy(F.col(cols.cliente).alias("_hk")).agg(F.count(F.lit(1)).alias("_c"))
+                      .filter(F.col("_c") > hot_rows).select("_hk"))
+    if prof["n_hot"] <= MAX_BROADCAST_HOT:
+        hot = F.broadcast(hot)
+    is_hot = F.col(cols.cliente).eqNullSafe(F.col("_hk"))
+    n = 1 + -(-int(prof["hot_total"]) // hot_rows)
+    dealt = df.join(hot, is_hot, "left_semi").repartitionByRange(
+        n, F.col(cols.cliente), F.col(cols.fecha).asc_nulls_last(), F.col(cols.pedido).asc_nulls_last())
+    pieces = materialize(dealt.withColumn("_piece", F.spark_partition_id() + 1))
+    return df.join(hot, is_hot, "left_anti").withColumn("_piece", F.lit(0)).unionByName(pieces)
 
 
 def _join_pieces(x: DataFrame, pieces: DataFrame, k: str) -> DataFrame:
@@ -118,7 +102,7 @@ def _sequenced(df: DataFrame, cols: Columns, hot_rows: int | None, keep_piece: b
     With ``keep_piece`` returns (frame with ``_piece``, split?)."""
     pieced = _hot_pieces(df, cols, hot_rows, profile) if hot_rows else None
     if pieced is None:
-        w = order_window(cols)
+        w = order_window(cols, is_stored(df))
         out = (df.withColumn(RN, F.row_number().over(w))
                  .withColumn(N, F.count(F.lit(1)).over(customer_window(cols)))
                  .withColumn(LAG1, F.lag(F.col(cols.canal), 1).over(w))
@@ -189,7 +173,8 @@ def with_order_gap(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None
     """Days since the customer's previous order, 600 for the first."""
     check_transactions(tx, cols)
     x = _sequenced(tx, cols, hot_rows)
-    return x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols)).drop(RN, N, LAG1, LAGDATE)
+    return x.withColumn(cols.dias_ultimo, _gap_from(F.col(LAGDATE), x, cols)).drop(
+        RN, N, LAG1, LAGDATE, *STORED_ORDER)
 
 
 def with_positions(tx: DataFrame, cols: Columns = COLUMNS, hot_rows: int | None = HOT_ROWS,
@@ -213,7 +198,7 @@ def eligible_orders(tx: DataFrame, spec: FeatureSpec = FEATURES, cols: Columns =
     """J4 + P4: historical orders of customers with at least ``min_orders``
     orders, with each customer's last order removed."""
     x = with_positions(tx, cols, hot_rows)
-    out = x.filter((F.col(N) >= spec.min_orders) & (F.col(RN) < F.col(N)))
+    out = x.filter((F.col(N) >= spec.min_orders) & (F.col(RN) < F.col(N))).drop(*STORED_ORDER)
     return out if keep_positions else out.drop(RN, N, LAG1, BRK)
 
 
@@ -238,7 +223,7 @@ def channel_lags(tx: DataFrame, n_lags: int = FEATURES.n_lags, cols: Columns = C
     x, split = _sequenced(df, cols, hot_rows, keep_piece=True)
     base = [F.col(cols.cliente), F.col(cols.pedido), F.col(cols.fecha), F.col(cols.canal)]
     if not split:
-        w = order_window(cols)
+        w = order_window(cols, is_stored(x))
         lags = [F.lag(F.col(cols.canal), i).over(w).alias(f"canal_lag_{i}") for i in range(1, n_lags + 1)]
         return x.select(*base, *lags)
     k = cols.cliente

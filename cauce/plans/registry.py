@@ -3,6 +3,7 @@ the driver's tables; most have a DuckDB twin in ``ORACLE``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from cauce.functions import round_doubles
 from cauce.operators import features as feat
 from cauce.operators import prepare
 from cauce.plans import oracle as O
+from cauce.sources import stored_transactions, write_transactions
 from cauce.sources.fixtures import events_transactions, orders_transactions
 from cauce.spec import FeatureSpec
 
@@ -651,6 +653,16 @@ def q_run_log(spark, sf_dir):
     return log.read()
 
 
+@register("feature_table_stored", ORACLE["feature_table"])
+def q_feature_table_stored(spark, sf_dir):
+    """M15 + S4 over orders stored by customer: the build has neither an
+    exchange nor a sort of orders."""
+    table = f"cauce_tx_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_transactions(orders_transactions(spark, sf_dir), table, buckets, stage_path(spark))
+    return feat.feature_table(stored_transactions(spark, table))
+
+
 @register("write_features", ORACLE["feature_table"])
 def q_write(spark, sf_dir):
     """Write the feature table (overwrite) and read it back."""

@@ -24,6 +24,15 @@ def scan_transactions(spark: SparkSession, source: str) -> DataFrame:
     return read_table(spark, source)
 
 
+def stored_transactions(spark: SparkSession, table: str) -> DataFrame:
+    """S1 over a table of ``sinks.write_transactions``. Spark reports the order
+    within a bucket only with the session setting that is switched on here; it
+    holds as long as a bucket is one file. After appends a build sorts within
+    its tasks again, but still shuffles nothing."""
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+    return spark.table(table)
+
+
 def scan_features(df_or_source, spark: SparkSession | None = None,
                   exclude: tuple = ("ultimo_canal",)) -> DataFrame:
     """Feature table without the excluded columns (``SELECT * EXCEPT``)."""

@@ -84,3 +84,33 @@ def test_reference_date_of_one_recent_customer(spark):
     assert feat.historical_reference_date(spark.createDataFrame(two, schema)) == dt.date(2020, 1, 1)
     same = [(1, 1, day, "DIGITAL"), (1, 2, day, "DIGITAL")]
     assert feat.historical_reference_date(spark.createDataFrame(same, schema)) == day
+
+
+def _of_one_instant(spark):
+    """A customer whose 400 orders share one timestamp, with ids beyond 2^53."""
+    import datetime as dt
+    at, first = dt.datetime(2024, 3, 1, 12), 1 << 60
+    rows = [(7, first + i, at, ["DIGITAL", "TELEFONO", "VENDEDOR", None][i * 7 % 4]) for i in range(400)]
+    rows += [(8, i, at + dt.timedelta(hours=i), "DIGITAL") for i in range(5)]
+    return spark.createDataFrame(rows, "cliente_id bigint, pedido_id bigint, fecha_pedido_dt timestamp_ntz, "
+                                       "canal_pedido_cd string").repartition(5)
+
+
+def test_one_instant_is_cut_evenly(spark):
+    tx = _of_one_instant(spark)
+    pieces = prepare._hot_pieces(tx, prepare.COLUMNS, 50)
+    sizes = {r["_piece"]: r["count"] for r in pieces.where("cliente_id = 7").groupBy("_piece").count().collect()}
+    assert sum(sizes.values()) == 400 and max(sizes.values()) <= 100 and 0 not in sizes
+    assert pieces.where("cliente_id = 8 and _piece = 0").count() == 5
+    cols = ["pedido_id", "_rn", "_n", "_lag1", "_brk", "dias_desde_ultimo_pedido"]
+    for f in (lambda h: prepare.with_positions(tx, hot_rows=h).select(*cols),
+              lambda h: prepare.channel_lags(tx, 3, hot_rows=h), lambda h: prepare.channel_runs(tx, hot_rows=h)):
+        assert sorted(map(str, _rows(f(None)))) == sorted(map(str, _rows(f(50))))
+
+
+def test_ids_of_text_are_cut(spark):
+    tx = _of_one_instant(spark).withColumn("pedido_id", F.format_string("o-%d", "pedido_id"))
+    cols = ["pedido_id", "_rn", "_lag1"]
+    assert _rows(prepare.with_positions(tx, hot_rows=None).select(*cols).na.fill("-")) == \
+        _rows(prepare.with_positions(tx, hot_rows=50).select(*cols).na.fill("-"))
+    assert prepare._hot_pieces(tx, prepare.COLUMNS, 50).select("_piece").distinct().count() > 4
