@@ -27,7 +27,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.llm.common import ship, stage
@@ -36,6 +36,10 @@ from cauce.llm.common import ship, stage
 PART = 200
 #: The knapsack programme closes this many times the largest size.
 FITTED = 4
+#: Sets of sums held per level when the programme is traced back.
+SPLIT = 8
+#: Copies of one row that a task writes at a time.
+COPIES = 10_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
@@ -71,7 +75,11 @@ def source_targets(histogram: DataFrame, weights: tuple[float, ...], share: floa
 
 def reachable(sizes: np.ndarray, counts: np.ndarray, budget: int) -> tuple[int, dict[int, int]]:
     """Bounded knapsack: the largest sum <= budget of at most counts[i] times
-    sizes[i], and how many of each make it. Sets of sums are bit sets."""
+    sizes[i], and how many of each make it. Sets of sums are bit sets of
+    ``budget`` bits. To trace the best sum back, the set before each step is
+    needed; instead of one a step, a run of steps keeps the sets at its
+    ``SPLIT`` borders and works its parts off again, last part first, so
+    that SPLIT sets a level are held and log(steps) levels."""
     full = (1 << (budget + 1)) - 1
     sums, steps = 1, []
     for size, count in zip(sizes.tolist(), counts.tolist()):
@@ -82,15 +90,30 @@ def reachable(sizes: np.ndarray, counts: np.ndarray, budget: int) -> tuple[int,
         left, part = min(count, budget // size), 1
         while left and not sums >> budget & 1:  # binary splitting of the count
             take = min(part, left)
-            steps.append((size, take, sums))
+            steps.append((size, take))
             sums |= (sums << (size * take)) & full
             left, part = left - take, part * 2
     best = at = sums.bit_length() - 1
+    del sums
     used: dict[int, int] = {}
-    for size, take, before in reversed(steps):
-        if not before >> at & 1:
-            at -= size * take
-            used[size] = used.get(size, 0) + take
+    # a stack of (first step, end, sums before the first); the last is worked off
+    # first, and ``at`` is the sum that the steps up to its end have to make
+    work = [(0, len(steps), 1)] if steps else []
+    while work:
+        lo, hi, before = work.pop()
+        if hi - lo == 1:
+            size, take = steps[lo]
+            if not before >> at & 1:
+                at -= size * take
+                used[size] = used.get(size, 0) + take
+            continue
+        width = -(-(hi - lo) // SPLIT)
+        for i in range(lo, hi, width):
+            end = min(i + width, hi)
+            work.append((i, end, before))
+            if end < hi:
+                for size, take in steps[i:end]:
+                    before |= (before << (size * take)) & full
     return best, used
 
 
@@ -139,6 +162,20 @@ def budget_plan(histogram: DataFrame, targets: DataFrame) -> DataFrame:
     return joined.groupBy("source").applyInPandas(plan, schema)
 
 
+def repeated(df: DataFrame, times: Column, keys: list[str]) -> DataFrame:
+    """Every row as many times as it says. Rows of more than ``COPIES`` copies are
+    first told apart by the number of a batch and dealt by it, so that no task
+    writes all copies of one row."""
+    counted = df.withColumn("_times", times.cast("long")).where("_times > 0")
+    few = counted.where(F.col("_times") <= COPIES)
+    many = counted.where(F.col("_times") > COPIES).withColumn(
+        "_batch", F.explode(F.expr(f"sequence(0L, (_times - 1) div {COPIES})")))
+    many = many.repartition(*keys, "_batch").withColumn(
+        "_times", F.least(F.lit(COPIES), F.col("_times") - F.col("_batch") * COPIES)).drop("_batch")
+    return few.unionByName(many).withColumn(
+        "_again", F.explode(F.expr("array_repeat(0, cast(_times as int))"))).drop("_again", "_times")
+
+
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2,
         seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken (words, repeats counted) and
@@ -171,12 +208,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         .withColumn("state", F.when(F.col("part") <= F.coalesce("last", F.lit(-1)), 1)
                     .when(F.col("part") == F.col("cut"), 2).otherwise(0))
     some = stage(some.drop("q_source", "q_size", "p_source", "p_size"))
-    edge = some.where("state = 2").withColumn(
-        "r", F.row_number().over(Window.partitionBy("source", "size").orderBy("h", F.col("doc_id").asc_nulls_last())))
     columns = ["doc_id", "source", "size", "source_size", "target", "epochs", "more"]
+    # rows that agree are counted, not ranked, so a part's rows differ in their ids
+    ids = [*columns[:-1], "need", "h"]
+    edge = some.where("state = 2").groupBy(*ids).agg(F.count(F.lit(1)).alias("m"))
+    order = Window.partitionBy("source", "size").orderBy("h", F.col("doc_id").asc_nulls_last())
+    edge = edge.withColumn("before", F.sum("m").over(order) - F.col("m"))
+    edge = edge.withColumn("k", F.greatest(F.lit(0), F.least("m", F.col("need") - F.col("before"))))
+    edge = repeated(edge.withColumn("more", F.explode(F.expr("array(1L, 0L)"))),
+                    F.expr("if(more = 1, k, m - k)"), ["doc_id", "source", "size"])
     picked = (plain.select(columns)
               .unionByName(some.where("state < 2").withColumn("more", F.col("state").cast("long")).select(columns))
-              .unionByName(edge.withColumn("more", (F.col("r") <= F.col("need")).cast("long")).select(columns)))
+              .unionByName(edge.select(columns)))
     copies = F.col("epochs") + F.col("more")
     return picked.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
                          (copies * F.col("size")).alias("taken"))
@@ -184,19 +227,33 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as many times as the mix takes it. Rows
-    are matched to their decision by a key of id, source and size; repeated
-    rows are told apart by their running number within the key."""
+    are matched to their decision by a key of id, source and size. Several rows
+    of one key share its copies: rows that agree in every column become one with
+    a count, and the copies are dealt over the others in the order of their
+    hashes, in parts of about ``PART`` rows, so that no window holds a key's
+    whole rows. Columns have to be of types that Spark can
+    group by and hash."""
     taken = mix(docs, **options)
     key = F.xxhash64("doc_id", "source", "size")
     chosen = stage(taken.select(key.alias("key"), "copies").groupBy("key")
                    .agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("copies")).where("copies > 0"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", size).alias("key"))
     # the row's own names stay apart in a struct
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", size).alias("key"))
     # one way to join at every size: texts are dealt by key once, the keys hashed
-    alone = keyed.join(chosen.where("n = 1").hint("shuffle_hash"), "key").withColumn("times", F.col("copies"))
-    order = Window.partitionBy("key").orderBy(F.xxhash64("row.text"))
-    several = keyed.join(chosen.where("n > 1").hint("shuffle_hash"), "key").withColumn("at", F.row_number().over(order)).withColumn(
-        "times", F.expr("copies div n + cast(at <= copies % n as bigint)")).drop("at")
-    both = alone.unionByName(several)
-    return both.withColumn("again", F.explode(F.expr("array_repeat(0, cast(times as int))"))).select("row.*")
+    alone = keyed.join(chosen.where("n = 1").hint("shuffle_hash"), "key")
+    out = alone.withColumn("_again", F.explode(F.expr("array_repeat(0, cast(copies as int))"))).select("row")
+    if chosen.where("n > 1").isEmpty():  # no key repeats: nothing to share out
+        return out.select("row.*")
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n") / PART)).cast("long")
+    several = (keyed.join(chosen.where("n > 1").hint("shuffle_hash"), "key")
+               .groupBy("row", "key", "n", "copies").agg(F.count(F.lit(1)).alias("m"))
+               .withColumn("h", F.xxhash64("row")).withColumn("part", F.pmod(F.col("h"), parts)))
+    run = Window.partitionBy("p_key").orderBy("p_part")
+    heads = several.groupBy(F.col("key").alias("p_key"), F.col("part").alias("p_part")).agg(F.sum("m").alias("rows"))
+    heads = heads.withColumn("head", F.sum("rows").over(run) - F.col("rows"))
+    several = several.join(heads, (F.col("key") == F.col("p_key")) & (F.col("part") == F.col("p_part")))
+    order = Window.partitionBy("key", "part").orderBy("h", F.hash("row")).rowsBetween(Window.unboundedPreceding, 0)
+    several = several.withColumn("before", F.col("head") + F.sum("m").over(order) - F.col("m"))
+    shared = repeated(several, F.expr("m * (copies div n) + greatest(0L, least(m, copies % n - before))"), ["row"])
+    return out.unionByName(shared.select("row")).select("row.*")

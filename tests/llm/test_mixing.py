@@ -1,6 +1,7 @@
 import random
 import re
-from collections import defaultdict
+import tracemalloc
+from collections import Counter, defaultdict
 
 import numpy as np
 from hypothesis import given, settings
@@ -94,3 +95,54 @@ def test_rows_of_the_mix(spark):
     assert out.columns == d.columns
     assert out.count() == sum(x.copies for x in mix(d).collect())
     assert mix(frame(spark, [])).count() == 0 and mixed_rows(frame(spark, [])).count() == 0
+
+
+def test_knapsack_of_a_very_long_text_is_bounded():
+    """A text of 10 million words among 3,600 sizes: the programme's sets of sums
+    stay far below a worker's memory, and the sum is the one wanted."""
+    sizes = np.append(10_000_000, np.arange(3600, 0, -1) * 3)
+    counts = np.append(1, np.full(3600, 9))
+    tracemalloc.start()
+    best, used = reachable(sizes, counts, 40_000_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert best == sum(s * k for s, k in used.items()) and best > 39_999_990
+    assert all(k <= 9 for s, k in used.items() if s < 10_000_000)
+    assert peak < 500 << 20
+
+
+def same_keys(spark):
+    """A third of the rows share a null id, one source and one size: some agree in
+    every column, others in the key only."""
+    base = [(i, words(i % 30 + 1, i), "en", "ab"[i % 2]) for i in range(300)]
+    hot = [(None, words(12, i % 40), "en", "a") for i in range(150)]
+    return base + hot, frame(spark, [r + (1, 0, "k", "f", "r", 0.0, "s", 1) for r in base + hot])
+
+
+def test_hot_key_is_counted_not_ranked(spark, monkeypatch):
+    rows, d = same_keys(spark)
+    for part, copies in ((200, 10_000), (5, 4)):
+        monkeypatch.setattr(mixing, "PART", part)
+        monkeypatch.setattr(mixing, "COPIES", copies)
+        off = held_against_rules(d, rows)
+        assert all(abs(x) <= 30 for x in off.values())
+        want, got = Counter(), Counter()
+        for x in mix(d).collect():
+            want[x.doc_id, x.source, x["size"]] += x.copies
+        before = Counter((r[0], r[1], r[3]) for r in rows)
+        out = mixed_rows(d).collect()
+        for x in out:
+            got[x.doc_id, x.source, len(x.text.split())] += 1
+        assert got == +want
+        for k, n in Counter((x.doc_id, x.text, x.source) for x in out).items():
+            assert n <= 2 * before[k]
+
+
+def test_no_window_holds_a_hot_key(spark, monkeypatch):
+    """Rows of one key that differ in their text are ranked in parts."""
+    monkeypatch.setattr(mixing, "PART", 10)
+    d = frame(spark, [(None, words(12, i), "en", "a", 1, 0, "k", "f", "r", 0.0, "s", 1) for i in range(400)]
+              + [(i, words(9, i), "en", "b", 1, 0, "k", "f", "r", 0.0, "s", 1) for i in range(200)])
+    out = mixed_rows(d).collect()
+    taken = Counter(x.text for x in out if x.doc_id is None)
+    assert len(out) == sum(x.copies for x in mix(d).collect()) and max(taken.values()) - min(taken.values()) <= 1
