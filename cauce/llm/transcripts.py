@@ -7,12 +7,16 @@ how it ends. Start, transition and emission probabilities are smoothed counts
 over all transcripts whose roles are known; Viterbi recovers the most likely
 roles, and turns are rendered in one canonical form.
 
-Long conversations are worked off in pieces of ``PIECE`` turns. A piece gives the
+Long conversations are worked off in pieces of ``PIECE`` turn numbers. Where turn numbers
+are null or repeat, so that such a block holds more than twice as many rows, it is cut by
+running row counts instead: first between turns, then, inside a turn of many rows, by ranges
+of the text's hash, and rows that agree in every column are counted and cut by their count.
+So a piece holds a few times ``PIECE`` rows at most, whatever repeats. A piece gives the
 best score from every state before it to every state at its end, a small matrix; the matrices
-of a conversation are chained to find the states between pieces, and each piece
-is then decoded between its two known ends. A turn that goes on over a border
-stays open there: the pieces' chats, joined, are the one chat of a single Viterbi
-pass, but no task holds more than a piece's text.
+are multiplied over runs of ``RUN`` pieces, the runs of a conversation are chained to find the
+states between runs, each run is chained between its two known ends, and so is each piece.
+A turn that goes on over a border stays open there: the pieces' chats, joined, are the one
+chat of a single Viterbi pass, but no task holds more than a piece's text.
 
 Defined results: null text is an empty turn; an unknown or null role is not
 learned from; rows that repeat a turn number follow each other by their text's
@@ -26,7 +30,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cauce.llm.common import ship, stage
@@ -34,6 +38,10 @@ from cauce.llm.common import ship, stage
 ROLES = ["system", "user", "assistant"]
 STATES = 2 * len(ROLES)  # 2 * role opens a turn, 2 * role + 1 continues it
 PIECE = 1024
+#: Pieces of a conversation that are chained together.
+RUN = 512
+#: Crowded blocks are broadcast up to this many, else joined.
+MAX_BROADCAST_BLOCKS = 200_000
 
 #: Speaker names by role, as transcripts write them.
 NAMES = {
@@ -117,11 +125,21 @@ class Model:
         return states[::-1]
 
 
-def chain(spans: list[np.ndarray | None]) -> list[tuple[int, int]]:
-    """(state before, state at the end) of each piece on the best path. A piece
-    without lines is None and passes its state on."""
+def product(spans: list[np.ndarray | None]) -> np.ndarray | None:
+    """The matrix of pieces that follow each other (None: none has lines)."""
+    whole = None
+    for m in spans:
+        if m is not None:
+            whole = m if whole is None else (whole[:, :, None] + m[None, :STATES]).max(1)
+    return whole
+
+
+def chain(spans: list[np.ndarray | None], before: int = STATES, after: int | None = None) -> list[tuple[int, int]]:
+    """(state before, state at the end) of each piece on the best path from a
+    given state (STATES: nothing spoken yet) to a given one (None: the best).
+    A piece without lines is None and passes its state on."""
     best, back = np.full(STATES + 1, -np.inf), []
-    best[STATES] = 0.0  # nothing spoken yet
+    best[before] = 0.0
     for m in spans:
         if m is None:
             back.append(np.arange(STATES + 1))
@@ -129,7 +147,7 @@ def chain(spans: list[np.ndarray | None]) -> list[tuple[int, int]]:
         via = best[:, None] + m
         back.append(np.append(via.argmax(0), STATES))
         best = np.append(via.max(0), -np.inf)
-    at, out = int(best.argmax()), []
+    at, out = int(best.argmax()) if after is None else after, []
     for b in reversed(back):
         out.append((int(b[at]), at))
         at = int(b[at])
@@ -181,17 +199,74 @@ def write_transcript(conv_id, rows: list[dict]) -> tuple[list[str], list[int], l
 _PIECES = ("conv_id long, piece int, lines array<string>, states array<int>, roles array<string>")
 
 
+def listed(copies: Column) -> Column:
+    return F.sort_array(F.collect_list(F.struct("turn", "tie", "role", "text", copies.cast("int").alias("copies")))).alias("rows")
+
+
+def numbered(rows: DataFrame, crowded: DataFrame) -> DataFrame:
+    """conv_id, piece, rows: blocks as they are, but those listed in ``crowded``
+    (c, b) cut by running row counts. A piece is known by its block and, in a
+    crowded one, by slot, heavy turn, range of ties and single row; pieces are
+    numbered over a table with one narrow row per piece."""
+    here = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
+    cut = ["block", "slot", "heavy", "part", "one_tie", "one_role", "batch"]
+    none = F.lit(None)
+    calm = (rows.join(crowded, here, "left_anti")
+            .withColumns({"slot": F.lit(0).cast("long"), "heavy": F.lit(0).cast("long"), "part": F.lit(0).cast("long"),
+                          "one_tie": none.cast("long"), "one_role": none.cast("string"), "batch": F.lit(0).cast("long")})
+            .groupBy("conv_id", *cut).agg(listed(F.lit(1))))
+    # rows that agree are one row with a count, in batches of PIECE copies at most
+    units = (rows.join(crowded, here, "left_semi").groupBy("conv_id", "block", "turn", "tie", "role", "text")
+             .agg(F.count(F.lit(1)).alias("m"))
+             .withColumn("many", F.explode(F.expr(f"sequence(0L, (m - 1) div {PIECE})")))
+             .withColumn("copies", F.least(F.lit(PIECE), F.col("m") - F.col("many") * PIECE)))
+    units = stage(units.drop("m"))
+    # a block has no more turns than PIECE and null: its window is small
+    turns = units.groupBy("conv_id", "block", "turn").agg(F.sum("copies").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_first())) - F.col("n")
+    turns = turns.withColumn("slot", F.floor(before / PIECE)).withColumn("heavy", (F.col("n") > PIECE).cast("long"))
+    turns = turns.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("turn").alias("t"), "slot",
+                         "heavy", F.when(F.col("n") > PIECE, F.ceil(F.col("n") / PIECE)).otherwise(1).alias("parts"))
+    units = units.join(turns, here & F.col("turn").eqNullSafe(F.col("t"))).drop("c", "b", "t")
+    at = F.floor((F.col("tie").cast("double") / float(1 << 64) + 0.5) * F.col("parts"))
+    units = units.withColumn("part", F.least(at, F.col("parts") - 1).cast("long"))
+    # a range that is still too full holds rows with many copies: each row is a piece
+    full = (units.groupBy(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("slot").alias("s"),
+                          F.col("heavy").alias("v"), F.col("part").alias("p"))
+            .agg((F.sum("copies") > 4 * PIECE).alias("full")))
+    same = here & (F.col("slot") == F.col("s")) & (F.col("heavy") == F.col("v")) & (F.col("part") == F.col("p"))
+    units = units.join(full, same).withColumn("one_tie", F.when(F.col("full"), F.col("tie"))) \
+        .withColumn("one_role", F.when(F.col("full"), F.col("role"))) \
+        .withColumn("batch", F.when(F.col("full"), F.col("many")).otherwise(0).cast("long"))
+    pieces = stage(calm.unionByName(units.groupBy("conv_id", *cut).agg(listed(F.col("copies")))))
+    order = [F.col(x).asc_nulls_first() for x in cut]
+    numbers = pieces.select("conv_id", *cut).withColumn(
+        "piece", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order)) - 1)
+    names = {x: f"n_{x}" for x in ["conv_id", *cut]}
+    numbers = numbers.withColumnsRenamed(names)
+    on = F.lit(True)
+    for x, y in names.items():
+        on = on & F.col(x).eqNullSafe(F.col(y))
+    return pieces.join(numbers, on).select("conv_id", "piece", "rows")
+
+
 def transcripts(conversations: DataFrame) -> DataFrame:
     """Raw transcripts written from a table of conv_id, turn, role, text."""
     ship(conversations.sparkSession)
     rows = conversations.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("tie"))
-    rows = rows.withColumn("piece", F.coalesce(F.floor(F.col("turn") / PIECE), F.lit(0)).cast("int"))
-    grouped = rows.groupBy("conv_id", "piece").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "tie", "role", "text"))).alias("rows"))
+    rows = rows.withColumn("block", F.coalesce(F.floor(F.col("turn") / PIECE), F.lit(0)).cast("long"))
+    crowded = stage(rows.groupBy(F.col("conv_id").alias("c"), F.col("block").alias("b"))
+                    .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * PIECE).select("c", "b"))
+    n_crowded = crowded.count()
+    if n_crowded:
+        grouped = numbered(rows, F.broadcast(crowded) if n_crowded <= MAX_BROADCAST_BLOCKS else crowded)
+    else:  # every block is a piece
+        grouped = rows.groupBy("conv_id", F.col("block").cast("int").alias("piece")).agg(listed(F.lit(1)))
 
     def task(batches):
         for b in batches:
-            made = [write_transcript(c, rows) for c, rows in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            made = [write_transcript(c, [r for r in rows for _ in range(r["copies"])])
+                    for c, rows in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
             cols = [[m[i] for m in made] for i in range(3)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(pa.int64()), b.column(1), pa.array(cols[0], pa.list_(pa.string())),
@@ -237,6 +312,10 @@ def fit(pieces: DataFrame) -> Model:
     return Model(start, step, emit)
 
 
+#: Types of (conversation, number, state before, state at the end, last one).
+ENDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
+
+
 def parse(pieces: DataFrame, model: Model) -> DataFrame:
     """Roles recovered from ``lines`` alone: conv_id, piece, n_lines, n_turns
     (opened in the piece), roles (their first letters), chat (canonical form)."""
@@ -252,22 +331,49 @@ def parse(pieces: DataFrame, model: Model) -> DataFrame:
                                              ["conv_id", "piece", "span"])
 
     small = pieces.select("conv_id", "piece", "lines").mapInArrow(spans, "conv_id long, piece int, span array<double>")
-    chained = small.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("piece", "span"))).alias("all"))
+    runs = stage(small.groupBy("conv_id", F.floor(F.col("piece") / RUN).alias("run"))
+                 .agg(F.sort_array(F.collect_list(F.struct("piece", "span"))).alias("all")))
 
-    def ends(batches):
+    def matrix(span):
+        return None if span is None else np.array(span).reshape(STATES + 1, STATES)
+
+    def multiply(batches):
+        for b in batches:
+            out = [product([matrix(p["span"]) for p in every]) for every in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([None if m is None else m.ravel().tolist() for m in out],
+                                                    pa.list_(pa.float64()))], ["conv_id", "run", "span"])
+
+    whole = runs.select("conv_id", "run", "all").mapInArrow(multiply, "conv_id long, run long, span array<double>") \
+        .groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("run", "span"))).alias("all"))
+
+    def between(batches):
         for b in batches:
             cols: list[list] = [[], [], [], [], []]
             for conv, every in zip(*(c.to_pylist() for c in b.columns)):
-                m = [None if p["span"] is None else np.array(p["span"]).reshape(STATES + 1, STATES) for p in every]
-                for p, (x, y) in zip(every, chain(m)):
-                    for col, v in zip(cols, (conv, p["piece"], x, y, p["piece"] == every[-1]["piece"])):
+                for r, (x, y) in zip(every, chain([matrix(r["span"]) for r in every])):
+                    for col, v in zip(cols, (conv, r["run"], x, y, r["run"] == every[-1]["run"])):
                         col.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ENDS)],
+                                             ["conv", "r", "x", "y", "final"])
+
+    known = whole.mapInArrow(between, "conv long, r long, x int, y int, final boolean")
+    inside = runs.join(known, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("run") == F.col("r")))
+
+    def ends(batches):
+        for b in batches:
+            cols: list[list] = [[], [], [], [], []]
+            for conv, every, x, y, final in zip(*(c.to_pylist() for c in b.columns)):
+                for p, (s, e) in zip(every, chain([matrix(p["span"]) for p in every], x, y)):
+                    last = final and p["piece"] == every[-1]["piece"]
+                    for col, v in zip(cols, (conv, p["piece"], s, e, last)):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, ENDS)],
                                              ["conv", "at", "before", "after", "last"])
 
-    known = chained.mapInArrow(ends, "conv long, at int, before int, after int, last boolean")
-    joined = pieces.join(known, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("piece") == F.col("at")))
+    found = inside.select("conv_id", "all", "x", "y", "final").mapInArrow(
+        ends, "conv long, at long, before int, after int, last boolean")
+    joined = pieces.join(found, F.col("conv_id").eqNullSafe(F.col("conv")) & (F.col("piece") == F.col("at")))
 
     def decode(batches):
         for b in batches:

@@ -67,6 +67,45 @@ def test_long_conversation_in_pieces(spark, monkeypatch):
     assert sum(p.n_turns for p in parts) == one[0].n_turns
 
 
+def test_runs_of_pieces(spark, monkeypatch):
+    """Pieces chained in runs of three give the chat of one piece."""
+    rows = talk(10, 4) + talk(1, 90, seed=5)[4:] + [(7, t, "user", None) for t in range(100, 140)]
+    whole = T.transcripts(table(spark, rows))
+    model = T.fit(whole)
+    one = {r.conv_id: r.chat for r in T.parse(whole, model).collect()}
+    monkeypatch.setattr(T, "PIECE", 4)
+    monkeypatch.setattr(T, "RUN", 3)
+    got = {}
+    for r in T.parse(T.transcripts(table(spark, rows)), model).orderBy("piece").collect():
+        got[r.conv_id] = got.get(r.conv_id, "") + r.chat
+    assert got == one and len(one) == 10
+
+
+def test_repeated_turns_are_cut(spark, monkeypatch):
+    """A third of the rows share one null conversation and turn, many of them
+    equal in every column: no piece holds more than a few times PIECE rows, and
+    the pieces' chats, joined, are the chat of one piece."""
+    hot = [(None, None, "user" if i % 3 else "assistant", words(6, i % 90)) for i in range(300)]
+    hot += [(None, None, "user", "the same again")] * 200 + [(None, t, None, words(5, t)) for t in range(-3, 40)]
+    rows = hot + [(3, t // 9, "user", words(4, t)) for t in range(120)] + talk(60, 6)
+    whole = T.transcripts(table(spark, rows))
+    model = T.fit(whole)
+
+    def joined(pieces):
+        chats = {}
+        for r in T.parse(pieces, model).orderBy("piece").collect():
+            a, b, c = chats.get(r.conv_id, ("", "", 0))
+            chats[r.conv_id] = (a + r.roles, b + r.chat, c + r.n_lines)
+        return chats
+
+    one = joined(whole)
+    monkeypatch.setattr(T, "PIECE", 16)
+    cut = T.transcripts(table(spark, rows))
+    sizes = [len(r.roles) for r in cut.collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 4 * 16
+    assert joined(cut) == one
+
+
 def test_a_turn_goes_on_over_a_border():
     states, rest = [2, 3, 3, 4, 5], ["a", "b", "c", "d", "e"]
     whole = T.render(states, rest)
