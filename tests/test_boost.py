@@ -226,3 +226,46 @@ def test_spec_values_reach_the_booster(spark):
     df = frame(spark, *table(300, 3), valid=np.arange(300) % 5 == 0)
     m = mdl.train_boosted(df, NAMES, ModelSpec(seed=9, boost=PLAIN), rounds=2)
     assert m.params == replace(PLAIN, rounds=2, seed=9)
+
+
+def test_joint_bins_give_every_features_own_sums():
+    r = np.random.default_rng(4)
+    sizes = [65, 60, 3, 3, 3, 3, 3, 3, 3, 3, 2, 9000, 7]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.stack([r.integers(0, n, 5000) for n in sizes], 1).astype("<u2")
+    g, h = r.normal(size=5000), r.random(5000)
+    binned = B._Binned(np.asfortranarray(bins), offsets)
+    assert len(binned.bundles) < len(sizes)
+    for rows in (np.arange(5000), np.arange(0, 5000, 2), np.arange(50), np.arange(0)):
+        found = binned.sums(rows, g, h)
+        for f, n in enumerate(sizes):
+            for got, weights in zip(found, (g[rows], h[rows], None)):
+                assert np.allclose(got[offsets[f]:offsets[f + 1]], np.bincount(bins[rows, f], weights, n))
+
+
+def test_a_million_rows_need_no_job_per_level(spark):
+    """Above 200,000 rows every level of every round was a job of its own."""
+    assert B._local(spark.range(900_000), 60)
+    assert not B._local(spark.range(900_000), 100) and not B._local(spark.range(1_100_000), 1)
+
+
+def test_curves_of_one_task_equal_the_distributed_ranking(spark, monkeypatch):
+    x, y = table(500, 21)
+    df = frame(spark, x, y, valid=np.arange(500) % 2 == 0).cache()
+    p = [replace(PLAIN, rounds=6), replace(PLAIN, rounds=3, num_leaves=2)]
+    at_once = B.fit_many(df, NAMES, p)
+    monkeypatch.setattr(B, "_curves_at_once", B._curves)
+    ranked = B.fit_many(df, NAMES, p)
+    assert [len(m.curve) for m in ranked] == [6, 3]
+    assert [m.curve for m in at_once] == [pytest.approx(m.curve, abs=1e-12) for m in ranked]
+
+
+def test_binary_rows_of_slices_and_chunks():
+    import pyarrow as pa
+    x = np.arange(24, dtype="<u2").reshape(8, 3)
+    a = B._packed(np.asfortranarray(x))
+    assert (B._unpacked(a, 3, "<u2") == x).all()
+    parts = pa.chunked_array([a.slice(1, 2), a.slice(3, 0), a.slice(5, 3)])
+    assert (B._unpacked(parts, 3, "<u2") == x[[1, 2, 5, 6, 7]]).all()
+    assert B._unpacked(pa.chunked_array([a.cast(pa.large_binary())]), 3, "<u2").shape == (8, 3)
+    assert B._unpacked(a.slice(0, 0), 3, "<u2").shape == (0, 3)
