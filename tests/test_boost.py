@@ -269,3 +269,32 @@ def test_binary_rows_of_slices_and_chunks():
     assert (B._unpacked(parts, 3, "<u2") == x[[1, 2, 5, 6, 7]]).all()
     assert B._unpacked(pa.chunked_array([a.cast(pa.large_binary())]), 3, "<u2").shape == (8, 3)
     assert B._unpacked(a.slice(0, 0), 3, "<u2").shape == (0, 3)
+
+
+def test_a_fit_that_a_task_holds_is_one_job(spark, monkeypatch):
+    """Every 25 rounds all rows were written, and sent to each model's task, anew."""
+    def never(*_):
+        raise AssertionError("the rows travel again")
+    x, y = table(400, 23)
+    df = frame(spark, x, y, valid=np.arange(400) % 4 == 0).cache()
+    p = [replace(PLAIN, rounds=60, patience=60), replace(PLAIN, rounds=30, patience=60, num_leaves=3, bagging_fraction=0.7, bagging_freq=2)]
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    in_turns = [B.fit(df, NAMES, replace(q, rounds=8)) for q in p]
+    monkeypatch.setattr(B, "LOCAL_ROWS", 10 ** 6)
+    for f in ("_moved", "_grow_at_once", "_grow_jobs"):
+        monkeypatch.setattr(B, f, never)
+    at_once = B.fit_many(df, NAMES, p)
+    assert [len(m.curve) for m in at_once] == [60, 30]
+    for a, b in zip(at_once, in_turns):
+        assert a.curve[:8] == pytest.approx(b.curve, abs=1e-12)
+        assert all(np.allclose(s.value, t.value) and (s.feature == t.feature).all() for s, t in zip(a.trees, b.trees))
+
+
+def test_held_rows_of_one_class_give_no_curve_and_trees_travel_whole(spark):
+    x, y = table(200, 2)
+    df = frame(spark, x, y, valid=(np.arange(200) % 4 == 0) & (y == 1))
+    m = B.fit(df, NAMES, replace(PLAIN, rounds=30, patience=40))
+    assert m.curve == [None] * 30 and m.best_iteration == 1
+    m = B.fit(df, NAMES, PLAIN, validation_col=None)
+    again = B._unstowed(B._stowed(m.trees))
+    assert [t.as_dict() for t in again] == [t.as_dict() for t in m.trees] and B._unstowed(B._stowed([])) == []
