@@ -298,3 +298,57 @@ def test_held_rows_of_one_class_give_no_curve_and_trees_travel_whole(spark):
     m = B.fit(df, NAMES, PLAIN, validation_col=None)
     again = B._unstowed(B._stowed(m.trees))
     assert [t.as_dict() for t in again] == [t.as_dict() for t in m.trees] and B._unstowed(B._stowed([])) == []
+
+
+def test_jobs_read_packs_and_write_no_margins_before_the_checkpoint(spark, monkeypatch):
+    """Every job read all rows one by one, and every 5 rounds they were written anew."""
+    x, y = table(400, 29)
+    df = frame(spark, x, y, valid=np.arange(400) % 4 == 0).cache()
+    p = [replace(PLAIN, rounds=8, patience=60, bagging_fraction=0.7, bagging_freq=2), replace(PLAIN, rounds=7, num_leaves=4)]
+    alone = B.fit_many(df, NAMES, p)
+    seen, moved = [], []
+    histograms, move = B._histograms, B._moved
+    monkeypatch.setattr(B, "_histograms", lambda packs, *a: (seen.append(packs.count()), histograms(packs, *a))[1])
+    monkeypatch.setattr(B, "_moved", lambda *a: (moved.append(1), move(*a))[1])
+    monkeypatch.setattr(B, "LOCAL_ROWS", 0)
+    for added in (B.ADDED, 0):  # by the driver, in a shuffle
+        monkeypatch.setattr(B, "ADDED", added)
+        by_jobs = B.fit_many(df, NAMES, p)
+        assert seen and max(seen) <= 8 and not moved
+        for a, b in zip(by_jobs, alone):
+            assert a.curve == pytest.approx(b.curve, abs=1e-12) and len(a.trees) == len(b.trees)
+            assert all(np.allclose(s.value, t.value) and (s.feature == t.feature).all() for s, t in zip(a.trees, b.trees))
+
+
+@pytest.mark.parametrize("n", [5000, 300])
+def test_sums_by_node_are_those_of_every_nodes_rows(n):
+    r = np.random.default_rng(5)
+    sizes = [65, 60, 3, 3, 3, 2, 9000, 7]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.stack([r.integers(0, k, n) for k in sizes], 1).astype("<u2")
+    g, h = r.normal(size=n), r.random(n)
+    binned = B._Binned(np.asfortranarray(bins), offsets)
+    for nodes in (1, 3, 40):
+        node = r.integers(-1, nodes, n)
+        found = binned.by_node(node, nodes, g, h)
+        for k in range(nodes):
+            assert np.allclose(found[:, k], binned.sums(np.nonzero(node == k)[0], g, h))
+
+
+def test_known_margins_are_those_of_the_written_ones(spark, monkeypatch):
+    x, y = table(300, 31)
+    m = B.fit(frame(spark, x, y), NAMES, replace(PLAIN, rounds=6), validation_col=None)
+    bins = np.random.default_rng(1).integers(0, 16, (50, 4)).astype("<u1")
+    monkeypatch.setattr(B, "_known", {})
+    start = np.full(50, m.base)
+
+    def after(n):
+        return sum((t.by_bin(bins) for t in m.trees[:n]), start.copy())
+    for written, upto in ((0, 2), (0, 2), (0, 4), (0, 1), (3, 5), (3, 3), (5, 6)):  # on, again, back, behind a checkpoint
+        z = after(written)
+        z.flags.writeable = False
+        assert np.allclose(B._current(("rows", 7, 0), written, z, m.trees[written:upto], bins), after(upto))
+    monkeypatch.setattr(B, "KNOWN", 500)
+    for k in range(3):
+        B._current(("rows", k, 0), 0, start, m.trees, bins)
+    assert list(B._known) == [("rows", 2, 0)]
