@@ -41,12 +41,14 @@ from cauce.llm import tokens
 from cauce.llm.common import id_cuts, ship, shuffle_partitions, stage
 
 #: Ids in a block, at least; lanes at most, and ids per lane at least.
-BLOCK, LANES, LANE = 4_000_000, 16384, 128
-_MAGIC = b"CMR1"
+BLOCK, LANES, LANE = 4_000_000, 12288, 128
+_MAGIC = b"CMR2"
 _TOP, _LOW = np.uint64(1 << 48), np.uint64(1 << 32)
+_ZERO, _BELOW = np.uint64(0), np.uint64((1 << 16) - 1)
 _16, _48, _32 = np.uint64(16), np.uint64(48), np.uint64(32)
 _P = 1 << 16  # scale of probabilities
-_CONF = 15
+_CONF_BITS = 4
+_CONF = (1 << _CONF_BITS) - 1
 _HASH_BITS = 20
 
 #: ln(p / (1 - p)) in 1/256 for p in 1/4096, and back to 1/65536.
@@ -70,9 +72,9 @@ class Mixer:
         self.bias = 0
 
     def predict(self, contexts):
-        st = [_STRETCH[((o << 12) // (s + 1))[c]] for o, s, c in zip(self.ones, self.seen, contexts)]
+        st = [np.take(_STRETCH[(o << 12) // (s + 1)], c) for o, s, c in zip(self.ones, self.seen, contexts)]
         dot = sum(w * s for w, s in zip(self.weight, st)) >> 16
-        return _SQUASH[np.clip(dot, -_REACH, _REACH) + _REACH], st
+        return np.take(_SQUASH, dot + _REACH, mode="clip"), st
 
     def learn(self, contexts, st, p, hit):
         n = len(hit)
@@ -80,61 +82,73 @@ class Mixer:
             return
         error = (hit.astype(np.int64) << 16) - p
         for i, c in enumerate(contexts):
-            size = len(self.ones[i])
-            self.ones[i] += np.bincount(c[hit], minlength=size)
-            self.seen[i] += np.bincount(c, minlength=size)
+            misses, hits = np.bincount(c + c + hit, minlength=2 * len(self.ones[i])).reshape(-1, 2).T
+            self.ones[i] += hits
+            self.seen[i] += misses + hits
             full = self.seen[i] > 1 << 18
             self.ones[i][full] >>= 1
             self.seen[i][full] >>= 1
-            step = int((st[i] * error).sum()) // n >> 9
+            step = int(np.dot(st[i], error)) // n >> 9
             self.weight[i] = min(4 * _P, max(0, self.weight[i] + step))
 
 
 class Model:
-    """Order-0 to order-2 predictions, shared by the lanes of a block."""
+    """Order-0 to order-2 predictions, shared by the lanes of a block. An entry of a
+    context's table is the id that followed last and, in the low bits, its confidence
+    (0: none yet)."""
 
     def __init__(self, vocab: int):
-        self.count = np.ones(vocab, np.int64)
+        self.count, self.below = np.ones(vocab, np.int64), np.zeros(vocab + 1, np.int64)
         self.sum()
-        self.next1 = np.zeros(vocab, np.int64)
-        self.conf1 = np.zeros(vocab, np.int64)
-        self.next2 = np.zeros(1 << _HASH_BITS, np.int64)
-        self.conf2 = np.zeros(1 << _HASH_BITS, np.int64)
+        kind = np.int32 if vocab <= 1 << (31 - _CONF_BITS) else np.int64
+        self.after1, self.after2 = np.zeros(vocab, kind), np.zeros(1 << _HASH_BITS, kind)
         self.first = Mixer([(_CONF + 1) * 3, (_CONF + 1) * 3, 18 * 2])
         self.second = Mixer([_CONF + 1, 18])
 
     def sum(self):
-        self.below = np.concatenate([[0], np.cumsum(self.count)])
+        np.cumsum(self.count, out=self.below[1:])
 
     def slot(self, a, b):
         return ((a * 49633 + b) * 0x9E3779B1 >> 12) & ((1 << _HASH_BITS) - 1)
 
     def contexts(self, a, b):
-        """The first event: (slot, candidate, whether there is one, contexts)."""
+        """The first event: (entries and places in both tables, order-1 candidate and
+        confidence, candidate, whether there is one, contexts)."""
         slot = self.slot(a, b)
-        c2, f2, c1, f1 = self.next2[slot], self.conf2[slot], self.next1[b], self.conf1[b]
-        has2 = f2 > 0
+        e2, e1 = np.take(self.after2, slot), np.take(self.after1, b)
+        c2, f2, c1, f1 = e2 >> _CONF_BITS, e2 & _CONF, e1 >> _CONF_BITS, e1 & _CONF
+        has2, has1 = f2 > 0, f1 > 0
         cand = np.where(has2, c2, c1)
-        agree = np.where(has2 & (f1 > 0), 1 + (c1 == c2), 0)
-        rank = self.rank(cand)
-        return slot, c1, f1, cand, has2 | (f1 > 0), [f2 * 3 + agree, f1 * 3 + agree, rank * 2 + has2]
+        agree = (has2 & has1) * (1 + (c1 == c2).astype(np.int8))
+        seen = ((self.after2, slot, c2, f2), (self.after1, b, c1, f1))
+        return seen, c1, f1, cand, has2 | has1, [f2 * 3 + agree, f1 * 3 + agree, self.rank(cand) * 2 + has2]
 
     def rank(self, ids):
         """Order of magnitude of the order-0 frequency, 0..17."""
-        return _MAGNITUDE[(self.count[ids] << 17) // self.below[-1]]
-
-    def learn(self, slot, b, ids):
-        for table, conf, at in ((self.next2, self.conf2, slot), (self.next1, self.conf1, b)):
-            right, f = table[at] == ids, conf[at]
-            new = np.where(right, np.minimum(f + 1, _CONF), f >> 1)
-            swap = ~right & (f <= 1)
-            conf[at] = np.where(swap, 1, np.maximum(new, 1))
-            table[at[swap]] = ids[swap]
-        self.count += 24 * np.bincount(ids, minlength=len(self.count))
+        return np.take(_MAGNITUDE, (np.take(self.count, ids) << 17) // self.below[-1])
+
+    def learn(self, seen, ids):
+        for table, at, known, conf in seen:
+            right = known == ids
+            new = np.maximum(np.where(right, np.minimum(conf + 1, _CONF), conf >> 1), 1)
+            # a candidate in little confidence gives way; of lanes in one context the last one's entry stays
+            table[at] = np.where(right | (conf > 1), known, ids) << _CONF_BITS | new
+        new = np.bincount(ids, minlength=len(self.count))
+        new *= 24  # in place: new arrays of this size cost more than the sums
+        self.count += new
         if self.below[-1] > 1 << 26:
-            self.count = (self.count + 1) >> 1
+            self.count += 1
+            self.count >>= 1
         self.sum()
 
+    def find(self, points):
+        """The ids whose share of the order-0 frequencies holds the points, looked up in ascending order."""
+        bits = len(points).bit_length()
+        keys = np.sort((points << bits) + np.arange(len(points)))
+        out = np.empty_like(points)
+        out[keys & ((1 << bits) - 1)] = np.searchsorted(self.below, keys >> bits, "right") - 1
+        return out
+
 
 class Encoder:
     def __init__(self, lanes: int, words: int):
@@ -143,10 +157,19 @@ class Encoder:
         self.out = np.zeros((lanes, words), np.uint16)
         self.at = np.zeros(lanes, np.int64)
 
+    def bit(self, who, p, hit):
+        """One binary event of lanes ``who``, ``p`` of ``_P`` for it."""
+        whole = self.range[who]
+        split = (whole >> _16) * p
+        self._settle(who, self.low[who] + np.where(hit, _ZERO, split), np.where(hit, split, (whole & ~_BELOW) - split))
+        return hit
+
     def put(self, who, start, width, total):
         r = self.range[who] // total
-        low = self.low[who] + r * start
-        rng = r * width
+        self._settle(who, self.low[who] + r * start, r * width)
+
+    def _settle(self, who, low, rng):
+        """Write the words that are certain."""
         live, l, g = None, low, rng  # all of who, then those that go on
         while True:
             same = (l ^ (l + g)) < _TOP
@@ -158,7 +181,7 @@ class Encoder:
             tight = (small & ~same)[go]
             l, g = l[go], g[go]
             g = np.where(tight, (np.uint64(0) - l) & (_LOW - np.uint64(1)), g)
-            lane = who[live]
+            lane = live if isinstance(who, slice) else who[live]
             at = self.at[lane]
             self.out[lane, at] = l >> _48
             self.at[lane] = at + 1
@@ -191,13 +214,24 @@ class Decoder:
         self.at[lane] += 1
         return got
 
+    def bit(self, who, p, hit):
+        """One binary event of lanes ``who``, read back; ``hit`` is not known here."""
+        whole, low = self.range[who], self.low[who]
+        split = (whole >> _16) * p
+        hit = self.code[who] - low < split
+        self._settle(who, low + np.where(hit, _ZERO, split), np.where(hit, split, (whole & ~_BELOW) - split))
+        return hit
+
     def point(self, who, total):
         self.step = self.range[who] // total
         return np.minimum((self.code[who] - self.low[who]) // self.step, total - np.uint64(1))
 
     def take(self, who, start, width):
-        low, rng = self.low[who] + self.step * start, self.step * width
-        code = self.code[who]
+        self._settle(who, self.low[who] + self.step * start, self.step * width)
+
+    def _settle(self, who, low, rng):
+        """Read the words that are certain."""
+        code = self.code[who]  # a copy, or a view that is written in place
         live, l, g = None, low, rng  # all of who, then those that go on
         while True:
             same = (l ^ (l + g)) < _TOP
@@ -209,7 +243,7 @@ class Decoder:
             tight = (small & ~same)[go]
             l, g = l[go], g[go]
             g = np.where(tight, (np.uint64(0) - l) & (_LOW - np.uint64(1)), g)
-            code[live] = (code[live] << _16) | self._next(who[live])
+            code[live] = (code[live] << _16) | self._next(live if isinstance(who, slice) else who[live])
             l, g = l << _16, g << _16
             low[live], rng[live] = l, g
         self.low[who], self.range[who], self.code[who] = low, rng, code
@@ -231,21 +265,14 @@ def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
     flat = np.zeros(lanes * steps, np.int32)  # lanes hold consecutive ids
     if given is not None:
         flat[:n] = given
-    grid = flat.reshape(lanes, steps)
+    grid = flat.reshape(lanes, steps).T.copy()  # by step
     model = Model(vocab)
     a, b = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-    scale = np.uint64(_P)
 
     def event(mixer, who, contexts, actual):
         """One binary event of lanes ``who``; returns whether it holds."""
         p, st = mixer.predict(contexts)
-        up = _u(p)
-        if given is not None:
-            hit = actual
-            coder.put(who, np.where(hit, np.uint64(0), up), np.where(hit, up, scale - up), scale)
-        else:
-            hit = coder.point(who, scale) < up
-            coder.take(who, np.where(hit, np.uint64(0), up), np.where(hit, up, scale - up))
+        hit = coder.bit(who, _u(p), actual)
         mixer.learn(contexts, st, p, hit)
         return hit
 
@@ -254,34 +281,38 @@ def _run(n: int, vocab: int, coder, given: np.ndarray | None) -> np.ndarray:
         if not live:
             break
         a, b = a[:live], b[:live]
-        ids = grid[:live, t].astype(np.int64)
-        slot, c1, f1, cand, has, contexts = model.contexts(a, b)
-        who = np.nonzero(has)[0]
+        ids = grid[t, :live].astype(np.int64)
+        seen, c1, f1, cand, has, contexts = model.contexts(a, b)
         done = np.zeros(live, bool)
+        if has.all():  # no lane to pick out
+            done = event(model.first, slice(live), contexts, ids == cand)
+        elif has.any():
+            who = np.flatnonzero(has)
+            done[who] = event(model.first, who, [c[who] for c in contexts], ids[who] == cand[who])
+        if given is None:
+            ids[done] = cand[done]
+        who = np.flatnonzero(~done & (f1 > 0) & (c1 != cand))
         if len(who):
-            hit = event(model.first, who, [c[who] for c in contexts], ids[who] == cand[who])
+            c = c1[who]
+            hit = event(model.second, who, [f1[who], model.rank(c)], ids[who] == c)
             done[who] = hit
-            ids[who[hit]] = cand[who[hit]]
-        who = np.nonzero(~done & (f1 > 0) & (c1 != cand))[0]
-        if len(who):
-            hit = event(model.second, who, [f1[who], model.rank(c1[who])], ids[who] == c1[who])
-            done[who] = hit
-            ids[who[hit]] = c1[who[hit]]
-        who = np.nonzero(~done)[0]
+            if given is None:
+                ids[who[hit]] = c[hit]
+        who = np.flatnonzero(~done)
         if len(who):
             total = np.uint64(model.below[-1])
             if given is None:
-                ids[who] = np.searchsorted(model.below, coder.point(who, total).astype(np.int64), "right") - 1
+                ids[who] = model.find(coder.point(who, total).astype(np.int64))
             x = ids[who]
-            start, width = _u(model.below[x]), _u(model.count[x])
+            start, width = _u(np.take(model.below, x)), _u(np.take(model.count, x))
             if given is None:
                 coder.take(who, start, width)
             else:
                 coder.put(who, start, width, total)
-        model.learn(slot, b, ids)
-        grid[:live, t] = ids
+        model.learn(seen, ids)
+        grid[t, :live] = ids
         a, b = b, ids
-    return flat[:n]
+    return grid.T.reshape(-1)[:n]
 
 
 def encode_block(ids: np.ndarray, vocab: int) -> bytes:

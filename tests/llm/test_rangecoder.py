@@ -49,6 +49,31 @@ def test_damage_is_found():
         R.decode_block(b"nothing of it")
 
 
+def test_points_are_found_in_any_order():
+    r = np.random.default_rng(3)
+    m = R.Model(1000)
+    m.count[:] = r.integers(1, 5000, 1000)
+    m.sum()
+    points = np.concatenate([m.below[:-1], m.below[1:] - 1, r.integers(0, m.below[-1], 3000)])
+    assert (m.find(points) == np.searchsorted(m.below, points, "right") - 1).all()
+    assert m.find(points[:0]).tolist() == []
+
+
+def test_an_entry_keeps_the_candidate_it_trusts():
+    m = R.Model(1000)
+    nothing = np.zeros(1, np.int64)
+    for ids, known, conf in ((7, 7, 1), (7, 7, 2), (7, 7, 3), (9, 7, 1), (9, 9, 1), (9, 9, 2)):
+        m.learn(m.contexts(nothing, nothing)[0], np.array([ids]))
+        for table, at, _, _ in m.contexts(nothing, nothing)[0]:  # both orders
+            assert (table[at][0] >> 4, table[at][0] & 15) == (known, conf)
+
+
+def test_blocks_of_the_former_model_are_refused():
+    raw = R.encode_block(np.arange(500) % 7, 1000)
+    with pytest.raises(ValueError):
+        R.decode_block(b"CMR1" + raw[4:])
+
+
 def expected(rows):
     lib = tokens.Encoder(tokens.default_path()).lib
     out, start = [], 0
