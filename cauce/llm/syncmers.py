@@ -14,10 +14,14 @@ convolution where it appears too often in both texts. Two empty fingerprints
 are alike.
 
 The operator pairs each document with the next by descending id, in one shuffle
-of the texts: ids are cut into ranges from the id column alone, each range is a
+of the texts (each compressed): ids are cut into ranges from the id column alone, each range is a
 sorted stream, and the first document of a range is also sent to the end of
 the range before it. A task holds two documents at a time.
 
+A fingerprint names some 64 bits of hash for every sixth character, so results are
+several times the texts. ``written`` is the plain form, ``dense`` a shorter one with
+the same content, for large tables.
+
 Defined results: null text is empty; a text shorter than k is its own single
 anchor, an empty text has none; equal ids follow each other by the hash of
 their texts, null ids come last; a lone document is its own next.
@@ -116,6 +120,39 @@ def written(mark: tuple[np.ndarray, np.ndarray]) -> str:
     return out.tobytes()[:-1].decode("ascii")
 
 
+#: Digits of base 85: printable, without quotes, backslash, comma, dot, colon and blank.
+_DIGITS = np.frombuffer(b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz!#$%&()*+-;<=>?@^_`{|}~", np.uint8)
+_VALUES = np.zeros(256, np.uint64)
+_VALUES[_DIGITS] = np.arange(85)
+
+
+def dense(mark: tuple[np.ndarray, np.ndarray]) -> str:
+    """The fingerprint in 11 characters an anchor, by position: characters since the anchor
+    before (at most K - S, as any K - S successive k-mers hold an anchor; from the
+    start for the first), and five digits of each half of the hash."""
+    h, at = mark
+    order = np.argsort(at)
+    h, gap = h[order], np.diff(at[order], prepend=0)
+    out = np.empty((len(h), 11), np.uint8)
+    out[:, 0] = _DIGITS[gap]
+    for a, half in ((1, (h >> np.uint64(32)).astype(np.uint32)), (6, h.astype(np.uint32))):
+        for j in range(4, -1, -1):
+            rest = half // np.uint32(85)
+            out[:, a + j] = _DIGITS[half - rest * np.uint32(85)]
+            half = rest
+    return out.tobytes().decode("ascii")
+
+
+def undense(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The sketch that ``dense`` wrote."""
+    digits = _VALUES[np.frombuffer(text.encode("ascii"), np.uint8).reshape(-1, 11)]
+    high, low = (sum(digits[:, a + j] * np.uint64(85 ** (4 - j)) for j in range(5)) for a in (1, 6))
+    h = (high << np.uint64(32)) + low
+    at = np.cumsum(digits[:, 0].astype(np.int64))
+    order = np.argsort(h, kind="stable")
+    return h[order], at[order]
+
+
 def _spread(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """All distinct shifts x - y of many positions, by convolution."""
     x0, y0 = x.min(), y.min()
@@ -197,8 +234,9 @@ SCHEMA = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
           "edited_fingerprint string, near_edited double, near_next double")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """One row per document: its fingerprint, its edited text's, likenesses."""
+def fingerprints(docs: DataFrame, form=written) -> DataFrame:
+    """One row per document: its fingerprint, its edited text's, likenesses. ``form``
+    writes a fingerprint as text (``written`` or ``dense``)."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -217,18 +255,23 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.select(F.col("to.r").alias("range"), F.col("to.guest").alias("guest"), "doc_id", "text")
     rows = rows.withColumn("tie", F.xxhash64("text"))
     parts = max(1, min(len(heads), 4 * shuffle_partitions(spark)))
+    # row by row: a batch of whole texts in Arrow would take much more memory
+    compressed = F.udf(lambda b: pa.compress(bytes(b), codec="zstd", asbytes=True), "binary", useArrow=False)
+    rows = rows.select("range", "guest", "doc_id", "tie", F.octet_length("text").alias("size"),
+                       compressed(F.col("text").cast("binary")).alias("packed"))
     rows = (rows.repartition(parts, "range")
             .sortWithinPartitions("range", "guest", F.col("doc_id").desc_nulls_last(), "tie")
-            .select("range", "guest", "doc_id", "text"))
+            .select("range", "guest", "doc_id", "size", "packed"))
 
     def task(batches):
+        codec = pa.Codec("zstd")
         held = None  # (range, doc_id, text, sketch) waiting for its next
 
         def row(own, text, mark):
             changed = edited(own[2], text)
             other = own[3] if changed == own[2] else spliced(own[2], own[3], text, mark, changed)
             return (own[1], len(own[2]), hashlib.sha256(changed.encode("utf-8", "replace")).hexdigest(),
-                    written(own[3]), written(other), likeness(own[3], other), likeness(own[3], mark))
+                    form(own[3]), form(other), likeness(own[3], other), likeness(own[3], mark))
 
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
@@ -239,11 +282,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         for batch in batches:
             made: list[list] = [[] for _ in range(7)]
             size = 0
-            for part, is_guest, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, is_guest, doc_id, n_bytes, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and held[0] != part:
                     held = None
                 if is_guest and not held:
                     continue  # of several rows with the head's id only the first counts
+                text = codec.decompress(packed, n_bytes, asbytes=True).decode("utf-8")
                 mark = sketch(text)
                 if held:
                     done = row(held, text, mark)

@@ -148,3 +148,30 @@ def test_spliced_sketches_of_long_and_short_texts():
         for b in texts:
             got = M.spliced(a, M.sketch(a), b, M.sketch(b), M.edited(a, b))
             assert all(x.tolist() == y.tolist() for x, y in zip(got, M.sketch(M.edited(a, b))))
+
+
+def test_dense_form_is_whole_and_short(spark):
+    texts = ["", "a", words(3, 1)[:15], words(4, 2)[:16], words(400, 4), "ab" * 900, "x" * 5000, "é😀漢" * 50, words(5000, 5)]
+    for t in texts:
+        mark = M.sketch(t)
+        got = M.undense(M.dense(mark))
+        assert all(a.dtype == b.dtype and a.tolist() == b.tolist() for a, b in zip(got, mark))
+        assert len(M.dense(mark)) <= 0.65 * len(M.written(mark))
+    edge = np.array([0, 1, (1 << 32) - 1, 1 << 32, (1 << 64) - 1], np.uint64), np.array([40, 0, 11, 22, 33])
+    assert all(a.tolist() == b.tolist() for a, b in zip(M.undense(M.dense(edge)), edge))
+    rows = awkward_rows()[:-3]
+    plain_form = {r.doc_id: r for r in M.fingerprints(frame(spark, rows)).collect()}
+    for r in M.fingerprints(frame(spark, rows), form=M.dense).collect():
+        p = plain_form[r.doc_id]
+        assert M.written(M.undense(r.fingerprint)) == p.fingerprint
+        assert M.written(M.undense(r.edited_fingerprint)) == p.edited_fingerprint
+        assert r[:3] == p[:3] and r[5:] == p[5:]
+
+
+def test_the_query_writes_the_dense_form(spark, tmp_path):
+    from cauce.llm.queries import QUERIES
+    texts = {i: words(40, i) for i in range(20)}
+    plain(spark, list(texts.values())).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in QUERIES["op6_syncmers"](spark, str(tmp_path)).collect():
+        assert r.fingerprint == M.dense(M.sketch(texts[r.doc_id]))
+        assert r.edited_fingerprint == M.dense(M.sketch(M.edited(texts[r.doc_id], texts[(r.doc_id - 1) % 20])))
