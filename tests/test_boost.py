@@ -352,3 +352,35 @@ def test_known_margins_are_those_of_the_written_ones(spark, monkeypatch):
     for k in range(3):
         B._current(("rows", k, 0), 0, start, m.trees, bins)
     assert list(B._known) == [("rows", 2, 0)]
+
+
+@pytest.mark.parametrize("n", [300, 5000])
+def test_gradients_and_curvatures_are_added_in_one_pass(n, monkeypatch):
+    rng = np.random.default_rng(n)
+    sizes = [65, 65, 3, 3, 40]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    bins = np.asfortranarray(np.stack([rng.integers(0, s, n) for s in sizes], 1).astype(np.uint8))
+    g, h, node = rng.normal(size=n), rng.random(n), rng.integers(-1, 3, n)
+    plain = np.concatenate([[np.bincount(bins[:, f], w, s) for w in (g, h, np.ones(n))] for f, s in enumerate(sizes)], 1)
+    count, weighted = np.bincount, []
+    monkeypatch.setattr(np, "bincount", lambda x, weights=None, minlength=0: weighted.append(weights) or count(x, weights, minlength))
+    binned = B._Binned(bins, offsets)
+    for found in (binned.sums(None, g, h), binned.sums(np.arange(n), g, h), binned.by_node(np.zeros(n, int), 1, g, h)[:, 0]):
+        assert np.allclose(found, plain, atol=1e-9) and (found[2] == plain[2]).all()
+    assert np.allclose(binned.by_node(node, 3, g, h).sum(1)[:2, :65].sum(1), [g[node >= 0].sum(), h[node >= 0].sum()])
+    assert all(w is None for w in weighted)  # only rows are counted on their own
+
+
+def test_auc_is_that_of_all_pairs():
+    rng = np.random.default_rng(4)
+    for digits in (0, 1, 12):
+        y = (rng.random(400) < 0.3).astype(float)
+        z = np.round(rng.normal(size=400) + y, digits)
+        pairs = (z[y == 1][:, None] > z[y == 0]) + 0.5 * (z[y == 1][:, None] == z[y == 0])
+        assert B._auc(z, y) == pairs.mean()
+    assert B._auc(z, y * 0) is None and B._auc(z, y * 0 + 1) is None and B._auc(z[:0], y[:0]) is None
+
+
+def test_auc_sorts_each_class_once(monkeypatch):
+    monkeypatch.setattr(np, "unique", None)  # no pass that carries the labels through a sort
+    assert B._auc(np.array([0.1, 0.4, 0.4, 0.8]), np.array([0.0, 0.0, 1.0, 1.0])) == 0.875
